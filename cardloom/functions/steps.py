@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
-
 from cardloom.functions import text, urls
+from cardloom.functions.sql import lit
 
 STEPS = {
     "clean": text.clean,
@@ -17,7 +16,6 @@ STEPS = {
     "strip_tags": text.strip_tags,
     "before_comma": text.before_comma,
     "second_comma_part": text.second_comma_part,
-    "before_comma_if_any": lambda c: F.when(F.contains(c, F.lit(",")), text.before_comma(c)).otherwise(c),
     "after_first_comma": text.after_first_comma,
     "before_dash": text.before_dash,
     "after_dash": text.after_dash,
@@ -33,14 +31,14 @@ STEPS = {
     "if_address": text.if_address,
     "real_link": text.real_link,
     # J32 with the base as a constant of the rule; a missing link stays missing
-    "prefix": lambda c, head: F.when(c != "", F.concat(F.lit(head), c)),
+    "prefix": urls.prefixed,
     "prefix_unless_absolute": urls.with_prefix,
-    "resolve": lambda c, base: F.when(c != "", urls.resolve(c, F.lit(base))),
-    "query_value": lambda c, key: F.regexp_extract(c, rf"[?&]{key}=([^&#]*)", 1),
+    "resolve": lambda x, base: urls.resolve(x, lit(base)),
+    "query_value": lambda x, key: f"regexp_extract({x}, {lit(rf'[?&]{key}=([^&#]*)')}, 1)",
 }
 
 
-def apply_steps(value: Column, steps: tuple) -> Column:
+def apply_steps(value: str, steps: tuple) -> str:
     """Run a step list: a step is a name, or a tuple of a name and its arguments."""
     for step in steps:
         name, *args = (step,) if isinstance(step, str) else step

@@ -1,8 +1,11 @@
-"""Text cleaning and splitting (J1-J24, J28-J31, J33, J35) and text predicates."""
+"""Text cleaning and splitting (J1-J24, J28-J31, J33, J35) and text predicates.
+
+Arguments and results are SQL expression text, see ``functions.sql``.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from cardloom.functions.sql import case, lit, true_only, with_value
 
 # The whitespace class browsers use (Java's \s knows neither NBSP nor the BOM) and
 # the patterns, phrases and key words that decide what counts as an email, a name or a job title.
@@ -11,246 +14,251 @@ EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
 INTRO_PHRASES = ["chicago christian", "three campuses", "made up of"]
 JOB_KEYWORDS = ["principal", "teacher", "director", "manager", "coordinator"]
 DEFAULT_PAGE_SIZE = 24
+BREAKS = r"\r?\n|<br>|<br/>|  |—|–|\|"
+ADDRESS_PARTS = r"'([^']+)'\s*\+\s*'@'\s*\+\s*'([^']+)'"
 
 
-def _literal(text: str) -> str:
+def _quoted(text: str) -> str:
     return r"\Q" + text + r"\E"
 
 
-# --- whitespace and removals -----------------------------------------------------------------
-def clean(text: Column) -> Column:
+# --- whitespace and removals -------------------------------------------------------------------
+def clean(x: str) -> str:
     """Whitespace runs (NBSP and BOM included) become one space; ends trimmed."""
-    return F.trim(F.regexp_replace(text, SPACE + "+", " "))
+    return f"trim(regexp_replace({x}, {lit(SPACE + '+')}, ' '))"
 
 
-def trim(text: Column) -> Column:
+def trim(x: str) -> str:
     """Trim only, inner whitespace kept."""
-    return F.regexp_replace(text, f"^{SPACE}+|{SPACE}+$", "")
+    return f"regexp_replace({x}, {lit(f'^{SPACE}+|{SPACE}+$')}, '')"
 
 
-def drop_quotes(text: Column) -> Column:
+def drop_quotes(x: str) -> str:
     """J4."""
-    return F.replace(text, F.lit('"'), F.lit(""))
+    return f"replace({x}, '\"', '')"
 
 
-def drop_nbsp(text: Column) -> Column:
+def drop_nbsp(x: str) -> str:
     """NBSP is deleted, not turned into a space."""
-    return F.replace(text, F.lit("\u00a0"), F.lit(""))
+    return f"replace({x}, char(160), '')"
 
 
-def remove_first(text: Column, label: str) -> Column:
-    """Delete the first occurrence of ``label``; later ones stay."""
-    return replace_first(text, label, "")
+def replace_first(x: str, old: str, new: str) -> str:
+    """Replace the first occurrence only (``new`` is plain text without ``$``)."""
+    return f"regexp_replace({x}, {lit('(?s)^(.*?)' + _quoted(old))}, {lit('$1' + new)})"
 
 
-def replace_first(text: Column, old: str, new: str) -> Column:
-    """Replace the first occurrence only."""
-    at = F.instr(text, old)
-    return F.when(at > 0, F.overlay(text, F.lit(new), at, F.lit(len(old)))).otherwise(text)
+def remove_first(x: str, label: str) -> str:
+    """Delete the first occurrence of ``label``; later ones stay."""
+    return replace_first(x, label, "")
 
 
-def strip_mailto(href: Column) -> Column:
+def strip_mailto(href: str) -> str:
     """The query string stays."""
     return remove_first(href, "mailto:")
 
 
-def strip_tags(html: Column) -> Column:
+def strip_tags(html: str) -> str:
     """J15."""
-    return F.regexp_replace(html, "<[^>]+>", "")
+    return f"regexp_replace({html}, '<[^>]+>', '')"
 
 
 # --- splits ------------------------------------------------------------------------------------
-def part(text: Column, separator: str, n: int) -> Column:
+def part(x: str, separator: str, n: int) -> str:
     """The n-th (0-based) piece between literal separators, NULL if there is none."""
-    return F.get(F.split(text, _literal(separator)), n)
+    return f"get(split({x}, {lit(_quoted(separator))}), {n})"
 
 
-def before_comma(text: Column) -> Column:
+def before_comma(x: str) -> str:
     """Everything up to the first comma."""
-    return clean(part(text, ",", 0))
+    return clean(part(x, ",", 0))
 
 
-def second_comma_part(text: Column) -> Column:
+def second_comma_part(x: str) -> str:
     """Only the piece between the first and second comma."""
-    return clean(part(text, ",", 1))
+    return clean(part(x, ",", 1))
 
 
-def after_first_comma(text: Column) -> Column:
+def after_first_comma(x: str) -> str:
     """All the rest, further commas included."""
-    return clean(F.get(F.split(text, ",", 2), 1))
+    return clean(f"get(split({x}, ',', 2), 1)")
 
 
-def _dash_part(text: Column, n: int) -> Column:
-    return F.when(F.contains(text, F.lit("–")), part(text, "–", n)).otherwise(part(text, "-", n))
+def _dash_part(x: str, n: int) -> str:
+    return with_value(
+        x, lambda v: case((f"contains({v}, '–')", part(v, "–", n)), otherwise=part(v, "-", n))
+    )
 
 
-def before_dash(text: Column) -> Column:
+def before_dash(x: str) -> str:
     """Split at the en dash, else at the hyphen."""
-    return clean(_dash_part(text, 0))
+    return clean(_dash_part(x, 0))
 
 
-def after_dash(text: Column) -> Column:
-    return clean(_dash_part(text, 1))
+def after_dash(x: str) -> str:
+    return clean(_dash_part(x, 1))
 
 
-def role_of(text: Column, default: str = "Board Member") -> Column:
+def role_of(x: str, default: str = "Board Member") -> str:
     """``Role: Name``; the default when there is no colon."""
-    return F.when(F.contains(text, F.lit(":")), clean(part(text, ":", 0))).otherwise(F.lit(default))
+    return with_value(
+        x, lambda v: case((f"contains({v}, ':')", clean(part(v, ":", 0))), otherwise=lit(default))
+    )
 
 
-def holder_of(text: Column) -> Column:
+def holder_of(x: str) -> str:
     """The name behind the colon, or the whole text."""
-    return F.when(F.contains(text, F.lit(":")), clean(part(text, ":", 1))).otherwise(text)
+    return with_value(
+        x, lambda v: case((f"contains({v}, ':')", clean(part(v, ":", 1))), otherwise=v)
+    )
 
 
-def first_segment(text: Column) -> Column:
+def first_segment(x: str) -> str:
     """The piece before a line break, ``<br>``, double space, dash or bar."""
-    return F.get(F.split(text, r"\r?\n|<br>|<br/>|  |—|–|\|"), 0)
+    return f"get(split({x}, {lit(BREAKS)}), 0)"
 
 
-def last_html_line(html: Column) -> Column:
+def last_html_line(html: str) -> str:
     """The piece behind the last ``<br>``."""
-    return F.try_element_at(F.split(html, r"(?i)<br\s*/?>"), F.lit(-1))
+    return f"try_element_at(split({html}, {lit(r'(?i)<br\s*/?>')}), -1)"
 
 
-def line(text: Column, n: int) -> Column:
+def line(x: str, n: int) -> str:
     """The n-th (0-based) line."""
-    return F.get(F.split(text, "\n"), n)
+    return f"get(split({x}, {lit(chr(10))}), {n})"
 
 
 # --- finds -------------------------------------------------------------------------------------
-def find_email(text: Column) -> Column:
+def find_email(x: str) -> str:
     """First email address, '' if none."""
-    return F.regexp_extract(text, EMAIL, 0)
+    return f"regexp_extract({x}, {lit(EMAIL)}, 0)"
 
 
-def find_emails(text: Column) -> Column:
+def find_emails(x: str) -> str:
     """J16 for all addresses, in order."""
-    return F.regexp_extract_all(text, F.lit(EMAIL), F.lit(0))
+    return f"regexp_extract_all({x}, {lit(EMAIL)}, 0)"
 
 
-def drop_emails(text: Column) -> Column:
+def drop_emails(x: str) -> str:
     """J17."""
-    return F.regexp_replace(text, EMAIL, "")
+    return f"regexp_replace({x}, {lit(EMAIL)}, '')"
 
 
-def handler_id(handler: Column) -> Column:
+def handler_id(handler: str) -> str:
     """Id inside an event handler string."""
-    return F.regexp_extract(handler, "id=([A-Za-z0-9]+)", 1)
+    return f"regexp_extract({handler}, 'id=([A-Za-z0-9]+)', 1)"
 
 
-def joined_address(handler: Column) -> Column:
+def joined_address(handler: str) -> str:
     """``'a' + '@' + 'b'`` -> ``a@b``; '' if the handler has another form."""
-    pattern = r"'([^']+)'\s*\+\s*'@'\s*\+\s*'([^']+)'"
-    user, host = (F.regexp_extract(handler, pattern, i) for i in (1, 2))
-    return F.when(user != "", F.concat(user, F.lit("@"), host)).otherwise(F.lit(""))
+    found = f"regexp_extract({handler}, {lit(ADDRESS_PARTS)}, 0)"
+    return f"regexp_replace({found}, {lit(ADDRESS_PARTS)}, '$1@$2')"
 
 
-def full_name(first: Column, last: Column) -> Column:
+def full_name(first: str, last: str) -> str:
     """J22."""
-    return clean(F.concat_ws(" ", first, last))
+    return clean(f"concat_ws(' ', {first}, {last})")
 
 
 # --- slugs -------------------------------------------------------------------------------------
-def slug(name: Column, joint: str = "_", strip_ends: bool = False) -> Column:
+def slug(name: str, joint: str = "_", strip_ends: bool = False) -> str:
     """Lower case, every run of other characters becomes ``joint``."""
-    out = F.regexp_replace(F.lower(name), "[^a-z0-9]+", joint)
-    return F.regexp_replace(out, f"^{joint}|{joint}$", "") if strip_ends else out
+    out = f"regexp_replace(lower({name}), '[^a-z0-9]+', {lit(joint)})"
+    return f"regexp_replace({out}, {lit(f'^{joint}|{joint}$')}, '')" if strip_ends else out
 
 
-def space_slug(name: Column) -> Column:
+def space_slug(name: str) -> str:
     """Only whitespace runs are replaced."""
-    return F.lower(F.regexp_replace(name, SPACE + "+", "_"))
+    return f"lower(regexp_replace({name}, {lit(SPACE + '+')}, '_'))"
 
 
 # --- numbers -----------------------------------------------------------------------------------
-def to_int(text: Column) -> Column:
+def to_int(x: str) -> str:
     """Leading integer, NULL if there is none."""
-    return F.regexp_extract(text, rf"^{SPACE}*([+-]?\d+)", 1).try_cast("int")
+    return f"try_cast(regexp_extract({x}, {lit(rf'^{SPACE}*([+-]?\d+)')}, 1) AS INT)"
 
 
-def is_number(text: Column) -> Column:
+def is_number(x: str) -> str:
     """D13."""
-    return F.coalesce(trim(text).rlike(r"^\d+$"), F.lit(False))
+    return true_only(f"{trim(x)} RLIKE {lit(r'^\d+$')}")
 
 
-def label_total(label: Column) -> Column:
+def label_total(label: str) -> str:
     """``... of 856 ...`` -> 856."""
-    return F.regexp_extract(label, r"(?i)of\s+(\d+)", 1).try_cast("int")
+    return f"try_cast(regexp_extract({label}, {lit(r'(?i)of\s+(\d+)')}, 1) AS INT)"
 
 
-def label_page_size(label: Column, default: int = DEFAULT_PAGE_SIZE) -> Column:
+def label_page_size(label: str, default: int = DEFAULT_PAGE_SIZE) -> str:
     """``showing 1 - 8 of ...`` -> 8."""
-    return F.coalesce(
-        F.regexp_extract(label, r"(?i)showing\s+1\s+-\s+(\d+)", 1).try_cast("int"), F.lit(default)
-    )
+    found = f"regexp_extract({label}, {lit(r'(?i)showing\s+1\s+-\s+(\d+)')}, 1)"
+    return f"coalesce(try_cast({found} AS INT), {default})"
 
 
-def ceil_div(total: Column, size: Column) -> Column:
+def ceil_div(total: str, size: str) -> str:
     """J31; a page size of 0 gives NULL instead of an error."""
-    return F.ceil(F.try_divide(total, size)).cast("int")
+    return f"CAST(ceil(try_divide({total}, {size})) AS INT)"
 
 
 # --- fallbacks and quoting ---------------------------------------------------------------------
-def first_non_blank(*choices: Column) -> Column:
+def first_non_blank(*choices: str) -> str:
     """First value that is neither NULL nor '', else ''."""
-    return F.coalesce(*[F.nullif(c, F.lit("")) for c in choices], F.lit(""))
+    return f"coalesce({', '.join(f'''nullif({c}, '')''' for c in choices)}, '')"
 
 
-def or_blank(value: Column) -> Column:
+def or_blank(x: str) -> str:
     """C4."""
-    return F.coalesce(value, F.lit(""))
+    return f"coalesce({x}, '')"
 
 
-def csv_field(value: Column) -> Column:
+def csv_field(x: str) -> str:
     """One always-quoted CSV field."""
-    quoted = F.replace(or_blank(value), F.lit('"'), F.lit('""'))
-    return F.concat(F.lit('"'), quoted, F.lit('"'))
+    doubled = '""'
+    return f"concat('\"', replace(coalesce({x}, ''), '\"', '{doubled}'), '\"')"
 
 
-def mask_email(email: Column) -> Column:
+def mask_email(x: str) -> str:
     """Hide the user part of an address before data leaves the cluster."""
-    return F.regexp_replace(email, "^[^@]+", "***")
+    return f"regexp_replace({x}, '^[^@]+', '***')"
 
 
 # --- predicates --------------------------------------------------------------------------------
-def not_blank(text: Column) -> Column:
+def not_blank(x: str) -> str:
     """Something is left after trimming."""
-    return F.coalesce(trim(text) != "", F.lit(False))
+    return true_only(f"{trim(x)} <> ''")
 
 
-def longer_than(text: Column, n: int) -> Column:
+def longer_than(x: str, n: int) -> str:
     """D5."""
-    return F.coalesce(F.length(text) > n, F.lit(False))
+    return true_only(f"length({x}) > {n}")
 
 
-def is_person_name(text: Column) -> Column:
+def is_person_name(x: str) -> str:
     """2..50 characters, holds whitespace, is not an introduction."""
-    name = trim(text)
-    intro = "|".join(_literal(p) for p in INTRO_PHRASES)
-    return F.coalesce(
-        F.length(name).between(2, 50) & name.rlike(SPACE) & ~F.lower(name).rlike(intro),
-        F.lit(False),
+    intro = "|".join(_quoted(p) for p in INTRO_PHRASES)
+    return true_only(
+        with_value(
+            trim(x),
+            lambda v: f"length({v}) BETWEEN 2 AND 50 AND {v} RLIKE {lit(SPACE)}"
+            f" AND NOT lower({v}) RLIKE {lit(intro)}",
+        )
     )
 
 
-def is_job_text(text: Column) -> Column:
+def is_job_text(x: str) -> str:
     """Short and holds a job key word."""
-    return F.coalesce(
-        (F.length(text) < 100) & text.rlike("(?i)" + "|".join(JOB_KEYWORDS)), F.lit(False)
-    )
+    return true_only(f"length({x}) < 100 AND {x} RLIKE {lit('(?i)' + '|'.join(JOB_KEYWORDS))}")
 
 
-def has_at_sign(text: Column) -> Column:
+def has_at_sign(x: str) -> str:
     """D10."""
-    return F.coalesce(F.contains(text, F.lit("@")), F.lit(False))
+    return true_only(f"contains({x}, '@')")
 
 
-def if_address(text: Column) -> Column:
+def if_address(x: str) -> str:
     """The value if it looks like an address, else ''."""
-    return F.when(has_at_sign(text), text).otherwise(F.lit(""))
+    return f"regexp_extract({x}, '(?s)^.*@.*$', 0)"
 
 
-def real_link(href: Column) -> Column:
+def real_link(href: str) -> str:
     """NULL for a missing link and for ``#``."""
-    return F.nullif(F.nullif(href, F.lit("#")), F.lit(""))
+    return f"nullif(nullif({href}, '#'), '')"

@@ -1,19 +1,18 @@
-"""Rules -> Columns: the value of a field for one card (J, C4-C7)."""
+"""Rules -> SQL text: the value of a field for one card (J, C4-C7)."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
-
 from cardloom.functions import text as tx
+from cardloom.functions.sql import filter_, lit, transform, with_value
 from cardloom.functions.steps import apply_steps
 from cardloom.operators import select as sel
 from cardloom.operators.rules import Checked, Field, Joined, Pick
 
 
-def _take(nodes: Column, html: Column | None, el: Column, take: str) -> Column:
+def _take(nodes: str, html: str | None, el: str, take: str) -> str:
     kind, _, arg = take.partition(":")
     if kind == "text":
-        return sel.text_of(nodes, el)
+        return sel.element_text(nodes, el)
     if kind == "attr":
         return sel.attribute(el, arg)
     if kind == "attr_or_text":
@@ -33,12 +32,12 @@ def _take(nodes: Column, html: Column | None, el: Column, take: str) -> Column:
     raise ValueError(f"unknown take {take!r}")
 
 
-def _scope(nodes: Column, card: Column | None, scope: str) -> Column | None:
+def _scope(nodes: str, card: str | None, scope: str) -> str | None:
     kind, _, css = scope.partition(":")
     if kind == "page":
         return None
     if kind == "card":
-        return F.array(card)
+        return f"array({card})"
     if kind == "parent":
         return sel.parent(nodes, card)
     if kind == "closest":
@@ -48,90 +47,85 @@ def _scope(nodes: Column, card: Column | None, scope: str) -> Column | None:
     raise ValueError(f"unknown scope {scope!r}")
 
 
-def holds(nodes: Column, el: Column, condition: tuple) -> Column:
+def holds(nodes: str, el: str, condition: tuple) -> str:
     """A condition of ``card_where`` / ``where`` on one element."""
     kind, *args = condition
     if kind == "has":
-        return F.size(sel.find(nodes, el, args[0])) > 0
+        return f"size({sel.find(nodes, el, args[0])}) > 0"
     if kind == "at_least":
-        return F.size(sel.find(nodes, el, args[0])) >= args[1]
+        return f"size({sel.find(nodes, el, args[0])}) >= {args[1]}"
     if kind == "text_has":
-        return F.contains(tx.clean(sel.text_of(nodes, el)), F.lit(args[0]))
+        return f"contains({tx.clean(sel.element_text(nodes, el))}, {lit(args[0])})"
     if kind == "not_blank":
-        return pick_value(nodes, None, el, Pick(args[0])) != ""
+        return f"{pick_value(nodes, None, el, Pick(args[0]))} <> ''"
     if kind == "plain_text":
-        value = tx.clean(sel.text_of(nodes, el))
-        return (
-            (value != "") & (F.length(value) < args[0]) & ~tx.has_at_sign(value)
-            & (F.size(sel.find(nodes, el, "a")) == 0)
+        text_only = with_value(
+            tx.clean(sel.element_text(nodes, el)),
+            lambda v: f"{v} <> '' AND length({v}) < {args[0]} AND NOT contains({v}, '@')",
         )
+        return f"{text_only} AND size({sel.find(nodes, el, 'a')}) = 0"
     if kind == "id_lacks":
-        return ~F.contains(tx.or_blank(el["id"]), F.lit(args[0]))
+        return f"NOT contains(coalesce({el}.id, ''), {lit(args[0])})"
     raise ValueError(f"unknown condition {condition!r}")
 
 
-def matches(nodes: Column, card: Column | None, pick: Pick) -> Column:
+def matches(nodes: str, card: str | None, pick: Pick) -> str:
     """The elements a pick refers to, in document order."""
 
-    def below(roots: Column | None, css: str) -> Column:
+    def below(roots: str | None, css: str) -> str:
         if roots is None:
             return sel.find(nodes, None, css)
-        return F.flatten(F.transform(roots, lambda el: sel.find(nodes, el, css)))
+        return f"flatten({transform(roots, lambda el: sel.find(nodes, el, css))})"
 
     if pick.scope == "card" and pick.css and not pick.inside:
         found = sel.find(nodes, card, pick.css)
     else:
         found = _scope(nodes, card, pick.scope)
         for css, n in pick.inside:
-            found = F.slice(below(found, css), n + 1, 1)
+            found = f"slice({below(found, css)}, {n + 1}, 1)"
         if pick.css:
             found = below(found, pick.css)
     for condition in pick.where:
-        found = F.filter(found, lambda el, condition=condition: holds(nodes, el, condition))
+        found = filter_(found, lambda el: holds(nodes, el, condition))
     if pick.which == "first":
-        return F.slice(found, 1, 1)
+        return f"slice({found}, 1, 1)"
     if isinstance(pick.which, int):
-        return F.slice(found, pick.which + 1, 1)
+        return f"slice({found}, {pick.which + 1}, 1)"
     return found
 
 
-def pick_value(nodes: Column, html: Column | None, card: Column | None, pick: Pick) -> Column:
-    texts = F.transform(
-        matches(nodes, card, pick), lambda el: _take(nodes, html, el, pick.take)
-    )
+def pick_value(nodes: str, html: str | None, card: str | None, pick: Pick) -> str:
+    if pick.take.startswith("attr:"):  # of the first match, whatever ``which`` says
+        el = f"get({matches(nodes, card, pick)}, 0)"
+        value = sel.attribute(el, pick.take.partition(":")[2])
+        return tx.or_blank(apply_steps(tx.or_blank(value), pick.steps))
+    if pick.css is None and pick.scope == "card" and not pick.where:
+        return tx.or_blank(apply_steps(tx.or_blank(_take(nodes, html, card, pick.take)), pick.steps))
+    texts = transform(matches(nodes, card, pick), lambda el: _take(nodes, html, el, pick.take))
     if pick.which == "first_text":
-        value = F.get(F.filter(texts, tx.not_blank), 0)
+        value = f"get({filter_(texts, tx.not_blank)}, 0)"
     elif pick.which == "first_value":
-        value = F.get(F.filter(texts, lambda t: t.isNotNull()), 0)
+        value = f"get({filter_(texts, lambda t: f'{t} IS NOT NULL')}, 0)"
     elif pick.which == "first_other":
-        cleaned = F.transform(texts, tx.clean)
-        # bound once, then compared with its own first entry
-        value = F.get(
-            F.flatten(
-                F.transform(
-                    F.array(cleaned),
-                    lambda ts: F.filter(ts, lambda t: t != F.get(ts, 0)),
-                )
-            ),
-            0,
+        value = with_value(
+            transform(texts, tx.clean),
+            lambda ts: f"get({filter_(ts, lambda t: f'{t} <> get({ts}, 0)')}, 0)",
         )
-    elif pick.which == "all" and not pick.take.startswith("attr"):
-        value = F.array_join(texts, "")
+    elif pick.which == "all":
+        value = f"array_join({texts}, '')"
     else:
-        value = F.get(texts, 0)
+        value = f"get({texts}, 0)"
     return tx.or_blank(apply_steps(tx.or_blank(value), pick.steps))
 
 
-def field_value(nodes: Column, html: Column | None, card: Column | None, rule: Field | None) -> Column:
-    if not rule:
-        return F.lit("")
+def field_value(nodes: str, html: str | None, card: str | None, rule: Field | None) -> str:
     values = []
-    for p in rule:
+    for p in rule or ("",):
         if isinstance(p, str):
-            values.append(F.lit(p))
+            values.append(lit(p))
         elif isinstance(p, Joined):
-            parts = [pick_value(nodes, html, card, q) for q in p.parts]
-            values.append(tx.or_blank(apply_steps(F.concat_ws(" ", *parts), p.steps)))
+            parts = ", ".join(pick_value(nodes, html, card, q) for q in p.parts)
+            values.append(tx.or_blank(apply_steps(f"concat_ws(' ', {parts})", p.steps)))
         elif isinstance(p, Checked):
             chosen = tx.first_non_blank(*[pick_value(nodes, html, card, q) for q in p.choices])
             values.append(tx.or_blank(apply_steps(chosen, p.steps)))

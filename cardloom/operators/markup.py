@@ -2,7 +2,7 @@
 
 ``parse_pages`` adds one column, ``nodes``: the page's elements and text runs in document
 order (preorder).  Because the order is preorder, the subtree of a node is the contiguous slice
-``nodes[pos + 1 .. end]``.  Every selector, pick and pairing downstream is therefore a
+``nodes[pos + 1 .. stop]``.  Every selector, pick and pairing downstream is therefore a
 higher-order function over one row: no join on ``page_id``, no shuffle, and a page with many
 cards costs time proportional to its size instead of cards x nodes.
 
@@ -17,12 +17,12 @@ from collections.abc import Iterator
 from html import unescape
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 
 NODE_TYPE = T.StructType(
     [
         T.StructField("pos", T.IntegerType()),  # preorder position, 0-based
-        T.StructField("end", T.IntegerType()),  # last position inside the subtree
+        T.StructField("stop", T.IntegerType()),  # last position inside the subtree
         T.StructField("parent", T.IntegerType()),  # -1 for roots
         T.StructField("depth", T.IntegerType()),
         T.StructField("sib", T.IntegerType()),  # ordinal among all child nodes, 0-based
@@ -33,7 +33,7 @@ NODE_TYPE = T.StructType(
         T.StructField("id", T.StringType()),
         T.StructField("classes", T.ArrayType(T.StringType())),
         T.StructField("attrs", T.MapType(T.StringType(), T.StringType())),
-        T.StructField("text", T.StringType()),
+        T.StructField("text", T.StringType()),  # text and raw nodes only
         T.StructField("ancestors", T.ArrayType(T.IntegerType())),  # root first
         T.StructField("outer_start", T.IntegerType()),
         T.StructField("inner_start", T.IntegerType()),
@@ -72,7 +72,7 @@ _IMPLIED_END = {
 
 # A quote opens a value only after "="; possessive groups keep the scan linear on broken markup.
 _TOKEN = re.compile(
-    r"<(?:!--(?P<comment>.*?)(?:-->|\Z)"
+    r"<(?:!--(?P<comment>).*?(?:-->|\Z)"
     r"|(?P<decl>[!?][^>]*>)"
     r"|/(?P<close>[a-zA-Z][^\s/>]*+)[^>]*>"
     r"|(?P<open>[a-zA-Z][^\s/>]*+)(?P<attrs>(?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+'|))*+)>)",
@@ -89,7 +89,7 @@ class _Nodes:
     """Columns of the node arrays of one Arrow batch, filled page by page."""
 
     INT_COLUMNS = (
-        "pos end parent depth sib type_ord next_el outer_start inner_start inner_end outer_end"
+        "pos stop parent depth sib type_ord next_el outer_start inner_start inner_end outer_end"
     ).split()
 
     def __init__(self) -> None:
@@ -111,7 +111,7 @@ class _Nodes:
     def _walk(self, html: str) -> None:
         base = self.page_offsets[-1]
         ints, kinds, tags = self.ints, self.kind, self.tag
-        poss, ends, parents, depths = ints["pos"], ints["end"], ints["parent"], ints["depth"]
+        poss, ends, parents, depths = ints["pos"], ints["stop"], ints["parent"], ints["depth"]
         sibs, type_ords, next_els = ints["sib"], ints["type_ord"], ints["next_el"]
         starts, in_starts = ints["outer_start"], ints["inner_start"]
         in_ends, out_ends = ints["inner_end"], ints["outer_end"]
@@ -205,7 +205,7 @@ class _Nodes:
             cursor = hit.end()
             group = hit.lastgroup
             if group == "comment":
-                add("comment", None, None, None, None, hit["comment"], stop, cursor)
+                add("comment", None, None, None, None, None, stop, cursor)
             elif group == "close":
                 tag = hit["close"].lower()
                 table_part = tag in _TABLE_PARTS
@@ -315,7 +315,3 @@ def parse_pages(pages: DataFrame, html_col: str = "html", keep_html: bool = Fals
 def explode_nodes(parsed: DataFrame, *keys: str) -> DataFrame:
     """Row form of ``nodes``: one row per element or text run, for counting and row-wise work."""
     return parsed.select(*keys, F.inline("nodes"))
-
-
-def nodes_column() -> Column:
-    return F.col("nodes")

@@ -1,6 +1,6 @@
 """Element selection over a page's ``nodes`` array.
 
-A selector string becomes a Column predicate on one node, so selection is ``filter`` over the
+A selector string becomes a predicate on one node (SQL text), so selection is ``filter`` over the
 array.  Relations between elements use the preorder numbering: the subtree of an element is an
 array slice, its ancestors are listed in the node, its next sibling is a stored position.
 """
@@ -11,7 +11,7 @@ import re
 from collections.abc import Callable
 from functools import lru_cache
 
-from pyspark.sql import Column, functions as F
+from cardloom.functions.sql import exists, filter_, lit, one_of, transform, true_only
 
 _SIMPLE = re.compile(
     r"(?P<tag>\*|[a-zA-Z][\w-]*)"
@@ -65,149 +65,129 @@ def _condition(m: re.Match) -> tuple:
     return (m["pseudo"], m["arg"].strip())
 
 
-def _holds(node: Column, nodes: Column, condition: tuple) -> Column:
+def _holds(node: str, nodes: str, condition: tuple) -> str:
     kind, *args = condition
     if kind == "tag":
-        return node["kind"] == "el" if args[0] == "*" else node["tag"] == args[0]
+        return f"{node}.kind = 'el'" if args[0] == "*" else f"{node}.tag = {lit(args[0])}"
     if kind == "class":
-        return F.array_contains(node["classes"], args[0])
+        return f"array_contains({node}.classes, {lit(args[0])})"
     if kind == "id":
-        return node["id"] == args[0]
+        return f"{node}.id = {lit(args[0])}"
     if kind == "attr":
         name, op, wanted = args
-        value = node["attrs"][name]
+        value = f"{node}.attrs[{lit(name)}]"
         if op is None:
-            return value.isNotNull()
+            return f"{value} IS NOT NULL"
         if op == "=":
-            return value == wanted
-        return (F.startswith if op == "^=" else F.contains)(value, F.lit(wanted))
+            return f"{value} = {lit(wanted)}"
+        return f"{'startswith' if op == '^=' else 'contains'}({value}, {lit(wanted)})"
     if kind == "nth-of-type":
-        return node["type_ord"] == int(args[0])
+        return f"{node}.type_ord = {int(args[0])}"
     inner = matcher(args[0])
     if kind == "not":
-        return ~F.coalesce(inner(node, nodes), F.lit(False))
-    return F.exists(subtree(nodes, node), lambda below: F.coalesce(inner(below, nodes), F.lit(False)))
+        return f"NOT {true_only(inner(node, nodes))}"
+    return exists(subtree(nodes, node), lambda below: true_only(inner(below, nodes)))
 
 
-def _chain_holds(node: Column, nodes: Column, chain: tuple) -> Column:
+def _chain_holds(node: str, nodes: str, chain: tuple) -> str:
     link, conditions = chain[-1]
-    test = None
-    for condition in conditions:
-        holds = _holds(node, nodes, condition)
-        test = holds if test is None else test & holds
+    tests = [_holds(node, nodes, c) for c in conditions]
     left = chain[:-1]
-    if not left:
-        return test
-    if link == ">":
-        up = F.slice(node["ancestors"], -1, 1)
-    else:
-        up = node["ancestors"]
-    above = F.exists(
-        up,
-        lambda pos: F.coalesce(_chain_holds(F.get(nodes, pos), nodes, left), F.lit(False)),
-    )
-    return test & F.coalesce(above, F.lit(False))
+    if left:
+        up = f"slice({node}.ancestors, -1, 1)" if link == ">" else f"{node}.ancestors"
+        tests.append(true_only(exists(up, lambda pos: _chain_holds(f"get({nodes}, {pos})", nodes, left))))
+    return " AND ".join(tests)
 
 
-def matcher(css: str) -> Callable[[Column, Column], Column]:
+def matcher(css: str) -> Callable[[str, str], str]:
     """Predicate ``(node, nodes) -> boolean`` for a selector (list)."""
     chains = _selector(css)
 
-    def test(node: Column, nodes: Column) -> Column:
-        any_of = None
-        for chain in chains:
-            holds = _chain_holds(node, nodes, chain)
-            any_of = holds if any_of is None else any_of | holds
-        return any_of
+    def test(node: str, nodes: str) -> str:
+        return "(" + " OR ".join(f"({_chain_holds(node, nodes, c)})" for c in chains) + ")"
 
     return test
 
 
-# --- moves between elements ------------------------------------------------------------------
-def subtree(nodes: Column, el: Column) -> Column:
+# --- moves between elements ----------------------------------------------------------------------
+def subtree(nodes: str, el: str) -> str:
     """All nodes below ``el``: a slice, because the array is in preorder."""
-    return F.slice(nodes, el["pos"] + 2, el["end"] - el["pos"])
+    return f"slice({nodes}, {el}.pos + 2, {el}.stop - {el}.pos)"
 
 
-def find(nodes: Column, el: Column | None, css: str) -> Column:
+def find(nodes: str, el: str | None, css: str) -> str:
     """Matches below ``el`` (the whole page if None), in document order."""
     test = matcher(css)
-    return F.filter(nodes if el is None else subtree(nodes, el), lambda n: test(n, nodes))
+    return filter_(nodes if el is None else subtree(nodes, el), lambda n: test(n, nodes))
 
 
-def children(nodes: Column, el: Column) -> Column:
+def children(nodes: str, el: str) -> str:
     """Child nodes, text runs included."""
-    return F.filter(subtree(nodes, el), lambda n: n["parent"] == el["pos"])
+    return filter_(subtree(nodes, el), lambda n: f"{n}.parent = {el}.pos")
 
 
-def parent(nodes: Column, el: Column) -> Column:
+def parent(nodes: str, el: str) -> str:
     """B26, as an array of at most one element."""
-    return F.filter(F.array(F.get(nodes, el["parent"])), lambda n: n.isNotNull())
+    return filter_(f"array(get({nodes}, {el}.parent))", lambda n: f"{n} IS NOT NULL")
 
 
-def closest(nodes: Column, el: Column, css: str) -> Column:
+def closest(nodes: str, el: str, css: str) -> str:
     """The nearest enclosing match, as an array of at most one element."""
     test = matcher(css)
-    above = F.transform(F.reverse(el["ancestors"]), lambda pos: F.get(nodes, pos))
-    return F.slice(F.filter(above, lambda n: test(n, nodes)), 1, 1)
+    above = transform(f"reverse({el}.ancestors)", lambda pos: f"get({nodes}, {pos})")
+    return f"slice({filter_(above, lambda n: test(n, nodes))}, 1, 1)"
 
 
-def next_sibling(nodes: Column, el: Column, css: str) -> Column:
+def next_sibling(nodes: str, el: str, css: str) -> str:
     """The following element sibling if it matches, as an array of at most one element."""
     test = matcher(css)
-    return F.filter(
-        F.array(F.get(nodes, el["next_el"])),
-        lambda n: n.isNotNull() & F.coalesce(test(n, nodes), F.lit(False)),
+    return filter_(
+        f"array(get({nodes}, {el}.next_el))", lambda n: f"{n} IS NOT NULL AND {test(n, nodes)}"
     )
 
 
-def next_node(nodes: Column, el: Column) -> Column:
+def next_node(nodes: str, el: str) -> str:
     """The node right behind ``el``'s subtree if it is a sibling, else NULL."""
-    return F.get(
-        F.filter(F.array(F.get(nodes, el["end"] + 1)), lambda n: n["parent"] == el["parent"]), 0
+    behind = filter_(
+        f"array(get({nodes}, {el}.stop + 1))", lambda n: f"{n}.parent = {el}.parent"
     )
+    return f"get({behind}, 0)"
 
 
-# --- what to read from an element ---------------------------------------------------------------
-def _joined(runs: Column) -> Column:
-    return F.array_join(F.transform(runs, lambda t: t["text"]), "")
-
+# --- what to read from an element ------------------------------------------------------------------
+def text_of(nodes: str, el: str) -> str:
+    """All text at and below a node. Only text runs have ``text``, and joining skips NULLs."""
+    return f"concat(coalesce({el}.text, ''), array_join({subtree(nodes, el)}.text, ''))"
 
-def _is_text(node: Column) -> Column:
-    return node["kind"].isin("text", "raw")
 
-
-def text_of(nodes: Column, el: Column) -> Column:
-    """All text below the element."""
-    return F.when(el["kind"] == "el", _joined(F.filter(subtree(nodes, el), _is_text))).otherwise(
-        F.when(el["kind"] == "text", el["text"]).otherwise("")
-    )
+def element_text(nodes: str, el: str) -> str:
+    """``text_of`` for a node known to be an element."""
+    return f"array_join({subtree(nodes, el)}.text, '')"
 
 
-def own_text(nodes: Column, el: Column) -> Column:
+def own_text(nodes: str, el: str) -> str:
     """Text runs directly in the element."""
-    return _joined(F.filter(children(nodes, el), _is_text))
+    return f"array_join({children(nodes, el)}.text, '')"
 
 
-def text_without(nodes: Column, el: Column, css: str) -> Column:
+def text_without(nodes: str, el: str, css: str) -> str:
     """Text below the element, leaving out sub-elements that match."""
     test = matcher(css)
-    return _joined(
-        F.filter(
-            subtree(nodes, el),
-            lambda t: _is_text(t)
-            & ~F.exists(
-                t["ancestors"],
-                lambda pos: (pos > el["pos"])
-                & F.coalesce(test(F.get(nodes, pos), nodes), F.lit(False)),
-            ),
+
+    def outside(t: str) -> str:
+        inside = exists(
+            f"{t}.ancestors",
+            lambda pos: f"{pos} > {el}.pos AND {true_only(test(f'get({nodes}, {pos})', nodes))}",
         )
-    )
+        return f"{t}.text IS NOT NULL AND NOT {inside}"
+
+    return f"array_join({filter_(subtree(nodes, el), outside)}.text, '')"
 
 
-def first_node_text(nodes: Column, el: Column) -> Column:
-    """Text of the first child node."""
-    return F.get(F.transform(F.slice(children(nodes, el), 1, 1), lambda n: text_of(nodes, n)), 0)
+def first_node_text(nodes: str, el: str) -> str:
+    """Text of the first child node, NULL without children."""
+    first = f"slice({children(nodes, el)}, 1, 1)"
+    return f"get({transform(first, lambda n: text_of(nodes, n))}, 0)"
 
 
 # Fixed value: elements that break a line of rendered text.
@@ -216,34 +196,30 @@ _LINE_BREAKS = (
 ).split()
 
 
-def visible_text(nodes: Column, el: Column) -> Column:
+def visible_text(nodes: str, el: str) -> str:
     """Text without scripts and styles; line-breaking elements count as a space."""
-    return F.array_join(
-        F.transform(
-            F.filter(
-                subtree(nodes, el), lambda n: (n["kind"] == "text") | n["tag"].isin(_LINE_BREAKS)
-            ),
-            lambda n: F.when(n["kind"] == "text", n["text"]).otherwise(" "),
-        ),
-        "",
+    runs = filter_(
+        subtree(nodes, el), lambda n: f"{n}.kind = 'text' OR {one_of(f'{n}.tag', _LINE_BREAKS)}"
     )
+    texts = transform(runs, lambda n: f"if({n}.kind = 'text', {n}.text, ' ')")
+    return f"array_join({texts}, '')"
 
 
-def attribute(el: Column, name: str) -> Column:
+def attribute(el: str, name: str) -> str:
     """B22."""
-    return el["attrs"][name]
+    return f"{el}.attrs[{lit(name)}]"
 
 
-def inner_html(html: Column, el: Column) -> Column:
+def inner_html(html: str, el: str) -> str:
     """B23."""
-    return F.substring(html, el["inner_start"] + 1, el["inner_end"] - el["inner_start"])
+    return f"substring({html}, {el}.inner_start + 1, {el}.inner_end - {el}.inner_start)"
 
 
-def outer_html(html: Column, el: Column) -> Column:
+def outer_html(html: str, el: str) -> str:
     """B24."""
-    return F.substring(html, el["outer_start"] + 1, el["outer_end"] - el["outer_start"])
+    return f"substring({html}, {el}.outer_start + 1, {el}.outer_end - {el}.outer_start)"
 
 
-def has_class(el: Column, name: str) -> Column:
+def has_class(el: str, name: str) -> str:
     """B28."""
-    return F.coalesce(F.array_contains(el["classes"], name), F.lit(False))
+    return true_only(f"array_contains({el}.classes, {lit(name)})")

@@ -1,280 +1,222 @@
-"""Page -> array of records, one function per way of laying out people on a page."""
+"""Page -> array of records, one function per way of laying out people on a page
+(B27, B30, E5, E7, H1-H3, G2), as SQL text over the page's ``nodes``."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
-
 from cardloom.functions import text as tx
-from cardloom.operators import select as sel
+from cardloom.functions.sql import aggregate, case, filter_, filter_at, struct, transform, with_value
 from cardloom.functions.steps import apply_steps
+from cardloom.operators import select as sel
 from cardloom.operators.fields import field_value, holds, needs_html
 from cardloom.operators.rules import RECORD_FIELDS, RECORD_TYPE, Profile
 
 MAIL_LINK = "a[href^='mailto:']"
-_EMPTY = RECORD_TYPE.simpleString()
-
-
-def record(card_ord: Column, **values: Column) -> Column:
-    return F.struct(
-        card_ord.cast("int").alias("card_ord"),
-        *[values.get(f, F.lit("")).alias(f) for f in RECORD_FIELDS],
-    )
+NO_RECORDS = f"CAST(array() AS ARRAY<{RECORD_TYPE.simpleString()}>)"
 
 
-def no_records() -> Column:
-    return F.array().cast(f"array<{_EMPTY}>")
+def record(card_ord: str, **values: str) -> str:
+    return struct(card_ord=card_ord, **{f: values.get(f, "''") for f in RECORD_FIELDS})
 
 
-def kept(rec: Column, rule: tuple) -> Column | None:
-    """Which records stay; None keeps all."""
-    if not rule:
-        return None
+def kept(rec: str, rule: tuple) -> str:
+    """Which records stay."""
     kind, *args = rule
     if kind in ("all_of", "any_of"):
-        test = rec[args[0]] != ""
-        for name in args[1:]:
-            test = (test & (rec[name] != "")) if kind == "all_of" else (test | (rec[name] != ""))
-        return test
+        return (" AND " if kind == "all_of" else " OR ").join(f"{rec}.{f} <> ''" for f in args)
     if kind == "person":
-        return tx.is_person_name(rec[args[0]])
+        return tx.is_person_name(f"{rec}.{args[0]}")
     if kind == "longer":
-        return tx.longer_than(rec[args[0]], args[1])
+        return tx.longer_than(f"{rec}.{args[0]}", args[1])
     raise ValueError(f"unknown keep rule {rule!r}")
 
 
-def first_of_each(records: Column, *keys: str) -> Column:
+def first_of_each(records: str, *keys: str) -> str:
     """G2 within a page: keep the first record per key.
 
     Sorted by key and position, a record is a first one if its predecessor has another key; that
     is n log n per page instead of comparing all pairs.
     """
-    by_key = F.array_sort(
-        F.transform(
-            records,
-            lambda r: F.struct(*[r[k].alias(f"k{i}") for i, k in enumerate(keys)],
-                               r["card_ord"].alias("ord"), r.alias("rec")),
-        )
-    )
-    # a second lambda over the same sorted array needs it bound once
-    return F.flatten(
-        F.transform(
-            F.array(by_key),
-            lambda rows: F.transform(
-                F.filter(
-                    rows,
-                    lambda r, i: (i == 0)
-                    | ~_same_keys(r, F.get(rows, i - 1), len(keys)),
-                ),
-                lambda r: r["rec"],
-            ),
-        )
+    keyed = transform(
+        records,
+        lambda r: struct(**{k: f"{r}.{k}" for k in keys}, card_ord=f"{r}.card_ord", rec=r),
     )
 
+    def is_first(rows: str, r: str, i: str) -> str:
+        same = " AND ".join(f"{r}.{k} = get({rows}, {i} - 1).{k}" for k in keys)
+        return f"{i} = 0 OR NOT ({same})"
 
-def _same_keys(a: Column, b: Column, n: int) -> Column:
-    same = a["k0"] == b["k0"]
-    for i in range(1, n):
-        same = same & (a[f"k{i}"] == b[f"k{i}"])
-    return F.coalesce(same, F.lit(False))
+    firsts = with_value(
+        f"array_sort({keyed})", lambda rows: filter_at(rows, lambda r, i: is_first(rows, r, i))
+    )
+    return transform(firsts, lambda r: f"{r}.rec")
 
 
-# --- shapes ----------------------------------------------------------------------------------
-def _cards_below(p: Profile, nodes: Column, html: Column | None, root: Column | None,
-                 shared: dict[str, Column]) -> Column:
+# --- shapes --------------------------------------------------------------------------------------
+def _cards_below(p: Profile, nodes: str, html: str | None, root: str | None, shared: dict[str, str]) -> str:
     found = sel.find(nodes, root, p.card)
     for condition in p.card_where:
-        found = F.filter(found, lambda c, condition=condition: holds(nodes, c, condition))
-    return F.transform(
+        found = filter_(found, lambda c: holds(nodes, c, condition))
+    return transform(
         found,
         lambda c: record(
-            c["pos"],
+            f"{c}.pos",
             **{f: field_value(nodes, html, c, rule) for f, rule in p.fields.items()},
             **shared,
         ),
     )
 
 
-def cards(p: Profile, nodes: Column, html: Column | None) -> Column:
+def cards(p: Profile, nodes: str, html: str | None) -> str:
     """B30; with a group (B27) the group's fields are read once and repeated on its cards."""
     if not p.group:
         return _cards_below(p, nodes, html, None, {})
-    groups = F.transform(
+    groups = transform(
         sel.find(nodes, None, p.group),
-        lambda g: F.struct(
-            g.alias("el"),
-            *[field_value(nodes, html, g, rule).alias(f) for f, rule in p.group_fields.items()],
+        lambda g: struct(
+            el=g, **{f: field_value(nodes, html, g, rule) for f, rule in p.group_fields.items()}
         ),
     )
-    return F.flatten(
-        F.transform(
-            groups,
-            lambda g: _cards_below(p, nodes, html, g["el"], {f: g[f] for f in p.group_fields}),
-        )
+    rows = transform(
+        groups,
+        lambda g: _cards_below(p, nodes, html, f"{g}.el", {f: f"{g}.{f}" for f in p.group_fields}),
     )
+    return f"flatten({rows})"
 
 
-def zipped(p: Profile, nodes: Column, html: Column | None) -> Column:
+def zipped(p: Profile, nodes: str, html: str | None) -> str:
     """E5: two element lists paired by position, cut to the shorter."""
 
-    def listed(css: str) -> Column:
-        return F.transform(
+    def listed(css: str) -> str:
+        return transform(
             sel.find(nodes, None, css),
-            lambda el: F.struct(
-                el["pos"].alias("pos"), tx.clean(sel.text_of(nodes, el)).alias("text")
-            ),
+            lambda el: struct(pos=f"{el}.pos", text=tx.clean(sel.element_text(nodes, el))),
         )
 
-    both = F.arrays_zip(
-        listed(p.blocks["name"]).alias("name"), listed(p.blocks["title"]).alias("title")
-    )
-    full = F.filter(both, lambda z: z["name"].isNotNull() & z["title"].isNotNull())
-    return F.transform(
-        full, lambda z: record(z["name"]["pos"], name=z["name"]["text"], job_title=z["title"]["text"])
+    pairs = f"arrays_zip({listed(p.blocks['name'])}, {listed(p.blocks['title'])})"
+    full = filter_(pairs, lambda z: f"{z}.`0` IS NOT NULL AND {z}.`1` IS NOT NULL")
+    return transform(
+        full, lambda z: record(f"{z}.`0`.pos", name=f"{z}.`0`.text", job_title=f"{z}.`1`.text")
     )
 
 
-def _first_text(nodes: Column, el: Column, css: str) -> Column:
+def _first_text(nodes: str, el: str, css: str) -> str:
     """Cleaned text of the first match, NULL if nothing matches."""
-    return F.get(
-        F.transform(
-            F.slice(sel.find(nodes, el, css), 1, 1), lambda m: tx.clean(sel.text_of(nodes, m))
-        ),
-        0,
-    )
+    first = f"slice({sel.find(nodes, el, css)}, 1, 1)"
+    return f"get({transform(first, lambda m: tx.clean(sel.element_text(nodes, m)))}, 0)"
 
 
-def _mail_address(nodes: Column, el: Column) -> Column:
+def _mail_address(nodes: str, el: str, finish) -> str:
     """Address of the first mail link, NULL if there is none."""
-    return F.get(
-        F.transform(
-            F.slice(sel.find(nodes, el, MAIL_LINK), 1, 1),
-            lambda a: tx.clean(tx.strip_mailto(sel.attribute(a, "href"))),
-        ),
-        0,
-    )
+    first = f"slice({sel.find(nodes, el, MAIL_LINK)}, 1, 1)"
+    address = transform(first, lambda a: finish(tx.strip_mailto(sel.attribute(a, "href"))))
+    return f"get({address}, 0)"
 
 
-def _state(out: Column, **slots: Column) -> Column:
-    return F.struct(*[v.alias(k) for k, v in slots.items()], out.alias("out"))
+def _state(out: str, **slots: str) -> str:
+    return struct(**slots, out=out)
 
 
-def heading_text(p: Profile, nodes: Column, html: Column | None) -> Column:
+def heading_text(p: Profile, nodes: str, html: str | None) -> str:
     """H1: a heading block sets the name, the first paragraph block behind it emits and clears."""
-    blocks = F.transform(
+    blocks = transform(
         sel.find(nodes, None, p.card),
-        lambda b: F.struct(
-            b["pos"].alias("pos"),
-            _first_text(nodes, b, p.blocks["heading"]).alias("heading"),
-            _first_text(nodes, b, p.blocks["text"]).alias("text"),
+        lambda b: struct(
+            pos=f"{b}.pos",
+            heading=_first_text(nodes, b, p.blocks["heading"]),
+            text=_first_text(nodes, b, p.blocks["text"]),
         ),
     )
 
-    def step(acc: Column, b: Column) -> Column:
-        emitted = F.array_append(
-            acc["out"], record(b["pos"], name=acc["name"], job_title=b["text"])
-        )
-        return (
-            F.when(b["heading"].isNotNull(), _state(acc["out"], name=b["heading"]))
-            .when((acc["name"] != "") & b["text"].isNotNull(), _state(emitted, name=F.lit("")))
-            .otherwise(acc)
+    def step(acc: str, b: str) -> str:
+        emitted = f"array_append({acc}.out, {record(f'{b}.pos', name=f'{acc}.name', job_title=f'{b}.text')})"
+        return case(
+            (f"{b}.heading IS NOT NULL", _state(f"{acc}.out", name=f"{b}.heading")),
+            (f"{acc}.name <> '' AND {b}.text IS NOT NULL", _state(emitted, name="''")),
+            otherwise=acc,
         )
 
-    return F.aggregate(blocks, _state(no_records(), name=F.lit("")), step, lambda acc: acc["out"])
+    return aggregate(blocks, _state(NO_RECORDS, name="''"), step, lambda acc: f"{acc}.out")
 
 
-def heading_list(p: Profile, nodes: Column, html: Column | None) -> Column:
+def heading_list(p: Profile, nodes: str, html: str | None) -> str:
     """H2: first and second non-blank heading are name and title; a list block emits and resets."""
-    blocks = F.transform(
+    blocks = transform(
         sel.find(nodes, None, f"{p.blocks['heading_block']}, {p.blocks['list_block']}"),
-        lambda b: F.struct(
-            b["pos"].alias("pos"),
-            F.coalesce(sel.matcher(p.blocks["heading_block"])(b, nodes), F.lit(False)).alias("is_heading"),
-            F.coalesce(sel.matcher(p.blocks["list_block"])(b, nodes), F.lit(False)).alias("is_list"),
-            _first_text(nodes, b, p.blocks["heading"]).alias("heading"),
-            _mail_address(nodes, b).alias("email"),
+        lambda b: struct(
+            pos=f"{b}.pos",
+            is_heading=f"coalesce({sel.matcher(p.blocks['heading_block'])(b, nodes)}, false)",
+            is_list=f"coalesce({sel.matcher(p.blocks['list_block'])(b, nodes)}, false)",
+            heading=_first_text(nodes, b, p.blocks["heading"]),
+            email=_mail_address(nodes, b, tx.clean),
         ),
     )
 
-    def step(acc: Column, b: Column) -> Column:
-        blank = F.lit("")
-        emitted = F.array_append(
-            acc["out"],
-            record(b["pos"], name=acc["name"], job_title=acc["title"], email=b["email"]),
-        )
-        complete = b["email"].isNotNull() & (acc["name"] != "") & (acc["title"] != "")
-        return (
-            F.when(b["is_heading"] & b["heading"].isNull(), acc)
-            .when(b["is_heading"] & (acc["name"] == ""),
-                  _state(acc["out"], name=b["heading"], title=acc["title"]))
-            .when(b["is_heading"] & (acc["title"] == ""),
-                  _state(acc["out"], name=acc["name"], title=b["heading"]))
-            .when(b["is_list"] & complete, _state(emitted, name=blank, title=blank))
-            .when(b["is_list"], _state(acc["out"], name=blank, title=blank))
-            .otherwise(acc)
+    def step(acc: str, b: str) -> str:
+        rec = record(f"{b}.pos", name=f"{acc}.name", job_title=f"{acc}.title", email=f"{b}.email")
+        complete = f"{b}.is_list AND {b}.email IS NOT NULL AND {acc}.name <> '' AND {acc}.title <> ''"
+        return case(
+            (f"{b}.is_heading AND {b}.heading IS NULL", acc),
+            (f"{b}.is_heading AND {acc}.name = ''",
+             _state(f"{acc}.out", name=f"{b}.heading", title=f"{acc}.title")),
+            (f"{b}.is_heading AND {acc}.title = ''",
+             _state(f"{acc}.out", name=f"{acc}.name", title=f"{b}.heading")),
+            (complete, _state(f"array_append({acc}.out, {rec})", name="''", title="''")),
+            (f"{b}.is_list", _state(f"{acc}.out", name="''", title="''")),
+            otherwise=acc,
         )
 
-    start = _state(no_records(), name=F.lit(""), title=F.lit(""))
-    return F.aggregate(blocks, start, step, lambda acc: acc["out"])
+    start = _state(NO_RECORDS, name="''", title="''")
+    return aggregate(blocks, start, step, lambda acc: f"{acc}.out")
 
 
-def slots(p: Profile, nodes: Column, html: Column | None) -> Column:
+def slots(p: Profile, nodes: str, html: str | None) -> str:
     """H3: bold block -> name, mail block -> email, later job text -> title and emit; the slots
     clear only when a record is emitted."""
-    blocks = F.transform(
+    blocks = transform(
         sel.find(nodes, None, p.card),
-        lambda b: F.struct(
-            b["pos"].alias("pos"),
-            tx.clean(sel.text_of(nodes, b)).alias("text"),
-            (F.size(sel.find(nodes, b, p.blocks["bold"])) > 0).alias("is_bold"),
-            F.get(
-                F.transform(
-                    F.slice(sel.find(nodes, b, MAIL_LINK), 1, 1),
-                    lambda a: tx.trim(tx.strip_mailto(sel.attribute(a, "href"))),
-                ),
-                0,
-            ).alias("email"),
+        lambda b: struct(
+            pos=f"{b}.pos",
+            text=tx.clean(sel.element_text(nodes, b)),
+            is_bold=f"size({sel.find(nodes, b, p.blocks['bold'])}) > 0",
+            email=_mail_address(nodes, b, tx.trim),
         ),
     )
 
-    def step(acc: Column, b: Column) -> Column:
-        emitted = F.array_append(
-            acc["out"],
-            record(b["pos"], name=acc["name"], job_title=b["text"], email=acc["email"]),
-        )
-        ready = (acc["name"] != "") & (acc["email"] != "") & tx.is_job_text(b["text"])
-        return (
-            F.when(b["is_bold"], _state(acc["out"], name=b["text"], email=acc["email"]))
-            .when(b["email"].isNotNull(), _state(acc["out"], name=acc["name"], email=b["email"]))
-            .when(ready, _state(emitted, name=F.lit(""), email=F.lit("")))
-            .otherwise(acc)
+    def step(acc: str, b: str) -> str:
+        rec = record(f"{b}.pos", name=f"{acc}.name", job_title=f"{b}.text", email=f"{acc}.email")
+        ready = f"{acc}.name <> '' AND {acc}.email <> '' AND {tx.is_job_text(f'{b}.text')}"
+        return case(
+            (f"{b}.is_bold", _state(f"{acc}.out", name=f"{b}.text", email=f"{acc}.email")),
+            (f"{b}.email IS NOT NULL", _state(f"{acc}.out", name=f"{acc}.name", email=f"{b}.email")),
+            (ready, _state(f"array_append({acc}.out, {rec})", name="''", email="''")),
+            otherwise=acc,
         )
 
-    start = _state(no_records(), name=F.lit(""), email=F.lit(""))
-    return F.aggregate(blocks, start, step, lambda acc: acc["out"])
+    start = _state(NO_RECORDS, name="''", email="''")
+    return aggregate(blocks, start, step, lambda acc: f"{acc}.out")
 
 
-def text_link(p: Profile, nodes: Column, html: Column | None) -> Column:
+def text_link(p: Profile, nodes: str, html: str | None) -> str:
     """A text run directly followed by a link; the run is the title, the link the person."""
-    inside = sel.matcher(p.card)
-    runs = F.filter(
+    holders = sel.matcher(p.card)
+    runs = filter_(
         nodes,
-        lambda n: (n["kind"] == "text")
-        & F.coalesce(inside(F.get(nodes, n["parent"]), nodes), F.lit(False)),
+        lambda n: f"{n}.kind = 'text' AND "
+        + with_value(f"get({nodes}, {n}.parent)", lambda up: holders(up, nodes)),
     )
-    pairs = F.transform(
+    pairs = transform(
         runs,
-        lambda t: F.struct(
-            t["pos"].alias("pos"), tx.clean(t["text"]).alias("text"),
-            sel.next_node(nodes, t).alias("link"),
+        lambda t: struct(
+            pos=f"{t}.pos", text=tx.clean(f"{t}.text"), link=sel.next_node(nodes, t)
         ),
     )
-    return F.transform(
-        F.filter(pairs, lambda x: x["link"]["tag"] == "a"),
+    return transform(
+        filter_(pairs, lambda x: f"{x}.link.tag = 'a'"),
         lambda x: record(
-            x["pos"],
-            name=tx.clean(sel.text_of(nodes, x["link"])),
-            job_title=x["text"],
-            email=tx.or_blank(tx.strip_mailto(sel.attribute(x["link"], "href"))),
+            f"{x}.pos",
+            name=tx.clean(sel.element_text(nodes, f"{x}.link")),
+            job_title=f"{x}.text",
+            email=tx.or_blank(tx.strip_mailto(sel.attribute(f"{x}.link", "href"))),
         ),
     )
 
@@ -289,21 +231,22 @@ SHAPES = {
 }
 
 
-def page_records(p: Profile, nodes: Column, html: Column | None) -> Column:
+def page_records(p: Profile, nodes: str, html: str | None) -> str:
     """All records of a page under one profile, filtered and deduplicated."""
     found = SHAPES[p.shape](p, nodes, html)
     if p.keep:
-        found = F.filter(found, lambda r: kept(r, p.keep))
+        found = filter_(found, lambda r: kept(r, p.keep))
     return first_of_each(found, "name", "job_title") if p.dedup else found
 
 
-def detail_record(p: Profile, nodes: Column, html: Column | None, url: Column) -> Column:
+def detail_record(p: Profile, nodes: str, html: str | None, url: str) -> str:
     """The one record a detail page holds, under its lookup key."""
     values = {f: field_value(nodes, html, None, rule) for f, rule in p.lookup.fields.items()}
-    values["lookup_key"] = apply_steps(url, p.lookup.key)
-    return F.array(record(F.lit(0), **values))
+    return f"array({record('0', **values, lookup_key=apply_steps(url, p.lookup.key))})"
 
 
 def profile_needs_html(p: Profile) -> bool:
-    rules = list(p.fields.values()) + list(p.group_fields.values()) + (list(p.lookup.fields.values()) if p.lookup else [])
+    rules = [*p.fields.values(), *p.group_fields.values()]
+    if p.lookup:
+        rules += p.lookup.fields.values()
     return any(needs_html(rule) for rule in rules)

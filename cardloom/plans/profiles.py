@@ -330,7 +330,7 @@ PROFILES: tuple[Profile, ...] = (
         "&ModuleInstanceID=224&ViewID=606008db-225b-4ad2-8f7b-9ebac54372c1&IsMoreExpandedView=True",
         "div.ui-article",
         dict(
-            name=one(".ui-article-description span p", "clean", "before_comma_if_any"),
+            name=one(".ui-article-description span p", "clean", "before_comma"),
             job_title=one(".ui-article-description span p", "clean", "second_comma_part"),
             email=every(f".ui-article-description span {MAIL}"),
         ),
@@ -395,7 +395,7 @@ PROFILES: tuple[Profile, ...] = (
         "grace_academy_dallas", "Grace Academy of Dallas",
         "https://www.graceacademy.com/apps/pages/index.jsp?uREC_ID=462666&type=d",
         "#trustees div.photo h3",
-        dict(name=own("clean", "before_comma_if_any"), job_title=own("clean", "after_first_comma")),
+        dict(name=own("clean", "before_comma"), job_title=own("clean", "after_first_comma")),
         card_where=(("not_blank", None),), keep=(),
     ),
     Profile(
