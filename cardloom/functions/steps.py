@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from cardloom.functions import text, urls
-from cardloom.functions.sql import lit
+from cardloom.functions.sql import lit, with_value
 
 STEPS = {
     "clean": text.clean,
@@ -24,8 +24,8 @@ STEPS = {
     "first_segment": text.first_segment,
     "last_html_line": text.last_html_line,
     "line": text.line,
-    "find_email": text.find_email,
-    "drop_emails": text.drop_emails,
+    "find_email": lambda x: with_value(x, text.find_email),
+    "drop_emails": lambda x: with_value(x, text.drop_emails),
     "handler_id": text.handler_id,
     "joined_address": text.joined_address,
     "if_address": text.if_address,

@@ -129,19 +129,24 @@ def line(x: str, n: int) -> str:
 
 
 # --- finds -------------------------------------------------------------------------------------
+def _if_at(x: str, found: str, otherwise: str) -> str:
+    """Most texts hold no address; without an at sign the pattern need not run."""
+    return f"if(contains({x}, '@'), {found}, {otherwise})"
+
+
 def find_email(x: str) -> str:
     """First email address, '' if none."""
-    return f"regexp_extract({x}, {lit(EMAIL)}, 0)"
+    return _if_at(x, f"regexp_extract({x}, {lit(EMAIL)}, 0)", "''")
 
 
 def find_emails(x: str) -> str:
     """J16 for all addresses, in order."""
-    return f"regexp_extract_all({x}, {lit(EMAIL)}, 0)"
+    return _if_at(x, f"regexp_extract_all({x}, {lit(EMAIL)}, 0)", "CAST(array() AS ARRAY<STRING>)")
 
 
 def drop_emails(x: str) -> str:
     """J17."""
-    return f"regexp_replace({x}, {lit(EMAIL)}, '')"
+    return _if_at(x, f"regexp_replace({x}, {lit(EMAIL)}, '')", x)
 
 
 def handler_id(handler: str) -> str:

@@ -13,9 +13,12 @@ stays in the JVM.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 from html import unescape
+from itertools import accumulate, chain
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
@@ -26,7 +29,7 @@ NODE_TYPE = T.StructType(
         T.StructField("parent", T.IntegerType()),  # -1 for roots
         T.StructField("depth", T.IntegerType()),
         T.StructField("sib", T.IntegerType()),  # ordinal among all child nodes, 0-based
-        T.StructField("type_ord", T.IntegerType()),  # ordinal among same-tag siblings, 1-based
+        T.StructField("type_ord", T.IntegerType()),  # ordinal among same-tag siblings, 1-based; 0: no element
         T.StructField("next_el", T.IntegerType()),  # next element sibling, -1 if none
         T.StructField("kind", T.StringType()),  # el | text | raw (script, style) | comment
         T.StructField("tag", T.StringType()),
@@ -82,90 +85,79 @@ _ATTR = re.compile(
     r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.S
 )
 _RAW_END = {t: re.compile(rf"</{t}(?=[\s/>])[^>]*>", re.I) for t in _RAW_TEXT | _ESCAPABLE}
-_ROOT = (-1, "", ())
+_ROW_PARTS = frozenset(["tr", "td", "th"])
+_ROW_GROUPS = frozenset(["tbody", "thead", "tfoot"])
+_MAY_CLOSE = _CLOSES_P | _HEADINGS | frozenset(_IMPLIED_END)
 
 
 class _Nodes:
-    """Columns of the node arrays of one Arrow batch, filled page by page."""
+    """Columns of the node arrays of one Arrow batch, filled page by page.
 
-    INT_COLUMNS = (
-        "pos stop parent depth sib type_ord next_el outer_start inner_start inner_end outer_end"
-    ).split()
+    Values known when a node is met are kept as one tuple per node and transposed once per batch;
+    positions that follow later (end of the subtree, next sibling) have lists of their own.
+    """
 
     def __init__(self) -> None:
-        self.ints = {name: [] for name in self.INT_COLUMNS}
-        self.kind: list[str] = []
-        self.tag: list[str | None] = []
-        self.elem_id: list[str | None] = []
-        self.text: list[str | None] = []
-        self.class_lists: list[list[str] | None] = []
-        self.attr_maps: list[list[tuple[str, str]] | None] = []
-        self.ancestor_lists: list[tuple[int, ...]] = []
+        self.rows: list[tuple] = []
+        self.stops = array("i")
+        self.next_els = array("i")
+        self.inner_ends = array("i")
+        self.outer_ends = array("i")
         self.page_offsets: list[int] = [0]
 
     def add_page(self, html: str | None) -> None:
         if html:
             self._walk(html)
-        self.page_offsets.append(len(self.kind))
+        self.page_offsets.append(len(self.rows))
 
     def _walk(self, html: str) -> None:
-        base = self.page_offsets[-1]
-        ints, kinds, tags = self.ints, self.kind, self.tag
-        poss, ends, parents, depths = ints["pos"], ints["stop"], ints["parent"], ints["depth"]
-        sibs, type_ords, next_els = ints["sib"], ints["type_ord"], ints["next_el"]
-        starts, in_starts = ints["outer_start"], ints["inner_start"]
-        in_ends, out_ends = ints["inner_end"], ints["outer_end"]
+        rows, stops, next_els = self.rows, self.stops, self.next_els
+        inner_ends, outer_ends = self.inner_ends, self.outer_ends
+        base = len(rows)
         open_tags: list[str] = []
         # per open element: [position, children so far, last element child, same-tag counts, path]
-        frames: list[list] = [[-1, 0, -1, {}, ()]]
+        top: list = [-1, 0, -1, {}, ()]
+        frames: list[list] = [top]
 
         def add(kind, tag, elem_id, classes, attrs, text, start, inner):
-            pos = len(kinds) - base
-            top = frames[-1]
-            poss.append(pos)
-            ends.append(pos)
-            parents.append(top[0])
-            depths.append(len(frames) - 1)
-            sibs.append(top[1])
-            top[1] += 1
-            next_els.append(-1)
+            pos = len(rows) - base
             if kind == "el":
                 counts = top[3]
-                type_ords.append(counts.setdefault(tag, 0) + 1)
-                counts[tag] += 1
+                type_ord = counts[tag] = counts.get(tag, 0) + 1
                 if top[2] >= 0:
                     next_els[base + top[2]] = pos
                 top[2] = pos
             else:
-                type_ords.append(None)
-            kinds.append(kind)
-            tags.append(tag)
-            self.elem_id.append(elem_id)
-            self.class_lists.append(classes)
-            self.attr_maps.append(attrs)
-            self.text.append(text)
-            self.ancestor_lists.append(top[4])
-            starts.append(start)
-            in_starts.append(inner)
-            in_ends.append(inner)
-            out_ends.append(inner)
+                type_ord = 0
+            rows.append((pos, top[0], len(open_tags), top[1], type_ord, kind, tag, elem_id, classes,
+                         attrs, text, top[4], start, inner))
+            top[1] += 1
+            stops.append(pos)
+            next_els.append(-1)
+            inner_ends.append(inner)
+            outer_ends.append(inner)
             return pos
 
         def push(tag, pos):
+            nonlocal top
             open_tags.append(tag)
-            frames.append([pos, 0, -1, {}, frames[-1][4] + (pos,)])
+            top = [pos, 0, -1, {}, top[4] + (pos,)]
+            frames.append(top)
 
         def close_to(level, inner_end, outer_end):
             """End the open elements from ``level`` up; the lowest one owns the end tag."""
-            last = len(kinds) - base - 1
+            nonlocal top
+            last = len(rows) - base - 1
             while len(open_tags) > level:
                 open_tags.pop()
                 at = base + frames.pop()[0]
-                ends[at] = last
-                in_ends[at] = inner_end
-                out_ends[at] = outer_end if len(open_tags) == level else inner_end
+                stops[at] = last
+                inner_ends[at] = inner_end
+                outer_ends[at] = outer_end if len(open_tags) == level else inner_end
+            top = frames[-1]
 
-        def implied(tag, at):
+        def close_implied(tag, at):
+            """Start tags that end open elements, and table parts that may be left out."""
             if tag in _CLOSES_P and "p" in open_tags:
                 for i in range(len(open_tags) - 1, -1, -1):
                     if open_tags[i] == "p":
@@ -184,51 +176,41 @@ class _Nodes:
                         break
                     if open_tags[i] in walls:
                         break
-                if tag == "tr" and open_tags and open_tags[-1] == "table":
-                    push("tbody", add("el", "tbody", None, [], [], None, at, at))
-                elif tag in ("td", "th") and open_tags:
+                if tag in _ROW_PARTS and open_tags:
                     if open_tags[-1] == "table":
-                        push("tbody", add("el", "tbody", None, [], [], None, at, at))
-                    if open_tags[-1] in ("tbody", "thead", "tfoot"):
-                        push("tr", add("el", "tr", None, [], [], None, at, at))
+                        push("tbody", add("el", "tbody", None, (), (), None, at, at))
+                    if tag != "tr" and open_tags[-1] in _ROW_GROUPS:
+                        push("tr", add("el", "tr", None, (), (), None, at, at))
 
         cursor, size = 0, len(html)
+        find_token = _TOKEN.search
         while cursor < size:
-            hit = _TOKEN.search(html, cursor)
+            hit = find_token(html, cursor)
             stop = hit.start() if hit else size
             if stop > cursor:
                 run = html[cursor:stop]
-                add("text", None, None, None, None,
-                    unescape(run) if "&" in run else run, cursor, stop)
+                add("text", None, None, (), (), unescape(run) if "&" in run else run, cursor, stop)
             if not hit:
                 break
             cursor = hit.end()
             group = hit.lastgroup
-            if group == "comment":
-                add("comment", None, None, None, None, None, stop, cursor)
-            elif group == "close":
-                tag = hit["close"].lower()
-                table_part = tag in _TABLE_PARTS
-                for i in range(len(open_tags) - 1, -1, -1):
-                    if open_tags[i] == tag:
-                        close_to(i, stop, cursor)
-                        break
-                    if open_tags[i] in _SCOPE_WALLS and not (table_part and open_tags[i] != "table"):
-                        break
-            elif group in ("open", "attrs"):
-                tag = hit["open"].lower()
-                raw_attrs = hit["attrs"]
-                attrs: dict[str, str] = {}
-                if raw_attrs:
-                    for m in _ATTR.finditer(raw_attrs):
-                        name, dq, sq, bare = m.groups()
-                        value = dq if dq is not None else sq if sq is not None else bare or ""
+            if group == "attrs":
+                tag, raw_attrs = hit.group("open", "attrs")
+                tag = tag.lower()
+                elem_id, classes, items = None, (), ()
+                if raw_attrs and not raw_attrs.isspace():
+                    attrs: dict[str, str] = {}
+                    for name, dq, sq, bare in _ATTR.findall(raw_attrs):
+                        value = dq or sq or bare
                         attrs.setdefault(name.lower(), unescape(value) if "&" in value else value)
-                implied(tag, stop)
-                pos = add("el", tag, attrs.get("id"), attrs["class"].split() if "class" in attrs else [],
-                          list(attrs.items()), None, stop, cursor)
-                self_closed = raw_attrs.endswith("/") and "svg" in open_tags
-                if tag in _VOID or self_closed:
+                    elem_id = attrs.get("id")
+                    if "class" in attrs:
+                        classes = attrs["class"].split()
+                    items = attrs.items()
+                if tag in _MAY_CLOSE:
+                    close_implied(tag, stop)
+                pos = add("el", tag, elem_id, classes, items, None, stop, cursor)
+                if tag in _VOID or (raw_attrs.endswith("/") and "svg" in open_tags):
                     continue
                 push(tag, pos)
                 ending = _RAW_END.get(tag)
@@ -237,44 +219,67 @@ class _Nodes:
                     inner_end, outer_end = (tail.start(), tail.end()) if tail else (size, size)
                     if inner_end > cursor:
                         run = html[cursor:inner_end]
-                        if tag in _ESCAPABLE:
-                            add("text", None, None, None, None,
-                                unescape(run) if "&" in run else run, cursor, inner_end)
+                        if tag in _RAW_TEXT:
+                            add("raw", None, None, (), (), run, cursor, inner_end)
                         else:
-                            add("raw", None, None, None, None, run, cursor, inner_end)
+                            add("text", None, None, (), (), unescape(run), cursor, inner_end)
                     close_to(len(open_tags) - 1, inner_end, outer_end)
                     cursor = outer_end
+            elif group == "close":
+                tag = hit["close"].lower()
+                if open_tags and open_tags[-1] == tag:
+                    close_to(len(open_tags) - 1, stop, cursor)
+                    continue
+                table_part = tag in _TABLE_PARTS
+                for i in range(len(open_tags) - 1, -1, -1):
+                    if open_tags[i] == tag:
+                        close_to(i, stop, cursor)
+                        break
+                    if open_tags[i] in _SCOPE_WALLS and not (table_part and open_tags[i] != "table"):
+                        break
+            elif group == "comment":
+                add("comment", None, None, (), (), None, stop, cursor)
         close_to(0, size, size)
 
     def to_arrow(self) -> pa.Array:
-        def nested(lists, flat_type):
-            offsets, flat, n = [], [], 0
-            for item in lists:
-                offsets.append(n if item is not None else None)
-                if item:
-                    flat.extend(item)
-                    n += len(item)
-            offsets.append(n)
-            return pa.array(offsets, pa.int32()), flat
-
-        class_offsets, class_flat = nested(self.class_lists, pa.string())
-        attr_offsets, attr_flat = nested(self.attr_maps, None)
-        anc_offsets, anc_flat = nested(self.ancestor_lists, pa.int32())
-        columns = {name: pa.array(values, pa.int32()) for name, values in self.ints.items()}
-        columns["kind"] = pa.array(self.kind, pa.string())
-        columns["tag"] = pa.array(self.tag, pa.string())
-        columns["id"] = pa.array(self.elem_id, pa.string())
-        columns["text"] = pa.array(self.text, pa.string())
-        columns["classes"] = pa.ListArray.from_arrays(class_offsets, pa.array(class_flat, pa.string()))
-        columns["attrs"] = pa.MapArray.from_arrays(
-            attr_offsets,
-            pa.array([k for k, _ in attr_flat], pa.string()),
-            pa.array([v for _, v in attr_flat], pa.string()),
+        n = len(self.rows)
+        (pos, parent, depth, sib, type_ord, kind, tag, elem_id, classes, attrs, text, ancestors,
+         outer_start, inner_start) = zip(*self.rows) if n else ((),) * 14
+        ints = lambda values: pa.array(np.fromiter(values, np.int32, n))
+        filled = lambda values: pa.array(np.frombuffer(values, np.int32)) if n else pa.array([], pa.int32())
+        offsets = lambda lists: pa.array(
+            np.fromiter(chain((0,), accumulate(map(len, lists))), np.int32, n + 1)
         )
-        columns["ancestors"] = pa.ListArray.from_arrays(anc_offsets, pa.array(anc_flat, pa.int32()))
-        names = NODE_TYPE.fieldNames()
-        struct = pa.StructArray.from_arrays([columns[n] for n in names], names=names)
-        return pa.ListArray.from_arrays(pa.array(self.page_offsets, pa.int32()), struct)
+        names, values = zip(*chain.from_iterable(attrs)) if any(attrs) else ((), ())
+        columns = {
+            "pos": ints(pos),
+            "stop": filled(self.stops),
+            "parent": ints(parent),
+            "depth": ints(depth),
+            "sib": ints(sib),
+            "type_ord": ints(type_ord),
+            "next_el": filled(self.next_els),
+            "kind": pa.array(kind, pa.string()),
+            "tag": pa.array(tag, pa.string()),
+            "id": pa.array(elem_id, pa.string()),
+            "classes": pa.ListArray.from_arrays(
+                offsets(classes), pa.array(list(chain.from_iterable(classes)), pa.string())
+            ),
+            "attrs": pa.MapArray.from_arrays(
+                offsets(attrs), pa.array(names, pa.string()), pa.array(values, pa.string())
+            ),
+            "text": pa.array(text, pa.string()),
+            "ancestors": pa.ListArray.from_arrays(
+                offsets(ancestors), pa.array(list(chain.from_iterable(ancestors)), pa.int32())
+            ),
+            "outer_start": ints(outer_start),
+            "inner_start": ints(inner_start),
+            "inner_end": filled(self.inner_ends),
+            "outer_end": filled(self.outer_ends),
+        }
+        fields = NODE_TYPE.fieldNames()
+        nodes = pa.StructArray.from_arrays([columns[f] for f in fields], names=fields)
+        return pa.ListArray.from_arrays(pa.array(self.page_offsets, pa.int32()), nodes)
 
 
 # An output batch is closed once it holds this much markup, so one task never buffers more than

@@ -10,6 +10,8 @@ from cardloom.plans.catalog.profiles import COLUMNS, MERGE_IDS, rendered_pages,
 from cardloom.plans.extract import extract
 from cardloom.plans.profiles import BY_ID, MERGE_RUN
 from cardloom.plans.rendered import expected_sql
+from cardloom.plans.run import merge_run as run_merge
+from cardloom.sources.layout import shared_folder
 from cardloom.sources.registry import source_table
 
 # The run plus a source whose profile fails without records; one source has no stored page, one
@@ -26,12 +28,13 @@ def run_inputs(spark, sf):
     pages = rendered_pages(spark, sf, RUN_IDS).filter(F.col("profile_id") != UNSTORED)
     blank = F.col("profile_id").isin(*CARDLESS)
     pages = pages.withColumn("html", F.when(blank, F.lit("<html></html>")).otherwise(F.col("html")))
-    return sources, pages, extract(pages, sources, profiles)
+    return sources, pages, profiles
 
 
 def report(spark, sf):
-    sources, pages, records = run_inputs(spark, sf)
-    return merge.run_report(sources, pages.select("source_id"), records.select("source_id", "email"))
+    sources, pages, profiles = run_inputs(spark, sf)
+    records = extract(pages, sources, profiles)
+    return merge.run_report(sources, pages.select("source_id"), records)
 
 
 def _labels_sql():
@@ -47,7 +50,7 @@ stored AS (SELECT t.profile_id AS source_id, count(DISTINCT page_no)
            FROM cards t WHERE t.profile_id <> '{UNSTORED}' GROUP BY t.profile_id),
 report AS (
   SELECT l.source_id, l.source_ord, label, CAST(coalesce(s.pages, 0) AS BIGINT) AS pages,
-         count(f.key) AS records, CAST(count_if(f.email <> '') AS BIGINT) AS with_email,
+         count(f.key) AS records, CAST(coalesce(count_if(f.email <> ''), 0) AS BIGINT) AS with_email,
          CASE WHEN s.pages IS NULL OR l.source_id = 'little_miami_board' THEN 'failed'
               WHEN count(f.key) > 0 THEN 'ok' ELSE 'empty' END AS status,
          CASE WHEN s.pages IS NULL THEN 'no stored page'
@@ -93,11 +96,10 @@ def run_failures(spark, sf):
     "merge_run", "I1 I2 G1 L3 A13",
     _sql(RUN_IDS, _FOUND, f"SELECT {', '.join(COLUMNS)} FROM found"),
 )
-def merge_run(spark, sf):
+def merged_records(spark, sf):
     """Records of successful sources, those with an address first, otherwise in stored order."""
-    sources, pages, records = run_inputs(spark, sf)
-    outcome = merge.run_report(sources, pages.select("source_id"), records.select("source_id", "email"))
-    return merge.email_first(merge.of_successful(records, outcome)).select(*COLUMNS)
+    sources, pages, profiles = run_inputs(spark, sf)
+    return run_merge(pages, sources, shared_folder(spark), profiles).merged.select(*COLUMNS)
 
 
 @query(
@@ -106,7 +108,8 @@ def merge_run(spark, sf):
                           "CAST(count_if(email = '') AS BIGINT) AS without_email FROM found GROUP BY profile_id"),
 )
 def merge_counts(spark, sf):
-    return merge.counts(run_inputs(spark, sf)[2], "profile_id")
+    sources, pages, profiles = run_inputs(spark, sf)
+    return merge.counts(extract(pages, sources, profiles), "profile_id")
 
 
 _EXTRA_IDS = ("german_school_chicago", "hamilton_city", "miami_lakes_k8")

@@ -13,6 +13,7 @@ from cardloom.operators.fields import field_value
 from cardloom.operators.markup import explode_nodes, parse_pages
 from cardloom.operators.rules import Pick
 from cardloom.plans.catalog.base import query, sql_clean
+from cardloom.sources.layout import shared_folder, write_nodes
 from cardloom.sources.tables import stored_pages
 
 _DECODED = "replace(replace(regexp_extract(html, '<article><h1>([^<]*)</h1>', 1), '&quot;', '\"'), '&amp;', '&')"
@@ -20,7 +21,7 @@ _HOST_ID = r"split_part(regexp_replace(lower(regexp_extract(url, '(?i)^https?://
 
 
 @query(
-    "page_titles", "A1 A2 B1 B2 B8 B14 J1 J25 J34 D1 D17 C1 C3 I1",
+    "page_titles", "A1 A2 B1 B2 B8 B14 J1 J25 J34 D1 D17 C1 C3",
     f"""SELECT page_id, url, {_HOST_ID} AS source_id, {sql_clean(_DECODED)} AS title,
                regexp_matches(html, '{tx.EMAIL}') AS has_email
         FROM pages WHERE {sql_clean(_DECODED)} <> ''""",
@@ -33,7 +34,7 @@ def page_titles(spark, sf):
         "page_id", "url", F.expr(urls.source_id("url")).alias("source_id"), F.expr(title).alias("title"),
         "has_email",
     )
-    return titled.filter(F.expr(tx.not_blank("title"))).orderBy(F.desc("has_email"), "page_id")
+    return titled.filter(F.expr(tx.not_blank("title")))
 
 
 @query(
@@ -142,8 +143,6 @@ def custom_extractor(spark, sf):
     "SELECT CAST(sum(len(regexp_extract_all(html, '<[a-zA-Z]'))) AS BIGINT) AS elements, count(*) AS pages FROM pages",
 )
 def nodes_written_once(spark, sf):
-    from cardloom.sources.layout import shared_folder, write_nodes
-
     folder = shared_folder(spark)
     write_nodes(parse_pages(stored_pages(spark, sf)), folder)
     nodes = spark.read.parquet(folder)
@@ -159,13 +158,10 @@ def nodes_written_once(spark, sf):
         SELECT page_id, CAST(n AS BIGINT) AS in_nav FROM l WHERE n > 0""",
 )
 def element_rows(spark, sf):
-    """Containment on the row form: list items inside the page's ``nav``."""
-    parsed = parse_pages(stored_pages(spark, sf))
-    wanted = parsed.withColumn("nodes", F.expr("filter(nodes, n -> n.tag IN ('nav', 'li'))"))
-    rows = explode_nodes(wanted, "page_id").select("page_id", "pos", "stop", "tag")
+    """Containment on the row form: list items inside the page's ``nav``, from nodes stored once."""
+    folder = shared_folder(spark)
+    write_nodes(parse_pages(stored_pages(spark, sf)), folder)
+    rows = explode_nodes(spark.read.parquet(folder), "page_id").select("page_id", "pos", "stop", "tag")
     nav = rows.filter("tag = 'nav'").select("page_id", F.col("pos").alias("nav_pos"), F.col("stop").alias("nav_stop"))
-    items = rows.filter("tag = 'li'")
-    inside = items.join(nav, "page_id").filter("pos > nav_pos AND pos <= nav_stop")
+    inside = rows.filter("tag = 'li'").join(nav, "page_id").filter("pos > nav_pos AND pos <= nav_stop")
     return inside.groupBy("page_id").agg(F.count(F.lit(1)).alias("in_nav"))
-
-

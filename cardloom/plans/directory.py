@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from cardloom.functions.sql import lit
 from cardloom.operators.markup import parse_pages
 from cardloom.plans.rendered import LINK, PEOPLE_SQL, _values, fill, people
+from cardloom.sources.tables import parse_parts
 
 SOURCES = 25
 CARDS = 8
@@ -56,7 +57,8 @@ def directory_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.count(F.lit(1)).alias("total"), F.max("page_no").alias("last_page")
     )
     cards = persons.select("source_id", "page_no", "key", F.expr(fill(CARD, values)).alias("card"))
-    pages = cards.groupBy("source_id", "page_no").agg(
+    spread = cards.repartition(parse_parts(spark), "source_id", "page_no")
+    pages = spread.groupBy("source_id", "page_no").agg(
         F.array_sort(F.collect_list(F.struct("key", "card"))).alias("cards")
     )
     links = (
@@ -71,7 +73,8 @@ def directory_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"'<div class=\"fsPaginationLabel\">showing 1 - {CARDS} of ', total, ' constituents</div>',"
         "'<span class=\"page-count\">Page ', page_no, ' of ', last_page, '</span>')"
     )
-    joined = pages.join(totals, "source_id")
+    # SOURCES rows by construction, whatever the size of the tables
+    joined = pages.join(F.broadcast(totals), "source_id")
     base = base_url()
     return joined.select(
         "source_id", "page_no",

@@ -21,15 +21,11 @@ def shared_folder(spark: SparkSession) -> str:
 def write_pages(pages: DataFrame, folder: str) -> None:
     """Stored pages by role and profile, so that each branch of an extraction reads only its own.
 
-    Rows are spread within a profile before the write: one huge directory becomes many files.
+    The rebalance brings the pages of a profile together and, at run time, splits a profile that is
+    larger than the advisory partition size: one huge directory becomes many files.
     """
-    parts = pages.sparkSession.sparkContext.defaultParallelism
-    (
-        pages.withColumn("_spread", F.pmod(F.xxhash64("url"), F.lit(parts)))
-        .repartition("role", "profile_id", "_spread")
-        .drop("_spread")
-        .write.mode("overwrite").partitionBy("role", "profile_id").parquet(folder)
-    )
+    keyed = pages.hint("rebalance", F.col("role"), F.col("profile_id"))
+    keyed.write.mode("overwrite").partitionBy("role", "profile_id").parquet(folder)
 
 
 def read_pages(spark: SparkSession, folder: str) -> DataFrame:

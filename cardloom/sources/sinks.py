@@ -34,8 +34,8 @@ def write_json(records: DataFrame, folder: str, fields: list[tuple[str, str]] |
 
 def write_per_source(records: DataFrame, folder: str, form: str = "csv",
                      key: str = "source_id") -> None:
-    """One output folder per source, in one pass over the records."""
-    writer = blank_filled(records).write.mode("overwrite").partitionBy(key)
+    """One output folder per source, in one pass; a source too large for one file gets several."""
+    writer = blank_filled(records).hint("rebalance", F.col(key)).write.mode("overwrite").partitionBy(key)
     if form == "csv":
         writer.options(**CSV_OPTIONS).csv(folder)
     else:

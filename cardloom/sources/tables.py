@@ -21,6 +21,15 @@ def spread(pages: DataFrame, *keys: str) -> DataFrame:
     return pages.repartition(cores, *keys)
 
 
+def parse_parts(spark: SparkSession) -> int:
+    """Number of partitions for pages that come out of a shuffle.
+
+    Given explicitly, because the adaptive plan would merge partitions by their bytes, and parsing
+    costs far more per byte than what it usually merges.
+    """
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def stored_pages(spark: SparkSession, folder: str) -> DataFrame:
     """A1, A2: the ``pages`` table."""
     return spread(table(spark, folder, "pages"), "page_id")
