@@ -48,6 +48,8 @@ def _selector(css: str) -> tuple:
         at = gap.end()
     chain.append((link, tuple(conditions)))
     chains.append(tuple(chain))
+    if not all(conditions for chain in chains for _, conditions in chain):
+        raise ValueError(f"selector {css!r} has an empty part")
     return tuple(chains)
 
 
