@@ -43,6 +43,11 @@ def transform(array: str, fn: Callable[[str], str]) -> str:
     return f"transform({array}, {_lambda(fn)})"
 
 
+def transform_at(array: str, fn: Callable[[str, str], str]) -> str:
+    """Transform with the 0-based index as second argument."""
+    return f"transform({array}, {_lambda(fn, 2)})"
+
+
 def exists(array: str, fn: Callable[[str], str]) -> str:
     return f"exists({array}, {_lambda(fn)})"
 

@@ -26,6 +26,10 @@ def never_matching(key: Column, *row_id: Column) -> Column:
     return F.coalesce(F.nullif(key, F.lit("")), own)
 
 
+def _pair(source: str, key: Column | str) -> Column:
+    return F.concat(F.col(source), F.lit("\n"), key)
+
+
 def join_details(listing: DataFrame, details: DataFrame, inner_ids: list[str],
                  looked_up: dict[str, list[str]]) -> DataFrame:
     """Left join on (source, key); detail values fill the fields their profile names.
@@ -36,17 +40,18 @@ def join_details(listing: DataFrame, details: DataFrame, inner_ids: list[str],
     """
     wanted = [f for f in RECORD_FIELDS if f in looked_up]
     keyed = details.filter(F.col("lookup_key") != "")
+    # A key built after the aggregate makes Spark exchange both sides for the join. Only joins
+    # right above their exchanges are split at run time when many rows ask for one page.
     right = one_per_key(
         keyed.select("source_id", "lookup_key", "page_no", "url", *wanted),
         ["source_id", "lookup_key"], ["page_no", "url"],
     ).select(
-        "source_id", F.col("lookup_key").alias("join_key"), F.lit(True).alias("found"),
+        _pair("source_id", "lookup_key").alias("join_key"), F.lit(True).alias("found"),
         *[F.col(f).alias(f"detail_{f}") for f in wanted],
     )
-    left = listing.withColumn(
-        "join_key", never_matching(F.col("lookup_key"), F.col("page_no"), F.col("card_ord"))
-    )
-    joined = left.join(right, ["source_id", "join_key"], "left")
+    own_key = never_matching(F.col("lookup_key"), F.col("page_no"), F.col("card_ord"), F.col("url"))
+    left = listing.withColumn("join_key", _pair("source_id", own_key))
+    joined = left.join(right, "join_key", "left")
     if inner_ids:
         joined = joined.filter(~F.col("profile_id").isin(inner_ids) | F.col("found").isNotNull())
     filled = {

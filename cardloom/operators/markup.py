@@ -38,6 +38,7 @@ NODE_TYPE = T.StructType(
         T.StructField("attrs", T.MapType(T.StringType(), T.StringType())),
         T.StructField("text", T.StringType()),  # text and raw nodes only
         T.StructField("ancestors", T.ArrayType(T.IntegerType())),  # root first
+        # place in the markup: characters, or bytes if the markup is kept beside the nodes
         T.StructField("outer_start", T.IntegerType()),
         T.StructField("inner_start", T.IntegerType()),
         T.StructField("inner_end", T.IntegerType()),
@@ -89,6 +90,10 @@ _ROW_PARTS = frozenset(["tr", "td", "th"])
 _ROW_GROUPS = frozenset(["tbody", "thead", "tfoot"])
 _MAY_CLOSE = _CLOSES_P | _HEADINGS | frozenset(_IMPLIED_END)
 
+# Fixed value: browsers nest elements no deeper than this; what is deeper becomes a child of the
+# last level. Paths of ancestors stay short, so hostile nesting cannot blow a page up.
+MAX_DEPTH = 512
+
 
 class _Nodes:
     """Columns of the node arrays of one Arrow batch, filled page by page.
@@ -97,19 +102,34 @@ class _Nodes:
     positions that follow later (end of the subtree, next sibling) have lists of their own.
     """
 
-    def __init__(self) -> None:
+    def __init__(self, byte_offsets: bool = False) -> None:
+        self.byte_offsets = byte_offsets
         self.rows: list[tuple] = []
         self.stops = array("i")
         self.next_els = array("i")
         self.inner_ends = array("i")
         self.outer_ends = array("i")
         self.page_offsets: list[int] = [0]
+        self.byte_maps: list[tuple[int, int, np.ndarray]] = []  # (first row, end row, byte of each character)
 
     def add_page(self, html: str | None) -> None:
+        first = len(self.rows)
         if html:
             self._walk(html)
+            if self.byte_offsets and not html.isascii():
+                codes = np.frombuffer(html.encode("utf-32-le"), np.uint32)
+                widths = 1 + (codes > 0x7F) + (codes > 0x7FF) + (codes > 0xFFFF)
+                self.byte_maps.append(
+                    (first, len(self.rows), np.concatenate(([0], np.cumsum(widths))).astype(np.int32))
+                )
         self.page_offsets.append(len(self.rows))
 
+    def _in_bytes(self, offsets: np.ndarray) -> pa.Array:
+        offsets = np.array(offsets, np.int32)
+        for first, end, byte_of in self.byte_maps:
+            offsets[first:end] = byte_of[offsets[first:end]]
+        return pa.array(offsets)
+
     def _walk(self, html: str) -> None:
         rows, stops, next_els = self.rows, self.stops, self.next_els
         inner_ends, outer_ends = self.inner_ends, self.outer_ends
@@ -212,8 +232,9 @@ class _Nodes:
                 pos = add("el", tag, elem_id, classes, items, None, stop, cursor)
                 if tag in _VOID or (raw_attrs.endswith("/") and "svg" in open_tags):
                     continue
-                push(tag, pos)
                 ending = _RAW_END.get(tag)
+                if len(open_tags) < MAX_DEPTH or ending:
+                    push(tag, pos)
                 if ending:
                     tail = ending.search(html, cursor)
                     inner_end, outer_end = (tail.start(), tail.end()) if tail else (size, size)
@@ -247,6 +268,7 @@ class _Nodes:
          outer_start, inner_start) = zip(*self.rows) if n else ((),) * 14
         ints = lambda values: pa.array(np.fromiter(values, np.int32, n))
         filled = lambda values: pa.array(np.frombuffer(values, np.int32)) if n else pa.array([], pa.int32())
+        at_bytes = lambda values: self._in_bytes(np.fromiter(values, np.int32, n))
         offsets = lambda lists: pa.array(
             np.fromiter(chain((0,), accumulate(map(len, lists))), np.int32, n + 1)
         )
@@ -272,10 +294,10 @@ class _Nodes:
             "ancestors": pa.ListArray.from_arrays(
                 offsets(ancestors), pa.array(list(chain.from_iterable(ancestors)), pa.int32())
             ),
-            "outer_start": ints(outer_start),
-            "inner_start": ints(inner_start),
-            "inner_end": filled(self.inner_ends),
-            "outer_end": filled(self.outer_ends),
+            "outer_start": at_bytes(outer_start),
+            "inner_start": at_bytes(inner_start),
+            "inner_end": at_bytes(self.inner_ends),
+            "outer_end": at_bytes(self.outer_ends),
         }
         fields = NODE_TYPE.fieldNames()
         nodes = pa.StructArray.from_arrays([columns[f] for f in fields], names=fields)
@@ -287,11 +309,11 @@ class _Nodes:
 _FLUSH_CHARS = 2_000_000
 
 
-def _parse_batches(html_col: str, kept: list[str]):
+def _parse_batches(html_col: str, kept: list[str], byte_offsets: bool = False):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             pages = batch.column(html_col)
-            first, chars, nodes = 0, 0, _Nodes()
+            first, chars, nodes = 0, 0, _Nodes(byte_offsets)
             for i in range(len(pages)):
                 html = pages[i].as_py()
                 nodes.add_page(html)
@@ -301,7 +323,7 @@ def _parse_batches(html_col: str, kept: list[str]):
                     yield pa.RecordBatch.from_arrays(
                         [part.column(c) for c in kept] + [nodes.to_arrow()], names=kept + ["nodes"]
                     )
-                    first, chars, nodes = i + 1, 0, _Nodes()
+                    first, chars, nodes = i + 1, 0, _Nodes(byte_offsets)
 
     return run
 
@@ -314,7 +336,7 @@ def parse_pages(pages: DataFrame, html_col: str = "html", keep_html: bool = Fals
     """
     kept = [c for c in pages.columns if keep_html or c != html_col]
     schema = T.StructType([pages.schema[c] for c in kept] + [T.StructField("nodes", NODES_TYPE)])
-    return pages.mapInArrow(_parse_batches(html_col, kept), schema)
+    return pages.mapInArrow(_parse_batches(html_col, kept, keep_html), schema)
 
 
 def explode_nodes(parsed: DataFrame, *keys: str) -> DataFrame:

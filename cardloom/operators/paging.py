@@ -70,13 +70,14 @@ def missing_pages(plan: DataFrame, pages: DataFrame) -> DataFrame:
 def before_first_empty(page_counts: DataFrame, source: str = "source_id") -> DataFrame:
     """Pages before a directory's first page without cards.
 
-    The bound is one row per source, found by a partial aggregate; Spark broadcasts it if it is
-    small and splits skewed sources if it is not.
+    The bound is one row per source, found by a partial aggregate. Small, it is broadcast; large,
+    the key built behind the aggregate keeps the join splittable when one source has very many pages.
     """
+    key = F.concat(F.lit("\n"), F.col(source))
     bound = page_counts.groupBy(source).agg(
         F.min(F.when(F.col("cards") == 0, F.col("page_no"))).alias("first_empty")
-    )
-    joined = page_counts.join(bound, source)
+    ).select(key.alias("_key"), "first_empty")
+    joined = page_counts.withColumn("_key", key).join(bound, "_key")
     return joined.filter(
         F.col("first_empty").isNull() | (F.col("page_no") < F.col("first_empty"))
-    ).drop("first_empty")
+    ).drop("_key", "first_empty")

@@ -4,14 +4,15 @@
 from __future__ import annotations
 
 from cardloom.functions import text as tx
-from cardloom.functions.sql import aggregate, case, filter_, filter_at, struct, transform, with_value
+from cardloom.functions.sql import (
+    aggregate, case, filter_, filter_at, struct, transform, transform_at, with_value,
+)
 from cardloom.functions.steps import apply_steps
 from cardloom.operators import select as sel
 from cardloom.operators.fields import field_value, holds, needs_html
-from cardloom.operators.rules import RECORD_FIELDS, RECORD_TYPE, Profile
+from cardloom.operators.rules import RECORD_FIELDS, Profile
 
 MAIL_LINK = "a[href^='mailto:']"
-NO_RECORDS = f"CAST(array() AS ARRAY<{RECORD_TYPE.simpleString()}>)"
 
 
 def record(card_ord: str, **values: str) -> str:
@@ -112,15 +113,65 @@ def _mail_address(nodes: str, el: str, finish) -> str:
     return f"get({address}, 0)"
 
 
+# --- sequences of blocks -------------------------------------------------------------------------
+# Blocks per inner fold. A fold copies its state at every step, so the state must stay small: slots
+# are block numbers, and what has been emitted leaves the inner fold once per chunk.
+_CHUNK = 256
+
+
 def _state(out: str, **slots: str) -> str:
     return struct(**slots, out=out)
 
 
+def _fold(blocks: str, slots: tuple[str, ...], step, build) -> str:
+    """Read blocks in order with a few slots, each holding a block number or -1.
+
+    ``step(acc, b)`` gives the next state and may append an entry made by ``_entry`` to ``out``;
+    ``build(block_of)`` turns an entry back into a record, ``block_of(k)`` being its k-th block.
+    """
+
+    def run(rows: str) -> str:
+        def chunk(acc: str, first: str) -> str:
+            inner = aggregate(
+                f"slice({rows}, {first} + 1, {_CHUNK})",
+                _state("''", **{s: f"{acc}.{s}" for s in slots}), step, lambda r: r,
+            )
+            return with_value(
+                inner,
+                lambda r: _state(f"concat({acc}.out, {r}.out)", **{s: f"{r}.{s}" for s in slots}),
+            )
+
+        firsts = (f"if(size({rows}) = 0, CAST(array() AS ARRAY<INT>),"
+                  f" sequence(0, size({rows}) - 1, {_CHUNK}))")
+        entries = aggregate(
+            firsts, _state("''", **{s: "-1" for s in slots}), chunk, lambda acc: f"split({acc}.out, ' ')"
+        )
+
+        def built(entry: str) -> str:
+            numbers = transform(f"split({entry}, ':')", lambda n: f"CAST({n} AS INT)")
+            return with_value(numbers, lambda ns: build(lambda k: f"get({rows}, get({ns}, {k}))"))
+
+        return transform(filter_(entries, lambda e: f"{e} <> ''"), built)
+
+    return with_value(blocks, run)
+
+
+def _entry(acc: str, *numbers: str) -> str:
+    """``out`` with one more entry."""
+    return f"concat({acc}.out, concat_ws(':', {', '.join(numbers)}), ' ')"
+
+
+def _filled(text: str, b: str) -> str:
+    """Slot value: the block's number, or -1 if its text is blank."""
+    return f"if({b}.{text} <> '', {b}.i, -1)"
+
+
 def heading_text(p: Profile, nodes: str, html: str | None) -> str:
     """H1: a heading block sets the name, the first paragraph block behind it emits and clears."""
-    blocks = transform(
+    blocks = transform_at(
         sel.find(nodes, None, p.card),
-        lambda b: struct(
+        lambda b, i: struct(
+            i=i,
             pos=f"{b}.pos",
             heading=_first_text(nodes, b, p.blocks["heading"]),
             text=_first_text(nodes, b, p.blocks["text"]),
@@ -128,21 +179,23 @@ def heading_text(p: Profile, nodes: str, html: str | None) -> str:
     )
 
     def step(acc: str, b: str) -> str:
-        emitted = f"array_append({acc}.out, {record(f'{b}.pos', name=f'{acc}.name', job_title=f'{b}.text')})"
         return case(
-            (f"{b}.heading IS NOT NULL", _state(f"{acc}.out", name=f"{b}.heading")),
-            (f"{acc}.name <> '' AND {b}.text IS NOT NULL", _state(emitted, name="''")),
+            (f"{b}.heading IS NOT NULL", _state(f"{acc}.out", name=_filled("heading", b))),
+            (f"{acc}.name >= 0 AND {b}.text IS NOT NULL",
+             _state(_entry(acc, f"{acc}.name", f"{b}.i"), name="-1")),
             otherwise=acc,
         )
 
-    return aggregate(blocks, _state(NO_RECORDS, name="''"), step, lambda acc: f"{acc}.out")
+    return _fold(blocks, ("name",), step, lambda block: record(
+        f"{block(1)}.pos", name=f"{block(0)}.heading", job_title=f"{block(1)}.text"))
 
 
 def heading_list(p: Profile, nodes: str, html: str | None) -> str:
     """H2: first and second non-blank heading are name and title; a list block emits and resets."""
-    blocks = transform(
+    blocks = transform_at(
         sel.find(nodes, None, f"{p.blocks['heading_block']}, {p.blocks['list_block']}"),
-        lambda b: struct(
+        lambda b, i: struct(
+            i=i,
             pos=f"{b}.pos",
             is_heading=f"coalesce({sel.matcher(p.blocks['heading_block'])(b, nodes)}, false)",
             is_list=f"coalesce({sel.matcher(p.blocks['list_block'])(b, nodes)}, false)",
@@ -152,29 +205,30 @@ def heading_list(p: Profile, nodes: str, html: str | None) -> str:
     )
 
     def step(acc: str, b: str) -> str:
-        rec = record(f"{b}.pos", name=f"{acc}.name", job_title=f"{acc}.title", email=f"{b}.email")
-        complete = f"{b}.is_list AND {b}.email IS NOT NULL AND {acc}.name <> '' AND {acc}.title <> ''"
+        complete = f"{b}.is_list AND {b}.email IS NOT NULL AND {acc}.name >= 0 AND {acc}.title >= 0"
         return case(
             (f"{b}.is_heading AND {b}.heading IS NULL", acc),
-            (f"{b}.is_heading AND {acc}.name = ''",
-             _state(f"{acc}.out", name=f"{b}.heading", title=f"{acc}.title")),
-            (f"{b}.is_heading AND {acc}.title = ''",
-             _state(f"{acc}.out", name=f"{acc}.name", title=f"{b}.heading")),
-            (complete, _state(f"array_append({acc}.out, {rec})", name="''", title="''")),
-            (f"{b}.is_list", _state(f"{acc}.out", name="''", title="''")),
+            (f"{b}.is_heading AND {acc}.name < 0",
+             _state(f"{acc}.out", name=_filled("heading", b), title=f"{acc}.title")),
+            (f"{b}.is_heading AND {acc}.title < 0",
+             _state(f"{acc}.out", name=f"{acc}.name", title=_filled("heading", b))),
+            (complete, _state(_entry(acc, f"{acc}.name", f"{acc}.title", f"{b}.i"), name="-1", title="-1")),
+            (f"{b}.is_list", _state(f"{acc}.out", name="-1", title="-1")),
             otherwise=acc,
         )
 
-    start = _state(NO_RECORDS, name="''", title="''")
-    return aggregate(blocks, start, step, lambda acc: f"{acc}.out")
+    return _fold(blocks, ("name", "title"), step, lambda block: record(
+        f"{block(2)}.pos", name=f"{block(0)}.heading", job_title=f"{block(1)}.heading",
+        email=f"{block(2)}.email"))
 
 
 def slots(p: Profile, nodes: str, html: str | None) -> str:
     """H3: bold block -> name, mail block -> email, later job text -> title and emit; the slots
     clear only when a record is emitted."""
-    blocks = transform(
+    blocks = transform_at(
         sel.find(nodes, None, p.card),
-        lambda b: struct(
+        lambda b, i: struct(
+            i=i,
             pos=f"{b}.pos",
             text=tx.clean(sel.element_text(nodes, b)),
             is_bold=f"size({sel.find(nodes, b, p.blocks['bold'])}) > 0",
@@ -183,17 +237,17 @@ def slots(p: Profile, nodes: str, html: str | None) -> str:
     )
 
     def step(acc: str, b: str) -> str:
-        rec = record(f"{b}.pos", name=f"{acc}.name", job_title=f"{b}.text", email=f"{acc}.email")
-        ready = f"{acc}.name <> '' AND {acc}.email <> '' AND {tx.is_job_text(f'{b}.text')}"
+        ready = f"{acc}.name >= 0 AND {acc}.email >= 0 AND {tx.is_job_text(f'{b}.text')}"
         return case(
-            (f"{b}.is_bold", _state(f"{acc}.out", name=f"{b}.text", email=f"{acc}.email")),
-            (f"{b}.email IS NOT NULL", _state(f"{acc}.out", name=f"{acc}.name", email=f"{b}.email")),
-            (ready, _state(f"array_append({acc}.out, {rec})", name="''", email="''")),
+            (f"{b}.is_bold", _state(f"{acc}.out", name=_filled("text", b), email=f"{acc}.email")),
+            (f"{b}.email IS NOT NULL", _state(f"{acc}.out", name=f"{acc}.name", email=_filled("email", b))),
+            (ready, _state(_entry(acc, f"{acc}.name", f"{b}.i", f"{acc}.email"), name="-1", email="-1")),
             otherwise=acc,
         )
 
-    start = _state(NO_RECORDS, name="''", email="''")
-    return aggregate(blocks, start, step, lambda acc: f"{acc}.out")
+    return _fold(blocks, ("name", "email"), step, lambda block: record(
+        f"{block(1)}.pos", name=f"{block(0)}.text", job_title=f"{block(1)}.text",
+        email=f"{block(2)}.email"))
 
 
 def text_link(p: Profile, nodes: str, html: str | None) -> str:
@@ -233,7 +287,13 @@ SHAPES = {
 
 def page_records(p: Profile, nodes: str, html: str | None) -> str:
     """All records of a page under one profile, filtered and deduplicated."""
-    found = SHAPES[p.shape](p, nodes, html)
+    if html and profile_needs_html(p):  # the page's bytes are bound once for all cuts
+        return with_value(sel.source_bytes(html), lambda source: _page_records(p, nodes, source))
+    return _page_records(p, nodes, None)
+
+
+def _page_records(p: Profile, nodes: str, source: str | None) -> str:
+    found = SHAPES[p.shape](p, nodes, source)
     if p.keep:
         found = filter_(found, lambda r: kept(r, p.keep))
     return first_of_each(found, "name", "job_title") if p.dedup else found
@@ -241,7 +301,8 @@ def page_records(p: Profile, nodes: str, html: str | None) -> str:
 
 def detail_record(p: Profile, nodes: str, html: str | None, url: str) -> str:
     """The one record a detail page holds, under its lookup key."""
-    values = {f: field_value(nodes, html, None, rule) for f, rule in p.lookup.fields.items()}
+    source = sel.source_bytes(html) if html else None
+    values = {f: field_value(nodes, source, None, rule) for f, rule in p.lookup.fields.items()}
     return f"array({record('0', **values, lookup_key=apply_steps(url, p.lookup.key))})"
 
 

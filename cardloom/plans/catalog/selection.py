@@ -36,7 +36,7 @@ def _card_query(name, covers, keep_html=False, **columns):
 
 
 def _pick(*args, **kw):
-    return lambda c: field_value(N, "html", c, (Pick(*args, **kw),))
+    return lambda c: field_value(N, sel.source_bytes("html"), c, (Pick(*args, **kw),))
 
 
 def _size(css):

@@ -33,7 +33,11 @@ def merge_run(pages: DataFrame, sources: DataFrame, folder: str,
     records = extract(pages, sources, profiles)
     records.hint("rebalance").write.mode("overwrite").parquet(f"{folder}/records")
     stored = pages.sparkSession.read.parquet(f"{folder}/records")
-    report = merge.run_report(sources, pages.select("source_id"), stored)
+    merge.run_report(sources, pages.select("source_id"), stored).write.mode("overwrite").parquet(
+        f"{folder}/report"
+    )
+    # read back, the report has a known size, by which Spark may broadcast it
+    report = pages.sparkSession.read.parquet(f"{folder}/report")
     return MergeRun(stored, report, merge.email_first(merge.of_successful(stored, report)))
 
 
@@ -43,4 +47,4 @@ def write_run(run: MergeRun, folder: str) -> None:
     sinks.write_json(run.merged, f"{folder}/merged_json", core)
     sinks.write_csv(run.merged, f"{folder}/merged_csv", core)
     sinks.write_per_source(run.records, f"{folder}/per_source", "json")
-    sinks.write_csv(run.report, f"{folder}/report")
+    sinks.write_csv(run.report, f"{folder}/report_csv")

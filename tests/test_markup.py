@@ -7,7 +7,7 @@ import random
 import pyarrow as pa
 import pytest
 
-from cardloom.operators.markup import _FLUSH_CHARS, _Nodes, _parse_batches, explode_nodes, parse_pages
+from cardloom.operators.markup import _FLUSH_CHARS, MAX_DEPTH, _Nodes, _parse_batches, explode_nodes, parse_pages
 
 
 def nodes(html):
@@ -108,6 +108,13 @@ def test_broken_quotes_stay_linear():
     assert len(nodes(html)) <= 4001
 
 
+def test_deep_nesting_is_flattened_not_lost():
+    found = nodes("<div>" * 5000 + "deep" + "</div>" * 5000 + "<p>after</p>")
+    assert max(n["depth"] for n in found) == MAX_DEPTH
+    assert sum(n["kind"] == "el" for n in found) == 5001
+    assert [n["text"] for n in found if n["kind"] == "text"] == ["deep", "after"]
+
+
 def test_large_batches_are_flushed_in_parts():
     page = "<p>" + "x" * 900_000
     batch = pa.RecordBatch.from_pydict({"page_id": list(range(7)), "html": [page] * 6 + [None]})

@@ -11,9 +11,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from cardloom.operators import merge, paging as pg
-from cardloom.operators.lookup import never_matching, one_per_key
+from cardloom.operators.lookup import join_details, never_matching, one_per_key
 from cardloom.operators.markup import parse_pages
-from cardloom.operators.rules import RECORD_TYPE, Paging
+from cardloom.operators.rules import RECORD_FIELDS, RECORD_TYPE, Paging
 from cardloom.plans.catalog.profiles import rendered_pages
 from cardloom.plans.extract import extract
 from cardloom.plans.profiles import BY_ID, MERGE_RUN, PROFILES
@@ -68,6 +68,31 @@ def test_lookup_without_key_matches_nothing(spark):
     assert {r.card_ord: r.email for r in joined.collect()} == {1: None, 2: None, 3: "first"}
 
 
+def test_hot_lookup_keys_are_split(spark):
+    """A third of all rows asks for one page: the adaptive plan splits that partition."""
+    sized = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+             "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
+             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50KB", "spark.sql.shuffle.partitions": "32"}
+    before = {k: spark.conf.get(k) if k in ("spark.sql.shuffle.partitions",) else None for k in sized}
+    for k, v in sized.items():
+        spark.conf.set(k, v)
+    try:
+        rows = spark.range(0, 60_000, 1, 8).withColumns({f: F.lit("") for f in RECORD_FIELDS}).withColumns({
+            "source_id": F.lit("s"), "profile_id": F.lit("p"), "page_no": F.lit(1), "card_ord": F.col("id").cast("int"),
+            "url": F.concat(F.lit("/"), F.col("id") % 5000),
+            "name": F.sha2(F.col("id").cast("string"), 256),
+            "lookup_key": F.when(F.col("id") % 3 == 0, F.lit("/0")).otherwise(F.concat(F.lit("/"), F.col("id") % 5000)),
+        })
+        details = rows.filter("id < 5000").withColumns({"lookup_key": F.col("url"), "email": F.lit("x@y.z")})
+        joined = join_details(rows, details, [], {"email": ["p"]})
+        assert joined.filter("email = 'x@y.z'").count() == 60_000
+        joined.collect()
+        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v) if v else spark.conf.unset(k)
+
+
 def test_page_counts_without_links_and_with_text(spark):
     pages = spark.createDataFrame(
         [(1, "<p>no links</p>"), (2, '<nav class="p"><a>1</a><a> 12 </a><a>3x</a><a>Next</a></nav>'),

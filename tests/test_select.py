@@ -14,7 +14,7 @@ from cardloom.operators.rules import Checked, Joined, Pick
 HTML = """<body><div id="top" class="a"><div class="b x:y"><p title="t1">one <b>two</b></p><p>three</p></div>
 <ul class="b"><li class="off">A</li><li data-k="pre-1">B</li><li data-k="pre-2">C<ul><li>D</li></ul></li></ul></div>
 <div class="b"><p> </p><p>four</p><a href="mailto:">x</a><a href="mailto:z@x.org">y</a></div>
-<h2>H</h2>text<h6 class="n">next</h6></body>"""
+<h2>H</h2>té€xt😀<h6 class="n">next</h6></body>"""
 
 SELECTORS = [
     ("p", ["one two", "three", " ", "four"]),
@@ -55,6 +55,7 @@ PICKS = [
     ((Pick("p", "first", "attr:none", scope="page"),), ""),
     ((Pick("p", "first", "inner_html", scope="page", steps=()),), "one <b>two</b>"),
     ((Pick("b", "first", "outer_html", scope="page", steps=()),), "<b>two</b>"),
+    ((Pick("h6", "first", "outer_html", scope="page", steps=()),), '<h6 class="n">next</h6>'),
     ((Pick("li", "first", scope="page", inside=(("ul", 1),)),), "D"),
     ((Pick("li", "first_other", scope="page"),), "B"),
     ((Pick("a", "first", "attr_or_text:name", scope="page"),), "x"),
@@ -84,7 +85,7 @@ def test_selectors(page):
 
 def test_picks(page):
     found = page.select(*[
-        F.expr(field_value("nodes", "html", None, rule)).alias(f"p{i}") for i, (rule, _) in enumerate(PICKS)
+        F.expr(field_value("nodes", sel.source_bytes("html"), None, rule)).alias(f"p{i}") for i, (rule, _) in enumerate(PICKS)
     ]).first()
     assert [(r, found[i]) for i, (r, _) in enumerate(PICKS)] == PICKS
 
@@ -101,7 +102,7 @@ def test_moves(page):
         F.expr(transform(sel.find("nodes", None, "h2, h6"), lambda el: f"{sel.next_node('nodes', el)}.text")).alias("behind"),
     ).first()
     assert found.parent[0] == "one two" and found.closest == ["one twothree"]
-    assert found.next == ["next"] and found.behind == ["text", None]
+    assert found.next == ["next"] and found.behind == ["té€xt😀", None]
 
 
 @pytest.mark.parametrize("css", ["p:hover", "p >", "p ~ q", "[a$='b']", ""])

@@ -23,6 +23,11 @@ def extract(spark, profile, bodies):
     return [by_page[i] for i in range(len(bodies))]
 
 
+def lengths(rng):
+    """Many short block lists and a few that are read in several chunks."""
+    return [rng.randrange(14) for _ in range(300)] + [255, 256, 257, 700, 1300]
+
+
 # --- H1 ------------------------------------------------------------------------------------------
 def h1_page(blocks):
     tag = {"H": "h2", "P": "p", "X": "span"}
@@ -49,7 +54,7 @@ def test_heading_then_paragraph(spark):
     ]
     rng = random.Random(1)
     cases = [b for b, _ in golden] + [
-        [(rng.choice("HHPPX"), rng.choice(["", "a", "b", "c"])) for _ in range(rng.randrange(12))] for _ in range(300)
+        [(rng.choice("HHPPX"), rng.choice(["", "a", "b", "c"])) for _ in range(n)] for n in lengths(rng)
     ]
     found = extract(spark, BY_ID["association_house"], [h1_page(b) for b in cases])
     assert found[:4] == [want for _, want in golden]
@@ -95,7 +100,7 @@ def test_headings_ended_by_a_list(spark):
     rng = random.Random(2)
     cases = [b for b, _ in golden] + [
         [(k := rng.choice("HHHNL"), rng.choice(["", "m1", "m2"] if k == "L" else ["", "a", "b"]))
-         for _ in range(rng.randrange(14))] for _ in range(300)
+         for _ in range(n)] for n in lengths(rng)
     ]
     found = extract(spark, BY_ID["toddlertown"], [h2_page(b) for b in cases])
     assert found[:4] == [want for _, want in golden]
@@ -136,7 +141,7 @@ def test_slots_until_complete(spark):
     rng = random.Random(3)
     words = {"B": ["", "a", "b"], "M": ["m1", "m2"], "T": [t1, "office", "director"]}
     cases = [b for b, _ in golden] + [
-        [(k := rng.choice("BMTT"), rng.choice(words[k])) for _ in range(rng.randrange(14))] for _ in range(300)
+        [(k := rng.choice("BMTT"), rng.choice(words[k])) for _ in range(n)] for n in lengths(rng)
     ]
     found = extract(spark, BY_ID["harbor_school_ny"], [h3_page(b) for b in cases])
     assert found[:4] == [want for _, want in golden]
