@@ -90,6 +90,15 @@ def run_report(sources: DataFrame, pages: DataFrame, records: DataFrame) -> Data
     )
 
 
+def shared_addresses(pages: DataFrame) -> DataFrame:
+    """L1: page addresses stored under more than one source, with two of the sources."""
+    return (
+        pages.groupBy("url")
+        .agg(F.min("source_id").alias("first_source"), F.max("source_id").alias("last_source"))
+        .filter("first_source <> last_source")
+    )
+
+
 def run_totals(report: DataFrame, *by: str) -> DataFrame:
     """successes and failures, overall or per batch."""
     return report.groupBy(*by).agg(

@@ -100,6 +100,14 @@ def zipped(p: Profile, nodes: str, html: str | None) -> str:
     )
 
 
+def list_lengths(p: Profile, nodes: str) -> str:
+    """E5: lengths of the two lists of a zipped page; different ones mean rows may have shifted."""
+    return struct(
+        names=f"size({sel.find(nodes, None, p.blocks['name'])})",
+        titles=f"size({sel.find(nodes, None, p.blocks['title'])})",
+    )
+
+
 def _first_text(nodes: str, el: str, css: str) -> str:
     """Cleaned text of the first match, NULL if nothing matches."""
     first = f"slice({sel.find(nodes, el, css)}, 1, 1)"

@@ -8,7 +8,7 @@ from cardloom.operators import merge
 from cardloom.operators.lookup import never_matching, one_per_key
 from cardloom.operators.markup import parse_pages
 from cardloom.operators.rules import Profile
-from cardloom.operators.shapes import zipped
+from cardloom.operators.shapes import list_lengths, zipped
 from cardloom.plans.catalog.base import query
 from cardloom.plans.directory import SQL, base_url, directory_people
 from cardloom.sources.tables import table
@@ -41,6 +41,20 @@ _LISTS = Profile("lists", "lists", "", shape="zip", blocks=dict(name=".who", tit
 )
 def uneven_lists(spark, sf):
     """Titles of some people are missing, so later rows shift; the longer list is cut."""
+    records = _list_pages(spark, sf).select("page_id", F.expr(f"inline_outer({zipped(_LISTS, 'nodes', None)})"))
+    return records.filter("card_ord IS NOT NULL").select("page_id", "name", "job_title")
+
+
+@query(
+    "list_lengths", "E5 F5",
+    """SELECT s_suppkey // 10 AS page_id, CAST(count(*) AS INTEGER) AS names,
+              CAST(count_if(s_suppkey % 4 <> 1) AS INTEGER) AS titles FROM supplier GROUP BY 1""",
+)
+def uneven_list_pages(spark, sf):
+    return _list_pages(spark, sf).select("page_id", F.expr(f"inline(array({list_lengths(_LISTS, 'nodes')}))"))
+
+
+def _list_pages(spark, sf):
     supplier = table(spark, sf, "supplier")
     items = supplier.select(
         F.floor(F.col("s_suppkey") / 10).cast("bigint").alias("page_id"), F.col("s_suppkey").alias("key"),
@@ -50,8 +64,7 @@ def uneven_lists(spark, sf):
     pages = items.groupBy("page_id").agg(
         F.array_join(F.expr("array_sort(collect_list(struct(key, item))).item"), "").alias("html")
     )
-    records = parse_pages(pages).select("page_id", F.expr(f"inline_outer({zipped(_LISTS, 'nodes', None)})"))
-    return records.filter("card_ord IS NOT NULL").select("page_id", "name", "job_title")
+    return parse_pages(pages)
 
 
 @query(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from cardloom.operators import merge
 from cardloom.plans.catalog.base import query
 from cardloom.plans.extract import extract
 from cardloom.plans.profiles import BY_ID, MERGE_RUN
@@ -62,4 +63,18 @@ _round_trip("phones_and_buttons", "C8 J21 B29", ("melcher_dallas_high", "texans_
             COLUMNS + ("phone",))
 _round_trip("all_profiles", "A3 C1 C2 L4", ALL_IDS, COLUMNS + EXTRAS)
 
+_SHARED_IDS = ("seattle_christian", "seattle_prep", "texans_can_dallas_north", "texans_can_pleasant_grove", "harrow_ny")
+
+
+@query(
+    "shared_addresses", "L1",
+    expected_sql(_SHARED_IDS, """, stored AS (SELECT DISTINCT base_url || CASE WHEN page_no > 1
+            THEN '?page=' || CAST(page_no AS VARCHAR) ELSE '' END AS url, profile_id FROM cards)
+        SELECT url, min(profile_id) AS first_source, max(profile_id) AS last_source FROM stored
+        GROUP BY url HAVING count(*) > 1"""),
+)
+def shared_addresses(spark, sf):
+    return merge.shared_addresses(listing_pages(spark, sf, _SHARED_IDS))
+
+
 MERGE_IDS = tuple(i for i, _ in MERGE_RUN)
