@@ -16,6 +16,7 @@ import re
 from array import array
 from collections.abc import Iterator
 from html import unescape
+from html.entities import html5
 from itertools import accumulate, chain
 
 import numpy as np
@@ -95,6 +96,15 @@ _MAY_CLOSE = _CLOSES_P | _HEADINGS | frozenset(_IMPLIED_END)
 MAX_DEPTH = 512
 
 
+_REFERENCE = re.compile(r"&(?:#(?:[0-9]+|[xX][0-9a-fA-F]+);?|([A-Za-z][A-Za-z0-9]*(?:;|(?![A-Za-z0-9=]))))")
+
+
+def _attribute_text(value: str) -> str:
+    """Decode references in an attribute: unlike in text, one without ``;`` counts only as a whole
+    word, so ``?a=1&copy=2`` stays a query string."""
+    return _REFERENCE.sub(lambda m: html5.get(m[1], m[0]) if m[1] else unescape(m[0]), value)
+
+
 class _Nodes:
     """Columns of the node arrays of one Arrow batch, filled page by page.
 
@@ -222,7 +232,7 @@ class _Nodes:
                     attrs: dict[str, str] = {}
                     for name, dq, sq, bare in _ATTR.findall(raw_attrs):
                         value = dq or sq or bare
-                        attrs.setdefault(name.lower(), unescape(value) if "&" in value else value)
+                        attrs.setdefault(name.lower(), _attribute_text(value) if "&" in value else value)
                     elem_id = attrs.get("id")
                     if "class" in attrs:
                         classes = attrs["class"].split()

@@ -16,7 +16,16 @@ from cardloom.plans.catalog.base import query, sql_clean
 from cardloom.sources.layout import shared_folder, write_nodes
 from cardloom.sources.tables import stored_pages
 
-_DECODED = "replace(replace(regexp_extract(html, '<article><h1>([^<]*)</h1>', 1), '&quot;', '\"'), '&amp;', '&')"
+
+
+def _decoded(x: str) -> str:
+    """Character references of a text run in SQL; in text they count without their semicolon too."""
+    for name, char in (("copy", "©"), ("middot", "·"), ("quot", '"'), ("amp", "&")):
+        x = f"regexp_replace({x}, '&{name};?', '{char}', 'g')"
+    return x
+
+
+_DECODED = _decoded("regexp_extract(html, '<article><h1>([^<]*)</h1>', 1)")
 _HOST_ID = r"split_part(regexp_replace(lower(regexp_extract(url, '(?i)^https?://([^/?#:@\s%]+)', 1)), 'www\.', ''), '.', 1)"
 
 
@@ -55,11 +64,11 @@ def nodes_by_tag(spark, sf):
 
 @query(
     "nav_links", "B1 B8 B22 J32 H4",
-    r"""WITH l AS (SELECT page_id, url, regexp_extract_all(html, '<li><a href="([^"]*)">', 1) AS hrefs,
+    rf"""WITH l AS (SELECT page_id, url, regexp_extract_all(html, '<li><a href="([^"]*)">', 1) AS hrefs,
                          regexp_extract_all(html, '<li><a href="[^"]*">([^<]*)</a>', 1) AS texts FROM pages),
         r AS (SELECT page_id, url, unnest(hrefs) AS href, unnest(texts) AS text,
                      CAST(unnest(range(1, len(hrefs) + 1)) AS INTEGER) AS link_no FROM l)
-        SELECT page_id, link_no, replace(replace(text, '&quot;', '"'), '&amp;', '&') AS text,
+        SELECT page_id, link_no, {_decoded('text')} AS text,
                regexp_extract(url, '^(https?://[^/?#]+)', 1) || replace(replace(href, '&quot;', '"'), '&amp;', '&') AS link
         FROM r""",
 )
@@ -91,7 +100,7 @@ def distinct_links(spark, sf):
     "unclosed_paragraphs", "B1 B9 B16 F6",
     r"""WITH a AS (SELECT page_id, regexp_extract(html, '(?s)<article>(.*?)</article>', 1) AS body FROM pages)
         SELECT page_id, CAST(len(regexp_extract_all(body, '<p>')) AS INTEGER) AS paragraphs,
-               md5(replace(replace(regexp_replace(body, '<[^>]+>', '', 'g'), '&quot;', '"'), '&amp;', '&')) AS text
+               md5(""" + _decoded("regexp_replace(body, '<[^>]+>', '', 'g')") + """) AS text
         FROM a""",
 )
 def unclosed_paragraphs(spark, sf):
@@ -106,8 +115,7 @@ def unclosed_paragraphs(spark, sf):
 @query(
     "footers_and_scripts", "J34 B21 B29",
     r"""SELECT page_id,
-               replace(replace(replace(replace(regexp_extract(html, '<footer>([^<]*)', 1), '&copy;', '©'), '&middot;', '·'),
-                       '&quot;', '"'), '&amp;', '&') AS footer,
+               """ + _decoded("regexp_extract(html, '<footer>([^<]*)', 1)") + r""" AS footer,
                regexp_extract(html, '(?s)<script>(.*?)</script>', 1) AS script,
                regexp_extract(html, '<html lang="([a-z]+)"', 1) AS lang
         FROM pages""",

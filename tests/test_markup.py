@@ -68,6 +68,12 @@ def test_attributes():
     assert el["classes"] == ["c1", "c2"] and el["id"] == "i"
 
 
+def test_references_in_attributes_and_text():
+    el, text = nodes('<a href="?a=1&copy=2&amp;b=3&notit;&#38;&copy" title="&eacute;&copy">&copy=2 &ampx &notit;</a>')
+    assert dict(el["attrs"]) == {"href": "?a=1&copy=2&b=3&notit;&©", "title": "é©"}
+    assert text["text"] == "©=2 &x ¬it;"
+
+
 def test_source_offsets():
     html = "<div><h4>Room <i>5</i></h4><p>open<p>next</div>"
     by_tag = {}
