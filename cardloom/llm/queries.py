@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from cardloom.llm import chat, decontaminate, exact_dedup, secrets
+import public_tokenizers
+from cardloom.llm import bpe, chat, decontaminate, exact_dedup, langid, secrets, substring_dedup
 from cardloom.llm.common import shared_folder
 from cardloom.sources.tables import table
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -70,3 +71,30 @@ def op6(spark, folder):
     listed = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     return turns.select("conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(listed, 256).alias("turns_sha256"),
                         F.length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"), "formatted_chars")
+
+
+@query("op5_substring_dedup")
+def op5(spark, folder):
+    return substring_dedup.without_repeats(documents(spark, folder)).select(
+        F.col("id").alias("doc_id"), "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op7_bpe")
+def op7(spark, folder):
+    coded = bpe.encode_decode(documents(spark, folder), public_tokenizers.path("byte_bpe_50k.json"))
+    listed = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return coded.select(F.col("id").alias("doc_id"), F.size("ids").cast("long").alias("n_tokens"),
+                        F.sha2(listed, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def _remainder(n: int):
+    """crc32 of the id as text; a null id counts as an empty text."""
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % n
+
+
+@query("op9_language_id")
+def op9(spark, folder):
+    docs = documents(spark, folder)
+    model = langid.train(docs.filter(_remainder(4) != 2))
+    return langid.identify(docs, model).select(
+        F.col("id").alias("doc_id"), "lang_pred", "score", "rejected").withColumn("held_out", _remainder(4) == 2)
