@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from cardloom.sources.layout import shared_folder
@@ -45,4 +46,35 @@ def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     return docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("key"), text.alias("text"))
 
 
-__all__ = ["BROADCAST_BYTES", "ascii_lower", "keyed", "shared_folder", "small", "stored", "text_of"]
+class WordCodes:
+    """64-bit codes of words; each worker remembers those of the words it met last."""
+
+    KNOWN = 1 << 20
+
+    def __init__(self):
+        self.words: dict[bytes, int] = {}
+
+    def __call__(self, words: list[bytes]) -> np.ndarray:
+        from xxhash import xxh3_64_intdigest
+
+        if len(self.words) > self.KNOWN:
+            self.words.clear()
+        known = self.words
+        for w in set(words).difference(known):
+            known[w] = xxh3_64_intdigest(w)
+        return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+
+
+def mixed(x: np.ndarray) -> np.ndarray:
+    """Every bit of a code spread over all bits."""
+    x = x ^ (x >> np.uint64(33))
+    x = x * np.uint64(0xFF51AFD7ED558CCD)
+    return x ^ (x >> np.uint64(33))
+
+
+def join_rows(rows: DataFrame, side: DataFrame, how: str) -> DataFrame:
+    """``rows`` (id, key, ...) with ``side`` (of_id, of_key, ...)."""
+    return rows.join(side, (F.col("key") == F.col("of_key")) & F.col("id").eqNullSafe(F.col("of_id")), how).drop("of_id", "of_key")
+
+
+__all__ = ["BROADCAST_BYTES", "WordCodes", "ascii_lower", "join_rows", "keyed", "mixed", "shared_folder", "small", "stored", "text_of"]

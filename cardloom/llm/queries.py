@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import public_tokenizers
-from cardloom.llm import bpe, chat, decontaminate, exact_dedup, langid, secrets, substring_dedup
+from cardloom.llm import bpe, chat, decontaminate, exact_dedup, jaccard_join, langid, secrets, substring_dedup
 from cardloom.llm.common import shared_folder
 from cardloom.sources.tables import table
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -98,3 +98,8 @@ def op9(spark, folder):
     model = langid.train(docs.filter(_remainder(4) != 2))
     return langid.identify(docs, model).select(
         F.col("id").alias("doc_id"), "lang_pred", "score", "rejected").withColumn("held_out", _remainder(4) == 2)
+
+
+@query("op10_jaccard_join")
+def op10(spark, folder):
+    return jaccard_join.near_components(documents(spark, folder)).select(F.col("id").alias("doc_id"), "n_shingles", "component_id")

@@ -21,16 +21,14 @@ from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from cardloom.llm.common import keyed, shared_folder, stored
+from cardloom.llm.common import WordCodes, join_rows, keyed, mixed, shared_folder, stored
 
 SPAN = 50
 KMER = 12
 _BASE = np.uint64(0x9E3779B97F4A7C15)  # odd, so it has an inverse modulo 2^64
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
-_KNOWN_WORDS = 1 << 20
 _ROWS = 1 << 16  # rows of an output batch
 
 
@@ -45,27 +43,20 @@ class Hasher:
     """Hashes of any stretch of a list of words, from sums over its prefixes."""
 
     def __init__(self):
-        self.words: dict[bytes, int] = {}
+        self.codes = WordCodes()
         self.up = np.ones(1, np.uint64)
         self.down = np.ones(1, np.uint64)
 
     def prefixes(self, words: list[bytes]) -> np.ndarray:
-        if len(self.words) > _KNOWN_WORDS:
-            self.words.clear()
-        known = self.words
-        for w in set(words).difference(known):
-            known[w] = xxhash.xxh3_64_intdigest(w)
         n = len(words)
         if len(self.up) <= n:
             self.up, self.down = _powers(_BASE, 2 * n), _powers(_INVERSE, 2 * n)
-        codes = np.fromiter(map(known.__getitem__, words), np.uint64, n)
-        return np.concatenate([np.zeros(1, np.uint64), np.cumsum(codes * self.up[:n], dtype=np.uint64)])
+        sums = np.zeros(n + 1, np.uint64)
+        np.cumsum(self.codes(words) * self.up[:n], dtype=np.uint64, out=sums[1:])
+        return sums
 
     def stretch(self, sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        x = (sums[end] - sums[start]) * self.down[start]
-        x ^= x >> np.uint64(33)
-        x *= np.uint64(0xFF51AFD7ED558CCD)
-        return x ^ (x >> np.uint64(33))
+        return mixed((sums[end] - sums[start]) * self.down[start])
 
 
 def _first_least(values: np.ndarray, width: int) -> np.ndarray:
@@ -121,11 +112,6 @@ def _all_pieces(rows: DataFrame, span: int, kmer: int) -> DataFrame:
     return rows.mapInArrow(cut, f"id {kind}, key long, edge long, name long, start int, windows int")
 
 
-def _join_rows(rows: DataFrame, side: DataFrame, how: str) -> DataFrame:
-    """``side`` has (of_id, of_key)."""
-    return rows.join(side, (F.col("key") == F.col("of_key")) & F.col("id").eqNullSafe(F.col("of_id")), how).drop("of_id", "of_key")
-
-
 def _read_stretches(rows: DataFrame, wanted: DataFrame, span: int) -> DataFrame:
     """SHA-256 of stretches of documents. ``wanted``: (of_id, of_key, wants array<(start, size, cut)>); if cut, each
     window of the stretch is read, else all of it. Gives (id, key, start, size, digest, cut)."""
@@ -152,7 +138,7 @@ def _read_stretches(rows: DataFrame, wanted: DataFrame, span: int) -> DataFrame:
                         ["id", "key", *names[1:]])
                     out = [[] for _ in names]
 
-    return _join_rows(rows, wanted, "inner").mapInArrow(
+    return join_rows(rows, wanted, "inner").mapInArrow(
         read, f"id {kind}, key long, start int, size int, digest binary, cut boolean")
 
 
@@ -234,4 +220,4 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array(kept, pa.string())],
                                              ["id", "n_words", "n_removed", "kept"])
 
-    return _join_rows(rows, spans, "left").mapInArrow(remove, f"id {kind}, n_words long, n_removed long, kept string")
+    return join_rows(rows, spans, "left").mapInArrow(remove, f"id {kind}, n_words long, n_removed long, kept string")
