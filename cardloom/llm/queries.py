@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import public_tokenizers
-from cardloom.llm import bpe, chat, decontaminate, exact_dedup, jaccard_join, langid, secrets, substring_dedup
+from cardloom.llm import bpe, chat, decontaminate, exact_dedup, jaccard_join, langid, lm_score, secrets, substring_dedup
 from cardloom.llm.common import shared_folder
 from cardloom.sources.tables import table
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -103,3 +103,9 @@ def op9(spark, folder):
 @query("op10_jaccard_join")
 def op10(spark, folder):
     return jaccard_join.near_components(documents(spark, folder)).select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
+
+
+@query("op8_lm_score")
+def op8(spark, folder):
+    found = lm_score.scores(documents(spark, folder), _remainder(5) != 1)
+    return found.select(F.col("id").alias("doc_id"), (~F.col("trains")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
