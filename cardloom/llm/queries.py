@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import public_tokenizers
-from cardloom.llm import bpe, chat, decontaminate, exact_dedup, jaccard_join, langid, lm_score, secrets, substring_dedup
+from cardloom.llm import bpe, chat, decontaminate, exact_dedup, html_extract, jaccard_join, langid, lm_score, secrets, substring_dedup
 from cardloom.llm.common import shared_folder
 from cardloom.sources.tables import table
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -109,3 +109,9 @@ def op10(spark, folder):
 def op8(spark, folder):
     found = lm_score.scores(documents(spark, folder), _remainder(5) != 1)
     return found.select(F.col("id").alias("doc_id"), (~F.col("trains")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@query("op1_html_extract")
+def op1(spark, folder):
+    found = html_extract.main_texts(table(spark, folder, "pages"))
+    return found.select(F.col("id").alias("page_id"), "url", "text", F.length("text").cast("long").alias("n_chars"))
