@@ -59,6 +59,7 @@ _SKIPPED_NAMES = frozenset(
     "recommended breadcrumb breadcrumbs pagination pager subscribe subscription newsletter signup login search toolbar skip "
     "hidden".split())
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+_SKIPPED_ARTICLES = frozenset("ad advert comment promo related reply sponsored teaser".split())
 _KEPT = frozenset("html body main article".split())  # names on these say nothing about what they hold
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
@@ -67,7 +68,7 @@ _ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>
 _TELLING = re.compile(r"class|id|role|style", re.I)  # also part of "hidden"
 _HIDDEN = re.compile(r"(?i)(?:^|[\s\"'])hidden(?:[\s=/]|$)")
 _STABLE = re.compile(r"[A-Za-z_-]+")
-_NUMBER = re.compile(r"&#(?:([0-9]+)|[xX]([0-9a-fA-F]+))")
+_NUMBER = re.compile(r"&#(?:([0-9]+)|[xX]([0-9a-fA-F]+));?")
 _SPACE = re.compile(r"\s+")
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
@@ -154,9 +155,11 @@ def _named(tag: str, written: str) -> tuple[str, bool]:
     hidden = bool(_HIDDEN.search(written)) or attributes.get("aria-hidden") == "true" \
         or "display:none" in attributes.get("style", "").replace(" ", "")
     role = attributes.get("role", "").lower()
+    classes = f"{attributes.get('class', '')} {attributes.get('id', '')}".split()
+    if tag == "article" and (kind := next((c.lower() for c in classes if c.lower() in _SKIPPED_ARTICLES), "")):
+        return f"{tag}.{kind}", True
     if tag in _KEPT or role == "main":
         return "main" if role == "main" else tag, hidden
-    classes = f"{attributes.get('class', '')} {attributes.get('id', '')}".split()
     words = {w.lower() for c in classes for w in _WORD.findall(c)}
     skipped = hidden or tag in _SKIPPED or role in _SKIPPED_ROLES or bool(words & _SKIPPED_NAMES)
     stable = next((c for c in classes if _STABLE.fullmatch(c)), "")
@@ -216,7 +219,9 @@ def folded(nodes: list) -> list:
     out: list = []
     for node in nodes:
         if out and out[-1][0] == node[0] and node[0] != "(":
-            out[-1] = merged(out[-1], node, repeated=node[0] != "#")
+            optional = out[-1][1] and node[1]
+            out[-1] = merged(out[-1], node)
+            out[-1][1:3] = optional, out[-1][2] or node[0] != "#"
         else:
             out.append(node)
     for period in range(2, _PERIOD + 1):
@@ -235,8 +240,8 @@ def folded(nodes: list) -> list:
     return out
 
 
-def merged(a: list, b: list, repeated: bool = False) -> list:
-    return [a[0], a[1] and b[1], a[2] or b[2] or repeated, a[3] and b[3], aligned(a[4], b[4])]
+def merged(a: list, b: list) -> list:
+    return [a[0], a[1] or b[1], a[2] or b[2], a[3] and b[3], aligned(a[4], b[4])]
 
 
 def aligned(a: list, b: list) -> list:
