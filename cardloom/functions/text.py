@@ -15,7 +15,9 @@ INTRO_PHRASES = ["chicago christian", "three campuses", "made up of"]
 JOB_KEYWORDS = ["principal", "teacher", "director", "manager", "coordinator"]
 DEFAULT_PAGE_SIZE = 24
 BREAKS = r"\r?\n|<br>|<br/>|  |—|–|\|"
-ADDRESS_PARTS = r"'([^']+)'\s*\+\s*'@'\s*\+\s*'([^']+)'"
+ADDRESS_PARTS = rf"'([^']+)'{SPACE}*\+{SPACE}*'@'{SPACE}*\+{SPACE}*'([^']+)'"
+LABEL_TOTAL = rf"(?i)of{SPACE}+(\d+)"
+LABEL_SIZE = rf"(?i)showing{SPACE}+1{SPACE}+-{SPACE}+(\d+)"
 
 
 def _quoted(text: str) -> str:
@@ -179,8 +181,8 @@ def space_slug(name: str) -> str:
 
 # --- numbers -----------------------------------------------------------------------------------
 def to_int(x: str) -> str:
-    """Leading integer, NULL if there is none."""
-    return f"try_cast(regexp_extract({x}, {lit(rf'^{SPACE}*([+-]?\d+)')}, 1) AS INT)"
+    """Leading integer, NULL if there is none or it does not fit 64 bits."""
+    return f"try_cast(regexp_extract({x}, {lit(rf'^{SPACE}*([+-]?\d+)')}, 1) AS BIGINT)"
 
 
 def is_number(x: str) -> str:
@@ -190,18 +192,18 @@ def is_number(x: str) -> str:
 
 def label_total(label: str) -> str:
     """``... of 856 ...`` -> 856."""
-    return f"try_cast(regexp_extract({label}, {lit(r'(?i)of\s+(\d+)')}, 1) AS INT)"
+    return f"try_cast(regexp_extract({label}, {lit(LABEL_TOTAL)}, 1) AS BIGINT)"
 
 
 def label_page_size(label: str, default: int = DEFAULT_PAGE_SIZE) -> str:
     """``showing 1 - 8 of ...`` -> 8."""
-    found = f"regexp_extract({label}, {lit(r'(?i)showing\s+1\s+-\s+(\d+)')}, 1)"
-    return f"coalesce(try_cast({found} AS INT), {default})"
+    found = f"regexp_extract({label}, {lit(LABEL_SIZE)}, 1)"
+    return f"coalesce(try_cast({found} AS BIGINT), {default})"
 
 
 def ceil_div(total: str, size: str) -> str:
     """J31; a page size of 0 gives NULL instead of an error."""
-    return f"CAST(ceil(try_divide({total}, {size})) AS INT)"
+    return f"try_add({total} DIV nullif({size}, 0), CAST({total} % nullif({size}, 0) > 0 AS INT))"
 
 
 # --- fallbacks and quoting ---------------------------------------------------------------------

@@ -32,7 +32,7 @@ def page_url(base: str, page_no: str, query: str, suffix: str = "", bare_first:
 
 def page_no(url: str, parameter: str) -> str:
     """J26 inverse, J27: the page number in a URL or link, NULL if absent."""
-    return f"try_cast(regexp_extract({url}, {lit(rf'[?&]{parameter}=(\d+)')}, 1) AS INT)"
+    return f"try_cast(regexp_extract({url}, {lit(rf'[?&]{parameter}=(\d+)')}, 1) AS BIGINT)"
 
 
 def origin(url: str) -> str:

@@ -91,12 +91,14 @@ def run_report(sources: DataFrame, pages: DataFrame, records: DataFrame) -> Data
 
 
 def shared_addresses(pages: DataFrame) -> DataFrame:
-    """L1: page addresses stored under more than one source, with two of the sources."""
-    return (
-        pages.groupBy("url")
-        .agg(F.min("source_id").alias("first_source"), F.max("source_id").alias("last_source"))
-        .filter("first_source <> last_source")
-    )
+    """L1: page addresses stored under more than one source, one row per address and source.
+
+    Pairs are counted after each task has made its own distinct, so an address that many pages share
+    is no hot spot.
+    """
+    held = pages.select("url", "source_id").distinct()
+    shared = held.groupBy("url").agg(F.count("*").alias("sources")).filter("sources > 1")
+    return held.join(shared, "url").select("url", "source_id", "sources")
 
 
 def run_totals(report: DataFrame, *by: str) -> DataFrame:

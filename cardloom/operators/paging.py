@@ -10,15 +10,26 @@ from cardloom.operators import select as sel
 from cardloom.operators.rules import Paging
 
 
+_UNREADABLE = r"\d{19}"  # digits; BIGINT holds 18 of any value
+_BLOCK = 1 << 20  # pages of a block when a plan is written out
+
+
 def page_count(paging: Paging, nodes: str = "nodes", card: str = "", base: str = "url") -> str:
-    """K1-K7: the number of pages a directory's first page announces, 1 if it announces none."""
+    """K1-K7: the number of pages a directory's first page announces, 1 if it announces none.
+
+    NULL if what stands there is a number that 64 bits cannot hold: unreadable is not one page.
+    """
     links = sel.find(nodes, None, paging.css)
     label = f"array_join({transform(links, lambda el: sel.element_text(nodes, el))}, '')"
+    said = label
     if paging.kind == "max_attr":
+        said = f"array_join({transform(links, lambda a: sel.attribute(a, paging.attr))}, ' ')"
         n = f"array_max({transform(links, lambda a: tx.to_int(sel.attribute(a, paging.attr)))})"
     elif paging.kind == "last_attr":
+        said = f"coalesce(get({links}, 0).attrs[{lit(paging.attr)}], '')"
         n = tx.to_int(f"get({links}, 0).attrs[{lit(paging.attr)}]")
     elif paging.kind == "max_href":
+        said = f"array_join({transform(links, lambda a: sel.attribute(a, 'href'))}, ' ')"
         n = f"array_max({transform(links, lambda a: urls.page_no(sel.attribute(a, 'href'), 'page_no'))})"
     elif paging.kind == "max_text":
         n = f"array_max({transform(links, lambda a: _whole_number(sel.element_text(nodes, a)))})"
@@ -31,15 +42,15 @@ def page_count(paging: Paging, nodes: str = "nodes", card: str = "", base: str =
         }.get(paging.size, str(paging.size))
         n = tx.ceil_div(tx.label_total(label), size)
     elif paging.kind == "hrefs":
-        n = f"size({page_links(paging, nodes, base)})"
+        said, n = "''", f"CAST(size({page_links(paging, nodes, base)}) AS BIGINT)"
     else:
         raise ValueError(f"{paging.kind!r} announces no number of pages")
-    return f"greatest(coalesce({n}, 1), 1)"
+    return f"if({said} RLIKE {lit(_UNREADABLE)}, NULL, greatest(coalesce({n}, 1), 1))"
 
 
 def _whole_number(x: str) -> str:
     """NULL unless the whole text is a number."""
-    return f"try_cast(regexp_extract({tx.trim(x)}, {lit(r'^\d+$')}, 0) AS INT)"
+    return f"try_cast(regexp_extract({tx.trim(x)}, {lit(r'^\d+$')}, 0) AS BIGINT)"
 
 
 def page_links(paging: Paging, nodes: str = "nodes", base: str = "url") -> str:
@@ -54,11 +65,37 @@ def has_next(paging: Paging, nodes: str = "nodes") -> str:
     return f"size({sel.find(nodes, None, paging.css)}) > 0"
 
 
+def linked_numbers(paging: Paging, nodes: str = "nodes", base: str = "url") -> str:
+    """K7: the numbers of exactly the linked pages, the first page among them."""
+    numbers = transform(page_links(paging, nodes, base), lambda link: urls.page_no(link, paging.query.strip("?&=")))
+    return f"array_compact(array_distinct({numbers}))"
+
+
+def ranges(first: str, last: str, size: int) -> str:
+    """Pieces (lo, hi) of at most ``size`` numbers."""
+    starts = f"sequence({first}, {last}, {size}L)"
+    return transform(starts, lambda lo: f"named_struct('lo', {lo}, 'hi', least({lo} + {size - 1}L, {last}))")
+
+
+def numbered(directories: DataFrame, pieces: str) -> DataFrame:
+    """One row per number of an array of (lo, hi), as ``page_no``, without ever holding all of them:
+    pieces are cut into blocks of blocks, these into blocks, and blocks into numbers."""
+    keys = [c for c in directories.columns]
+    out = directories.select(*keys, F.explode(F.expr(pieces)).alias("_piece"))
+    for size in (_BLOCK * _BLOCK, _BLOCK):
+        out = out.select(*keys, F.explode(F.expr(ranges("_piece.lo", "_piece.hi", size))).alias("_piece"))
+    return out.select(*keys, F.explode(F.expr("sequence(_piece.lo, _piece.hi)")).alias("page_no"))
+
+
+def whole_range(count: str) -> str:
+    """One piece from 1 to ``count``; none if it is NULL."""
+    return f"if({count} IS NULL, array(), array(named_struct('lo', 1L, 'hi', CAST({count} AS BIGINT))))"
+
+
 def page_plan(directories: DataFrame, paging: Paging, base: str = "base_url", count: str = "page_count") -> DataFrame:
     """One row per announced page."""
-    numbered = directories.withColumn("page_no", F.explode(F.sequence(F.lit(1), F.col(count))))
     url = urls.page_url(base, "page_no", paging.query, paging.suffix, paging.bare_first)
-    return numbered.withColumn("page_url", F.expr(url))
+    return numbered(directories, whole_range(count)).withColumn("page_url", F.expr(url))
 
 
 def missing_pages(plan: DataFrame, pages: DataFrame) -> DataFrame:

@@ -21,9 +21,10 @@ def _navigation() -> str:
           for p in PAGED if p.paging.kind == "label_div" and isinstance(p.paging.size, int)],
         otherwise="total",
     )
+    # an elided pager: 1 2 3 ... last
     numbers = case(
         (f"{one_of('profile_id', [p.profile_id for p in PAGED if p.paging.kind == 'hrefs'])} AND page_no = 1",
-         "sequence(1, last_page)"),
+         "array_distinct(array(1, least(2, last_page), least(3, last_page), last_page))"),
         otherwise="array(1, last_page)",
     )
     return f"""concat('<nav class="cms-pagination"><ul>',
@@ -32,7 +33,7 @@ def _navigation() -> str:
         if(page_no < last_page, '<a class="fsPaginationNext">Next</a>', ''),
         '<div class="fsElementPagination"><a data-page="1">1</a><a data-page="', last_page, '">last</a></div>',
         '<a class="fsLastPageLink" data-page="', last_page, '">Last</a>',
-        '<div class="fsPaginationLabel">showing 1 - {CARDS_PER_PAGE} of ', {sized}, ' people</div>',
+        '<div class="fsPaginationLabel">showing 1 - {CARDS_PER_PAGE} of&nbsp;', {sized}, ' people</div>',
         '<span class="page-count">Page 1 of ', last_page, '</span>')"""
 
 
@@ -42,8 +43,7 @@ def paged_pages(spark, sf):
         F.count(F.lit(1)).alias("total"),
         (F.floor(F.max("n") / CARDS_PER_PAGE) + 1).cast("int").alias("last_page"),
     )
-    # one row per paged profile, a fixed number
-    pages = listing_pages(spark, sf, IDS).join(F.broadcast(totals), "profile_id")
+    pages = listing_pages(spark, sf, IDS).join(totals, "profile_id")
     return pages.withColumn(
         "html", F.expr(f"replace(html, '<body>', concat('<body>', {_navigation()}))")
     ).withColumn("url", F.expr(coverage.page_address(PAGED))).drop("total", "last_page")
@@ -53,14 +53,15 @@ def _plan_sql(select: str) -> str:
     quote = lambda s: "'" + s.replace("'", "''") + "'"
     rows = ",\n    ".join(
         f"({n}, {quote(i)}, {quote(BY_ID[i].url)}, {quote(BY_ID[i].paging.query)}, {quote(BY_ID[i].paging.suffix)}, "
-        f"{BY_ID[i].paging.bare_first}, {BY_ID[i].paging.kind == 'next_link'})"
+        f"{BY_ID[i].paging.bare_first}, {BY_ID[i].paging.kind == 'next_link'}, {BY_ID[i].paging.kind == 'hrefs'})"
         for n, i in enumerate(IDS)
     )
-    return f"""WITH paged(n, profile_id, base_url, query, suffix, bare_first, linked) AS (VALUES
+    return f"""WITH paged(n, profile_id, base_url, query, suffix, bare_first, linked, elided) AS (VALUES
     {rows}),
     sized AS (SELECT p.*, max(c_custkey // {len(IDS)}) // {CARDS_PER_PAGE} + 1 AS last_page
               FROM paged p JOIN customer ON c_custkey % {len(IDS)} = p.n GROUP BY ALL),
-    pages AS (SELECT *, CAST(unnest(range(1, last_page + 1)) AS INTEGER) AS page_no FROM sized),
+    numbers AS (SELECT *, unnest(range(1, last_page + 1)) AS page_no FROM sized),
+    pages AS (SELECT * FROM numbers WHERE NOT elided OR page_no <= 3 OR page_no = last_page),
     plan AS (SELECT *, base_url || CASE WHEN bare_first AND page_no = 1 THEN '' ELSE query || page_no || suffix END AS page_url,
                     page_no > 1 AND (page_no + n) % 3 = 0 AS lost FROM pages)
     {select}"""

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from cardloom.operators import merge
 from cardloom.plans.catalog.base import query
 from cardloom.plans.extract import extract
@@ -70,11 +72,15 @@ _SHARED_IDS = ("seattle_christian", "seattle_prep", "texans_can_dallas_north", "
     "shared_addresses", "L1",
     expected_sql(_SHARED_IDS, """, stored AS (SELECT DISTINCT base_url || CASE WHEN page_no > 1
             THEN '?page=' || CAST(page_no AS VARCHAR) ELSE '' END AS url, profile_id FROM cards)
-        SELECT url, min(profile_id) AS first_source, max(profile_id) AS last_source FROM stored
-        GROUP BY url HAVING count(*) > 1"""),
+, three AS (SELECT * FROM stored UNION SELECT url, 'third_' || profile_id FROM stored WHERE profile_id = 'seattle_prep')
+        SELECT url, profile_id AS source_id, sources FROM three
+        JOIN (SELECT url, count(*) AS sources FROM three GROUP BY url HAVING count(*) > 1) USING (url)"""),
 )
 def shared_addresses(spark, sf):
-    return merge.shared_addresses(listing_pages(spark, sf, _SHARED_IDS))
+    """Two directories share their addresses, and a third source holds the pages of one of them again."""
+    pages = listing_pages(spark, sf, _SHARED_IDS)
+    again = pages.filter("profile_id = 'seattle_prep'").withColumn("source_id", F.concat(F.lit("third_"), "source_id"))
+    return merge.shared_addresses(pages.unionByName(again))
 
 
 MERGE_IDS = tuple(i for i, _ in MERGE_RUN)

@@ -152,8 +152,8 @@ _PAGINGS = {
 @query(
     "page_counts", "K1 K2 K3 K4 K5 K6 F4 D13",
     f"""WITH {SQL} SELECT source_id, """
-    + ", ".join(f"CAST(last_page AS INTEGER) AS {k}" for k in _PAGINGS if k != "absent")
-    + ", 1 AS absent FROM totals",
+    + ", ".join(f"CAST(last_page AS BIGINT) AS {k}" for k in _PAGINGS if k != "absent")
+    + ", CAST(1 AS BIGINT) AS absent FROM totals",
 )
 def page_counts(spark, sf):
     first = directory_pages(spark, sf).filter("page_no = 1")
@@ -166,7 +166,7 @@ def page_counts(spark, sf):
 
 @query(
     "page_counts_by_cards", "K2 F5",
-    f"""WITH {SQL} SELECT source_id, CAST(ceil(total * 1.0 / least(total, {CARDS})) AS INTEGER) AS pages FROM totals""",
+    f"""WITH {SQL} SELECT source_id, CAST(ceil(total * 1.0 / least(total, {CARDS})) AS BIGINT) AS pages FROM totals""",
 )
 def page_counts_by_cards(spark, sf):
 
@@ -219,7 +219,7 @@ def _plan(spark, sf):
 
 
 _PLAN_SQL = f"""{SQL}, plan AS (
-  SELECT source_id, CAST(p AS INTEGER) AS page_no,
+  SELECT source_id, CAST(p AS BIGINT) AS page_no,
          'https://www.dir' || source_id || '.example.org/staff' || CASE WHEN p = 1 THEN '' ELSE '?page_no=' || p END AS page_url
   FROM (SELECT source_id, unnest(range(1, last_page + 1)) AS p FROM totals))"""
 

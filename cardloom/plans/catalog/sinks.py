@@ -13,14 +13,14 @@ from cardloom.sources import sinks
 from cardloom.sources.layout import shared_folder
 
 _IDS = ("chicagojewishdayschool", "hamilton_city", "texans_can_pleasant_grove")
-_QUOTED = "concat(job_title, ', \"', name, '\"\n', profile_id)"
+_QUOTED = "concat('  ', job_title, ', \"', name, '\"\n', profile_id, ' ')"
 _CORE_SQL = expected_sql(
-    _IDS, "SELECT school_name, url, name, job_title || ', \"' || name || '\"' || chr(10) || profile_id AS job_title, email FROM expected"
+    _IDS, "SELECT school_name, url, name, '  ' || job_title || ', \"' || name || '\"' || chr(10) || profile_id || ' ' AS job_title, email FROM expected"
 )
 
 
 def _awkward(spark, sf):
-    """Titles with quotes, commas and line breaks."""
+    """Titles with quotes, commas, line breaks and blanks at both ends."""
     return rendered_records(spark, sf, _IDS).withColumn("job_title", F.expr(_QUOTED.replace("\n", "\\n")))
 
 
@@ -80,7 +80,7 @@ def empty_csv(spark, sf):
 @query(
     "csv_lines", "A10 J35",
     expected_sql(_IDS, """SELECT profile_id, page_no, '"' || school_name || '","' || url || '","' || name || '","' ||
-        job_title || ', ""' || name || '""' || chr(10) || profile_id || '","' || email || '"' AS line FROM expected"""),
+        '  ' || job_title || ', ""' || name || '""' || chr(10) || profile_id || ' ","' || email || '"' AS line FROM expected"""),
 )
 def csv_lines(spark, sf):
     return sinks.csv_lines(_awkward(spark, sf)).select("profile_id", "page_no", "line")

@@ -84,7 +84,7 @@ _documents(
     "text_predicates", "D5 D7 D8 D10 J33",
     dict(
         long=tx.longer_than("text", 500),
-        job=tx.is_job_text("concat(left(text, 20), if(doc_id % 3 = 0, ' Director', ''))"),
+        job=tx.is_job_text("concat(text, if(doc_id % 3 = 0, ' Director', ''))"),
         comma="contains(text, ',')",
         at=tx.has_at_sign("text"),
         address=f"md5({tx.if_address('text')})",
@@ -92,7 +92,8 @@ _documents(
     ),
     dict(
         long="length(text) > 500",
-        job="regexp_matches(lower(left(text, 20) || CASE WHEN doc_id % 3 = 0 THEN ' Director' ELSE '' END), "
+        job="length(text || CASE WHEN doc_id % 3 = 0 THEN ' Director' ELSE '' END) < 100 AND "
+            "regexp_matches(lower(text || CASE WHEN doc_id % 3 = 0 THEN ' Director' ELSE '' END), "
             "'principal|teacher|director|manager|coordinator')",
         comma="contains(text, ',')",
         at="contains(text, '@')",
@@ -163,15 +164,15 @@ _people(
         unparsed=f"coalesce({tx.to_int('email')}, -1)",
         pages=tx.ceil_div("key", "8"),
     ),
-    dict(total="CAST(key AS INTEGER)", size="CAST(key + 1 AS INTEGER)", default_size="24",
-         parsed="CAST(key AS INTEGER)", unparsed="-1", pages="CAST(ceil(key / 8.0) AS INTEGER)"),
+    dict(total="key", size="key + 1", default_size="CAST(24 AS BIGINT)",
+         parsed="key", unparsed="CAST(-1 AS BIGINT)", pages="CAST(ceil(key / 8.0) AS BIGINT)"),
 )
 _people(
     "person_name_test", "D6 D12 D13",
     dict(
         plain=tx.is_person_name("name"), single=tx.is_person_name("last"),
         long=tx.is_person_name("concat(name, ' ', title)"),
-        intro=tx.is_person_name("concat('Made up of ', left(name, 10))"),
+        intro=tx.is_person_name("concat('Made up of ', name)"),
         number=tx.is_number("CAST(key AS STRING)"), no_number=tx.is_number("email"),
         link=f"coalesce({tx.real_link('''if(key % 2 = 0, '#', email)''')}, '')",
     ),

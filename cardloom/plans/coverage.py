@@ -11,9 +11,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from cardloom.functions import urls
-from cardloom.functions.sql import case, lit
+from cardloom.functions.sql import case, lit, transform
 from cardloom.operators.markup import parse_pages
-from cardloom.operators.paging import has_next, page_count
+from cardloom.operators.paging import has_next, linked_numbers, numbered, page_count, whole_range
 from cardloom.operators.rules import Profile
 from cardloom.plans.profiles import PROFILES
 
@@ -38,15 +38,29 @@ def _listing(pages: DataFrame, profiles: Sequence[Profile]) -> DataFrame:
     )
 
 
+def _announcements(pages: DataFrame, profiles: Sequence[Profile]) -> DataFrame:
+    """The first page of each directory with ``page_count`` (K1-K6), or the numbers it links to (K7)."""
+    counted = [p for p in profiles if p.paging and p.paging.kind not in ("next_link", "hrefs")]
+    linking = [p for p in profiles if p.paging and p.paging.kind == "hrefs"]
+    first = _listing(pages, counted + linking).filter("page_no = 1").select("source_id", "profile_id", "url", "html")
+    count = _by_profile(counted, lambda p: page_count(p.paging, "nodes", p.card)) if counted else "CAST(NULL AS BIGINT)"
+    links = _by_profile(linking, lambda p: linked_numbers(p.paging)) if linking else "CAST(NULL AS ARRAY<BIGINT>)"
+    return parse_pages(first).select(
+        "source_id", "profile_id", F.expr(count).alias("page_count"), F.expr(links).alias("page_nos"))
+
+
 def announced_pages(pages: DataFrame, profiles: Sequence[Profile] = PROFILES) -> DataFrame:
-    """K1-K7, K9: one row per page a directory announces on its first page."""
-    counted = [p for p in profiles if p.paging and p.paging.kind != "next_link"]
-    first = _listing(pages, counted).filter("page_no = 1").select("source_id", "profile_id", "url", "html")
-    count = _by_profile(counted, lambda p: page_count(p.paging, "nodes", p.card))
-    numbered = parse_pages(first).select("source_id", "profile_id", F.expr(count).alias("page_count"))
-    return numbered.select(
-        "source_id", "profile_id", F.explode(F.sequence(F.lit(1), "page_count")).alias("page_no")
-    ).withColumn("page_url", F.expr(page_address(counted)))
+    """K1-K7, K9: one row per page a directory announces on its first page, or links to from there."""
+    paged = [p for p in profiles if p.paging and p.paging.kind != "next_link"]
+    single = transform("page_nos", lambda n: f"named_struct('lo', {n}, 'hi', {n})")
+    pieces = f"if(page_nos IS NULL, {whole_range('page_count')}, {single})"
+    return numbered(_announcements(pages, profiles), pieces).select(
+        "source_id", "profile_id", "page_no").withColumn("page_url", F.expr(page_address(paged)))
+
+
+def unreadable_announcements(pages: DataFrame, profiles: Sequence[Profile] = PROFILES) -> DataFrame:
+    """Directories whose first page announces a number of pages that cannot be read."""
+    return _announcements(pages, profiles).filter("page_count IS NULL AND page_nos IS NULL").select("source_id", "profile_id")
 
 
 def linked_pages(pages: DataFrame, profiles: Sequence[Profile] = PROFILES) -> DataFrame:
@@ -54,7 +68,7 @@ def linked_pages(pages: DataFrame, profiles: Sequence[Profile] = PROFILES) -> Da
     linked = [p for p in profiles if p.paging and p.paging.kind == "next_link"]
     stored = _listing(pages, linked).select("source_id", "profile_id", "page_no", "html")
     test = _by_profile(linked, lambda p: has_next(p.paging))
-    following = parse_pages(stored).filter(F.expr(test)).withColumn("page_no", F.col("page_no") + 1)
+    following = parse_pages(stored).filter(F.expr(test)).withColumn("page_no", F.col("page_no").cast("bigint") + 1)
     return following.select("source_id", "profile_id", "page_no").withColumn(
         "page_url", F.expr(page_address(linked))
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 from uuid import uuid4
 
@@ -11,13 +13,24 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 def shared_folder(spark: SparkSession) -> str:
     """A fresh folder every executor can reach.
 
-    The cluster names the place in ``spark.checkpoint.dir``; only where that is unset (tests on one
-    machine) a temporary folder is used.
+    The place is the one the session names in ``spark.checkpoint.dir``, or else the checkpoint folder
+    set on its context. Without either a temporary folder is right only where driver and executors are
+    one process; on a cluster that is an error, since each executor would write to a disk of its own.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="cardloom-")
+    base = spark.conf.get("spark.checkpoint.dir", None) or _context_folder(spark)
+    if not base:
+        if not spark.conf.get("spark.master", "").startswith("local") or "cluster" in spark.conf.get("spark.master", ""):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        base = tempfile.mkdtemp(prefix="cardloom-")
+        atexit.register(shutil.rmtree, base, ignore_errors=True)
     return f"{base.rstrip('/')}/cardloom-{uuid4().hex}"
 
 
+def _context_folder(spark: SparkSession) -> str | None:
+    context = getattr(spark, "sparkContext", None)
+    return context.getCheckpointDir() if context is not None else None
+
+
 def write_pages(pages: DataFrame, folder: str) -> None:
     """Stored pages by role and profile, so that each branch of an extraction reads only its own.
 

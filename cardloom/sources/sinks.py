@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, functions as F
 from cardloom.functions import text as tx
 from cardloom.operators.rules import CORE, Profile
 
-CSV_OPTIONS = dict(header=True, quoteAll=True, escape='"', emptyValue="", nullValue="")
+CSV_OPTIONS = dict(header=True, quoteAll=True, escape='"', emptyValue="", nullValue="",
+                   ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
 
 
 def blank_filled(records: DataFrame) -> DataFrame:

@@ -105,6 +105,36 @@ def test_page_counts_without_links_and_with_text(spark):
         pg.page_count(Paging("next_link", "a"))
 
 
+def test_announcements_beyond_32_bits_and_unreadable_ones(spark):
+    pages = spark.createDataFrame(
+        [(1, '<div class="l">showing 1\u00a0-\u00a08 of\u00a03000000000</div>'), (2, '<div class="l">page 1 of ' + "9" * 30 + "</div>")],
+        "id int, html string")
+    counted = parse_pages(pages).select("id", F.expr(pg.page_count(Paging("label_of", ".l"))).alias("n"))
+    assert {r.id: r.n for r in counted.collect()} == {1: 3_000_000_000, 2: None}
+
+
+def test_plans_are_written_out_in_blocks(spark):
+    some = spark.createDataFrame([(1, 3), (2, None), (3, 2_500_000)], "id int, n long")
+    rows = pg.numbered(some, pg.whole_range("n"))
+    got = {r.id: (r.a, r.b, r.c) for r in rows.groupBy("id").agg(
+        F.min("page_no").alias("a"), F.max("page_no").alias("b"), F.count("*").alias("c")).collect()}
+    assert got == {1: (1, 3, 3), 3: (1, 2_500_000, 2_500_000)}
+    huge = spark.createDataFrame([(1, 1 << 50)], "id int, n long")
+    assert [r.page_no for r in pg.numbered(huge, pg.whole_range("n")).limit(2).collect()] == [1, 2]
+
+
+def test_linked_pages_are_exactly_the_linked_ones(spark):
+    nav = "".join(f'<a href="/staff?page_no={n}">{n}</a>' for n in (1, 2, 3, 57, 2))
+    pages = spark.createDataFrame([("https://x.org/staff", f"<nav>{nav}</nav>")], "url string, html string")
+    found = parse_pages(pages).select(F.expr(pg.linked_numbers(Paging("hrefs", "nav a", query="?page_no="))).alias("n"))
+    assert found.first().n == [1, 2, 3, 57]
+
+
+def test_all_sources_of_a_shared_address_are_listed(spark):
+    pages = spark.createDataFrame([("u", "a"), ("u", "b"), ("u", "c"), ("u", "a"), ("v", "a")], "url string, source_id string")
+    assert sorted(map(tuple, merge.shared_addresses(pages).collect())) == [("u", "a", 3), ("u", "b", 3), ("u", "c", 3)]
+
+
 @pytest.fixture(scope="module")
 def small_run(spark, sf_dir, tmp_path_factory):
     ids = ("seattle_prep", "harrow_ny", "easterseals_ny", "chicagowaldorf", "little_miami_board")
@@ -162,6 +192,21 @@ def test_shared_folder_comes_from_the_session(spark):
     assert folder != layout.shared_folder(spark)
 
 
+def test_shared_folder_takes_the_context_folder_and_refuses_clusters(spark, monkeypatch):
+    if spark.conf.get("spark.checkpoint.dir", None):
+        pytest.skip("the session names a folder")
+    monkeypatch.setattr(layout, "_context_folder", lambda s: "hdfs://shared/place")
+    assert layout.shared_folder(spark).startswith("hdfs://shared/place/cardloom-")
+    monkeypatch.setattr(layout, "_context_folder", lambda s: None)
+
+    class Conf:
+        def get(self, key, default=None):
+            return {"spark.master": "yarn"}.get(key, default)
+
+    with pytest.raises(ValueError):
+        layout.shared_folder(type("Session", (), {"conf": Conf()})())
+
+
 def test_workers_need_no_copy_of_the_package(sf_dir, tmp_path):
     """Run from another folder, with the package reachable only through the driver's path."""
     code = (
