@@ -62,6 +62,8 @@ _TABLE_PARTS = frozenset("table caption colgroup tbody thead tfoot tr td th".spl
 _SCOPE_WALLS = frozenset("td th caption table button template html".split())
 # tag -> (open tags it ends, tags at which the search stops)
 _IMPLIED_END = {
+    "a": (frozenset(["a"]), frozenset("td th caption table template html".split())),
+    "button": (frozenset(["button"]), frozenset("td th caption table template html".split())),
     "li": (frozenset(["li"]), frozenset("ul ol table td th".split())),
     "dt": (frozenset(["dt", "dd"]), frozenset("dl table td th".split())),
     "dd": (frozenset(["dt", "dd"]), frozenset("dl table td th".split())),
@@ -83,6 +85,7 @@ _TOKEN = re.compile(
     r"|(?P<open>[a-zA-Z][^\s/>]*+)(?P<attrs>(?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+'|))*+)>)",
     re.S,
 )
+_UNENDED = re.compile(r"<[!?/a-zA-Z]")
 _ATTR = re.compile(
     r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.S
 )
@@ -91,18 +94,27 @@ _ROW_PARTS = frozenset(["tr", "td", "th"])
 _ROW_GROUPS = frozenset(["tbody", "thead", "tfoot"])
 _MAY_CLOSE = _CLOSES_P | _HEADINGS | frozenset(_IMPLIED_END)
 
-# Fixed value: browsers nest elements no deeper than this; what is deeper becomes a child of the
-# last level. Paths of ancestors stay short, so hostile nesting cannot blow a page up.
-MAX_DEPTH = 512
+# Nodes nested deeper than this do not list their ancestors, so hostile nesting cannot blow a page up;
+# selectors then find the enclosing elements by their positions (``select.above``). Nothing is lost.
+LISTED_DEPTH = 512
 
 
+_NUMBER = re.compile(r"&#(?:([0-9]+)|[xX]([0-9a-fA-F]+));?")
 _REFERENCE = re.compile(r"&(?:#(?:[0-9]+|[xX][0-9a-fA-F]+);?|([A-Za-z][A-Za-z0-9]*(?:;|(?![A-Za-z0-9=]))))")
 
 
 def _attribute_text(value: str) -> str:
     """Decode references in an attribute: unlike in text, one without ``;`` counts only as a whole
     word, so ``?a=1&copy=2`` stays a query string."""
-    return _REFERENCE.sub(lambda m: html5.get(m[1], m[0]) if m[1] else unescape(m[0]), value)
+    return _REFERENCE.sub(lambda m: html5.get(m[1], m[0]) if m[1] else _text(m[0]), value)
+
+
+def _text(value: str) -> str:
+    """Decode references in text. A number with more digits than Unicode needs is the replacement
+    character, found without turning it into a number."""
+    if "&#" in value:
+        value = _NUMBER.sub(lambda m: "\ufffd" if len((m[1] or m[2]).lstrip("0")) > 7 else m[0], value)
+    return unescape(value)
 
 
 class _Nodes:
@@ -148,6 +160,8 @@ class _Nodes:
         # per open element: [position, children so far, last element child, same-tag counts, path]
         top: list = [-1, 0, -1, {}, ()]
         frames: list[list] = [top]
+        open_count: dict[str, int] = {}  # an end tag that ends nothing is told without a search
+        scope_p: list[int] = [-1]  # level of the open <p> in each nested scope
 
         def add(kind, tag, elem_id, classes, attrs, text, start, inner):
             pos = len(rows) - base
@@ -170,8 +184,15 @@ class _Nodes:
 
         def push(tag, pos):
             nonlocal top
+            above = top[4]
+            listed = above is not None and len(above) < LISTED_DEPTH
+            if tag == "p":
+                scope_p[-1] = len(open_tags)
+            elif tag in _SCOPE_WALLS:
+                scope_p.append(-1)
             open_tags.append(tag)
-            top = [pos, 0, -1, {}, top[4] + (pos,)]
+            open_count[tag] = open_count.get(tag, 0) + 1
+            top = [pos, 0, -1, {}, above + (pos,) if listed else None]
             frames.append(top)
 
         def close_to(level, inner_end, outer_end):
@@ -179,7 +200,12 @@ class _Nodes:
             nonlocal top
             last = len(rows) - base - 1
             while len(open_tags) > level:
-                open_tags.pop()
+                tag = open_tags.pop()
+                open_count[tag] -= 1
+                if tag == "p":
+                    scope_p[-1] = -1
+                elif tag in _SCOPE_WALLS:
+                    scope_p.pop()
                 at = base + frames.pop()[0]
                 stops[at] = last
                 inner_ends[at] = inner_end
@@ -188,19 +214,15 @@ class _Nodes:
 
         def close_implied(tag, at):
             """Start tags that end open elements, and table parts that may be left out."""
-            if tag in _CLOSES_P and "p" in open_tags:
-                for i in range(len(open_tags) - 1, -1, -1):
-                    if open_tags[i] == "p":
-                        close_to(i, at, at)
-                        break
-                    if open_tags[i] in _SCOPE_WALLS:
-                        break
+            if tag in _CLOSES_P and scope_p[-1] >= 0:
+                close_to(scope_p[-1], at, at)
             if tag in _HEADINGS and open_tags and open_tags[-1] in _HEADINGS:
                 close_to(len(open_tags) - 1, at, at)
             rule = _IMPLIED_END.get(tag)
             if rule:
                 ended, walls = rule
-                for i in range(len(open_tags) - 1, -1, -1):
+                some = any(open_count.get(t) for t in ended)
+                for i in range(len(open_tags) - 1 if some else -1, -1, -1):
                     if open_tags[i] in ended:
                         close_to(i, at, at)
                         break
@@ -212,14 +234,18 @@ class _Nodes:
                     if tag != "tr" and open_tags[-1] in _ROW_GROUPS:
                         push("tr", add("el", "tr", None, (), (), None, at, at))
 
+        # behind the last ">" no tag ends; what begins one there ends the page
         cursor, size = 0, len(html)
+        tags_end = html.rfind(">") + 1
+        unended = _UNENDED.search(html, tags_end)
+        last_text = unended.start() if unended else size
         find_token = _TOKEN.search
         while cursor < size:
-            hit = find_token(html, cursor)
-            stop = hit.start() if hit else size
+            hit = find_token(html, cursor, max(tags_end, cursor))
+            stop = hit.start() if hit else max(last_text, cursor)
             if stop > cursor:
                 run = html[cursor:stop]
-                add("text", None, None, (), (), unescape(run) if "&" in run else run, cursor, stop)
+                add("text", None, None, (), (), _text(run) if "&" in run else run, cursor, stop)
             if not hit:
                 break
             cursor = hit.end()
@@ -243,8 +269,7 @@ class _Nodes:
                 if tag in _VOID or (raw_attrs.endswith("/") and "svg" in open_tags):
                     continue
                 ending = _RAW_END.get(tag)
-                if len(open_tags) < MAX_DEPTH or ending:
-                    push(tag, pos)
+                push(tag, pos)
                 if ending:
                     tail = ending.search(html, cursor)
                     inner_end, outer_end = (tail.start(), tail.end()) if tail else (size, size)
@@ -253,7 +278,7 @@ class _Nodes:
                         if tag in _RAW_TEXT:
                             add("raw", None, None, (), (), run, cursor, inner_end)
                         else:
-                            add("text", None, None, (), (), unescape(run), cursor, inner_end)
+                            add("text", None, None, (), (), _text(run), cursor, inner_end)
                     close_to(len(open_tags) - 1, inner_end, outer_end)
                     cursor = outer_end
             elif group == "close":
@@ -261,6 +286,8 @@ class _Nodes:
                 if open_tags and open_tags[-1] == tag:
                     close_to(len(open_tags) - 1, stop, cursor)
                     continue
+                if not open_count.get(tag):
+                    continue
                 table_part = tag in _TABLE_PARTS
                 for i in range(len(open_tags) - 1, -1, -1):
                     if open_tags[i] == tag:
@@ -269,6 +296,8 @@ class _Nodes:
                     if open_tags[i] in _SCOPE_WALLS and not (table_part and open_tags[i] != "table"):
                         break
             elif group == "comment":
+                if not html.endswith("-->", stop, cursor):
+                    cursor = size  # never ended
                 add("comment", None, None, (), (), None, stop, cursor)
         close_to(0, size, size)
 
@@ -302,7 +331,9 @@ class _Nodes:
             ),
             "text": pa.array(text, pa.string()),
             "ancestors": pa.ListArray.from_arrays(
-                offsets(ancestors), pa.array(list(chain.from_iterable(ancestors)), pa.int32())
+                offsets([a or () for a in ancestors]),
+                pa.array(list(chain.from_iterable(a or () for a in ancestors)), pa.int32()),
+                mask=pa.array([a is None for a in ancestors], pa.bool_()),
             ),
             "outer_start": at_bytes(outer_start),
             "inner_start": at_bytes(inner_start),

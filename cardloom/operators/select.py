@@ -2,7 +2,7 @@
 
 A selector string becomes a predicate on one node (SQL text), so selection is ``filter`` over the
 array.  Relations between elements use the preorder numbering: the subtree of an element is an
-array slice, its ancestors are listed in the node, its next sibling is a stored position.
+array slice, its ancestors are listed in the node (up to a depth), its next sibling is a stored position.
 """
 
 from __future__ import annotations
@@ -96,7 +96,7 @@ def _chain_holds(node: str, nodes: str, chain: tuple) -> str:
     tests = [_holds(node, nodes, c) for c in conditions]
     left = chain[:-1]
     if left:
-        up = f"slice({node}.ancestors, -1, 1)" if link == ">" else f"{node}.ancestors"
+        up = f"filter(array({node}.parent), up -> up >= 0)" if link == ">" else above(nodes, node)
         tests.append(true_only(exists(up, lambda pos: _chain_holds(f"get({nodes}, {pos})", nodes, left))))
     return " AND ".join(tests)
 
@@ -117,6 +117,13 @@ def subtree(nodes: str, el: str) -> str:
     return f"slice({nodes}, {el}.pos + 2, {el}.stop - {el}.pos)"
 
 
+def above(nodes: str, el: str) -> str:
+    """Positions of the enclosing elements, outermost first: listed in the node, or, for nodes nested
+    very deeply, those elements before it whose subtree reaches it."""
+    before = filter_(f"slice({nodes}, 1, {el}.pos)", lambda n: f"{n}.stop >= {el}.pos AND {n}.kind = 'el'")
+    return f"coalesce({el}.ancestors, {transform(before, lambda n: f'{n}.pos')})"
+
+
 def find(nodes: str, el: str | None, css: str) -> str:
     """Matches below ``el`` (the whole page if None), in document order."""
     test = matcher(css)
@@ -136,8 +143,8 @@ def parent(nodes: str, el: str) -> str:
 def closest(nodes: str, el: str, css: str) -> str:
     """The nearest enclosing match, as an array of at most one element."""
     test = matcher(css)
-    above = transform(f"reverse({el}.ancestors)", lambda pos: f"get({nodes}, {pos})")
-    return f"slice({filter_(above, lambda n: test(n, nodes))}, 1, 1)"
+    outward = transform(f"reverse({above(nodes, el)})", lambda pos: f"get({nodes}, {pos})")
+    return f"slice({filter_(outward, lambda n: test(n, nodes))}, 1, 1)"
 
 
 def next_sibling(nodes: str, el: str, css: str) -> str:
@@ -178,7 +185,7 @@ def text_without(nodes: str, el: str, css: str) -> str:
 
     def outside(t: str) -> str:
         inside = exists(
-            f"{t}.ancestors",
+            above(nodes, t),
             lambda pos: f"{pos} > {el}.pos AND {true_only(test(f'get({nodes}, {pos})', nodes))}",
         )
         return f"{t}.text IS NOT NULL AND NOT {inside}"

@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import random
+import time
 
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
-from cardloom.operators.markup import _FLUSH_CHARS, MAX_DEPTH, _Nodes, _parse_batches, explode_nodes, parse_pages
+from cardloom.operators import select as sel
+from cardloom.operators.markup import _FLUSH_CHARS, LISTED_DEPTH, _Nodes, _parse_batches, explode_nodes, parse_pages
 
 
 def nodes(html):
@@ -109,16 +112,44 @@ def test_numbering_holds_on_random_markup():
                 assert n["next_el"] == (later[0] if later else -1)
 
 
-def test_broken_quotes_stay_linear():
-    html = '<a title="' * 4000
-    assert len(nodes(html)) <= 4001
+@pytest.mark.parametrize("part", ['<a title="', "<a ", "</a ", "<!--", "<", "<script>", "<a href='", "<title", "<p><b>", "<li><div>", "<button><p>"])
+def test_broken_markup_stays_linear(part):
+    begin = time.perf_counter()
+    n = _Nodes()
+    n.add_page(part * (300_000 // len(part)) + ("" if part.endswith(">") else "x"))
+    n.to_arrow()
+    assert time.perf_counter() - begin < 6
+
+
+def test_end_of_page_inside_a_tag_or_comment():
+    texts = lambda html: [n["text"] for n in nodes(html) if n["text"]]
+    assert texts("<p>a <b>b</b> c <a href='x") == ["a ", "b", " c "]
+    assert texts("<p>a</p> 1 < 2") == ["a", " 1 < 2"]
+    assert texts("a<!-- b > c") == ["a"]
+    assert texts("<script>if (a > b && a <c") == ["if (a > b && a <c"]
+
+
+def test_deep_nesting_keeps_its_structure(spark):
+    html = "<div id=cards>" + "<div>" * 600 + "deep" + "</div>" * 600 + "<div class=card id=c1>x</div></div><p>after</p>"
+    found = nodes(html)
+    assert max(n["depth"] for n in found) == 601 and sum(n["kind"] == "el" for n in found) == 603
+    deep = next(n for n in found if n["text"] == "deep")
+    assert deep["ancestors"] is None and max(len(n["ancestors"] or ()) for n in found) == LISTED_DEPTH
+    row = parse_pages(spark.createDataFrame([(html,)], "html string")).select(
+        F.expr(f"size({sel.find('nodes', None, '#cards .card')})").alias("cards"),
+        F.expr(f"size({sel.find('nodes', None, '#cards div div')})").alias("below"),
+        F.expr(f"size({sel.find('nodes', None, 'div > div')})").alias("children")).first()
+    assert tuple(row) == (1, 599, 601)
+
+
+def test_hostile_references():
+    found = nodes("<p title='&#" + "9" * 5000 + ";'>&#" + "1" * 5000 + "; &#x" + "f" * 9000 + ";&#0000000000065;</p>")
+    assert found[1]["text"] == "\ufffd \ufffdA" and dict(found[0]["attrs"]) == {"title": "\ufffd"}
 
 
-def test_deep_nesting_is_flattened_not_lost():
-    found = nodes("<div>" * 5000 + "deep" + "</div>" * 5000 + "<p>after</p>")
-    assert max(n["depth"] for n in found) == MAX_DEPTH
-    assert sum(n["kind"] == "el" for n in found) == 5001
-    assert [n["text"] for n in found if n["kind"] == "text"] == ["deep", "after"]
+def test_links_and_buttons_end_the_ones_before():
+    found = [n for n in nodes("<div><a href=1>x<a href=2>y</a></div><button>1<button>2</button><a>z<td>") if n["tag"] in ("a", "button")]
+    assert [n["depth"] for n in found] == [1, 1, 0, 0, 0]
 
 
 def test_large_batches_are_flushed_in_parts():
