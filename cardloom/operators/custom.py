@@ -5,8 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
-from pyspark.sql.types import StructType
+from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import StringType, StructField, StructType
+
+from cardloom.operators.rules import RECORD_FIELDS
+
+PAGE_KEYS = ("source_id", "profile_id", "page_no", "url")
 
 
 def apply_extractor(
@@ -22,3 +26,30 @@ def apply_extractor(
             yield extractor(batch)
 
     return pages.mapInPandas(run, schema)
+
+
+def records_of_extractors(pages: DataFrame, extractors: dict[str, Callable[[dict], list[dict]]]) -> DataFrame:
+    """Records of the sources that have a function of their own (L4), each page apart from the others (L1, L2).
+
+    A function gets one page (its columns) and gives any number of records. What it raises becomes a row
+    with ``error`` and without a record; the other pages, and the other sources, go on.
+    """
+    schema = StructType(
+        [pages.schema[k] for k in PAGE_KEYS] + [StructField("card_ord", pages.schema["page_no"].dataType)]
+        + [StructField(f, StringType()) for f in (*RECORD_FIELDS, "error")])
+    columns = schema.fieldNames()
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for page in batch.to_dict("records"):
+                keys = [page[k] for k in PAGE_KEYS]
+                try:
+                    found = list(extractors[page["source_id"]](page))
+                    rows += [(*keys, n, *[str(r.get(f) or "") for f in RECORD_FIELDS], None) for n, r in enumerate(found)]
+                except Exception as error:  # whatever a user's function raises belongs to this page only
+                    rows.append((*keys, None, *[None] * len(RECORD_FIELDS), f"{type(error).__name__}: {error}"))
+            yield pd.DataFrame(rows, columns=columns).astype({"card_ord": "Int64", "error": object})
+
+    own = pages.filter((F.col("role") == "listing") & F.col("source_id").isin(list(extractors)))
+    return own.select(*PAGE_KEYS, "html").mapInPandas(run, schema)

@@ -9,7 +9,7 @@ from cardloom.operators import select as sel
 from cardloom.operators.rules import Checked, Field, Joined, Pick
 
 
-def _take(nodes: str, html: str | None, el: str, take: str) -> str:
+def _take(nodes: str, el: str, take: str) -> str:
     kind, _, arg = take.partition(":")
     if kind == "text":
         return sel.element_text(nodes, el)
@@ -26,9 +26,9 @@ def _take(nodes: str, html: str | None, el: str, take: str) -> str:
     if kind == "without":
         return sel.text_without(nodes, el, arg)
     if kind == "inner_html":
-        return sel.inner_html(html, el)
+        return sel.inner_html(nodes, el)
     if kind == "outer_html":
-        return sel.outer_html(html, el)
+        return sel.outer_html(nodes, el)
     raise ValueError(f"unknown take {take!r}")
 
 
@@ -94,14 +94,14 @@ def matches(nodes: str, card: str | None, pick: Pick) -> str:
     return found
 
 
-def pick_value(nodes: str, html: str | None, card: str | None, pick: Pick) -> str:
+def pick_value(nodes: str, card: str | None, pick: Pick) -> str:
     if pick.take.startswith("attr:"):  # of the first match, whatever ``which`` says
         el = f"get({matches(nodes, card, pick)}, 0)"
         value = sel.attribute(el, pick.take.partition(":")[2])
         return tx.or_blank(apply_steps(tx.or_blank(value), pick.steps))
     if pick.css is None and pick.scope == "card" and not pick.where:
-        return tx.or_blank(apply_steps(tx.or_blank(_take(nodes, html, card, pick.take)), pick.steps))
-    texts = transform(matches(nodes, card, pick), lambda el: _take(nodes, html, el, pick.take))
+        return tx.or_blank(apply_steps(tx.or_blank(_take(nodes, card, pick.take)), pick.steps))
+    texts = transform(matches(nodes, card, pick), lambda el: _take(nodes, el, pick.take))
     if pick.which == "first_text":
         value = f"get({filter_(texts, tx.not_blank)}, 0)"
     elif pick.which == "first_value":
@@ -118,21 +118,17 @@ def pick_value(nodes: str, html: str | None, card: str | None, pick: Pick) -> st
     return tx.or_blank(apply_steps(tx.or_blank(value), pick.steps))
 
 
-def field_value(nodes: str, html: str | None, card: str | None, rule: Field | None) -> str:
+def field_value(nodes: str, card: str | None, rule: Field | None) -> str:
     values = []
     for p in rule or ("",):
         if isinstance(p, str):
             values.append(lit(p))
         elif isinstance(p, Joined):
-            parts = ", ".join(pick_value(nodes, html, card, q) for q in p.parts)
+            parts = ", ".join(pick_value(nodes, card, q) for q in p.parts)
             values.append(tx.or_blank(apply_steps(f"concat_ws(' ', {parts})", p.steps)))
         elif isinstance(p, Checked):
-            chosen = tx.first_non_blank(*[pick_value(nodes, html, card, q) for q in p.choices])
+            chosen = tx.first_non_blank(*[pick_value(nodes, card, q) for q in p.choices])
             values.append(tx.or_blank(apply_steps(chosen, p.steps)))
         else:
-            values.append(pick_value(nodes, html, card, p))
+            values.append(pick_value(nodes, card, p))
     return values[0] if len(values) == 1 else tx.first_non_blank(*values)
-
-
-def needs_html(rule: Field | None) -> bool:
-    return any(isinstance(p, Pick) and p.take.endswith("_html") for p in rule or ())

@@ -39,7 +39,8 @@ NODE_TYPE = T.StructType(
         T.StructField("attrs", T.MapType(T.StringType(), T.StringType())),
         T.StructField("text", T.StringType()),  # text and raw nodes only
         T.StructField("ancestors", T.ArrayType(T.IntegerType())),  # root first
-        # place in the markup: characters, or bytes if the markup is kept beside the nodes
+        T.StructField("data", T.StringType()),  # what a comment says
+        # place in the markup, in characters
         T.StructField("outer_start", T.IntegerType()),
         T.StructField("inner_start", T.IntegerType()),
         T.StructField("inner_end", T.IntegerType()),
@@ -124,34 +125,20 @@ class _Nodes:
     positions that follow later (end of the subtree, next sibling) have lists of their own.
     """
 
-    def __init__(self, byte_offsets: bool = False) -> None:
-        self.byte_offsets = byte_offsets
+    def __init__(self) -> None:
         self.rows: list[tuple] = []
         self.stops = array("i")
         self.next_els = array("i")
         self.inner_ends = array("i")
         self.outer_ends = array("i")
         self.page_offsets: list[int] = [0]
-        self.byte_maps: list[tuple[int, int, np.ndarray]] = []  # (first row, end row, byte of each character)
 
     def add_page(self, html: str | None) -> None:
         first = len(self.rows)
         if html:
             self._walk(html)
-            if self.byte_offsets and not html.isascii():
-                codes = np.frombuffer(html.encode("utf-32-le"), np.uint32)
-                widths = 1 + (codes > 0x7F) + (codes > 0x7FF) + (codes > 0xFFFF)
-                self.byte_maps.append(
-                    (first, len(self.rows), np.concatenate(([0], np.cumsum(widths))).astype(np.int32))
-                )
         self.page_offsets.append(len(self.rows))
 
-    def _in_bytes(self, offsets: np.ndarray) -> pa.Array:
-        offsets = np.array(offsets, np.int32)
-        for first, end, byte_of in self.byte_maps:
-            offsets[first:end] = byte_of[offsets[first:end]]
-        return pa.array(offsets)
-
     def _walk(self, html: str) -> None:
         rows, stops, next_els = self.rows, self.stops, self.next_els
         inner_ends, outer_ends = self.inner_ends, self.outer_ends
@@ -163,7 +150,7 @@ class _Nodes:
         open_count: dict[str, int] = {}  # an end tag that ends nothing is told without a search
         scope_p: list[int] = [-1]  # level of the open <p> in each nested scope
 
-        def add(kind, tag, elem_id, classes, attrs, text, start, inner):
+        def add(kind, tag, elem_id, classes, attrs, text, start, inner, data=None):
             pos = len(rows) - base
             if kind == "el":
                 counts = top[3]
@@ -174,7 +161,7 @@ class _Nodes:
             else:
                 type_ord = 0
             rows.append((pos, top[0], len(open_tags), top[1], type_ord, kind, tag, elem_id, classes,
-                         attrs, text, top[4], start, inner))
+                         attrs, text, top[4], data, start, inner))
             top[1] += 1
             stops.append(pos)
             next_els.append(-1)
@@ -298,16 +285,16 @@ class _Nodes:
             elif group == "comment":
                 if not html.endswith("-->", stop, cursor):
                     cursor = size  # never ended
-                add("comment", None, None, (), (), None, stop, cursor)
+                said = html[stop + 4:max(stop + 4, cursor - 3 if html.endswith("-->", stop, cursor) else cursor)]
+                add("comment", None, None, (), (), None, stop, cursor, said)
         close_to(0, size, size)
 
     def to_arrow(self) -> pa.Array:
         n = len(self.rows)
         (pos, parent, depth, sib, type_ord, kind, tag, elem_id, classes, attrs, text, ancestors,
-         outer_start, inner_start) = zip(*self.rows) if n else ((),) * 14
+         data, outer_start, inner_start) = zip(*self.rows) if n else ((),) * 15
         ints = lambda values: pa.array(np.fromiter(values, np.int32, n))
         filled = lambda values: pa.array(np.frombuffer(values, np.int32)) if n else pa.array([], pa.int32())
-        at_bytes = lambda values: self._in_bytes(np.fromiter(values, np.int32, n))
         offsets = lambda lists: pa.array(
             np.fromiter(chain((0,), accumulate(map(len, lists))), np.int32, n + 1)
         )
@@ -335,10 +322,11 @@ class _Nodes:
                 pa.array(list(chain.from_iterable(a or () for a in ancestors)), pa.int32()),
                 mask=pa.array([a is None for a in ancestors], pa.bool_()),
             ),
-            "outer_start": at_bytes(outer_start),
-            "inner_start": at_bytes(inner_start),
-            "inner_end": at_bytes(self.inner_ends),
-            "outer_end": at_bytes(self.outer_ends),
+            "data": pa.array(data, pa.string()),
+            "outer_start": ints(outer_start),
+            "inner_start": ints(inner_start),
+            "inner_end": filled(self.inner_ends),
+            "outer_end": filled(self.outer_ends),
         }
         fields = NODE_TYPE.fieldNames()
         nodes = pa.StructArray.from_arrays([columns[f] for f in fields], names=fields)
@@ -350,11 +338,11 @@ class _Nodes:
 _FLUSH_CHARS = 2_000_000
 
 
-def _parse_batches(html_col: str, kept: list[str], byte_offsets: bool = False):
+def _parse_batches(html_col: str, kept: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             pages = batch.column(html_col)
-            first, chars, nodes = 0, 0, _Nodes(byte_offsets)
+            first, chars, nodes = 0, 0, _Nodes()
             for i in range(len(pages)):
                 html = pages[i].as_py()
                 nodes.add_page(html)
@@ -364,20 +352,20 @@ def _parse_batches(html_col: str, kept: list[str], byte_offsets: bool = False):
                     yield pa.RecordBatch.from_arrays(
                         [part.column(c) for c in kept] + [nodes.to_arrow()], names=kept + ["nodes"]
                     )
-                    first, chars, nodes = i + 1, 0, _Nodes(byte_offsets)
+                    first, chars, nodes = i + 1, 0, _Nodes()
 
     return run
 
 
-def parse_pages(pages: DataFrame, html_col: str = "html", keep_html: bool = False) -> DataFrame:
+def parse_pages(pages: DataFrame, html_col: str = "html") -> DataFrame:
     """B1. Add ``nodes`` to a page table.
 
-    ``html`` is dropped unless a later pick needs the source text (inner / outer HTML), so the
-    markup is not carried twice.  The job is map-only.
+    ``html`` is dropped: inner and outer HTML are written out from the nodes, so the markup is not
+    carried twice.  The job is map-only.
     """
-    kept = [c for c in pages.columns if keep_html or c != html_col]
+    kept = [c for c in pages.columns if c != html_col]
     schema = T.StructType([pages.schema[c] for c in kept] + [T.StructField("nodes", NODES_TYPE)])
-    return pages.mapInArrow(_parse_batches(html_col, kept, keep_html), schema)
+    return pages.mapInArrow(_parse_batches(html_col, kept), schema)
 
 
 def explode_nodes(parsed: DataFrame, *keys: str) -> DataFrame:

@@ -66,25 +66,37 @@ def counts(records: DataFrame, *by: str) -> DataFrame:
     )
 
 
-def run_report(sources: DataFrame, pages: DataFrame, records: DataFrame) -> DataFrame:
+def page_errors(errors: DataFrame) -> DataFrame:
+    """L1: failed pages and the first message of each source, from (source_id, page_no, error)."""
+    return errors.filter("error IS NOT NULL").groupBy("source_id").agg(
+        F.count("*").alias("failed_pages"), F.min(F.struct("page_no", "error"))["error"].alias("page_error"))
+
+
+def run_report(sources: DataFrame, pages: DataFrame, records: DataFrame, errors: DataFrame | None = None) -> DataFrame:
     """One row per source, whatever happened to it.
 
-    A source fails if none of its pages is stored, or if it has no records and its profile says so.
+    A source fails if none of its pages is stored, if pages failed and none gave a record, or if it has no
+    records and its profile says so. ``errors``: (source_id, page_no, error) of pages that failed.
     """
     stored = pages.groupBy("source_id").agg(F.count(F.lit(1)).alias("pages"))
     found = counts(records, "source_id")
     joined = sources.join(stored, "source_id", "left").join(found, "source_id", "left")
-    n, n_pages = (F.coalesce(c, F.lit(0)) for c in ("records", "pages"))
+    if errors is None:
+        joined = joined.withColumns({"failed_pages": F.lit(0).cast("bigint"), "page_error": F.lit(None).cast("string")})
+    else:
+        joined = joined.join(page_errors(errors), "source_id", "left")
+    n, n_pages, n_failed = (F.coalesce(c, F.lit(0).cast("bigint")) for c in ("records", "pages", "failed_pages"))
     status = (
-        F.when(n_pages == 0, "failed").when(n > 0, "ok").otherwise(F.col("when_empty"))
+        F.when(n_pages == 0, "failed").when(n > 0, "ok").when(n_failed > 0, "failed").otherwise(F.col("when_empty"))
     )
     error = (
         F.when(n_pages == 0, "no stored page")
+        .when(n_failed > 0, F.col("page_error"))
         .when((n == 0) & (F.col("when_empty") == "failed"), F.col("empty_message"))
         .otherwise("")
     )
     return joined.select(
-        "source_id", "source_ord", "label", n_pages.alias("pages"), n.alias("records"),
+        "source_id", "source_ord", "label", n_pages.alias("pages"), n_failed.alias("failed_pages"), n.alias("records"),
         F.coalesce("with_email", F.lit(0)).alias("with_email"),
         status.alias("status"), (status != "failed").alias("success"), error.alias("error"),
     )

@@ -11,7 +11,7 @@ import re
 from collections.abc import Callable
 from functools import lru_cache
 
-from cardloom.functions.sql import exists, filter_, lit, one_of, transform, true_only
+from cardloom.functions.sql import case, concat, exists, filter_, lit, one_of, transform, true_only
 
 _SIMPLE = re.compile(
     r"(?P<tag>\*|[a-zA-Z][\w-]*)"
@@ -219,27 +219,52 @@ def attribute(el: str, name: str) -> str:
     return f"{el}.attrs[{lit(name)}]"
 
 
-def source_bytes(html: str) -> str:
-    """Markup in the form ``inner_html`` and ``outer_html`` cut from.
+# Elements without an end tag.
+_VOID = "area base br col embed hr img input link meta param source track wbr".split()
 
-    Cutting bytes costs the length of the cut; cutting characters would count them from the start
-    of the page each time.
-    """
-    return f"CAST({html} AS BINARY)"
 
+def _escaped(x: str) -> str:
+    """Text as it is written in markup."""
+    for char, name in (("&", "&amp;"), ("\u00a0", "&nbsp;"), ("<", "&lt;"), (">", "&gt;")):
+        x = f"replace({x}, {lit(char)}, {lit(name)})"
+    return x
 
-def _cut(source: str, start: str, end: str) -> str:
-    return f"CAST(substring({source}, {start} + 1, {end} - {start}) AS STRING)"
 
+def _start_tag(n: str) -> str:
+    value = lambda a: f"replace(replace(replace({a}.value, '&', '&amp;'), {lit(chr(160))}, '&nbsp;'), '\"', '&quot;')"
+    attrs = transform(f"map_entries({n}.attrs)", lambda a: concat("' '", f"{a}.key", "'=\"'", value(a), "'\"'"))
+    return concat("'<'", f"{n}.tag", f"array_join({attrs}, '')", "'>'")
 
-def inner_html(source: str, el: str) -> str:
-    """B23."""
-    return _cut(source, f"{el}.inner_start", f"{el}.inner_end")
 
+def _end_tag(n: str) -> str:
+    return f"if({one_of(f'{n}.tag', _VOID)}, '', concat('</', {n}.tag, '>'))"
 
-def outer_html(source: str, el: str) -> str:
+
+def _written(n: str) -> str:
+    """A node by itself: start tag, text or comment."""
+    return case(
+        (f"{n}.kind = 'el'", _start_tag(n)), (f"{n}.kind = 'text'", _escaped(f"{n}.text")),
+        (f"{n}.kind = 'raw'", f"{n}.text"), otherwise=concat("'<!--'", f"{n}.data", "'-->'"),
+    )
+
+
+def inner_html(nodes: str, el: str) -> str:
+    """What is below the element, written out from the tree: references decoded but for those that
+    markup needs, attributes quoted, every end tag there. Behind a node stand the end tags of all
+    elements of which it is the last."""
+
+    def piece(n: str) -> str:
+        around = f"concat({above(nodes, n)}, if({n}.kind = 'el', array({n}.pos), array()))"
+        ending = filter_(around, lambda p: f"{p} > {el}.pos AND get({nodes}, {p}).stop = {n}.pos")
+        ends = transform(f"reverse({ending})", lambda p: _end_tag(f"get({nodes}, {p})"))
+        return concat(_written(n), f"array_join({ends}, '')")
+
+    return f"array_join({transform(subtree(nodes, el), piece)}, '')"
+
+
+def outer_html(nodes: str, el: str) -> str:
     """B24."""
-    return _cut(source, f"{el}.outer_start", f"{el}.outer_end")
+    return concat(_start_tag(el), inner_html(nodes, el), _end_tag(el))
 
 
 def has_class(el: str, name: str) -> str:

@@ -9,7 +9,7 @@ from cardloom.functions.sql import (
 )
 from cardloom.functions.steps import apply_steps
 from cardloom.operators import select as sel
-from cardloom.operators.fields import field_value, holds, needs_html
+from cardloom.operators.fields import field_value, holds
 from cardloom.operators.rules import RECORD_FIELDS, Profile
 
 MAIL_LINK = "a[href^='mailto:']"
@@ -53,7 +53,7 @@ def first_of_each(records: str, *keys: str) -> str:
 
 
 # --- shapes --------------------------------------------------------------------------------------
-def _cards_below(p: Profile, nodes: str, html: str | None, root: str | None, shared: dict[str, str]) -> str:
+def _cards_below(p: Profile, nodes: str, root: str | None, shared: dict[str, str]) -> str:
     found = sel.find(nodes, root, p.card)
     for condition in p.card_where:
         found = filter_(found, lambda c: holds(nodes, c, condition))
@@ -61,30 +61,30 @@ def _cards_below(p: Profile, nodes: str, html: str | None, root: str | None, sha
         found,
         lambda c: record(
             f"{c}.pos",
-            **{f: field_value(nodes, html, c, rule) for f, rule in p.fields.items()},
+            **{f: field_value(nodes, c, rule) for f, rule in p.fields.items()},
             **shared,
         ),
     )
 
 
-def cards(p: Profile, nodes: str, html: str | None) -> str:
+def cards(p: Profile, nodes: str) -> str:
     """B30; with a group (B27) the group's fields are read once and repeated on its cards."""
     if not p.group:
-        return _cards_below(p, nodes, html, None, {})
+        return _cards_below(p, nodes, None, {})
     groups = transform(
         sel.find(nodes, None, p.group),
         lambda g: struct(
-            el=g, **{f: field_value(nodes, html, g, rule) for f, rule in p.group_fields.items()}
+            el=g, **{f: field_value(nodes, g, rule) for f, rule in p.group_fields.items()}
         ),
     )
     rows = transform(
         groups,
-        lambda g: _cards_below(p, nodes, html, f"{g}.el", {f: f"{g}.{f}" for f in p.group_fields}),
+        lambda g: _cards_below(p, nodes, f"{g}.el", {f: f"{g}.{f}" for f in p.group_fields}),
     )
     return f"flatten({rows})"
 
 
-def zipped(p: Profile, nodes: str, html: str | None) -> str:
+def zipped(p: Profile, nodes: str) -> str:
     """E5: two element lists paired by position, cut to the shorter."""
 
     def listed(css: str) -> str:
@@ -174,7 +174,7 @@ def _filled(text: str, b: str) -> str:
     return f"if({b}.{text} <> '', {b}.i, -1)"
 
 
-def heading_text(p: Profile, nodes: str, html: str | None) -> str:
+def heading_text(p: Profile, nodes: str) -> str:
     """H1: a heading block sets the name, the first paragraph block behind it emits and clears."""
     blocks = transform_at(
         sel.find(nodes, None, p.card),
@@ -198,7 +198,7 @@ def heading_text(p: Profile, nodes: str, html: str | None) -> str:
         f"{block(1)}.pos", name=f"{block(0)}.heading", job_title=f"{block(1)}.text"))
 
 
-def heading_list(p: Profile, nodes: str, html: str | None) -> str:
+def heading_list(p: Profile, nodes: str) -> str:
     """H2: first and second non-blank heading are name and title; a list block emits and resets."""
     blocks = transform_at(
         sel.find(nodes, None, f"{p.blocks['heading_block']}, {p.blocks['list_block']}"),
@@ -230,7 +230,7 @@ def heading_list(p: Profile, nodes: str, html: str | None) -> str:
         email=f"{block(2)}.email"))
 
 
-def slots(p: Profile, nodes: str, html: str | None) -> str:
+def slots(p: Profile, nodes: str) -> str:
     """H3: bold block -> name, mail block -> email, later job text -> title and emit; the slots
     clear only when a record is emitted."""
     blocks = transform_at(
@@ -258,7 +258,7 @@ def slots(p: Profile, nodes: str, html: str | None) -> str:
         email=f"{block(2)}.email"))
 
 
-def text_link(p: Profile, nodes: str, html: str | None) -> str:
+def text_link(p: Profile, nodes: str) -> str:
     """A text run directly followed by a link; the run is the title, the link the person."""
     holders = sel.matcher(p.card)
     runs = filter_(
@@ -293,29 +293,15 @@ SHAPES = {
 }
 
 
-def page_records(p: Profile, nodes: str, html: str | None) -> str:
+def page_records(p: Profile, nodes: str) -> str:
     """All records of a page under one profile, filtered and deduplicated."""
-    if html and profile_needs_html(p):  # the page's bytes are bound once for all cuts
-        return with_value(sel.source_bytes(html), lambda source: _page_records(p, nodes, source))
-    return _page_records(p, nodes, None)
-
-
-def _page_records(p: Profile, nodes: str, source: str | None) -> str:
-    found = SHAPES[p.shape](p, nodes, source)
+    found = SHAPES[p.shape](p, nodes)
     if p.keep:
         found = filter_(found, lambda r: kept(r, p.keep))
     return first_of_each(found, "name", "job_title") if p.dedup else found
 
 
-def detail_record(p: Profile, nodes: str, html: str | None, url: str) -> str:
+def detail_record(p: Profile, nodes: str, url: str) -> str:
     """The one record a detail page holds, under its lookup key."""
-    source = sel.source_bytes(html) if html else None
-    values = {f: field_value(nodes, source, None, rule) for f, rule in p.lookup.fields.items()}
+    values = {f: field_value(nodes, None, rule) for f, rule in p.lookup.fields.items()}
     return f"array({record('0', **values, lookup_key=apply_steps(url, p.lookup.key))})"
-
-
-def profile_needs_html(p: Profile) -> bool:
-    rules = [*p.fields.values(), *p.group_fields.values()]
-    if p.lookup:
-        rules += p.lookup.fields.values()
-    return any(needs_html(rule) for rule in rules)

@@ -50,7 +50,7 @@ stored AS (SELECT t.profile_id AS source_id, count(DISTINCT page_no)
            FROM cards t WHERE t.profile_id <> '{UNSTORED}' GROUP BY t.profile_id),
 report AS (
   SELECT l.source_id, l.source_ord, label, CAST(coalesce(s.pages, 0) AS BIGINT) AS pages,
-         count(f.key) AS records, CAST(coalesce(count_if(f.email <> ''), 0) AS BIGINT) AS with_email,
+         CAST(0 AS BIGINT) AS failed_pages, count(f.key) AS records, CAST(coalesce(count_if(f.email <> ''), 0) AS BIGINT) AS with_email,
          CASE WHEN s.pages IS NULL OR l.source_id = 'little_miami_board' THEN 'failed'
               WHEN count(f.key) > 0 THEN 'ok' ELSE 'empty' END AS status,
          CASE WHEN s.pages IS NULL THEN 'no stored page'
@@ -65,7 +65,7 @@ def _sql(ids, more, select):
 
 @query(
     "run_report", "L1 D14 D15 D16 F1",
-    _sql(RUN_IDS, _REPORT, "SELECT source_id, source_ord, label, pages, records, with_email, status, "
+    _sql(RUN_IDS, _REPORT, "SELECT source_id, source_ord, label, pages, failed_pages, records, with_email, status, "
                            "status <> 'failed' AS success, error FROM report"),
 )
 def run_report(spark, sf):
@@ -102,6 +102,40 @@ def merged_records(spark, sf):
     return run_merge(pages, sources, shared_folder(spark), profiles).merged.select(*COLUMNS)
 
 
+_FAILING_IDS = ("pioneer_north_dallas", "clarke_schools_ny", "dallas_international")
+
+
+def _raises(page):
+    raise ValueError("this source is broken")
+
+
+def _raises_on_page_2(page):
+    if page["page_no"] == 2:
+        raise RuntimeError("page two")
+    return [{"name": f"Page {page['page_no']}", "email": "a@b.example"}]
+
+
+@query(
+    "failing_source", "L1 L2 L4",
+    _sql(_FAILING_IDS, """paged AS (SELECT DISTINCT profile_id, page_no FROM cards),
+        counted AS (SELECT profile_id, count(*) AS pages, count(*) FILTER (WHERE page_no <> 2) AS good FROM paged GROUP BY 1),
+        ruled AS (SELECT count(*) AS n FROM expected WHERE profile_id = 'pioneer_north_dallas')""",
+        """SELECT profile_id AS source_id, pages,
+           CASE profile_id WHEN 'clarke_schools_ny' THEN pages WHEN 'dallas_international' THEN pages - good ELSE 0 END AS failed_pages,
+           CASE profile_id WHEN 'clarke_schools_ny' THEN 0 WHEN 'dallas_international' THEN good ELSE (SELECT n FROM ruled) END AS records,
+           CASE profile_id WHEN 'clarke_schools_ny' THEN 'failed' ELSE 'ok' END AS status,
+           CASE WHEN profile_id = 'clarke_schools_ny' THEN 'ValueError: this source is broken'
+                WHEN profile_id = 'dallas_international' AND good < pages THEN 'RuntimeError: page two' ELSE '' END AS error
+           FROM counted"""),
+)
+def failing_source(spark, sf):
+    """One source whose function always raises, one that raises on one page; the third is read by rules."""
+    profiles = [BY_ID[i] for i in _FAILING_IDS]
+    run = run_merge(rendered_pages(spark, sf, _FAILING_IDS), source_table(spark, profiles), shared_folder(spark), profiles,
+                    {"clarke_schools_ny": _raises, "dallas_international": _raises_on_page_2})
+    return run.report.select("source_id", "pages", "failed_pages", "records", "status", "error")
+
+
 @query(
     "merge_counts", "F3 F1 D17",
     _sql(RUN_IDS, _FOUND, "SELECT profile_id, count(*) AS records, CAST(count_if(email <> '') AS BIGINT) AS with_email, "

@@ -25,18 +25,18 @@ def _cards(parsed, values):
     return parsed.select(F.expr(f"inline_outer({rows})")).filter("key IS NOT NULL")
 
 
-def _card_query(name, covers, keep_html=False, **columns):
+def _card_query(name, covers, **columns):
     """``columns``: name -> (value of a card, the same as SQL over ``dir``)."""
     sql = f"WITH {SQL} SELECT key, " + ", ".join(f"{v} AS {k}" for k, (_, v) in columns.items()) + " FROM dir"
 
     @query(name, covers, sql)
     def run(spark, sf):
-        parsed = parsed_directory(spark, sf, keep_html)
+        parsed = parsed_directory(spark, sf)
         return _cards(parsed, {k: fn for k, (fn, _) in columns.items()})
 
 
 def _pick(*args, **kw):
-    return lambda c: field_value(N, sel.source_bytes("html"), c, (Pick(*args, **kw),))
+    return lambda c: field_value(N, c, (Pick(*args, **kw),))
 
 
 def _size(css):
@@ -76,7 +76,7 @@ _card_query("own_and_partial_text", "B18 B19 B20 B21",
             without=(_pick(".line", "all", "without:em"), "title || ' , , extra'"),
             first_node=(_pick(".office", "first_value", "first_node"), "'Room ' || key"),
             runs=(_pick(".office", "all", "own", steps=("trim", "drop_nbsp")), "'Room ' || key || 'Floor2'"))
-_card_query("element_source", "B23 B24", keep_html=True,
+_card_query("element_source", "B23 B24",
             inner=(_pick(".office", "first", "inner_html", steps=()), "'Room ' || key || '<br>Floor&nbsp;2'"),
             outer=(_pick("ul", "first", "outer_html", steps=()),
                    "'<ul class=\"facts\"><li>fact a' || key || '</li><li class=\"hot\">fact b' || key || '</li></ul>'"))

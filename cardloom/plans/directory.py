@@ -85,5 +85,5 @@ def directory_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def parsed_directory(spark: SparkSession, sf_dir: str, keep_html: bool = False) -> DataFrame:
-    return parse_pages(directory_pages(spark, sf_dir), keep_html=keep_html)
+def parsed_directory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parse_pages(directory_pages(spark, sf_dir))

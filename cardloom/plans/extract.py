@@ -17,7 +17,7 @@ from cardloom.operators import merge
 from cardloom.operators.lookup import join_details
 from cardloom.operators.markup import parse_pages
 from cardloom.operators.rules import RECORD_FIELDS, Profile
-from cardloom.operators.shapes import detail_record, page_records, profile_needs_html
+from cardloom.operators.shapes import detail_record, page_records
 from cardloom.plans.profiles import PROFILES
 
 PAGE_KEYS = ("source_id", "profile_id", "page_no", "url")
@@ -36,32 +36,26 @@ def _branches(profiles: Sequence[Profile], signature, value) -> str:
     )
 
 
-def _explode(pages: DataFrame, profiles: Sequence[Profile], signature, value, needs_html: bool) -> DataFrame:
+def _explode(pages: DataFrame, profiles: Sequence[Profile], signature, value) -> DataFrame:
     ids = [p.profile_id for p in profiles]
     # the filter comes before parsing, where it still reaches the scan
-    parsed = parse_pages(
-        pages.filter(F.col("profile_id").isin(ids)).select(*PAGE_KEYS, "html"), keep_html=needs_html
-    )
+    parsed = parse_pages(pages.filter(F.col("profile_id").isin(ids)).select(*PAGE_KEYS, "html"))
     records = parsed.select(*PAGE_KEYS, F.expr(_branches(profiles, signature, value)).alias("records"))
     # the outer form: the plain one makes the optimizer test size(records) first, by computing it twice
     return records.select(*PAGE_KEYS, F.inline_outer("records")).filter(F.col("card_ord").isNotNull())
 
 
 def listing_records(pages: DataFrame, profiles: Sequence[Profile]) -> DataFrame:
-    needs_html = any(profile_needs_html(p) for p in profiles)
-    html = "html" if needs_html else None
     return _explode(
         pages.filter(F.col("role") == "listing"), profiles, Profile.signature,
-        lambda p: page_records(p, "nodes", html), needs_html,
+        lambda p: page_records(p, "nodes"),
     )
 
 
 def detail_records(pages: DataFrame, profiles: Sequence[Profile]) -> DataFrame:
-    needs_html = any(profile_needs_html(p) for p in profiles)
-    html = "html" if needs_html else None
     return _explode(
         pages.filter(F.col("role") == "detail"), profiles, lambda p: repr(p.lookup),
-        lambda p: detail_record(p, "nodes", html, "url"), needs_html,
+        lambda p: detail_record(p, "nodes", "url"),
     )
 
 
@@ -69,11 +63,7 @@ def raw_records(pages: DataFrame, profiles: Sequence[Profile] = PROFILES) -> Dat
     """Records with the fields of their pages, before source constants are attached."""
     plain = [p for p in profiles if not p.lookup]
     linked = [p for p in profiles if p.lookup]
-    parts = []
-    # inner/outer HTML keeps the markup in the row, so only the profiles that need it pay for it
-    for group in ([p for p in plain if not profile_needs_html(p)], [p for p in plain if profile_needs_html(p)]):
-        if group:
-            parts.append(listing_records(pages, group))
+    parts = [listing_records(pages, plain)] if plain else []
     if linked:
         looked_up: dict[str, list[str]] = {}
         for p in linked:
@@ -91,7 +81,12 @@ def raw_records(pages: DataFrame, profiles: Sequence[Profile] = PROFILES) -> Dat
 
 def extract(pages: DataFrame, sources: DataFrame, profiles: Sequence[Profile] = PROFILES) -> DataFrame:
     """Records in the common schema, with the constants of their source."""
-    records = raw_records(pages, profiles).drop("profile_id", "lookup_key")
+    return with_sources(raw_records(pages, profiles), sources)
+
+
+def with_sources(records: DataFrame, sources: DataFrame) -> DataFrame:
+    """C1-C3 for records however they were found."""
+    records = records.drop("profile_id", "lookup_key")
     joined = merge.attach_sources(records.withColumnRenamed("url", "page_url"), sources)
     return joined.select(
         "source_id", "source_ord", "profile_id", "page_no", "card_ord", "school_name",

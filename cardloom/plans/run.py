@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from cardloom.operators import merge
+from cardloom.operators.custom import records_of_extractors
 from cardloom.operators.rules import CORE, Profile
-from cardloom.plans.extract import extract
+from cardloom.plans.extract import extract, with_sources
 from cardloom.plans.profiles import PROFILES
 from cardloom.sources import sinks
 
@@ -21,19 +22,31 @@ class MergeRun:
     merged: DataFrame  # records of successful sources, those with an address first
 
 
-def merge_run(pages: DataFrame, sources: DataFrame, folder: str,
-              profiles: Sequence[Profile] = PROFILES) -> MergeRun:
+def merge_run(pages: DataFrame, sources: DataFrame, folder: str, profiles: Sequence[Profile] = PROFILES,
+              extractors: dict[str, Callable[[dict], list[dict]]] | None = None) -> MergeRun:
     """Extract once into ``folder`` (shared by all executors) and derive the rest from there.
 
     Report, counts and the global sort (which samples its input before it sorts) would each parse
     all pages again; from the stored records, about a hundredth of the markup, they are cheap, and a
     lost executor costs a re-read, not a re-parse.  The rebalance turns one small file per parse
     task into files of the advisory partition size.
+
+    Sources named in ``extractors`` are read by their function instead of rules (L4); pages on which it
+    fails are counted in the report and cost nobody else anything.
     """
-    records = extract(pages, sources, profiles)
+    errors = None
+    if extractors:
+        by_rules = pages.filter(~F.col("source_id").isin(list(extractors)))
+        records_of_extractors(pages, extractors).write.mode("overwrite").parquet(f"{folder}/extracted")
+        own = pages.sparkSession.read.parquet(f"{folder}/extracted")
+        errors = own.select("source_id", "page_no", "error")
+        found = own.filter("error IS NULL").drop("error")
+        records = merge.union_all(extract(by_rules, sources, profiles), with_sources(found, sources))
+    else:
+        records = extract(pages, sources, profiles)
     records.hint("rebalance").write.mode("overwrite").parquet(f"{folder}/records")
     stored = pages.sparkSession.read.parquet(f"{folder}/records")
-    merge.run_report(sources, pages.select("source_id"), stored).write.mode("overwrite").parquet(
+    merge.run_report(sources, pages.select("source_id"), stored, errors).write.mode("overwrite").parquet(
         f"{folder}/report"
     )
     # read back, the report has a known size, by which Spark may broadcast it

@@ -71,7 +71,7 @@ PICKS = [
 
 @pytest.fixture(scope="module")
 def page(spark):
-    return parse_pages(spark.createDataFrame([(HTML,)], "html string"), keep_html=True).cache()
+    return parse_pages(spark.createDataFrame([(HTML,)], "html string")).cache()
 
 
 def test_selectors(page):
@@ -85,7 +85,7 @@ def test_selectors(page):
 
 def test_picks(page):
     found = page.select(*[
-        F.expr(field_value("nodes", sel.source_bytes("html"), None, rule)).alias(f"p{i}") for i, (rule, _) in enumerate(PICKS)
+        F.expr(field_value("nodes", None, rule)).alias(f"p{i}") for i, (rule, _) in enumerate(PICKS)
     ]).first()
     assert [(r, found[i]) for i, (r, _) in enumerate(PICKS)] == PICKS
 

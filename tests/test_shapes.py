@@ -16,8 +16,8 @@ from cardloom.plans.profiles import BY_ID
 def extract(spark, profile, bodies):
     """Records per page as (name, title, email) tuples."""
     pages = spark.createDataFrame(list(enumerate(bodies)), "page_id int, html string").repartition(4, "page_id")
-    rows = parse_pages(pages, keep_html=True).select(
-        "page_id", F.expr(page_records(profile, "nodes", "html")).alias("records")
+    rows = parse_pages(pages).select(
+        "page_id", F.expr(page_records(profile, "nodes")).alias("records")
     ).collect()
     by_page = {r.page_id: [(x.name, x.job_title, x.email) for x in r.records] for r in rows}
     return [by_page[i] for i in range(len(bodies))]
