@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from cardloom.llm.common import text_of
+from cardloom.llm.common import shared_folder, small, stored
 
 BUCKETS = 1 << 15
 WIDTH = 16
@@ -145,8 +145,8 @@ def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
     rows = labelled.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
         F.col(lang_col).alias("lang"), F.col(text_col).alias("text"),
         (F.pmod(F.xxhash64(F.col(id_col).cast("string")), F.lit(1 << 20)) / (1 << 20)).alias("draw"))
-    sizes = rows.groupBy("lang").agg(F.count("*").alias("n"))
-    drawn = rows.join(sizes, "lang").filter(F.col("draw") * F.col("n") < per_lang).select("lang", "text")
+    sizes = stored(rows.groupBy("lang").agg(F.count("*").alias("n")), shared_folder(labelled.sparkSession), "langs")
+    drawn = rows.join(small(sizes, 64), "lang").filter(F.col("draw") * F.col("n") < per_lang).select("lang", "text")
 
     def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
