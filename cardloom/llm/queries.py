@@ -38,7 +38,25 @@ def op2(spark, folder):
     return exact_dedup.exact_groups(documents(spark, folder)).withColumnRenamed("id", "doc_id")
 
 
-@query("op3_decontaminate")
+_SCRIPT = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_TEXT_WORDS = r"[^\x20\x09-\x0D]+"
+
+
+@query("op3_decontaminate", f"""
+    WITH d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '{_SCRIPT}') AS w FROM documents),
+    i AS (SELECT item_id, regexp_extract_all({_LOWER}, '{_SCRIPT}') AS w FROM benchmark),
+    sized AS (SELECT *, least(len(w), 10) AS size FROM i WHERE len(w) > 0),
+    windows AS (SELECT DISTINCT item_id, size, array_to_string(w[s:s + size - 1], ' ') AS win
+                FROM (SELECT *, unnest(range(1, len(w) - size + 2)) AS s FROM sized)),
+    starts AS (SELECT doc_id, size, s, array_to_string(w[s:s + size - 1], ' ') AS win
+               FROM (SELECT *, unnest(range(1, len(w) - size + 2)) AS s
+                     FROM d, (SELECT DISTINCT size FROM sized) WHERE len(w) >= size)),
+    hits AS (SELECT doc_id, s, size, item_id FROM starts JOIN windows USING (size, win)),
+    covered AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(s, s + size)) AS p FROM hits) GROUP BY 1),
+    named AS (SELECT doc_id, list_sort(list(DISTINCT CAST(item_id AS VARCHAR))) AS items FROM hits GROUP BY 1)
+    SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(len(items), 0) AS n_items,
+           sha256(coalesce(array_to_string(items, ','), '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+    FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)""")
 def op3(spark, folder):
     found = decontaminate.contamination(documents(spark, folder), table(spark, folder, "benchmark"))
     return found.select(
@@ -56,7 +74,22 @@ def op4(spark, folder):
                         F.sha2(listed, 256).alias("base_sha256"), listed.alias("spans"))
 
 
-@query("op6_chat_format")
+_WRITTEN = r"""length(regexp_replace(replace(coalesce({0}, ''), '\', '\\'), '([<\[])(/?s>|/?INST\])', '\1\\\2', 'g'))"""
+
+
+@query("op6_chat_format", f"""
+    WITH given AS (SELECT conv_id, turn, role, text FROM conversations UNION ALL
+                   SELECT -1, * FROM (VALUES (0, 'user', '</s>[INST] ok [/INST]'), (1, 'assistant', '</s>[INST] ok [/INST]'))),
+    t AS (SELECT *, coalesce(text, '') AS body, role = 'assistant' AS reply,
+                 {len(chat.OPEN + chat.HEAD + chat.END)} + {_WRITTEN.format('role')} + {_WRITTEN.format('text')} AS size FROM given),
+    ranked AS (SELECT *, row_number() OVER w = count(*) OVER (PARTITION BY conv_id) AS is_last
+               FROM t WINDOW w AS (PARTITION BY conv_id ORDER BY turn, role, text)),
+    behind AS (SELECT *, count(*) FILTER (WHERE reply OR is_last) OVER (PARTITION BY conv_id ORDER BY turn, role, text
+                         ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS examples FROM ranked)
+    SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || body || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+           CAST(coalesce(sum(length(body)) FILTER (WHERE reply), 0) AS BIGINT) AS loss_chars,
+           sha256(coalesce(string_agg(body, '' ORDER BY turn, role, text) FILTER (WHERE reply), '')) AS loss_sha256,
+           CAST(sum(size * examples) AS BIGINT) AS formatted_chars FROM behind GROUP BY conv_id""")
 def op6(spark, folder):
     given = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
     fixed = spark.createDataFrame(
@@ -73,7 +106,19 @@ def op6(spark, folder):
                         F.length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"), "formatted_chars")
 
 
-@query("op5_substring_dedup")
+@query("op5_substring_dedup", f"""
+    WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{_TEXT_WORDS}') AS w FROM documents),
+    s AS (SELECT doc_id, p, md5(array_to_string(w[p:p + 49], ' ')) AS win
+          FROM (SELECT *, unnest(range(1, len(w) - 48)) AS p FROM d WHERE len(w) >= 50)),
+    first AS (SELECT win, min(doc_id) AS least_id FROM s GROUP BY win),
+    gone AS (SELECT doc_id, list(DISTINCT q) AS g FROM (
+                 SELECT doc_id, unnest(range(p, p + 50)) AS q FROM s JOIN first USING (win) WHERE least_id < doc_id) GROUP BY doc_id)
+    SELECT doc_id, len(w) AS n_words, coalesce(len(g), 0) AS n_removed,
+           sha256(coalesce(CASE WHEN g IS NULL THEN array_to_string(w, ' ') ELSE k END, '')) AS kept_sha256
+    FROM d LEFT JOIN gone USING (doc_id) LEFT JOIN (
+        SELECT doc_id, string_agg(x, ' ' ORDER BY q) AS k
+        FROM (SELECT doc_id, g, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS q FROM d JOIN gone USING (doc_id))
+        WHERE NOT list_contains(g, q) GROUP BY doc_id) USING (doc_id)""")
 def op5(spark, folder):
     return substring_dedup.without_repeats(documents(spark, folder)).select(
         F.col("id").alias("doc_id"), "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
@@ -100,7 +145,19 @@ def op9(spark, folder):
         F.col("id").alias("doc_id"), "lang_pred", "score", "rejected").withColumn("held_out", _remainder(4) == 2)
 
 
-@query("op10_jaccard_join")
+@query("op10_jaccard_join", f"""
+    WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '{_TEXT_WORDS}') AS w FROM documents),
+    g AS (SELECT DISTINCT doc_id, array_to_string(w[p:p + 2], ' ') AS gram
+          FROM (SELECT *, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS p FROM d WHERE len(w) > 0)),
+    n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
+    common AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM g a JOIN g b ON a.gram = b.gram AND a.doc_id < b.doc_id GROUP BY ALL),
+    linked AS (SELECT x, y FROM common JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y
+               WHERE 100 * c >= 90 * (nx.n + ny.n - c)),
+    ways AS (SELECT x, y FROM linked UNION ALL SELECT y, x FROM linked),
+    reach(a, b) AS (SELECT x, y FROM ways UNION SELECT reach.a, ways.y FROM reach JOIN ways ON ways.x = reach.b),
+    low AS (SELECT a, min(b) AS b FROM reach GROUP BY a)
+    SELECT doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(least(low.b, doc_id), doc_id) AS component_id
+    FROM d LEFT JOIN n USING (doc_id) LEFT JOIN low ON low.a = doc_id""")
 def op10(spark, folder):
     return jaccard_join.near_components(documents(spark, folder)).select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
 
