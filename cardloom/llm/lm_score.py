@@ -7,14 +7,15 @@ unseen words included, by smoothed counts.
 
 Every training text is read once: in each of ``ROUNDS`` rounds the tasks train copies of the network on
 their share of the texts by truncated backpropagation, and the copies are averaged by an aggregate. Texts run
-side by side in lanes; the state goes on from window to window until a text ends, in training and in
-scoring, so a score is the log-likelihood of the complete text.
+side by side in lanes; the state goes on from window to window. Scoring carries it to the end of each text,
+so a score is the log-likelihood of the complete text.
 """
 
 from __future__ import annotations
 
 import heapq
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +28,8 @@ CLASS_WORDS = 32
 HIDDEN = 16
 STEPS = 16  # of a window
 LANES = 512
+#: Training cuts longer texts into stretches of so many tokens, so that lanes end together; scoring cuts nothing.
+STRETCH = 1024
 ROUNDS = 2
 RATE = 0.01
 #: Words whose counts workers hold; counts of the others come from a join.
@@ -41,8 +44,8 @@ class Network:
     def __init__(self, words: int, flat: np.ndarray | None = None, seed: int = 1):
         h, s = HIDDEN, CLASS_WORDS
         self.words, self.classes = words, -(-words // s) + 2  # the last two are "another word" and the end
-        self.other, self.end, self.start = words, words + 1, words + 2
-        shapes = {"inp": (words + 3, 3 * h), "rec": (h, 3 * h), "cls": (h, self.classes), "cls_b": (self.classes,),
+        self.other, self.end, self.start, self.resume = words, words + 1, words + 2, words + 3  # the last two only go in
+        shapes = {"inp": (words + 4, 3 * h), "rec": (h, 3 * h), "cls": (h, self.classes), "cls_b": (self.classes,),
                   "out": (self.classes - 2, h, s), "out_b": (self.classes - 2, s)}
         self.flat = np.zeros(sum(int(np.prod(x)) for x in shapes.values()), np.float32) if flat is None else flat.astype(np.float32)
         at = 0
@@ -73,12 +76,12 @@ class Network:
     # -- a window ------------------------------------------------------------------------------------------
 
     def states(self, x: np.ndarray, h: np.ndarray, keep: list | None = None) -> np.ndarray:
-        """States after each step from inputs (steps, lanes); a start sets the state to zero."""
+        """States after each step from inputs (steps, lanes); a start, or a stretch that resumes, sets the state to zero."""
         size = HIDDEN
         gates_in = self.inp[x]
         out = np.empty((*x.shape, size), np.float32)
         for t in range(len(x)):
-            fresh = x[t] == self.start
+            fresh = x[t] >= self.start
             if fresh.any():
                 h = np.where(fresh[:, None], np.float32(0), h)
             a = h @ self.rec
@@ -160,8 +163,8 @@ class Trainer:
         self.net, self.back = net, Network(net.words, np.zeros_like(net.flat))
         self.mean, self.square, self.step = np.zeros_like(net.flat), np.zeros_like(net.flat), 0
 
-    def window(self, x: np.ndarray, y: np.ndarray, h: np.ndarray) -> np.ndarray:
-        """One update; ``y`` is -1 where a lane has ended. Returns the states the next window starts from."""
+    def window(self, x: np.ndarray, y: np.ndarray, h: np.ndarray, weight: float = 1.0) -> np.ndarray:
+        """One update, the smaller the fewer lanes still run; ``y`` is -1 where a lane has ended. Returns the states the next window starts from."""
         net, back, kept = self.net, self.back, []
         back.flat[...] = 0
         hidden = net.states(x, h, kept)
@@ -174,22 +177,36 @@ class Trainer:
         self.step += 1
         self.mean += 0.1 * (g - self.mean)
         self.square += 0.01 * (g * g - self.square)
-        rate = RATE * np.sqrt(1 - 0.99 ** self.step) / (1 - 0.9 ** self.step)
+        rate = weight * RATE * np.sqrt(1 - 0.99 ** self.step) / (1 - 0.9 ** self.step)
         net.flat -= (rate * self.mean / (np.sqrt(self.square) + 1e-8)).astype(np.float32)
         return hidden[-1]
 
 
-def lanes(texts: list[np.ndarray], net: Network, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def pairs(texts: list[np.ndarray], net: Network, stretch: int | None = None) -> list[tuple[int, np.ndarray, np.ndarray]]:
+    """(number of the text, inputs, targets); texts longer than ``stretch`` are cut, if it is given."""
+    out = []
+    for i, text in enumerate(texts):
+        x = np.concatenate([[net.start], text[:-1]]).astype(np.int32)
+        for at in range(0, len(text), stretch or len(text)):
+            end = at + (stretch or len(text))
+            part = x[at:end].copy()
+            if at:
+                part[0] = net.resume
+            out.append((i, part, text[at:end]))
+    return out
+
+
+def lanes(parts: list[tuple[int, np.ndarray, np.ndarray]], net: Network, width: int) -> tuple[np.ndarray, ...]:
     """Texts, each with its end, one after another in lanes of like length: inputs, targets, number of the text, and
     the lanes' lengths, the longest first."""
-    width = max(1, min(width, len(texts), sum(map(len, texts)) // 256))
+    width = max(1, min(width, len(parts), sum(len(p[2]) for p in parts) // 256))
     heap = [(0, i) for i in range(width)]
     members: list[list[int]] = [[] for _ in range(width)]
-    for i in sorted(range(len(texts)), key=lambda i: -len(texts[i])):
+    for i in sorted(range(len(parts)), key=lambda i: -len(parts[i][2])):
         size, lane = heapq.heappop(heap)
         members[lane].append(i)
-        heapq.heappush(heap, (size + len(texts[i]), lane))
-    lengths = np.array([sum(len(texts[i]) for i in m) for m in members])
+        heapq.heappush(heap, (size + len(parts[i][2]), lane))
+    lengths = np.array([sum(len(parts[i][2]) for i in m) for m in members])
     order = np.argsort(-lengths, kind="stable")
     x = np.full((int(lengths.max()), width), net.end, np.int32)
     y = np.full_like(x, -1)
@@ -197,12 +214,10 @@ def lanes(texts: list[np.ndarray], net: Network, width: int) -> tuple[np.ndarray
     for lane, m in enumerate(order):
         at = 0
         for i in members[m]:
-            text = texts[i]
-            x[at, lane] = net.start
-            x[at + 1:at + len(text), lane] = text[:-1]
-            y[at:at + len(text), lane] = text
-            which[at:at + len(text), lane] = i
-            at += len(text)
+            number, given, wanted = parts[i]
+            here = slice(at, at + len(wanted))
+            x[here, lane], y[here, lane], which[here, lane] = given, wanted, number
+            at = here.stop
     return x, y, which, lengths[order]
 
 
@@ -213,15 +228,15 @@ def windows(x: np.ndarray, lengths: np.ndarray) -> Iterator[tuple[slice, int]]:
 
 
 def _continue(trainer: Trainer, texts: list[np.ndarray]) -> None:
-    x, y, _, lengths = lanes(texts, trainer.net, LANES)
+    x, y, _, lengths = lanes(pairs(texts, trainer.net, STRETCH), trainer.net, LANES)
     h = np.zeros((x.shape[1], HIDDEN), np.float32)
     for steps, running in windows(x, lengths):
-        h = trainer.window(x[steps, :running], y[steps, :running], h[:running])
+        h = trainer.window(x[steps, :running], y[steps, :running], h[:running], running / x.shape[1])
 
 
 def log_likelihoods(net: Network, texts: list[np.ndarray]) -> np.ndarray:
     """Natural log-likelihood of each text, its end included."""
-    x, y, which, lengths = lanes(texts, net, LANES)
+    x, y, which, lengths = lanes(pairs(texts, net), net, LANES)
     h = np.zeros((x.shape[1], HIDDEN), np.float32)
     total = np.zeros(len(texts))
     for steps, running in windows(x, lengths):
@@ -320,16 +335,15 @@ def scores(docs: DataFrame, trains, id_col: str = "doc_id", text_col: str = "tex
         place, flat, held = known.value
         own = Network(words, flat)
         logs = {w: float(np.log10(c + 0.5)) for w, c in held.items()}
-        short = set(place)
         for heads, split, coded in _batched(batches, 1, place, own):
             like = log_likelihoods(own, coded) / np.log(10)
             out = []
-            for (id_, trains), text, value in zip(heads, split, like):
-                found = [logs[w] for w in text if w in logs]
-                tail = [w for w in text if w not in logs]
-                others = [logs[w] for w in text if w in logs and w not in short]
-                out.append((id_, trains, len(text) + 1, len(found) + (ends > 0), sum(found) + end_log, float(value) + sum(others),
-                            len(others) + len(tail), [w.decode() for w in tail]))
+            for (id_, trains), text, code, value in zip(heads, split, coded, like):
+                log = np.fromiter(map(logs.get, text, repeat(np.nan)), np.float64, len(text))
+                held, other = ~np.isnan(log), code[:-1] == own.other
+                tail = [text[i].decode() for i in np.flatnonzero(~held)]
+                out.append((id_, trains, len(text) + 1, int(held.sum()) + (ends > 0), float(log[held].sum()) + end_log,
+                            float(value + log[held & other].sum()), int(other.sum()), tail))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([o[j] for o in out], t) for j, t in enumerate(
                     (batch_kind, pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64(), pa.list_(pa.string())))],

@@ -238,6 +238,9 @@ def test_state_is_carried_across_windows():
     net.start_from(np.arange(1, 31), 5, 5)
     texts = [np.append(rng.integers(0, 31, n), net.end).astype(np.int32) for n in (0, 3, 50, 200, 1, 90)]
     together = lm_score.log_likelihoods(net, texts)
+    cut = lm_score.pairs(texts, net, 64)
+    assert [np.concatenate([y for j, _, y in cut if j == i]).tolist() for i in range(6)] == [t.tolist() for t in texts]
+    assert [int(x[0]) for j, x, _ in cut if j == 3] == [net.start, *[net.resume] * 3]
     for text, value in zip(texts, together):
         h, total, before = np.zeros((1, lm_score.HIDDEN), np.float32), 0.0, net.start
         for word in text:
