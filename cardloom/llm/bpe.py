@@ -11,6 +11,7 @@ from __future__ import annotations
 import json
 import os
 import tempfile
+from array import array
 from collections import Counter
 from collections.abc import Iterable, Iterator
 
@@ -23,6 +24,8 @@ from cardloom.llm.common import text_of
 
 #: Split pattern of the byte-level vocabularies (fixed value).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+_SHIFT, _NONE = 24, np.int32(2**31 - 1)
+_SHORT = 32  # bytes of a piece up to which pieces are merged together
 _RUN = regex.compile(r"\s | \s")
 LEXICON_WORDS = 1 << 17
 _MEMO = 400_000  # words a worker keeps; then it starts anew
@@ -30,23 +33,15 @@ _COUNTED = 300_000  # words a task counts before it passes the counts on
 _CHUNK = 4 << 20  # characters of text in an output batch
 
 
-class Vocabulary:
-    """Merges, ids and special strings of a ``tokenizers`` file with byte-level BPE."""
+class Splitter:
+    """Cuts texts into pieces; needs of the vocabulary only its special strings."""
 
-    def __init__(self, source: str):
-        file = json.loads(source)
-        model = file["model"]
-        shown = _shown_bytes()
-        raw = {text: bytes(shown[c] for c in text) for text in model["vocab"]}
-        self.ids = {raw[text]: i for text, i in model["vocab"].items()}
-        pairs = (m if isinstance(m, list) else m.split(" ") for m in model["merges"])
-        self.ranks = {(raw[a], raw[b]): n for n, (a, b) in enumerate(pairs)}
-        self.special = {t["content"]: t["id"] for t in file["added_tokens"]}
-        self.bytes = {i: b for b, i in self.ids.items()} | {i: t.encode() for t, i in self.special.items()}
-        names = "|".join(regex.escape(t) for t in sorted(self.special, key=len, reverse=True))
+    def __init__(self, special: dict[str, int]):
+        self.special = special
+        names = "|".join(regex.escape(t) for t in sorted(special, key=len, reverse=True))
         self.cut = regex.compile(f"({names})") if names else None
         self.split = regex.compile(PATTERN)
-        self.tight = not any(" " in t for t in self.special)
+        self.tight = not any(" " in t for t in special)
 
     def chunks(self, text: str) -> list[str] | None:
         """The text cut at its spaces, or None if that could cut a piece.
@@ -56,12 +51,86 @@ class Vocabulary:
         """
         return text.split(" ") if self.tight and not _RUN.search(text) else None
 
+    def behind_space(self, chunk: str) -> list[str]:
+        """Pieces of a space and the chunk that follows it."""
+        if chunk.isascii() and chunk.isalpha():
+            return [" " + chunk]
+        return self.words(" " + chunk)
+
     def words(self, text: str) -> list[str]:
         """Pieces of a text; a special string is a piece of its own."""
         if self.cut is None or not self.cut.search(text):
             return self.split.findall(text)
         return [w for i, part in enumerate(self.cut.split(text)) for w in ([part] if i % 2 else self.split.findall(part))]
 
+
+class Vocabulary:
+    """Merges, ids and special strings of a ``tokenizers`` file with byte-level BPE."""
+
+    def __init__(self, source: str):
+        file = json.loads(source)
+        model = file["model"]
+        shown = _shown_bytes()
+        raw = {text: bytes(shown[c] for c in text) for text in model["vocab"]}
+        self.ids = {raw[text]: i for text, i in model["vocab"].items()}
+        pairs = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
+        self.ranks = {(raw[a], raw[b]): n for n, (a, b) in enumerate(pairs)}
+        self.special = {t["content"]: t["id"] for t in file["added_tokens"]}
+        self.bytes = {i: b for b, i in self.ids.items()} | {i: t.encode() for t, i in self.special.items()}
+        # the same as arrays: pairs of ids in order, the rank of each, and by rank the id it makes
+        vocab = model["vocab"]
+        keys = np.array([vocab[a] << _SHIFT | vocab[b] for a, b in pairs], np.int64)
+        order = np.argsort(keys)
+        self.pair_keys, self.pair_ranks = keys[order], order.astype(np.int32)
+        self.made = np.array([vocab[a + b] for a, b in pairs], np.int32)
+        self.of_byte = np.array([self.ids.get(bytes([b]), -1) for b in range(256)], np.int32)
+
+    def _rank(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        key = a.astype(np.int64) << _SHIFT | b
+        at = np.minimum(np.searchsorted(self.pair_keys, key), len(self.pair_keys) - 1)
+        return np.where((self.pair_keys[at] == key) & (a >= 0) & (b >= 0), self.pair_ranks[at], _NONE)
+
+    def merged_together(self, words: list[bytes]) -> list[bytes]:
+        """Ids, as int32, of many short pieces: every piece takes its next merge in the same step."""
+        out: list[bytes] = [b""] * len(words)
+        lengths = np.array([len(w) for w in words])
+        for width in (8, 16, _SHORT):
+            rows = np.flatnonzero((lengths > (width // 2 if width > 8 else 0)) & (lengths <= width))
+            for some in np.array_split(rows, -(-len(rows) // 65536)) if len(rows) else ():
+                self._merge_block([words[i] for i in some], some, width, out)
+        return out
+
+    def _merge_block(self, words: list[bytes], names: np.ndarray, width: int, out: list[bytes]) -> None:
+        flat = np.frombuffer(b"".join([w.ljust(width, b"\0") for w in words]), np.uint8).reshape(-1, width)
+        column = np.arange(width)
+        ids = np.where(column < np.array([len(w) for w in words])[:, None], self.of_byte[flat], -1)
+        ranks = np.full(ids.shape, _NONE, np.int32)
+        ranks[:, :-1] = self._rank(ids[:, :-1], ids[:, 1:])
+        while len(ids):
+            row = np.arange(len(ids))
+            at = ranks.argmin(axis=1)
+            low = ranks[row, at]
+            done = low == _NONE
+            if done.any():
+                kept = ids[done]
+                ends = np.cumsum((kept >= 0).sum(axis=1)) * 4
+                data, begin = kept[kept >= 0].astype(np.int32).tobytes(), 0
+                for i, end in zip(names[done].tolist(), ends.tolist()):
+                    out[i] = data[begin:end]
+                    begin = end
+                ids, ranks, names, at, low = ids[~done], ranks[~done], names[~done], at[~done], low[~done]
+                row = np.arange(len(ids))
+                if not len(ids):
+                    return
+            behind = column > at[:, None]  # moves one place to the left
+            ids = np.where(behind, np.concatenate([ids[:, 1:], np.full((len(ids), 1), -1, ids.dtype)], axis=1), ids)
+            ranks = np.where(behind, np.concatenate([ranks[:, 1:], np.full((len(ids), 1), _NONE, np.int32)], axis=1), ranks)
+            ids[row, at] = self.made[low]
+            after = np.where(at + 1 < width, ids[row, np.minimum(at + 1, width - 1)], -1)
+            ranks[row, at] = self._rank(ids[row, at], after)
+            inner = at > 0
+            ranks[row[inner], at[inner] - 1] = self._rank(ids[row[inner], at[inner] - 1], ids[row[inner], at[inner]])
+
     def merged(self, word: str) -> list[int]:
         """Ids of one piece: the pair of lowest rank is merged, the leftmost first, until none is left."""
         if word in self.special:
@@ -195,15 +264,16 @@ class Lexicon:
 
 def word_counts(docs: DataFrame, vocabulary: str, text_col: str = "text") -> DataFrame:
     """(word, n) over all texts."""
+    special = Vocabulary(vocabulary).special
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = Vocabulary(vocabulary)
+        own = Splitter(special)
         pieces: Counter = Counter()
         spaced: Counter = Counter()  # chunks that stand behind a space
 
         def counted() -> pa.RecordBatch:
             for chunk, n in spaced.items():
-                for word in own.words(" " + chunk):
+                for word in own.behind_space(chunk):
                     pieces[word] += n
             out = pa.record_batch({"word": pa.array(list(pieces), pa.string()), "n": pa.array(list(pieces.values()), pa.int64())})
             pieces.clear()
@@ -237,13 +307,14 @@ def build_lexicon(docs: DataFrame, vocabulary: str, words: int = LEXICON_WORDS,
 class Encoder:
     def __init__(self, vocabulary: str, lexicon: bytes):
         self.vocabulary = Vocabulary(vocabulary)
+        self.splitter = Splitter(self.vocabulary.special)
         self.lexicon = Lexicon(lexicon)
         self.words: dict[str, tuple[bytes, bytes]] = {}  # word -> its ids as int32, what they decode to
         self.spaced: dict[str, tuple[bytes, bytes]] = {}  # chunk -> the same for it and the space before it
 
     def __call__(self, texts: list[str]) -> list[tuple[bytes, str]]:
         """(ids as int32, decoded text) of each text."""
-        own = self.vocabulary
+        own, vocabulary = self.splitter, self.vocabulary
         if len(self.words) + len(self.spaced) > _MEMO:
             self.words.clear()
             self.spaced.clear()
@@ -251,11 +322,17 @@ class Encoder:
         split = [own.chunks(t) for t in texts]
         heads = [own.words(t if c is None else c[0]) for t, c in zip(texts, split)]
         tails = [c[1:] if c else [] for c in split]
-        new = {c: own.words(" " + c) for tail in tails for c in tail if c not in spaced}
+        new = {c: own.behind_space(c) for c in {c for tail in tails for c in tail} if c not in spaced}
         unseen = [w for w in {w for some in (*heads, *new.values()) for w in some} if w not in words]
-        for word, ids in zip(unseen, self.lexicon.find([w.encode() for w in unseen])):
-            ids = own.merged(word) if ids is None else ids.tolist()
-            words[word] = np.array(ids, np.int32).tobytes(), own.decoded(ids)
+        raw = [w.encode() for w in unseen]
+        coded = [None if ids is None else ids.astype(np.int32).tobytes() for ids in self.lexicon.find(raw)]
+        rest = [i for i, ids in enumerate(coded) if ids is None and len(raw[i]) <= _SHORT and unseen[i] not in own.special]
+        for i, ids in zip(rest, vocabulary.merged_together([raw[i] for i in rest])):
+            coded[i] = ids
+        for word, ids in zip(unseen, coded):
+            if ids is None:
+                ids = np.array(vocabulary.merged(word), np.int32).tobytes()
+            words[word] = ids, vocabulary.decoded(array("i", ids))
         for chunk, some in new.items():
             pairs = [words[w] for w in some]
             spaced[chunk] = b"".join([a for a, _ in pairs]), b"".join([b for _, b in pairs])
@@ -300,5 +377,5 @@ def encode_decode(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_id",
     return rows.mapInArrow(encode, f"id {kind}, ids array<int>, decoded string")
 
 
-__all__ = ["LEXICON_WORDS", "Encoder", "Lexicon", "Vocabulary", "build_lexicon", "compile_lexicon", "encode_decode", "packed",
+__all__ = ["LEXICON_WORDS", "Encoder", "Lexicon", "Splitter", "Vocabulary", "build_lexicon", "compile_lexicon", "encode_decode", "packed",
            "word_counts"]
