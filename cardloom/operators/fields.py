@@ -57,7 +57,7 @@ def holds(nodes: str, el: str, condition: tuple) -> str:
     if kind == "text_has":
         return f"contains({tx.clean(sel.element_text(nodes, el))}, {lit(args[0])})"
     if kind == "not_blank":
-        return f"{pick_value(nodes, None, el, Pick(args[0]))} <> ''"
+        return f"{pick_value(nodes, el, Pick(args[0]))} <> ''"
     if kind == "plain_text":
         text_only = with_value(
             tx.clean(sel.element_text(nodes, el)),

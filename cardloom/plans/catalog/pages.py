@@ -38,7 +38,7 @@ _HOST_ID = r"split_part(regexp_replace(lower(regexp_extract(url, '(?i)^https?://
 def page_titles(spark, sf):
     """Flagship: the title of every article, its source, and whether the page names an address."""
     pages = stored_pages(spark, sf).withColumn("has_email", F.expr(f"{tx.find_email('html')} <> ''"))
-    title = field_value("nodes", None, None, (Pick("article h1", "first", scope="page"),))
+    title = field_value("nodes", None, (Pick("article h1", "first", scope="page"),))
     titled = parse_pages(pages).select(
         "page_id", "url", F.expr(urls.source_id("url")).alias("source_id"), F.expr(title).alias("title"),
         "has_email",
@@ -104,7 +104,7 @@ def distinct_links(spark, sf):
         FROM a""",
 )
 def unclosed_paragraphs(spark, sf):
-    article = field_value("nodes", None, None, (Pick("article", "first", scope="page", steps=()),))
+    article = field_value("nodes", None, (Pick("article", "first", scope="page", steps=()),))
     return parse_pages(stored_pages(spark, sf)).select(
         "page_id",
         F.expr(f"size({sel.find('nodes', None, 'article > p')})").alias("paragraphs"),
@@ -121,7 +121,7 @@ def unclosed_paragraphs(spark, sf):
         FROM pages""",
 )
 def footers_and_scripts(spark, sf):
-    pick = lambda css, **kw: F.expr(field_value("nodes", None, None, (Pick(css, "first", scope="page", steps=(), **kw),)))
+    pick = lambda css, **kw: F.expr(field_value("nodes", None, (Pick(css, "first", scope="page", steps=(), **kw),)))
     return parse_pages(stored_pages(spark, sf)).select(
         "page_id", pick("footer", take="visible").alias("footer"), pick("script").alias("script"),
         pick("html", take="attr:lang").alias("lang"),

@@ -59,7 +59,7 @@ _card_query("select_by_attribute", "B5 B6 B7 B22",
             profile=(_pick("[class=profile]", "first", "attr:href", steps=()), "'/staff/' || key"))
 _card_query("child_and_descendant", "B8 B9 E6",
             items=(_size(".facts > li"), "2"), below=(_size("ul li"), "2"), direct=(_size("#staff > li"), "0"),
-            children=(lambda c: f"size({sel.children(N, c)})", "CASE WHEN has_email THEN 9 ELSE 8 END"))
+            children=(lambda c: f"size({sel.children(N, c)})", "CASE WHEN has_email THEN 10 ELSE 9 END"))
 _card_query("selector_lists", "B10 B14", first=(_pick("h4, h3, h6", "first", "own"), "name"),
             n=(_size("h3, li, h4"), "4"))
 _card_query("has_and_not", "B11 B12 B13 E8",
