@@ -255,22 +255,23 @@ def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).alias("id"), ascii_lower(text_of(text_col)).alias("text"), F.col("trains").alias("trains"))
 
 
-def _batched(batches: Iterator[pa.RecordBatch], at: int, place: dict[bytes, int], net: Network) -> Iterator[tuple[list, list]]:
-    """(columns before the text, word lists, encoded texts) of a bounded number of tokens at a time."""
-    head, split, coded, size = [], [], [], 0
+def _batched(batches: Iterator[pa.RecordBatch], at: int, place: dict[bytes, int], net: Network, note=None) -> Iterator[tuple]:
+    """(columns before the text, notes on the words, encoded texts) of a bounded number of tokens at a time; the
+    words themselves, many times as large, are not kept."""
+    head, notes, coded, size = [], [], [], 0
     for batch in batches:
         others = [c.to_pylist() for i, c in enumerate(batch.columns) if i != at]
         for i, text in enumerate(batch.column(at)):
             words = text.as_py().encode().split()
             head.append([c[i] for c in others])
-            split.append(words)
+            notes.append(note(words) if note else None)
             coded.append(np.array([place.get(w, net.other) for w in words] + [net.end], np.int32))
             size += len(words) + 1
             if size >= _TOKENS:
-                yield head, split, coded
-                head, split, coded, size = [], [], [], 0
+                yield head, notes, coded
+                head, notes, coded, size = [], [], [], 0
     if head:
-        yield head, split, coded
+        yield head, notes, coded
 
 
 def _round(texts: DataFrame, shared, words: int) -> np.ndarray | None:
@@ -335,14 +336,17 @@ def scores(docs: DataFrame, trains, id_col: str = "doc_id", text_col: str = "tex
         place, flat, held = known.value
         own = Network(words, flat)
         logs = {w: float(np.log10(c + 0.5)) for w, c in held.items()}
-        for heads, split, coded in _batched(batches, 1, place, own):
+
+        def looked_up(words: list[bytes]) -> tuple[np.ndarray, list[str]]:
+            log = np.fromiter(map(logs.get, words, repeat(np.nan)), np.float64, len(words))
+            return log, [words[i].decode() for i in np.flatnonzero(np.isnan(log))]
+
+        for heads, notes, coded in _batched(batches, 1, place, own, looked_up):
             like = log_likelihoods(own, coded) / np.log(10)
             out = []
-            for (id_, trains), text, code, value in zip(heads, split, coded, like):
-                log = np.fromiter(map(logs.get, text, repeat(np.nan)), np.float64, len(text))
+            for (id_, trains), (log, tail), code, value in zip(heads, notes, coded, like):
                 held, other = ~np.isnan(log), code[:-1] == own.other
-                tail = [text[i].decode() for i in np.flatnonzero(~held)]
-                out.append((id_, trains, len(text) + 1, int(held.sum()) + (ends > 0), float(log[held].sum()) + end_log,
+                out.append((id_, trains, len(code), int(held.sum()) + (ends > 0), float(log[held].sum()) + end_log,
                             float(value + log[held & other].sum()), int(other.sum()), tail))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([o[j] for o in out], t) for j, t in enumerate(
