@@ -9,9 +9,9 @@ to the next, named by the hash of its words.
   per window. A join with the first document that has it gives its source coordinates, and neighbouring
   pieces with the same source and shift are compacted into one long span.
 * An edge with different pieces branches. Only the first document of each of its pieces is cut into
-  windows; these are matched by SHA-256.
-* Long spans are verified by their source coordinates: a SHA-256 of the words there must equal that of the
-  words to be removed.
+  windows; these are matched by 128 bits of SHA-256.
+* Long spans are verified by their source coordinates: 128 bits of SHA-256 of the words there must equal
+  those of the words to be removed.
 """
 
 from __future__ import annotations
@@ -23,10 +23,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from cardloom.llm.common import WordCodes, join_rows, keyed, mixed, shared_folder, stored
+from cardloom.llm.common import WordCodes, discard, join_rows, keyed, mixed, shared_folder, stored
 
 SPAN = 50
-KMER = 12
+KMER = 16
 _BASE = np.uint64(0x9E3779B97F4A7C15)  # odd, so it has an inverse modulo 2^64
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _ROWS = 1 << 16  # rows of an output batch
@@ -90,6 +90,11 @@ def _split(text: str) -> list[bytes]:
     return text.encode().split()  # at \x20 and \x09-\x0D
 
 
+def _digest(words: list[bytes]) -> bytes:
+    """Half of a SHA-256: 128 bits tell stretches of words apart."""
+    return sha256(b" ".join(words)).digest()[:16]
+
+
 def _all_pieces(rows: DataFrame, span: int, kmer: int) -> DataFrame:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher()
@@ -113,7 +118,7 @@ def _all_pieces(rows: DataFrame, span: int, kmer: int) -> DataFrame:
 
 
 def _read_stretches(rows: DataFrame, wanted: DataFrame, span: int) -> DataFrame:
-    """SHA-256 of stretches of documents. ``wanted``: (of_id, of_key, wants array<(start, size, cut)>); if cut, each
+    """Digests of stretches of documents. ``wanted``: (of_id, of_key, wants array<(start, size, cut)>); if cut, each
     window of the stretch is read, else all of it. Gives (id, key, start, size, digest, cut)."""
     kind = rows.schema["id"].dataType.simpleString()
 
@@ -128,7 +133,7 @@ def _read_stretches(rows: DataFrame, wanted: DataFrame, span: int) -> DataFrame:
                     starts = range(start, start + size - span + 1) if cut else (start,)
                     length = span if cut else size
                     for s in starts:
-                        for column, x in zip(out, (i, s, length, sha256(b" ".join(words[s:s + length])).digest(), cut)):
+                        for column, x in zip(out, (i, s, length, _digest(words[s:s + length]), cut)):
                             column.append(x)
                 if len(out[0]) >= _ROWS or i == batch.num_rows - 1:
                     which = pa.array(out[0], pa.int64())
@@ -148,14 +153,17 @@ def _later(first: Column) -> Column:
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", span: int = SPAN, kmer: int = KMER) -> DataFrame:
     """(id, key, start, size, digest, source_id, source_start): stretches of words that also stand in a document with a
-    smaller id, with the SHA-256 that the words must have; together they cover every repeated window."""
+    smaller id, with the digest that the words must have; together they cover every repeated window."""
     folder = shared_folder(docs.sparkSession)
     rows = keyed(docs, id_col, text_col)
     every = stored(_all_pieces(rows.filter(F.col("id").isNotNull()), span, kmer), folder, "pieces")
     paths = every.groupBy("edge", "name").agg(F.min(F.struct("id", "key", "start")).alias("first"), F.max("id").alias("last"))
-    branching = paths.groupBy("edge").agg(F.count("*").alias("ways")).filter("ways > 1").select("edge", F.lit(True).alias("branches"))
+    branching = paths.groupBy("edge").agg(
+        F.count("*").alias("ways"), F.min(F.col("first")["id"]).alias("low"), F.max("last").alias("high"),
+    ).filter("ways > 1 AND low < high").select("edge", F.lit(True).alias("branches"))
     wanted = paths.join(branching, "edge", "left").filter(F.col("branches") | (F.col("first")["id"] < F.col("last")))
     met = stored(every.join(wanted, ["edge", "name"]).drop("edge", "name", "last"), folder, "met")
+    discard(docs.sparkSession, folder, "pieces")
 
     # repeated paths: neighbours with one source and shift become one span
     along = Window.partitionBy("id", "key", "source_id", "source_key", "shift").orderBy("start")
@@ -179,6 +187,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         F.col("id").alias("of_id"), F.col("key").alias("of_key"), "start", (F.col("windows") + span - 1).alias("size"), F.lit(True).alias("cut"))
     wants = sources.unionByName(cuts).groupBy("of_id", "of_key").agg(F.collect_list(F.struct("start", "size", "cut")).alias("wants"))
     read = stored(_read_stretches(rows, wants, span), folder, "read")
+    discard(docs.sparkSession, folder, "met")
 
     proof = read.filter("not cut").select(F.col("id").alias("source_id"), F.col("key").alias("source_key"),
                                           F.col("start").alias("source_start"), "size", "digest").distinct()
@@ -212,7 +221,7 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 stays = np.ones(len(words), bool)
                 for s in spans.as_py() or ():
                     start, end = s["start"], s["start"] + s["size"]
-                    if stays[start:end].any() and sha256(b" ".join(words[start:end])).digest() == s["digest"]:
+                    if stays[start:end].any() and _digest(words[start:end]) == s["digest"]:
                         stays[start:end] = False
                 kept = words if stays.all() else [words[i] for i in np.flatnonzero(stays)]
                 out.append((len(words), len(words) - len(kept), b" ".join(kept).decode()))
