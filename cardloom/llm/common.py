@@ -31,6 +31,14 @@ def stored(frame: DataFrame, folder: str, name: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def discard(spark: SparkSession, folder: str, *names: str) -> None:
+    """Delete tables that ``stored`` wrote, once everything made of them is stored itself."""
+    context = spark.sparkContext
+    for name in names:
+        path = context._jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}")
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def small(frame: DataFrame, row_bytes: int) -> DataFrame:
     """A stored table with a broadcast hint if its counted rows fit ``BROADCAST_BYTES``, else without."""
     return F.broadcast(frame) if frame.count() * row_bytes <= BROADCAST_BYTES else frame
@@ -77,4 +85,4 @@ def join_rows(rows: DataFrame, side: DataFrame, how: str) -> DataFrame:
     return rows.join(side, (F.col("key") == F.col("of_key")) & F.col("id").eqNullSafe(F.col("of_id")), how).drop("of_id", "of_key")
 
 
-__all__ = ["BROADCAST_BYTES", "WordCodes", "ascii_lower", "join_rows", "keyed", "mixed", "shared_folder", "small", "stored", "text_of"]
+__all__ = ["BROADCAST_BYTES", "WordCodes", "ascii_lower", "discard", "join_rows", "keyed", "mixed", "shared_folder", "small", "stored", "text_of"]

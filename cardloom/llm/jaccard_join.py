@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from cardloom.llm.common import WordCodes, ascii_lower, join_rows, keyed, mixed, shared_folder, small, stored
+from cardloom.llm.common import WordCodes, ascii_lower, discard, join_rows, keyed, mixed, shared_folder, small, stored
 
 SHINGLE = 3
 PERCENT = 90
@@ -114,6 +114,7 @@ def _verified(pairs: DataFrame, classes: DataFrame, rows: DataFrame, size: int,
     chosen = stored(classes.join(sides, "cid", "left_semi").select("cid", F.col("first")["id"].alias("of_id"), F.col("first")["key"].alias("of_key")),
                     folder, f"{name}-sides")
     texts = stored(join_rows(rows, small(chosen, 32), "inner").dropDuplicates(["cid"]).select("cid", "text"), folder, f"{name}-texts")
+    pairs = _possible(pairs, texts, size, percent, folder, name)
     both = (
         pairs.join(texts.withColumnsRenamed({"cid": "u", "text": "u_text"}), "u")
         .join(texts.withColumnsRenamed({"cid": "v", "text": "v_text"}), "v").select("u", "v", "u_text", "v_text")
@@ -132,7 +133,50 @@ def _verified(pairs: DataFrame, classes: DataFrame, rows: DataFrame, size: int,
                 good.append(100 * common >= percent * (len(x) + len(y) - common))
             yield pa.RecordBatch.from_arrays(batch.columns[:2], ["u", "v"]).filter(pa.array(good, pa.bool_()))
 
-    return stored(both.mapInArrow(verify, "u long, v long"), folder, f"{name}-links")
+    links = stored(both.mapInArrow(verify, "u long, v long"), folder, f"{name}-links")
+    discard(rows.sparkSession, folder, *[f"{name}-{part}" for part in ("pairs", "sides", "texts", "held", "possible")])
+    return links
+
+
+def _possible(pairs: DataFrame, texts: DataFrame, size: int, percent: int, folder: str, name: str) -> DataFrame:
+    """The pairs whose overlap may be enough by the numbers of n-grams in buckets of codes.
+
+    Two sets share at most the smaller number in each bucket. There are at least as many buckets as a set has
+    n-grams, so the bound is close, and a row of numbers is far smaller than a text to bring to every pair.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingles = Shingles(size)
+        for batch in batches:
+            rows = []
+            for text in batch.column(1):
+                codes = shingles(text.as_py())
+                buckets = 1 << max(len(codes) - 1, 1).bit_length()
+                held = np.bincount((codes % np.uint64(buckets)).astype(np.int64), minlength=buckets)
+                rows.append((len(codes), held.astype(np.uint8 if held.max() < 256 else np.uint32).tobytes()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([n for n, _ in rows], pa.int32()), pa.array([b for _, b in rows], pa.binary())],
+                                             ["cid", "n", "held"])
+
+    held = stored(texts.mapInArrow(count, "cid long, n int, held binary"), folder, f"{name}-held")
+    sides = pairs.join(held.withColumnsRenamed({"cid": "u", "n": "u_n", "held": "u_held"}), "u").join(
+        held.withColumnsRenamed({"cid": "v", "n": "v_n", "held": "v_held"}), "v").select("u", "v", "u_n", "v_n", "u_held", "v_held")
+
+    def bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def numbers(n: int, data: bytes) -> np.ndarray:
+            wide = len(data) > 1 << max(n - 1, 1).bit_length()
+            return np.frombuffer(data, np.uint32 if wide else np.uint8).astype(np.int64)
+
+        for batch in batches:
+            good = []
+            for a, b, x, y in zip(*(batch.column(i).to_pylist() for i in range(2, 6))):
+                x, y = numbers(a, x), numbers(b, y)
+                if len(x) != len(y):  # the finer one is folded: its buckets are those of the other, by residue
+                    few = min(len(x), len(y))
+                    x, y = x.reshape(-1, few).sum(axis=0), y.reshape(-1, few).sum(axis=0)
+                good.append((100 + percent) * int(np.minimum(x, y).sum()) >= percent * (a + b))
+            yield pa.RecordBatch.from_arrays(batch.columns[:2], ["u", "v"]).filter(pa.array(good, pa.bool_()))
+
+    return stored(sides.mapInArrow(bound, "u long, v long"), folder, f"{name}-possible")
 
 
 def components(links: DataFrame, folder: str) -> DataFrame:
@@ -155,6 +199,8 @@ def components(links: DataFrame, folder: str) -> DataFrame:
         now = links.agg(F.count("*"), F.sum(F.xxhash64("u", "v") % 1_000_003)).first()
         if now == state:
             return links.withColumnsRenamed({"u": "cid", "v": "root"})
+        if step:
+            discard(links.sparkSession, folder, f"star{step - 1}")
         state, step = now, step + 1
 
 
@@ -187,6 +233,7 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     main = labelled.groupBy("gram", "root").agg(F.count("*").alias("rows")).groupBy("gram").agg(
         F.max(F.struct("rows", "root")).alias("main"), F.count("*").alias("parts")).filter("parts > 1").select("gram", F.col("main")["root"].alias("main"))
     open_blocks = stored(labelled.join(main, "gram"), folder, "open")
+    discard(docs.sparkSession, folder, "blocks", "labelled")
     x = open_blocks.filter("root <> main").select("gram", *[F.col(c).alias(f"x_{c}") for c in ("pos", "cid", "n", "root")])
     y = open_blocks.select("gram", "main", *[F.col(c).alias(f"y_{c}") for c in ("pos", "cid", "n", "root")])
     crossing = (
@@ -196,6 +243,7 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     cross = x.join(y, crossing).select(F.least("x_cid", "y_cid").alias("u"), F.greatest("x_cid", "y_cid").alias("v")).distinct()
     second = _verified(cross, classes, rows, shingle, percent, folder, "cross")
     roots = components(second.union(merged), f"{folder}/second")
+    discard(docs.sparkSession, folder, "open", "first")
 
     named = stored(classes.select("a", "b", "n", "cid", "low_id").join(roots, "cid", "left").withColumn("root", F.coalesce("root", "cid")), folder, "named")
     lowest = named.groupBy("root").agg(F.min("low_id").alias("component_id"))
