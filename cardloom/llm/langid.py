@@ -25,8 +25,8 @@ SAMPLE_PER_LANG = 400
 EPOCHS = 6
 #: Share of correctly labelled calibration texts that may fall under the rejection score.
 REJECTED = 0.001
-#: A text with a score of at least this is never rejected.
-SURE = 0.5
+#: A text whose score is at least so many times that of a guess is never rejected: mixed languages are kept.
+OVER_CHANCE = 1.25
 UNKNOWN = "und"
 
 
@@ -135,7 +135,7 @@ def _calibrate(model: Model, held: list, place: dict[str, int]) -> None:
     odds /= odds.sum(axis=1, keepdims=True)
     right = odds.argmax(axis=1) == truth
     if right.any():
-        model.threshold = float(min(SURE, np.quantile(odds.max(axis=1)[right], REJECTED)))
+        model.threshold = float(min(OVER_CHANCE / len(place), np.quantile(odds.max(axis=1)[right], REJECTED)))
 
 
 def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
