@@ -62,8 +62,10 @@ _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _SKIPPED_ARTICLES = frozenset("ad advert comment promo related reply sponsored teaser".split())
 _KEPT = frozenset("html body main article".split())  # names on these say nothing about what they hold
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
-_PLAIN_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.S)
+# A quote opens a value only after "="; one that never ends is part of an unquoted value. Possessive groups and the
+# last ">" as the end of the search keep broken markup linear.
+_TOKEN = re.compile(
+    r"<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s>]*+))*+)>")
 _ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
 _TELLING = re.compile(r"class|id|role|style", re.I)  # also part of "hidden"
 _HIDDEN = re.compile(r"(?i)(?:^|[\s\"'])hidden(?:[\s=/]|$)")
@@ -105,13 +107,17 @@ def events(page: str) -> Iterator[tuple]:
         return found
 
     at, end = 0, page.rfind(">") + 1
-    # quotes that never end would make the first pattern look at everything behind each tag again
-    token = _TOKEN if page.count('"') % 2 == 0 and page.count("'") < 2 * page.count("=") + 1 and len(page) < 1 << 20 else _PLAIN_TOKEN
     while at < end:
         start = page.find("<", at)
-        if start < 0:
+        if start < 0 or start >= end:
             break
-        m = token.match(page, start) or (_PLAIN_TOKEN.match(page, start) if token is _TOKEN else None)
+        if page.startswith("<!--", start):
+            if start > at:
+                yield ("#", page[at:start])
+            stop = page.find("-->", start + 4)
+            at = stop + 3 if stop >= 0 else len(page)
+            continue
+        m = _TOKEN.match(page, start, end)
         if m is None:  # a bare "<" is text
             yield ("#", page[at:start + 1])
             at = start + 1
@@ -121,6 +127,9 @@ def events(page: str) -> Iterator[tuple]:
         at = m.end()
         if m[2] is None:
             continue
+        if at == end and not _TOKEN.match(page, start):  # the input ends inside this tag
+            at = len(page)
+            break
         tag = m[2].lower()
         if m[1]:
             if open_tags.get(tag):

@@ -64,6 +64,29 @@ def test_odd_pages(spark, page, text):
     assert [r.text for r in h.main_texts(rows).collect()] == [text] * 3
 
 
+@pytest.mark.parametrize("more", ["", "<p>" + "word " * 220_000 + "</p>", "<p>5\" wide</p>", "<p>" + "l'homme don't " * 50 + "</p>", "<!-- \" -->"])
+def test_quoted_end_of_tag(more):
+    page = f"<article><p title=\"x -> y\">one <img alt='a > b'>two</p><div data-x=\"1>0\" class='advert'>buy</div>{more}<p>end</article>"
+    middle = h.main_text(f"<article>{more}</article>", None)
+    assert h.main_text(page, None) == " ".join(x for x in ("one two", middle, "end") if x)
+
+
+@pytest.mark.parametrize("page, text", [
+    ("<article>x<a href=\"never ends>y</a> z</article>", "xy z"), ("<article>x <a \"b>y</a></article>", "x y"), ("<article>x <img alt=\"a > b\"", "x"),
+    ("<article>x<a href=a\"b>y</a> <b title='c>d'>z</b></article>", "xy z"), ("<article>x<!-- > ", "x"), ("<article>x</b title='1>0'>y</article>", "xy"),
+])
+def test_quotes_by_tag(page, text):
+    assert h.main_text(page, None) == text
+
+
+@pytest.mark.parametrize("part", ["<a b=\"", "<a b='>", "<a b=\"x", "<a b=", "<a b='c' \"", "<!-- >"])
+def test_quotes_stay_linear(part):
+    begin = time.perf_counter()
+    for end in ("", ">", "\">", "'>\""):
+        h.main_text(part * 30_000 + end, None)
+    assert time.perf_counter() - begin < 8
+
+
 def test_no_pages(spark):
     assert h.main_texts(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
