@@ -32,6 +32,7 @@ def page_count(paging: Paging, nodes: str = "nodes", card: str = "", base: str =
         said = f"array_join({transform(links, lambda a: sel.attribute(a, 'href'))}, ' ')"
         n = f"array_max({transform(links, lambda a: urls.page_no(sel.attribute(a, 'href'), 'page_no'))})"
     elif paging.kind == "max_text":
+        said = f"array_join({transform(links, lambda a: sel.element_text(nodes, a))}, ' ')"
         n = f"array_max({transform(links, lambda a: _whole_number(sel.element_text(nodes, a)))})"
     elif paging.kind == "label_of":
         n = tx.label_total(label)

@@ -113,6 +113,16 @@ def test_announcements_beyond_32_bits_and_unreadable_ones(spark):
     assert {r.id: r.n for r in counted.collect()} == {1: 3_000_000_000, 2: None}
 
 
+def test_pager_with_many_numbers(spark):
+    links = lambda numbers: '<nav class="p">' + "".join(f"<a>{n}</a>" for n in numbers) + "</nav>"
+    pages = spark.createDataFrame(
+        [(1, links(range(1, 21))), (2, links([*range(1, 15), "Next"])), (3, links([1, 2, "9" * 30]))], "id int, html string")
+    counted = parse_pages(pages).select("id", F.expr(pg.page_count(Paging("max_text", ".p a"))).alias("n"))
+    assert {r.id: r.n for r in counted.collect()} == {1: 20, 2: 14, 3: None}
+    plan = pg.numbered(counted, pg.whole_range("n")).groupBy("id").count()
+    assert {r.id: r["count"] for r in plan.collect()} == {1: 20, 2: 14}
+
+
 def test_plans_are_written_out_in_blocks(spark):
     some = spark.createDataFrame([(1, 3), (2, None), (3, 2_500_000)], "id int, n long")
     rows = pg.numbered(some, pg.whole_range("n"))
