@@ -8,7 +8,7 @@ regular expression without unions over tokens, the host's wrapper, for instance
 
 What stands in a slot is told from what the template repeats by aggregates over all pages of the host (is
 the text always the same? how much is link text?). Wrapper and slots give the host's rule: the regions that
-hold the main text, the slots to skip. Pages that lack the region are read by a rule of their own.
+hold the main text (inside <article> or <main> where the host has them), the slots to skip. Pages that lack the region are read by a rule of their own.
 
 Alignment needs each different stream of a host once; these are found by an aggregate, dealt out by salted
 host, folded as a sorted stream with one wrapper in memory, and the salts' wrappers folded again.
@@ -35,6 +35,8 @@ _PERIOD = 6  # longest group of neighbours that is seen to repeat
 _SHARE = 0.7
 #: A menu is a repeated group with at least this share of its text in links.
 _LINKED = 0.9
+#: Inside an article, a text is the template's if it is the same wherever it stands, on at least this share of the host's pages.
+_COMMON = 0.5
 
 # Fixed values of HTML
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -59,6 +61,7 @@ _SKIPPED_NAMES = frozenset(
     "recommended breadcrumb breadcrumbs pagination pager subscribe subscription newsletter signup login search toolbar skip "
     "hidden".split())
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+_NO_MENU = _INLINE | _HEADINGS | frozenset("table thead tbody tfoot tr td th figure blockquote".split())  # links in these are content
 _SKIPPED_ARTICLES = frozenset("ad advert comment promo related reply sponsored teaser".split())
 _KEPT = frozenset("html body main article".split())  # names on these say nothing about what they hold
 
@@ -299,6 +302,7 @@ def read(text: str) -> list:
 
 # -- rules --------------------------------------------------------------------------------------------------
 
+_PAGES = "pages"  # not a path; its slot counts the pages of a host
 _PATHS: dict[tuple[str, str], str] = {}
 
 
@@ -317,7 +321,8 @@ def _path(parent: str, name: str) -> str:
 def rule_of(wrapper: list, stats: dict[str, tuple]) -> dict[str, list[str]]:
     """{"main": paths of the regions with the main text, "skip": paths of template texts and menus inside them}.
 
-    ``stats``: path -> (characters, of them in links, whether the text is the same on all of several pages).
+    ``stats``: path -> (characters, of them in links, whether the text is the same on all of several pages, and that
+    on enough pages of the host). <article> and <main> narrow the region; see ``_template`` for what goes inside them.
     """
     flat: list[tuple] = []  # (node, path, parent's place, skipped), parents first
     todo = [(n, "", -1, False) for n in reversed(wrapper)]
@@ -333,8 +338,9 @@ def rule_of(wrapper: list, stats: dict[str, tuple]) -> dict[str, list[str]]:
         hits = [i for i, f in enumerate(flat) if f[0][0] == tag and not f[3]]
         outer = [i for i in hits if not any(j in hits for j in _ancestors(flat, i))]
         if outer:
-            return {"main": sorted({flat[i][1] for i in outer}), "skip": []}
-    own = [stats.get(f[1], (0, 0, False)) if f[0][0] != "(" else (0, 0, False) for f in flat]
+            main = {flat[i][1] for i in outer}
+            return {"main": sorted(main), **_template(flat, main, stats)}
+    own = [stats.get(f[1], (0, 0, False))[:3] if f[0][0] != "(" else (0, 0, False) for f in flat]
     varied = [0 if f[3] or s[2] else s[0] for f, s in zip(flat, own)]
     total, linked = [s[0] for s in own], [s[1] for s in own]
     for i in range(len(flat) - 1, -1, -1):
@@ -353,6 +359,53 @@ def rule_of(wrapper: list, stats: dict[str, tuple]) -> dict[str, list[str]]:
     return {"main": [flat[best][1]] if best >= 0 else [], "skip": sorted(skip)}
 
 
+def _template(flat: list[tuple], main: set[str], stats: dict[str, tuple]) -> dict[str, list[str]]:
+    """{"skip": paths of template blocks and menus inside the regions, "mute": paths whose own text is the template's}.
+
+    A block's text is its own and that of its inline elements: a sentence with a part that varies is no template,
+    and a constant word inside one stays. If all text is constant or a menu, nothing tells the template: all stays.
+    """
+    up: dict[str, str] = {}  # places inside the regions, parents first
+    name: dict[str, str] = {}
+    menus: set[str] = set()
+    for node, path, above, skipped in flat:
+        parent = flat[above][1] if above >= 0 else ""
+        if skipped or path not in main and parent not in up:
+            continue
+        if node[0] == "(":
+            menus |= {_path(path, n[0]) for n in node[4]}
+            continue
+        if path not in up:
+            up[path], name[path] = "" if path in main and parent not in up else parent, node[0].split(".")[0]
+        if node[2]:
+            menus.add(path)
+    total, linked, varied, flow, moving = ({p: 0 for p in up} for _ in range(5))
+    for p in reversed(up):
+        chars, links, _, common = stats.get(p, (0, 0, False, False))
+        other = 0 if common else chars
+        for sums, own in ((total, chars), (linked, links), (varied, other), (flow, chars), (moving, other)):
+            sums[p] += own
+            if up[p] and (sums in (total, linked, varied) or name[p] in _INLINE):
+                sums[up[p]] += sums[p]
+    skip, mute = set(), set()
+    for p in up:
+        if p in main or name[p] in _INLINE:
+            continue
+        if p in menus and name[p] not in _NO_MENU and total[p] and linked[p] >= _LINKED * total[p]:
+            skip.add(p)
+        elif flow[p] and not moving[p]:
+            (mute if varied[p] else skip).add(p)
+    gone: set[str] = set()
+    for p in up:
+        if p in skip or up[p] in gone:
+            gone.add(p)
+        elif name[p] in _INLINE and up[p] in mute:
+            mute.add(p)
+    if not any(0 < stats.get(p, (0,))[0] and not stats[p][3] for p in up if p not in gone):
+        return {"skip": [], "mute": []}
+    return {"skip": sorted(skip), "mute": sorted(mute)}
+
+
 def _ancestors(flat: list[tuple], i: int) -> Iterator[int]:
     while (i := flat[i][2]) >= 0:
         yield i
@@ -360,7 +413,7 @@ def _ancestors(flat: list[tuple], i: int) -> Iterator[int]:
 
 def text_by(page: str, rule: dict[str, list[str]]) -> tuple[str, bool]:
     """The main text of a page, and whether the page has the rule's region."""
-    main, skip = set(rule["main"]), set(rule["skip"])
+    main, skip, mute = set(rule["main"]), set(rule["skip"]), set(rule.get("mute", ()))
     path, inside, out = [""], ["" in main], [(0, 0, 0)]
     pieces: list[str] = []
     region = inside[0]
@@ -384,19 +437,27 @@ def text_by(page: str, rule: dict[str, list[str]]) -> tuple[str, bool]:
                 pieces.append("\n")
         else:
             skips, header, heading = out[-1]
-            if inside[-1] and not skips and (not header or heading):
+            if inside[-1] and not skips and (not header or heading) and path[-1] not in mute:
                 pieces.append(_SPACE.sub(" ", decoded(e[1])))
     # inside a piece white space is one space already; what is left joins blocks
     return _SPACE.sub(" ", "".join(pieces)).strip(), region
 
 
+def _by_or_whole(page: str, rule: dict[str, list[str]]) -> tuple[str, bool]:
+    """As ``text_by``; an article of which template and menus are all keeps them."""
+    text, region = text_by(page, rule)
+    if region and not text and "mute" in rule:
+        return text_by(page, {"main": rule["main"], "skip": []})
+    return text, region
+
+
 def main_text(page: str, rule: dict[str, list[str]] | None) -> str:
     if rule is not None:
-        text, region = text_by(page, rule)
+        text, region = _by_or_whole(page, rule)
         if region:
             return text
     own, found = described(page)
-    text, region = text_by(page, rule_of(own, {p: (s[0], s[1], False) for p, s in found.items()}))
+    text, region = _by_or_whole(page, rule_of(own, {p: (s[0], s[1], False, False) for p, s in found.items()}))
     return text if region else text_by(page, {"main": [""], "skip": []})[0]
 
 
@@ -442,7 +503,8 @@ def wrappers(pages: DataFrame, folder: str, url_col: str = "url", html_col: str
                 page = page.as_py()
                 tokens, found = described(page)
                 shapes.append(written(tokens))
-                stats.append([{"path": p, "chars": s[0], "linked": s[1], "text": s[2]} for p, s in found.items()])
+                stats.append([{"path": p, "chars": s[0], "linked": s[1], "text": s[2]} for p, s in found.items()]
+                             + [{"path": _PAGES, "chars": 0, "linked": 0, "text": 0}])
             kind = pa.list_(pa.struct([("path", pa.string()), ("chars", pa.int64()), ("linked", pa.int64()), ("text", pa.int64())]))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(shapes, pa.string()), pa.array(stats, kind)], ["host", "shape", "stats"])
 
@@ -453,14 +515,16 @@ def wrappers(pages: DataFrame, folder: str, url_col: str = "url", html_col: str
     folded_hosts = _fold(_fold(shapes, "host", "salt"), "host")
     slot = pages_seen.select("host", F.explode("stats").alias("s")).groupBy("host", F.col("s.path").alias("path")).agg(
         F.sum("s.chars").alias("chars"), F.sum("s.linked").alias("linked"),
-        ((F.min("s.text") == F.max("s.text")) & (F.count("*") > 2)).alias("fixed"))
-    stats = slot.groupBy("host").agg(F.collect_list(F.struct("path", "chars", "linked", "fixed")).alias("stats"))
+        ((F.min("s.text") == F.max("s.text")) & (F.count("*") > 2)).alias("fixed"), F.count("*").alias("n"))
+    stats = slot.groupBy("host").agg(F.collect_list(F.struct("path", "chars", "linked", "fixed", "n")).alias("stats"))
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rules = [
-                json.dumps(rule_of(read(w.as_py()), {s["path"]: (s["chars"], s["linked"], s["fixed"]) for s in (t.as_py() or ())}))
-                for w, t in zip(batch.column(1), batch.column(2))]
+            rules = []
+            for w, t in zip(batch.column(1), batch.column(2).to_pylist()):
+                least = _COMMON * next(s["n"] for s in t if s["path"] == _PAGES)
+                slots = {s["path"]: (s["chars"], s["linked"], s["fixed"], s["fixed"] and s["n"] >= least) for s in t}
+                rules.append(json.dumps(rule_of(read(w.as_py()), slots)))
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(rules, pa.string())], ["host", "wrapper", "rule"])
 
     joined = folded_hosts.withColumnRenamed("shape", "wrapper").join(stats, "host", "left")

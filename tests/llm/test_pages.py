@@ -64,6 +64,21 @@ def test_odd_pages(spark, page, text):
     assert [r.text for r in h.main_texts(rows).collect()] == [text] * 3
 
 
+ARTICLE = ("<body><article><h1>Title {0}</h1><div class='x-a'>The same <b>line</b> everywhere</div><div class='x-b'>From the archive<p>{1}</p></div>"
+           "<p>Written in <b>{1}</b></p><h2>Part <a href=1>{0}</a></h2><ul><li><a href=1>Read {1}</a></li><li><a href=2>More {0}</a></li></ul>{2}</article>")
+
+
+def test_template_inside_an_article(spark):
+    words = site(8)[1]
+    pages = [(i, f"https://one.example.org/{i}", ARTICLE.format(i, w, "<p class='rare'>Kept</p>" * (i < 3))) for i, w in enumerate(words)]
+    pages += [(10 + i, "https://copies.example.org/", ARTICLE.format(1, "same", "")) for i in range(4)]
+    pages.append((20, "https://one.example.org/x", "<body><article><div class='x-a'>The same <b>line</b> everywhere</div></article>"))
+    got = {r.id: r.text for r in h.main_texts(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    want = {i: f"Title {i} {w} Written in {w} Part {i}" + " Kept" * (i < 3) for i, w in enumerate(words)}
+    want |= {10 + i: "Title 1 The same line everywhere From the archive same Written in same Part 1 Read same More 1" for i in range(4)}
+    assert got == want | {20: "The same line everywhere"}
+
+
 @pytest.mark.parametrize("more", ["", "<p>" + "word " * 220_000 + "</p>", "<p>5\" wide</p>", "<p>" + "l'homme don't " * 50 + "</p>", "<!-- \" -->"])
 def test_quoted_end_of_tag(more):
     page = f"<article><p title=\"x -> y\">one <img alt='a > b'>two</p><div data-x=\"1>0\" class='advert'>buy</div>{more}<p>end</article>"
