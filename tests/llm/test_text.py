@@ -186,6 +186,16 @@ def test_language_odd_rows(make, odd):
     assert langid.identify(make([]), model).count() == 0
 
 
+def test_unlearned_languages_go(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    model = langid.train(docs.filter("lang <> 'de'"))
+    gone = lambda texts: [model.predict(t)[2] for t in texts]
+    texts = {lang: [r.text for r in docs.filter(docs.lang == lang).collect() if len(r.text or "") > 400] for lang in ("de", "en", "fr")}
+    assert np.mean(gone(texts["de"])) > 0.9 and not any(gone(texts["en"] + texts["fr"]))
+    assert not any(gone([" ".join(t.split()[:4]) for t in texts["en"]] + [a + " " + b for a, b in zip(texts["en"], texts["fr"])]))
+    assert all(gone(["xqzvk wjqpf zzxrt qqkjw vbnmx kjhqz wqxzj pfkqv wwxkq", "все люди рождаются свободными и равными в своем достоинстве"]))
+
+
 def test_scores_query(run, documents):
     got = run("op8_lm_score", "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
     want = plain.base_scores(documents)
