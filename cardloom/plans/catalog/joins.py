@@ -41,7 +41,7 @@ _LISTS = Profile("lists", "lists", "", shape="zip", blocks=dict(name=".who", tit
 )
 def uneven_lists(spark, sf):
     """Titles of some people are missing, so later rows shift; the longer list is cut."""
-    records = _list_pages(spark, sf).select("page_id", F.expr(f"inline_outer({zipped(_LISTS, 'nodes', None)})"))
+    records = _list_pages(spark, sf).select("page_id", F.expr(f"inline_outer({zipped(_LISTS, 'nodes')})"))
     return records.filter("card_ord IS NOT NULL").select("page_id", "name", "job_title")
 
 
