@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import public_tokenizers
-from cardloom.llm import bpe, chat, decontaminate, exact_dedup, html_extract, jaccard_join, langid, lm_score, secrets, substring_dedup
+from cardloom.llm import (
+    bpe, chat, decontaminate, exact_dedup, html_extract, jaccard_join, langid, lm_score, phrases, secrets, substring_dedup,
+)
 from cardloom.llm.common import shared_folder
 from cardloom.sources.tables import table
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -172,3 +174,28 @@ def op8(spark, folder):
 def op1(spark, folder):
     found = html_extract.main_texts(table(spark, folder, "pages"))
     return found.select(F.col("id").alias("page_id"), "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@query("op13_phrases", f"""
+    WITH d AS (SELECT coalesce(lang, 'und') AS lang, string_split_regex({_LOWER}, '[.,;:!?\x0A-\x0D]') AS pieces FROM documents),
+    p AS (SELECT lang, regexp_extract_all(unnest(pieces), '[^\x20\x09]+') AS w FROM d),
+    total AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM p GROUP BY lang),
+    grams AS (SELECT lang, k, array_to_string(w[s:s + k - 1], ' ') AS phrase
+              FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS s FROM p, (SELECT unnest([1, 2, 3]) AS k))),
+    f AS (SELECT lang, k, phrase, count(*) AS a FROM grams GROUP BY ALL HAVING count(*) >= 10),
+    cut AS (SELECT f.lang, f.k, f.phrase, f.a, c, array_to_string(string_split(f.phrase, ' ')[:c], ' ') AS head,
+                   array_to_string(string_split(f.phrase, ' ')[c + 1:], ' ') AS tail
+            FROM f, (SELECT unnest([1, 2]) AS c) WHERE c < f.k),
+    scored AS (SELECT cut.lang, cut.phrase, cut.k, cut.a, c, h.a AS l, t.a AS r,
+                      (1000000::HUGEINT * cut.a * cut.a) // (h.a::HUGEINT * t.a) AS score
+               FROM cut JOIN f h ON h.lang = cut.lang AND h.phrase = head JOIN f t ON t.lang = cut.lang AND t.phrase = tail),
+    least AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) = 1),
+    inner_of AS (SELECT lang, unnest([array_to_string(string_split(phrase, ' ')[1:2], ' '),
+                                      array_to_string(string_split(phrase, ' ')[2:3], ' ')]) AS phrase, a FROM f WHERE k = 3),
+    longer AS (SELECT lang, phrase, max(a) AS m FROM inner_of GROUP BY ALL),
+    kept AS (SELECT least.* FROM least LEFT JOIN longer USING (lang, phrase) WHERE m IS NULL OR 100 * m < 50 * least.a)
+    SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n,
+           CAST(score AS BIGINT) AS score
+    FROM kept JOIN total USING (lang) QUALIFY rank <= 2000""")
+def op13(spark, folder):
+    return phrases.collocations(documents(spark, folder)).drop("first_doc", "first_word")
