@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
+
 import public_tokenizers
 from cardloom.llm import (
-    bpe, chat, decontaminate, exact_dedup, html_extract, jaccard_join, langid, lm_score, phrases, secrets, substring_dedup,
+    bpe, chat, decontaminate, exact_dedup, html_extract, jaccard_join, langid, lm_score, phrases, secrets, substring_dedup, vector_codes, warc,
 )
 from cardloom.llm.common import shared_folder
 from cardloom.sources.tables import table
@@ -199,3 +201,66 @@ def op1(spark, folder):
     FROM kept JOIN total USING (lang) QUALIFY rank <= 2000""")
 def op13(spark, folder):
     return phrases.collocations(documents(spark, folder)).drop("first_doc", "first_word")
+
+
+def _lloyd_sql(rounds: int = 4) -> str:
+    """Rounds of assigning and moving, written out one after the other."""
+    apart = "list_sum([(z[1] - z[2]) * (z[1] - z[2]) for z in list_zip(x.v, c.v)])"
+    near = lambda i: (f"a{i} AS MATERIALIZED (SELECT vec_id, x.p, min_by(e, ROW({apart}, e)) AS e, min({apart}) AS dist "
+                      f"FROM parts x JOIN c{i} c ON c.p = x.p GROUP BY vec_id, x.p)")
+    moved = lambda i: f"""c{i + 1} AS MATERIALIZED (
+        SELECT c.p, c.e, coalesce(m.v, c.v) AS v FROM c{i} c LEFT JOIN (
+            SELECT p, e, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY pos) AS v FROM (
+                SELECT a.p, a.e, pos, sum(x.v[pos]) AS s, count(*) AS n
+                FROM a{i} a JOIN parts x ON x.vec_id = a.vec_id AND x.p = a.p, (SELECT unnest(range(1, (SELECT max(d) FROM k) + 1)) AS pos)
+                GROUP BY ALL) GROUP BY p, e) m ON m.p = c.p AND m.e = c.e)"""
+    steps = ",\n    ".join(f"{near(i)},\n    {moved(i)}" for i in range(rounds))
+    return f"""
+    WITH k AS MATERIALIZED (
+        SELECT vec_id, label, len(embedding) // 4 AS d, [CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT) for x in embedding] AS v
+        FROM embeddings WHERE embedding IS NOT NULL AND len([x for x in embedding if x IS NULL OR isnan(x) OR isinf(x)]) = 0),
+    parts AS MATERIALIZED (SELECT vec_id, p, v[p * d + 1:(p + 1) * d] AS v FROM k, (SELECT unnest(range(4)) AS p)),
+    c0 AS MATERIALIZED (SELECT p, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS e, v FROM parts QUALIFY e < 256),
+    {steps},
+    {near(rounds)},
+    found AS (SELECT vec_id, string_agg(printf('%02x', e), '' ORDER BY p) AS code, CAST(sum(dist) AS BIGINT) AS error
+              FROM a{rounds} GROUP BY vec_id)
+    SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+           (SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY p, e)) FROM c{rounds}) AS codebooks_sha256
+    FROM found JOIN k USING (vec_id)"""
+
+
+@query("op12_vector_codes", _lloyd_sql())
+def op12(spark, folder):
+    coded, codebooks = vector_codes.compress(table(spark, folder, "embeddings"))
+    listed = ",".join(str(x) for entries in codebooks for entry in entries for x in entry)
+    code = F.array_join(F.transform("codes", lambda c: F.lower(F.lpad(F.hex(c), 2, "0"))), "")
+    return coded.select(F.col("id").alias("vec_id"), code.alias("code"), "error", "label_error",
+                        F.lit(hashlib.sha256(listed.encode()).hexdigest()).alias("codebooks_sha256"))
+
+
+def _base32_sql(sha1: str) -> str:
+    """40 bits at a time."""
+    parts = [f"to_base(CAST('0x' || substr({sha1}, {1 + 10 * i}, 10) AS BIGINT), 32, 8)" for i in range(4)]
+    return f"translate({' || '.join(parts)}, '0123456789ABCDEFGHIJKLMNOPQRSTUV', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567')"
+
+
+@query("op11_warc", f"""
+    WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+    g AS (SELECT *, max(page_id) OVER (PARTITION BY body) AS kept FROM p)
+    SELECT page_id, CAST(strlen(body) AS BIGINT) AS payload_bytes, {_base32_sql('sha1(body)')} AS payload_digest,
+           CASE WHEN page_id = kept THEN 'response' ELSE 'revisit' END AS record_type,
+           CASE WHEN page_id <> kept THEN kept END AS refers_to
+    FROM g""")
+def op11(spark, folder):
+    pages, place = table(spark, folder, "pages"), shared_folder(spark)
+    warc.write_archives(pages, f"{place}/raw")
+    index = warc.normalise(spark, f"{place}/raw", f"{place}/members")
+    read = warc.read_records(index, f"{place}/members")
+    full = F.col("type") == "response"  # a revisit states what the payload it left out was
+    kind = pages.schema["page_id"].dataType
+    return read.select(
+        F.col("id").cast(kind).alias("page_id"),
+        F.when(full, F.octet_length("payload").cast("long")).otherwise(F.col("http_bytes")).alias("payload_bytes"),
+        F.when(full, warc.base32_sha1(F.col("payload"))).otherwise(F.col("digest")).alias("payload_digest"),
+        F.col("type").alias("record_type"), F.col("refers_to").cast(kind).alias("refers_to"))
