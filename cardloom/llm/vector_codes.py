@@ -291,8 +291,9 @@ def _coded(blocks: DataFrame, codebooks: list, numbers: Numbers) -> DataFrame:
     id_type, label_type = (blocks.schema[c].dataType.elementType.simpleString() for c in ("ids", "labels"))
 
     def run(batches):
-        walks = _walks(codebooks, numbers)
+        walks = None
         for batch in batches:
+            walks = walks or _walks(codebooks, numbers)  # no vectors, no entries
             for row, (points, orders) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("points", "orders")))):
                 codes, errors = [], []
                 for walk, tree, order in zip(walks, _trees(points, numbers), orders):

@@ -125,7 +125,10 @@ class Records:
                 if not held.startswith(b"WARC/"):
                     raise ValueError(f"{self.source}: no WARC record at {bytes(held[:40])!r}")
                 self.fields = _fields(bytes(held[:end]))
-                self.size = end + 4 + int(self.fields["content-length"])
+                length = self.fields.get("content-length", "")
+                if not length.isdecimal():
+                    raise ValueError(f"{self.source}: a record without its length at {bytes(held[:40])!r}")
+                self.size = end + 4 + int(length)
             if len(held) < self.size:
                 return
             yield self.fields, bytes(held[:self.size])
