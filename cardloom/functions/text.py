@@ -180,9 +180,14 @@ def space_slug(name: str) -> str:
 
 
 # --- numbers -----------------------------------------------------------------------------------
+def int_text(x: str) -> str:
+    """The leading integer as it is written, '' if there is none."""
+    return f"regexp_extract({x}, {lit(rf'^{SPACE}*([+-]?\d+)')}, 1)"
+
+
 def to_int(x: str) -> str:
     """Leading integer, NULL if there is none or it does not fit 64 bits."""
-    return f"try_cast(regexp_extract({x}, {lit(rf'^{SPACE}*([+-]?\d+)')}, 1) AS BIGINT)"
+    return f"try_cast({int_text(x)} AS BIGINT)"
 
 
 def is_number(x: str) -> str:
@@ -190,9 +195,13 @@ def is_number(x: str) -> str:
     return true_only(f"{trim(x)} RLIKE {lit(r'^\d+$')}")
 
 
+def label_total_text(label: str) -> str:
+    return f"regexp_extract({label}, {lit(LABEL_TOTAL)}, 1)"
+
+
 def label_total(label: str) -> str:
     """``... of 856 ...`` -> 856."""
-    return f"try_cast(regexp_extract({label}, {lit(LABEL_TOTAL)}, 1) AS BIGINT)"
+    return f"try_cast({label_total_text(label)} AS BIGINT)"
 
 
 def label_page_size(label: str, default: int = DEFAULT_PAGE_SIZE) -> str:

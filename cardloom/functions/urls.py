@@ -30,9 +30,14 @@ def page_url(base: str, page_no: str, query: str, suffix: str = "", bare_first:
     return case((f"{page_no} = 1", base), otherwise=numbered) if bare_first else numbered
 
 
+def page_no_text(url: str, parameter: str) -> str:
+    """The page number as it is written, '' if absent."""
+    return f"regexp_extract({url}, {lit(rf'[?&]{parameter}=(\d+)')}, 1)"
+
+
 def page_no(url: str, parameter: str) -> str:
     """J26 inverse, J27: the page number in a URL or link, NULL if absent."""
-    return f"try_cast(regexp_extract({url}, {lit(rf'[?&]{parameter}=(\d+)')}, 1) AS BIGINT)"
+    return f"try_cast({page_no_text(url, parameter)} AS BIGINT)"
 
 
 def origin(url: str) -> str:

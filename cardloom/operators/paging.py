@@ -5,12 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from cardloom.functions import text as tx, urls
-from cardloom.functions.sql import concat, lit, transform
+from cardloom.functions.sql import concat, filter_, lit, transform, with_value
 from cardloom.operators import select as sel
 from cardloom.operators.rules import Paging
 
 
-_UNREADABLE = r"\d{19}"  # digits; BIGINT holds 18 of any value
 _BLOCK = 1 << 20  # pages of a block when a plan is written out
 
 
@@ -21,37 +20,39 @@ def page_count(paging: Paging, nodes: str = "nodes", card: str = "", base: str =
     """
     links = sel.find(nodes, None, paging.css)
     label = f"array_join({transform(links, lambda el: sel.element_text(nodes, el))}, '')"
-    said = label
+    of_links = lambda written: transform(links, written)
     if paging.kind == "max_attr":
-        said = f"array_join({transform(links, lambda a: sel.attribute(a, paging.attr))}, ' ')"
-        n = f"array_max({transform(links, lambda a: tx.to_int(sel.attribute(a, paging.attr)))})"
+        written = of_links(lambda a: tx.int_text(sel.attribute(a, paging.attr)))
     elif paging.kind == "last_attr":
-        said = f"coalesce(get({links}, 0).attrs[{lit(paging.attr)}], '')"
-        n = tx.to_int(f"get({links}, 0).attrs[{lit(paging.attr)}]")
+        written = f"array({tx.int_text(f'get({links}, 0).attrs[{lit(paging.attr)}]')})"
     elif paging.kind == "max_href":
-        said = f"array_join({transform(links, lambda a: sel.attribute(a, 'href'))}, ' ')"
-        n = f"array_max({transform(links, lambda a: urls.page_no(sel.attribute(a, 'href'), 'page_no'))})"
+        written = of_links(lambda a: urls.page_no_text(sel.attribute(a, "href"), "page_no"))
     elif paging.kind == "max_text":
-        said = f"array_join({transform(links, lambda a: sel.element_text(nodes, a))}, ' ')"
-        n = f"array_max({transform(links, lambda a: _whole_number(sel.element_text(nodes, a)))})"
-    elif paging.kind == "label_of":
-        n = tx.label_total(label)
-    elif paging.kind == "label_div":
+        written = of_links(lambda a: _whole_number(sel.element_text(nodes, a)))
+    elif paging.kind in ("label_of", "label_div"):
+        written = f"array({tx.label_total_text(label)})"
+    elif paging.kind == "hrefs":
+        return f"greatest(CAST(size({page_links(paging, nodes, base)}) AS BIGINT), 1)"
+    else:
+        raise ValueError(f"{paging.kind!r} announces no number of pages")
+    total = "{}"
+    if paging.kind == "label_div":
         size = {
             "cards": f"size({sel.find(nodes, None, card)})" if card else "",
             "label": tx.label_page_size(label),
         }.get(paging.size, str(paging.size))
-        n = tx.ceil_div(tx.label_total(label), size)
-    elif paging.kind == "hrefs":
-        said, n = "''", f"CAST(size({page_links(paging, nodes, base)}) AS BIGINT)"
-    else:
-        raise ValueError(f"{paging.kind!r} announces no number of pages")
-    return f"if({said} RLIKE {lit(_UNREADABLE)}, NULL, greatest(coalesce({n}, 1), 1))"
+        total = tx.ceil_div("{}", size)
+    # only what is read as the number decides whether it can be read: other digits of a link do not
+    stated = filter_(written, lambda w: f"{w} <> ''")
+    numbers = lambda ws: transform(ws, lambda w: f"try_cast({w} AS BIGINT)")
+    count = lambda ws: total.replace("{}", f"array_max({numbers(ws)})")
+    return with_value(stated, lambda ws: (
+        f"if(exists({numbers(ws)}, n -> n IS NULL), NULL, greatest(coalesce({count(ws)}, 1), 1))"))
 
 
 def _whole_number(x: str) -> str:
-    """NULL unless the whole text is a number."""
-    return f"try_cast(regexp_extract({tx.trim(x)}, {lit(r'^\d+$')}, 0) AS BIGINT)"
+    """The text if all of it is a number, else ''."""
+    return f"regexp_extract({tx.trim(x)}, {lit(r'^\d+$')}, 0)"
 
 
 def page_links(paging: Paging, nodes: str = "nodes", base: str = "url") -> str:

@@ -123,6 +123,23 @@ def test_pager_with_many_numbers(spark):
     assert {r.id: r["count"] for r in plan.collect()} == {1: 20, 2: 14}
 
 
+def test_only_the_page_number_decides_whether_a_count_is_readable(spark):
+    """Ids of sessions and the like stand in links and labels; 19 digits that fit are a number too."""
+    long_id = "1234567890123456789"
+    pages = spark.createDataFrame([
+        (1, f'<a href="/s?sid={long_id}0&page_no=7" data-page="7" title="{long_id}0">7</a>'
+            f'<a href="/s?sid={long_id}0">{long_id}0th</a><p>{long_id}0 showing 1 - 8 of 56</p>'),
+        (2, f'<a href="/s?page_no={long_id}" data-page="{long_id}">{long_id}</a><p>of {long_id}</p>'),
+        (3, f'<a href="/s?page_no={long_id}0" data-page="{long_id}0">{long_id}0</a><a href="/s?page_no=2" data-page="2">2</a><p>of {long_id}0</p>'),
+        (4, '<a href="/s" data-page="next">Next</a><p>all</p>')], "id int, html string")
+    kinds = {"max_href": Paging("max_href", "a"), "max_attr": Paging("max_attr", "a"), "max_text": Paging("max_text", "a"),
+             "last_attr": Paging("last_attr", "a"), "label_of": Paging("label_of", "p"), "label_div": Paging("label_div", "p", size=8)}
+    counted = parse_pages(pages).select("id", *[F.expr(pg.page_count(p)).alias(k) for k, p in kinds.items()])
+    whole = int(long_id)
+    want = {1: (7, 7, 7, 7, 56, 7), 2: (whole,) * 5 + (-(-whole // 8),), 3: (None,) * 6, 4: (1,) * 6}
+    assert {r.id: tuple(r)[1:] for r in counted.collect()} == want
+
+
 def test_plans_are_written_out_in_blocks(spark):
     some = spark.createDataFrame([(1, 3), (2, None), (3, 2_500_000)], "id int, n long")
     rows = pg.numbered(some, pg.whole_range("n"))
