@@ -9,6 +9,7 @@ from cardloom.plans.catalog.base import query
 from cardloom.plans.extract import extract
 from cardloom.plans.profiles import BY_ID, MERGE_RUN
 from cardloom.plans.rendered import ALL_IDS, MARKUP, detail_pages, expected_sql, listing_pages
+from cardloom.sources.layout import shared_folder
 from cardloom.sources.registry import source_table
 
 COLUMNS = ("profile_id", "page_no", "school_name", "url", "name", "job_title", "email")
@@ -65,6 +66,21 @@ _round_trip("phones_and_buttons", "C8 J21 B29", ("melcher_dallas_high", "texans_
             COLUMNS + ("phone",))
 _round_trip("all_profiles", "A3 C1 C2 L4", ALL_IDS, COLUMNS + EXTRAS)
 
+_ASKED_IDS = ("easterseals_ny", "greater_ny_academy", "new_york_mills", "school_finder", "lyceechicago")
+_ASKED_COLUMNS = ("profile_id", "page_no", "name", "email", "profile_url", "official_website")
+
+
+@query(
+    "asked_detail_pages", "E2 E3 E4 E9 L2",
+    expected_sql(_ASKED_IDS, f"SELECT {', '.join(_ASKED_COLUMNS)} FROM expected WHERE page_no % 3 = 1"),
+)
+def asked_detail_pages(spark, sf):
+    """Detail pages of everybody are stored, listings of a third: the others are dropped before they are parsed."""
+    pages = rendered_pages(spark, sf, _ASKED_IDS).filter("role = 'detail' OR page_no % 3 = 1")
+    profiles = [BY_ID[i] for i in _ASKED_IDS]
+    return extract(pages, source_table(spark, profiles), profiles, shared_folder(spark)).select(*_ASKED_COLUMNS)
+
+
 _SHARED_IDS = ("seattle_christian", "seattle_prep", "texans_can_dallas_north", "texans_can_pleasant_grove", "harrow_ny")
 
 

@@ -13,7 +13,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from cardloom.functions.sql import case, one_of
+from cardloom.functions.steps import apply_steps
 from cardloom.operators import merge
+from cardloom.operators.keyfilter import keep_wanted
 from cardloom.operators.lookup import join_details
 from cardloom.operators.markup import parse_pages
 from cardloom.operators.rules import RECORD_FIELDS, Profile
@@ -52,15 +54,27 @@ def listing_records(pages: DataFrame, profiles: Sequence[Profile]) -> DataFrame:
     )
 
 
-def detail_records(pages: DataFrame, profiles: Sequence[Profile]) -> DataFrame:
-    return _explode(
-        pages.filter(F.col("role") == "detail"), profiles, lambda p: repr(p.lookup),
-        lambda p: detail_record(p, "nodes", "url"),
-    )
+def wanted_details(pages: DataFrame, profiles: Sequence[Profile], listing: DataFrame) -> DataFrame:
+    """Stored detail pages that some listing row may ask for. Their key comes from their address, so the others
+    are dropped at the scan, before their markup is moved or parsed."""
+    own = pages.filter((F.col("role") == "detail") & F.col("profile_id").isin([p.profile_id for p in profiles]))
+    key = F.expr(_branches(profiles, lambda p: repr(p.lookup.key), lambda p: apply_steps("url", p.lookup.key)))
+    asked = listing.select("source_id", "lookup_key").filter("lookup_key <> ''")
+    return keep_wanted(own, (F.col("source_id"), key), asked, ("source_id", "lookup_key"))
+
+
+def detail_records(pages: DataFrame, profiles: Sequence[Profile], listing: DataFrame | None = None) -> DataFrame:
+    """Records of detail pages, of those only that the stored rows ``listing`` ask for, if given."""
+    details = pages.filter(F.col("role") == "detail") if listing is None else wanted_details(pages, profiles, listing)
+    return _explode(details, profiles, lambda p: repr(p.lookup), lambda p: detail_record(p, "nodes", "url"))
+
 
+def raw_records(pages: DataFrame, profiles: Sequence[Profile] = PROFILES, folder: str | None = None) -> DataFrame:
+    """Records with the fields of their pages, before source constants are attached.
 
-def raw_records(pages: DataFrame, profiles: Sequence[Profile] = PROFILES) -> DataFrame:
-    """Records with the fields of their pages, before source constants are attached."""
+    With a ``folder`` (shared by all executors) listing rows that ask for detail pages are stored there first, and
+    only the pages they ask for are parsed. Without one nothing runs before the result is asked for.
+    """
     plain = [p for p in profiles if not p.lookup]
     linked = [p for p in profiles if p.lookup]
     parts = [listing_records(pages, plain)] if plain else []
@@ -70,18 +84,21 @@ def raw_records(pages: DataFrame, profiles: Sequence[Profile] = PROFILES) -> Dat
             for f in p.lookup.fields:
                 looked_up.setdefault(f, []).append(p.profile_id)
         inner_ids = [p.profile_id for p in linked if p.lookup.how == "inner"]
-        joined = join_details(
-            listing_records(pages, linked), detail_records(pages, linked), inner_ids, looked_up
-        )
+        listing, asked = listing_records(pages, linked), None
+        if folder:
+            listing.write.mode("overwrite").parquet(f"{folder}/listing")
+            listing = asked = pages.sparkSession.read.schema(listing.schema).parquet(f"{folder}/listing")
+        joined = join_details(listing, detail_records(pages, linked, asked), inner_ids, looked_up)
         if inner_ids:
             joined = joined.filter(~F.col("profile_id").isin(inner_ids) | (F.col("name") != ""))
         parts.append(joined)
     return merge.union_all(*parts)
 
 
-def extract(pages: DataFrame, sources: DataFrame, profiles: Sequence[Profile] = PROFILES) -> DataFrame:
+def extract(pages: DataFrame, sources: DataFrame, profiles: Sequence[Profile] = PROFILES,
+            folder: str | None = None) -> DataFrame:
     """Records in the common schema, with the constants of their source."""
-    return with_sources(raw_records(pages, profiles), sources)
+    return with_sources(raw_records(pages, profiles, folder), sources)
 
 
 def with_sources(records: DataFrame, sources: DataFrame) -> DataFrame:

@@ -41,9 +41,9 @@ def merge_run(pages: DataFrame, sources: DataFrame, folder: str, profiles: Seque
         own = pages.sparkSession.read.parquet(f"{folder}/extracted")
         errors = own.select("source_id", "page_no", "error")
         found = own.filter("error IS NULL").drop("error")
-        records = merge.union_all(extract(by_rules, sources, profiles), with_sources(found, sources))
+        records = merge.union_all(extract(by_rules, sources, profiles, folder), with_sources(found, sources))
     else:
-        records = extract(pages, sources, profiles)
+        records = extract(pages, sources, profiles, folder)
     records.hint("rebalance").write.mode("overwrite").parquet(f"{folder}/records")
     stored = pages.sparkSession.read.parquet(f"{folder}/records")
     merge.run_report(sources, pages.select("source_id"), stored, errors).write.mode("overwrite").parquet(
