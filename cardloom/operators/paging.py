@@ -67,6 +67,14 @@ def has_next(paging: Paging, nodes: str = "nodes") -> str:
     return f"size({sel.find(nodes, None, paging.css)}) > 0"
 
 
+def next_number(paging: Paging, nodes: str = "nodes", page_no: str = "page_no") -> str:
+    """K8: the page behind this one: the number in the address of the first next link, else the following
+    number; NULL without such a link."""
+    link = f"get({sel.find(nodes, None, paging.css)}, 0)"
+    return with_value(link, lambda a: (
+        f"if({a} IS NULL, NULL, coalesce({urls.page_no(sel.attribute(a, 'href'), paging.query.strip('?&='))}, CAST({page_no} AS BIGINT) + 1))"))
+
+
 def linked_numbers(paging: Paging, nodes: str = "nodes", base: str = "url") -> str:
     """K7: the numbers of exactly the linked pages, the first page among them."""
     numbers = transform(page_links(paging, nodes, base), lambda link: urls.page_no(link, paging.query.strip("?&=")))

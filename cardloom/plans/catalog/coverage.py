@@ -5,9 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from cardloom.functions.sql import case, lit, one_of
+from cardloom.operators.chains import chain_report
+from cardloom.operators.rules import Paging, Profile
 from cardloom.plans import coverage
 from cardloom.plans.catalog.base import query
 from cardloom.plans.profiles import BY_ID, PROFILES
+from cardloom.sources.layout import shared_folder
+from cardloom.sources.tables import table
 from cardloom.plans.rendered import CARDS_PER_PAGE, assigned_people, listing_pages
 
 PAGED = tuple(p for p in PROFILES if p.paging)
@@ -85,3 +89,74 @@ def directory_gaps(spark, sf):
     order = case(*[(f"profile_id = {lit(i)}", str(n)) for n, i in enumerate(IDS)])
     stored = paged_pages(spark, sf).filter(F.expr(f"page_no = 1 OR (page_no + {order}) % 3 <> 0"))
     return coverage.missing_pages(stored).select("profile_id", "page_no", "page_url")
+
+
+_CHAINED = Profile("chained", "chained", "https://chained.example.org/staff",
+                   paging=Paging("next_link", "li.next a:not(.disabled)", query="?page_no="))
+_CHAIN_SOURCES = 7
+_CHAIN_SQL = f"""WITH RECURSIVE places AS (
+        SELECT c_custkey % {_CHAIN_SOURCES} AS s, c_custkey // {_CHAIN_SOURCES} + 1 AS p FROM customer),
+    last AS (SELECT s, max(p) AS last FROM places GROUP BY s),
+    pages AS (SELECT 'chain_' || s AS source_id, s, p AS page_no,
+                     CASE WHEN s = 1 AND p = last THEN 1 WHEN s = 2 AND p = last // 2 THEN last // 3
+                          WHEN s = 3 AND p % 5 = 0 THEN p + 2 WHEN s = 4 AND p = last THEN p - 1
+                          WHEN s = 4 AND p = 3 THEN NULL WHEN p = last THEN NULL ELSE p + 1 END AS next_page
+              FROM places JOIN last USING (s) WHERE NOT (s = 5 AND p % 11 = 9) AND NOT (s = 6 AND p = 1)),
+    walk(source_id, page_no, steps) AS (
+        SELECT source_id, page_no, 0 FROM pages WHERE page_no = 1
+        UNION SELECT walk.source_id, q.page_no, walk.steps + 1
+        FROM walk JOIN pages p ON p.source_id = walk.source_id AND p.page_no = walk.page_no
+        JOIN pages q ON q.source_id = p.source_id AND q.page_no = p.next_page
+        WHERE walk.steps < (SELECT count(*) FROM pages)),
+    first AS (SELECT source_id, page_no, min(steps) AS steps FROM walk GROUP BY ALL),
+    back AS (SELECT source_id, page_no, next_page FROM pages WHERE next_page <= page_no),
+    ring(source_id, page_no, target, head) AS (
+        SELECT b.source_id, q.page_no, b.page_no, b.page_no FROM back b JOIN pages q ON q.source_id = b.source_id AND q.page_no = b.next_page
+        UNION SELECT r.source_id, q.page_no, r.target, r.head FROM ring r JOIN pages p ON p.source_id = r.source_id AND p.page_no = r.page_no
+        JOIN pages q ON q.source_id = p.source_id AND q.page_no = p.next_page WHERE r.page_no <> r.target),
+    closed AS (SELECT source_id, target FROM ring WHERE page_no = target),
+    circles AS (SELECT r.source_id, r.page_no, min(r.page_no) OVER (PARTITION BY r.source_id, r.target) AS cycle
+                FROM ring r JOIN closed USING (source_id, target))"""
+
+
+def _chained_pages(spark, sf):
+    """Sources by how their links go: 0 to the end, 1 and 2 back (2 leaves pages behind), 3 skips pages, 4 stops early
+    and turns at the end, 5 has gaps, 6 lacks its first page."""
+    people = table(spark, sf, "customer").selectExpr(
+        f"c_custkey % {_CHAIN_SOURCES} AS s", f"c_custkey DIV {_CHAIN_SOURCES} + 1 AS p")
+    last = people.groupBy("s").agg(F.max("p").alias("last"))
+    link = ("CASE WHEN s = 1 AND p = last THEN 1 WHEN s = 2 AND p = last DIV 2 THEN last DIV 3 WHEN s = 3 AND p % 5 = 0 THEN p + 2 "
+            "WHEN s = 4 AND p = last THEN p - 1 WHEN s = 4 AND p = 3 THEN NULL WHEN p = last THEN NULL ELSE p + 1 END")
+    # half of the links give the number of the page, where it is the following one it can be left out
+    markup = ("concat('<ul><li class=\"next\"><a', CASE WHEN next IS NULL THEN ' class=\"disabled\"' WHEN next = p + 1 AND p % 2 = 0 THEN '' "
+              "ELSE concat(' href=\"/staff?page_no=', next, '\"') END, '>Next</a></li></ul>')")
+    return people.join(last, "s").filter("NOT (s = 5 AND p % 11 = 9) AND NOT (s = 6 AND p = 1)").withColumn("next", F.expr(link)).select(
+        F.concat(F.lit("chain_"), "s").alias("source_id"), F.lit("chained").alias("profile_id"), F.lit("listing").alias("role"),
+        F.col("p").cast("int").alias("page_no"), F.expr(markup).alias("html"))
+
+
+@query(
+    "link_chains", "K8 K11",
+    f"""{_CHAIN_SQL}
+    SELECT source_id, page_no, coalesce(next_page, -1) AS next_page, EXISTS (
+               SELECT 1 FROM pages q WHERE q.source_id = p.source_id AND q.page_no = p.next_page) AS stored_next,
+           CAST(coalesce(steps, -1) AS BIGINT) AS steps, steps IS NOT NULL AS reached, coalesce(cycle, -1) AS cycle
+    FROM pages p LEFT JOIN first USING (source_id, page_no) LEFT JOIN circles USING (source_id, page_no)""",
+)
+def link_chains(spark, sf):
+    """Next links followed to their ends by doubling."""
+    chains = coverage.link_chains(_chained_pages(spark, sf), shared_folder(spark), [_CHAINED]).drop("profile_id")
+    return chains.na.fill(-1).na.fill(False)  # no next page, not reached, on no circle
+
+
+@query(
+    "chain_report", "K8 K11",
+    f"""{_CHAIN_SQL}
+    SELECT source_id, count(*) AS stored, count(steps) AS reached, count(*) - count(steps) AS unreached, count(cycle) AS on_circles,
+           CAST(coalesce(count_if(cycle = page_no), 0) AS BIGINT) AS circles,
+           CAST(coalesce(count_if(steps IS NOT NULL AND next_page IS NOT NULL AND NOT EXISTS (
+               SELECT 1 FROM pages q WHERE q.source_id = p.source_id AND q.page_no = p.next_page)), 0) AS BIGINT) AS open_ends
+    FROM pages p LEFT JOIN first USING (source_id, page_no) LEFT JOIN circles USING (source_id, page_no) GROUP BY source_id""",
+)
+def chain_reports(spark, sf):
+    return chain_report(coverage.link_chains(_chained_pages(spark, sf), shared_folder(spark), [_CHAINED]))

@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame, functions as F
 from cardloom.functions import urls
 from cardloom.functions.sql import case, lit, transform
 from cardloom.operators.markup import parse_pages
-from cardloom.operators.paging import has_next, linked_numbers, numbered, page_count, whole_range
+from cardloom.operators.chains import follow_links
+from cardloom.operators.paging import has_next, linked_numbers, next_number, numbered, page_count, whole_range
 from cardloom.operators.rules import Profile
 from cardloom.plans.profiles import PROFILES
 
@@ -74,6 +75,19 @@ def linked_pages(pages: DataFrame, profiles: Sequence[Profile] = PROFILES) -> Da
     )
 
 
+def next_links(pages: DataFrame, profiles: Sequence[Profile] = PROFILES) -> DataFrame:
+    """K8: (source_id, profile_id, page_no, next_page) of every stored page of directories with next links."""
+    linked = [p for p in profiles if p.paging and p.paging.kind == "next_link"]
+    stored = _listing(pages, linked).select("source_id", "profile_id", "page_no", "html")
+    following = _by_profile(linked, lambda p: next_number(p.paging))
+    return parse_pages(stored).select("source_id", "profile_id", "page_no", F.expr(following).alias("next_page"))
+
+
+def link_chains(pages: DataFrame, folder: str, profiles: Sequence[Profile] = PROFILES) -> DataFrame:
+    """The pages that next links lead to from page 1, those they do not, and circles (``follow_links``)."""
+    return follow_links(next_links(pages, profiles), folder, ("source_id", "profile_id"))
+
+
 def missing_pages(pages: DataFrame, profiles: Sequence[Profile] = PROFILES) -> DataFrame:
     """Expected pages that are not stored."""
     expected = announced_pages(pages, profiles).unionByName(linked_pages(pages, profiles))
