@@ -10,7 +10,7 @@ the words (``fingerprints``). Then
    crowded table lets more n-grams through and changes nothing else),
 2. fingerprints never miss an occurrence, so whatever is frequent has a frequent fingerprint. The n-grams behind
    those are read from the text: in a batch they are told apart word by word, words byte by byte, and a second
-   shuffle sums the counts by the phrase itself and keeps a pointer to its first occurrence. Different phrases
+   shuffle sums the counts by the phrase itself and keeps a pointer to a document that holds it. Different phrases
    that share a fingerprint part here, and what is not frequent after all goes (``phrase_counts``),
 3. cuts, scores and containment are joins between the frequent phrases (``collocations``).
 """
@@ -36,6 +36,7 @@ _WORD_BASE = np.uint64(0xD1342543DE82EF95)  # of the polynomial over words
 _STRETCH = 1 << 20  # bytes that are hashed at once, up to the next end of a word
 _BATCH_BYTES = 2 << 20  # documents are gathered up to this much text
 _HELD = 1 << 22  # fingerprints of a task before they are counted and sent on
+_HELD_PHRASES = 1 << 20  # counts of phrases of a task before they are summed and sent on
 MARK_BITS = 1 << 27  # largest bit table
 
 _KINDS = np.zeros(256, np.uint8)
@@ -72,7 +73,6 @@ class Words:
     starts: np.ndarray
     ends: np.ndarray
     doc: np.ndarray  # number of the document in the batch
-    place: np.ndarray  # number of the word in its document
     hashes: np.ndarray
     follows: np.ndarray  # whether the next word is in the same piece
 
@@ -109,8 +109,7 @@ def words_of(data: np.ndarray, offsets: np.ndarray) -> Words:
         low, high = starts[at], ends[to - 1]
         hashes[at:to] = _spans_hash(data[low:high].astype(np.uint64), starts[at:to] - low, ends[at:to] - low, _BASE)
         at = to
-    heads = np.searchsorted(starts, offsets[:-1])
-    return Words(data, starts, ends, doc, np.arange(len(starts)) - heads[doc], mixed(hashes), follows)
+    return Words(data, starts, ends, doc, mixed(hashes), follows)
 
 
 def fingerprints(words: Words, n: int, langs: np.ndarray, firsts: np.ndarray) -> np.ndarray:
@@ -225,53 +224,62 @@ def _tuple_codes(ids: np.ndarray, firsts: np.ndarray, n: int, kinds: int) -> np.
     return code
 
 
-_ROWS = "lang string, size int, phrase string, n long, first_doc {}, first_word long"
-
-
 def _read_phrases(texts: DataFrame, marks: list) -> DataFrame:
-    """(lang, size, phrase, n, first_doc, first_word) of each batch for n-grams with marked fingerprints; size 0
-    holds the number of all words of a language."""
+    """(lang, size, phrase, n, first_doc) of each task for n-grams with marked fingerprints; size 0 holds the number
+    of all words of a language."""
     id_type = texts.schema["id"].dataType
-    schema = _ROWS.format(id_type.simpleString())
-
-    def row_batch(part, words, langs, size, heads, n, phrases):
-        docs = pa.array(words.doc[heads]) if size else pa.nulls(len(langs), pa.int64())
-        return pa.RecordBatch.from_arrays(
-            [langs, pa.array(np.full(len(n), size, np.int32)), phrases, pa.array(np.asarray(n, np.int64)),
-             part.column("id").take(docs), pa.array(words.place[heads]) if size else docs],
-            names=["lang", "size", "phrase", "n", "first_doc", "first_word"])
+    columns = ["lang", "size", "phrase", "n", "first_doc"]
+
+    def counts(langs, size, phrases, n, docs) -> pa.Table:
+        return pa.table([langs, pa.array(np.full(len(n), size, np.int32)), phrases, pa.array(np.asarray(n, np.int64)), docs], names=columns)
+
+    def of_batch(words: Words, part: pa.RecordBatch, tables: list[np.ndarray]) -> Iterator[pa.Table]:
+        langs, docs = part.column("lang"), part.column("id")
+        names = langs.to_pylist()
+        codes = _lang_codes(names)
+        known = sorted(set(names))
+        per_lang = np.bincount(np.searchsorted(known, names)[words.doc], minlength=len(known))
+        yield counts(pa.array(known, pa.string()), 0, pa.array([""] * len(known)), per_lang, pa.nulls(len(known), docs.type))
+        ids, heads = _same_words(words, codes)
+        raw = words.data.tobytes()
+        spelled = pa.array([raw[s:e].decode() for s, e in zip(words.starts[heads].tolist(), words.ends[heads].tolist())], pa.string())
+        for size, table in enumerate(tables, 1):
+            firsts = words.grams(size)
+            firsts = firsts[_marked(table, fingerprints(words, size, codes, firsts))]
+            _, at, n = np.unique(_tuple_codes(ids, firsts, size, len(heads)), return_index=True, return_counts=True)
+            at = firsts[at]
+            if len(at):
+                of = pa.array(words.doc[at])
+                parts = [spelled.take(pa.array(ids[at + t])) for t in range(size)]
+                yield counts(langs.take(of), size, pc.binary_join_element_wise(*parts, " "), n, docs.take(of))
+
+    def summed(held: list[pa.Table]) -> Iterator[pa.RecordBatch]:
+        total = pa.concat_tables(held).group_by(columns[:3]).aggregate([("n", "sum"), ("first_doc", "min")])
+        yield from total.rename_columns(columns).to_batches(1 << 16)
 
     def run(batches):
         tables = [m.value for m in marks]
+        held, rows = [], 0
         for words, part in _gathered(batches):
-            names = part.column("lang").to_pylist()
-            codes = _lang_codes(names)
-            known = sorted(set(names))
-            per_lang = np.bincount(np.searchsorted(known, names)[words.doc], minlength=len(known))
-            yield row_batch(part, words, pa.array(known, pa.string()), 0, None, per_lang, pa.array([""] * len(known)))
-            ids, heads = _same_words(words, codes)
-            raw = words.data.tobytes()
-            spelled = pa.array([raw[s:e].decode() for s, e in zip(words.starts[heads].tolist(), words.ends[heads].tolist())], pa.string())
-            for size, table in enumerate(tables, 1):
-                firsts = words.grams(size)
-                firsts = firsts[_marked(table, fingerprints(words, size, codes, firsts))]
-                _, at, n = np.unique(_tuple_codes(ids, firsts, size, len(heads)), return_index=True, return_counts=True)
-                at = firsts[at]
-                if len(at):
-                    parts = [spelled.take(pa.array(ids[at + t])) for t in range(size)]
-                    yield row_batch(part, words, part.column("lang").take(pa.array(words.doc[at])), size, at, n,
-                                    pc.binary_join_element_wise(*parts, " "))
-
-    return texts.mapInArrow(run, schema)
+            held += of_batch(words, part, tables)
+            rows = sum(map(len, held))
+            if rows >= _HELD_PHRASES:
+                yield from summed(held)
+                held = []
+        if held:
+            yield from summed(held)
+
+    return texts.mapInArrow(run, f"lang string, size int, phrase string, n long, first_doc {id_type.simpleString()}")
 
 
 def phrase_counts(docs: DataFrame, at_least: int, words: int = 3, id_col: str = "doc_id", text_col: str = "text",
                   lang_col: str = "lang") -> tuple[DataFrame, DataFrame]:
     """Phrases of up to ``words`` words that occur ``at_least`` times in a language, and the words of each language.
 
-    The first table has (lang, size, phrase, n, first_doc, first_word): ``n`` occurrences, exactly, and the smallest
-    (id, place) of one. The second has (lang, words). A null language is ``und``, a null text empty; null ids
-    come before others; repeated rows count each; other columns are ignored. Empty tables give empty tables.
+    The first table has (lang, size, phrase, n, first_doc): ``n`` occurrences, exactly, in documents of which
+    ``first_doc``, the least id of the first one in each batch of texts, is one. The second has (lang, words). A null
+    language is ``und``, a null text empty; a null id is no pointer; repeated rows count each; other columns are
+    ignored. Empty tables give empty tables.
     """
     spark = docs.sparkSession
     folder = shared_folder(spark)
@@ -284,10 +292,9 @@ def phrase_counts(docs: DataFrame, at_least: int, words: int = 3, id_col: str =
         below = spark.sparkContext.broadcast(_marks(spark, prints))
         marks.append(below)
     read = _read_phrases(texts, marks)
-    pointer = F.struct("first_doc", "first_word")
-    summed = read.groupBy("lang", "size", "phrase").agg(F.sum("n").alias("n"), F.min(pointer).alias("first"))
-    kept = stored(summed.filter((F.col("n") >= at_least) | (F.col("size") == 0)).select(
-        "lang", "size", "phrase", "n", "first.first_doc", "first.first_word"), folder, "phrases")
+    # numbers only in the buffers, so that Spark sums by hashing
+    summed = read.groupBy("lang", "size", "phrase").agg(F.sum("n").alias("n"), F.min("first_doc").alias("first_doc"))
+    kept = stored(summed.filter((F.col("n") >= at_least) | (F.col("size") == 0)), folder, "phrases")
     discard(spark, folder, *[f"prints_{n}" for n in range(1, words + 1)])
     return kept.filter("size > 0"), kept.filter("size = 0").select("lang", F.col("n").alias("words"))
 
@@ -304,7 +311,7 @@ def _part(first: str, size: str) -> str:
 
 def collocations(docs: DataFrame, at_least: int = 10, words: int = 3, contained: int = 50, top: int | None = 2000,
                  id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """The ``top`` phrases (None: all) of each language by score: lang, rank, phrase, a, l, r, n, score, first_doc, first_word.
+    """The ``top`` phrases (None: all) of each language by score: lang, rank, phrase, a, l, r, n, score, first_doc.
 
     A phrase of 2 to ``words`` words that occurs ``a >= at_least`` times is cut behind each word; with ``l`` and ``r``
     occurrences of its two parts a cut scores floor(1000000 a a / (l r)), and the lowest one counts, of equal ones the
@@ -328,7 +335,7 @@ def collocations(docs: DataFrame, at_least: int = 10, words: int = 3, contained:
         "lang", "phrase").agg(F.max("longer").alias("longer"))
     kept = candidates.join(scored, ["lang", "phrase"]).join(holding, ["lang", "phrase"], "left").filter(
         F.col("longer").isNull() | (100 * F.col("longer") < contained * F.col("a")))
-    rows = kept.select("lang", "phrase", "a", "least.l", "least.r", "least.score", "first_doc", "first_word")
+    rows = kept.select("lang", "phrase", "a", "least.l", "least.r", "least.score", "first_doc")
     best = (F.desc("score"), F.desc("a"), "phrase")
     if top is not None:  # first within salts, so that no task holds all phrases of a language
         salted = Window.partitionBy("lang", F.pmod(F.xxhash64("phrase"), F.lit(_SALTS))).orderBy(*best)
@@ -337,4 +344,4 @@ def collocations(docs: DataFrame, at_least: int = 10, words: int = 3, contained:
     if top is not None:
         ranked = ranked.filter(F.col("rank") <= top)
     return ranked.join(small(totals, 64).select(F.col("lang").alias("of"), F.col("words").alias("n")), F.col("lang") == F.col("of")).select(
-        "lang", "rank", "phrase", "a", "l", "r", "n", "score", "first_doc", "first_word")
+        "lang", "rank", "phrase", "a", "l", "r", "n", "score", "first_doc")

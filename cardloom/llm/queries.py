@@ -200,7 +200,7 @@ def op1(spark, folder):
            CAST(score AS BIGINT) AS score
     FROM kept JOIN total USING (lang) QUALIFY rank <= 2000""")
 def op13(spark, folder):
-    return phrases.collocations(documents(spark, folder)).drop("first_doc", "first_word")
+    return phrases.collocations(documents(spark, folder)).drop("first_doc")
 
 
 def _lloyd_sql(rounds: int = 4) -> str:
