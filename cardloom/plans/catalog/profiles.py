@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from cardloom.operators import merge
 from cardloom.plans.catalog.base import query
-from cardloom.plans.extract import extract
+from cardloom.plans.extract import Stores, extract
 from cardloom.plans.profiles import BY_ID, MERGE_RUN
 from cardloom.plans.rendered import ALL_IDS, MARKUP, detail_pages, expected_sql, listing_pages
 from cardloom.sources.layout import shared_folder
@@ -78,7 +78,7 @@ def asked_detail_pages(spark, sf):
     """Detail pages of everybody are stored, listings of a third: the others are dropped before they are parsed."""
     pages = rendered_pages(spark, sf, _ASKED_IDS).filter("role = 'detail' OR page_no % 3 = 1")
     profiles = [BY_ID[i] for i in _ASKED_IDS]
-    return extract(pages, source_table(spark, profiles), profiles, shared_folder(spark)).select(*_ASKED_COLUMNS)
+    return extract(pages, source_table(spark, profiles), profiles, Stores(shared_folder(spark))).select(*_ASKED_COLUMNS)
 
 
 _SHARED_IDS = ("seattle_christian", "seattle_prep", "texans_can_dallas_north", "texans_can_pleasant_grove", "harrow_ny")

@@ -9,6 +9,7 @@ branches below prune to disjoint partitions, so each page's markup is read once.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -20,6 +21,7 @@ from cardloom.operators.lookup import join_details
 from cardloom.operators.markup import parse_pages
 from cardloom.operators.rules import RECORD_FIELDS, Profile
 from cardloom.operators.shapes import detail_record, page_records
+from cardloom.plans.ledger import recorded
 from cardloom.plans.profiles import PROFILES
 
 PAGE_KEYS = ("source_id", "profile_id", "page_no", "url")
@@ -38,19 +40,32 @@ def _branches(profiles: Sequence[Profile], signature, value) -> str:
     )
 
 
-def _explode(pages: DataFrame, profiles: Sequence[Profile], signature, value) -> DataFrame:
-    ids = [p.profile_id for p in profiles]
-    # the filter comes before parsing, where it still reaches the scan
-    parsed = parse_pages(pages.filter(F.col("profile_id").isin(ids)).select(*PAGE_KEYS, "html"))
-    records = parsed.select(*PAGE_KEYS, F.expr(_branches(profiles, signature, value)).alias("records"))
+@dataclass(frozen=True)
+class Stores:
+    """Folders shared by all executors. ``folder`` takes what one run stores; ``ledger`` keeps what runs extracted, so that
+    the next one parses only new pages and changed rules."""
+
+    folder: str
+    ledger: str | None = None
+
+
+def _explode(pages: DataFrame, profiles: Sequence[Profile], signature, value, stores: Stores | None = None, part: str = "") -> DataFrame:
+    branches = _branches(profiles, signature, value)
+    if stores and stores.ledger:
+        records = recorded(pages, PAGE_KEYS, profiles, signature, branches, f"{stores.ledger}/{part}", f"{stores.folder}/{part}")
+    else:
+        ids = [p.profile_id for p in profiles]
+        # the filter comes before parsing, where it still reaches the scan
+        parsed = parse_pages(pages.filter(F.col("profile_id").isin(ids)).select(*PAGE_KEYS, "html"))
+        records = parsed.select(*PAGE_KEYS, F.expr(branches).alias("records"))
     # the outer form: the plain one makes the optimizer test size(records) first, by computing it twice
     return records.select(*PAGE_KEYS, F.inline_outer("records")).filter(F.col("card_ord").isNotNull())
 
 
-def listing_records(pages: DataFrame, profiles: Sequence[Profile]) -> DataFrame:
+def listing_records(pages: DataFrame, profiles: Sequence[Profile], stores: Stores | None = None, part: str = "plain") -> DataFrame:
     return _explode(
         pages.filter(F.col("role") == "listing"), profiles, Profile.signature,
-        lambda p: page_records(p, "nodes"),
+        lambda p: page_records(p, "nodes"), stores, part,
     )
 
 
@@ -63,32 +78,34 @@ def wanted_details(pages: DataFrame, profiles: Sequence[Profile], listing: DataF
     return keep_wanted(own, (F.col("source_id"), key), asked, ("source_id", "lookup_key"))
 
 
-def detail_records(pages: DataFrame, profiles: Sequence[Profile], listing: DataFrame | None = None) -> DataFrame:
+def detail_records(pages: DataFrame, profiles: Sequence[Profile], listing: DataFrame | None = None,
+                   stores: Stores | None = None) -> DataFrame:
     """Records of detail pages, of those only that the stored rows ``listing`` ask for, if given."""
     details = pages.filter(F.col("role") == "detail") if listing is None else wanted_details(pages, profiles, listing)
-    return _explode(details, profiles, lambda p: repr(p.lookup), lambda p: detail_record(p, "nodes", "url"))
+    return _explode(details, profiles, lambda p: repr(p.lookup), lambda p: detail_record(p, "nodes", "url"), stores, "details")
 
 
-def raw_records(pages: DataFrame, profiles: Sequence[Profile] = PROFILES, folder: str | None = None) -> DataFrame:
+def raw_records(pages: DataFrame, profiles: Sequence[Profile] = PROFILES, stores: Stores | None = None) -> DataFrame:
     """Records with the fields of their pages, before source constants are attached.
 
-    With a ``folder`` (shared by all executors) listing rows that ask for detail pages are stored there first, and
-    only the pages they ask for are parsed. Without one nothing runs before the result is asked for.
+    With ``stores`` listing rows that ask for detail pages are stored first, and only the pages they ask for are parsed;
+    with a ledger among them, only pages that no earlier run has seen. Without any nothing runs before the result
+    is asked for.
     """
     plain = [p for p in profiles if not p.lookup]
     linked = [p for p in profiles if p.lookup]
-    parts = [listing_records(pages, plain)] if plain else []
+    parts = [listing_records(pages, plain, stores)] if plain else []
     if linked:
         looked_up: dict[str, list[str]] = {}
         for p in linked:
             for f in p.lookup.fields:
                 looked_up.setdefault(f, []).append(p.profile_id)
         inner_ids = [p.profile_id for p in linked if p.lookup.how == "inner"]
-        listing, asked = listing_records(pages, linked), None
-        if folder:
-            listing.write.mode("overwrite").parquet(f"{folder}/listing")
-            listing = asked = pages.sparkSession.read.schema(listing.schema).parquet(f"{folder}/listing")
-        joined = join_details(listing, detail_records(pages, linked, asked), inner_ids, looked_up)
+        listing, asked = listing_records(pages, linked, stores, "linked"), None
+        if stores:
+            listing.write.mode("overwrite").parquet(f"{stores.folder}/listing")
+            listing = asked = pages.sparkSession.read.schema(listing.schema).parquet(f"{stores.folder}/listing")
+        joined = join_details(listing, detail_records(pages, linked, asked, stores), inner_ids, looked_up)
         if inner_ids:
             joined = joined.filter(~F.col("profile_id").isin(inner_ids) | (F.col("name") != ""))
         parts.append(joined)
@@ -96,9 +113,9 @@ def raw_records(pages: DataFrame, profiles: Sequence[Profile] = PROFILES, folder
 
 
 def extract(pages: DataFrame, sources: DataFrame, profiles: Sequence[Profile] = PROFILES,
-            folder: str | None = None) -> DataFrame:
+            stores: Stores | None = None) -> DataFrame:
     """Records in the common schema, with the constants of their source."""
-    return with_sources(raw_records(pages, profiles, folder), sources)
+    return with_sources(raw_records(pages, profiles, stores), sources)
 
 
 def with_sources(records: DataFrame, sources: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 from cardloom.operators import merge
 from cardloom.operators.custom import records_of_extractors
 from cardloom.operators.rules import CORE, Profile
-from cardloom.plans.extract import extract, with_sources
+from cardloom.plans.extract import Stores, extract, with_sources
 from cardloom.plans.profiles import PROFILES
 from cardloom.sources import sinks
 
@@ -23,7 +23,7 @@ class MergeRun:
 
 
 def merge_run(pages: DataFrame, sources: DataFrame, folder: str, profiles: Sequence[Profile] = PROFILES,
-              extractors: dict[str, Callable[[dict], list[dict]]] | None = None) -> MergeRun:
+              extractors: dict[str, Callable[[dict], list[dict]]] | None = None, ledger: str | None = None) -> MergeRun:
     """Extract once into ``folder`` (shared by all executors) and derive the rest from there.
 
     Report, counts and the global sort (which samples its input before it sorts) would each parse
@@ -33,7 +33,11 @@ def merge_run(pages: DataFrame, sources: DataFrame, folder: str, profiles: Seque
 
     Sources named in ``extractors`` are read by their function instead of rules (L4); pages on which it
     fails are counted in the report and cost nobody else anything.
+
+    With a ``ledger`` (a folder that stays between runs) pages are parsed only where no earlier run has read the same
+    content by the same rules; ``folder`` is still this run's own. Functions are always called.
     """
+    stores = Stores(folder, ledger)
     errors = None
     if extractors:
         by_rules = pages.filter(~F.col("source_id").isin(list(extractors)))
@@ -41,9 +45,9 @@ def merge_run(pages: DataFrame, sources: DataFrame, folder: str, profiles: Seque
         own = pages.sparkSession.read.parquet(f"{folder}/extracted")
         errors = own.select("source_id", "page_no", "error")
         found = own.filter("error IS NULL").drop("error")
-        records = merge.union_all(extract(by_rules, sources, profiles, folder), with_sources(found, sources))
+        records = merge.union_all(extract(by_rules, sources, profiles, stores), with_sources(found, sources))
     else:
-        records = extract(pages, sources, profiles, folder)
+        records = extract(pages, sources, profiles, stores)
     records.hint("rebalance").write.mode("overwrite").parquet(f"{folder}/records")
     stored = pages.sparkSession.read.parquet(f"{folder}/records")
     merge.run_report(sources, pages.select("source_id"), stored, errors).write.mode("overwrite").parquet(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from cardloom.operators import keyfilter
 from cardloom.plans.catalog.profiles import rendered_pages
-from cardloom.plans.extract import extract, wanted_details
+from cardloom.plans.extract import Stores, extract, wanted_details
 from cardloom.plans.profiles import BY_ID
 from cardloom.sources.layout import shared_folder
 from cardloom.sources.registry import source_table
@@ -52,7 +52,7 @@ def test_parsed_pages_follow_the_keys_asked_for(spark, stored_pages):
     given = {}
     for asked in (1, 3, 1000):
         pages = stored_pages.filter((F.col("role") == "detail") | (F.col("page_no") <= asked))
-        found = extract(pages, sources, profiles, shared_folder(spark))
+        found = extract(pages, sources, profiles, Stores(shared_folder(spark)))
         assert rows(found) == rows(extract(pages, sources, profiles))
         given[asked] = sum(parsed_rows(found))
         listed = found.count()
@@ -63,7 +63,7 @@ def test_parsed_pages_follow_the_keys_asked_for(spark, stored_pages):
 
 def test_the_filter_is_one_row_below_the_parser(spark, stored_pages):
     profiles = [BY_ID[i] for i in IDS]
-    found = extract(stored_pages, source_table(spark, profiles), profiles, shared_folder(spark))
+    found = extract(stored_pages, source_table(spark, profiles), profiles, Stores(shared_folder(spark)))
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "bit_or" in plan and "getbit" in plan.lower() and "Cartesian" not in plan and "NestedLoop" not in plan
 
