@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import re
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from html import unescape
 from html.entities import html5
 from itertools import accumulate, chain
@@ -23,6 +23,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from cardloom.operators.postings import Postings, compiled, names_of
+from cardloom.operators.select import number
+
 NODE_TYPE = T.StructType(
     [
         T.StructField("pos", T.IntegerType()),  # preorder position, 0-based
@@ -48,6 +51,9 @@ NODE_TYPE = T.StructType(
     ]
 )
 NODES_TYPE = T.ArrayType(NODE_TYPE)
+#: Nodes of pages parsed with selectors: the numbers of those that match.
+MARKED_TYPE = T.ArrayType(T.StructType([*NODE_TYPE.fields, T.StructField("marks", T.ArrayType(T.IntegerType()))]))
+POSTINGS_TYPE = T.MapType(T.IntegerType(), T.ArrayType(T.IntegerType()))
 
 # Element groups from the HTML standard.
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -132,12 +138,31 @@ class _Nodes:
         self.inner_ends = array("i")
         self.outer_ends = array("i")
         self.page_offsets: list[int] = [0]
+        self.marks: list[list[int]] = []
+        self.postings: list[list[tuple[int, list[int]]]] = []
 
-    def add_page(self, html: str | None) -> None:
+    def add_page(self, html: str | None, selectors: tuple = ()) -> None:
+        """``selectors``: (number, compiled selector) pairs, and all names they look up."""
         first = len(self.rows)
         if html:
             self._walk(html)
         self.page_offsets.append(len(self.rows))
+        if selectors:
+            self._mark(first, *selectors)
+
+    def _mark(self, first: int, numbered: list, names: set) -> None:
+        rows = [(r[1], r[4], r[5] == "el", *r[6:10]) for r in self.rows[first:]]
+        page = Postings(rows, self.stops[first:].tolist(), names)
+        marks: list[list[int]] = [[] for _ in rows]
+        found = []
+        for number, chains in numbered:
+            places = page.select(chains)
+            if places:
+                found.append((number, places))
+                for p in places:
+                    marks[p].append(number)
+        self.marks += marks
+        self.postings.append(found)
 
     def _walk(self, html: str) -> None:
         rows, stops, next_els = self.rows, self.stops, self.next_els
@@ -289,7 +314,14 @@ class _Nodes:
                 add("comment", None, None, (), (), None, stop, cursor, said)
         close_to(0, size, size)
 
-    def to_arrow(self) -> pa.Array:
+    def postings_to_arrow(self) -> pa.Array:
+        sizes = lambda lists: pa.array(np.fromiter(chain((0,), accumulate(map(len, lists))), np.int32, len(lists) + 1))
+        pairs = list(chain.from_iterable(self.postings))
+        places = [p for _, p in pairs]
+        lists = pa.ListArray.from_arrays(sizes(places), pa.array(list(chain.from_iterable(places)), pa.int32()))
+        return pa.MapArray.from_arrays(sizes(self.postings), pa.array([n for n, _ in pairs], pa.int32()), lists)
+
+    def to_arrow(self, marked: bool = False) -> pa.Array:
         n = len(self.rows)
         (pos, parent, depth, sib, type_ord, kind, tag, elem_id, classes, attrs, text, ancestors,
          data, outer_start, inner_start) = zip(*self.rows) if n else ((),) * 15
@@ -329,6 +361,10 @@ class _Nodes:
             "outer_end": filled(self.outer_ends),
         }
         fields = NODE_TYPE.fieldNames()
+        if marked:
+            fields.append("marks")
+            columns["marks"] = pa.ListArray.from_arrays(
+                offsets(self.marks), pa.array(list(chain.from_iterable(self.marks)), pa.int32()))
         nodes = pa.StructArray.from_arrays([columns[f] for f in fields], names=fields)
         return pa.ListArray.from_arrays(pa.array(self.page_offsets, pa.int32()), nodes)
 
@@ -338,34 +374,50 @@ class _Nodes:
 _FLUSH_CHARS = 2_000_000
 
 
-def _parse_batches(html_col: str, kept: list[str]):
+def _parse_batches(html_col: str, kept: list[str], selectors: dict[str | None, tuple] | None, by: str | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             pages = batch.column(html_col)
+            kinds = batch.column(by) if by else None
             first, chars, nodes = 0, 0, _Nodes()
             for i in range(len(pages)):
                 html = pages[i].as_py()
-                nodes.add_page(html)
+                if selectors is None:
+                    nodes.add_page(html)
+                else:
+                    nodes.add_page(html, selectors.get(kinds[i].as_py() if by else None, ([], set())))
                 chars += len(html) if html else 0
                 if chars >= _FLUSH_CHARS or i == len(pages) - 1:
                     part = batch.slice(first, i + 1 - first)
-                    yield pa.RecordBatch.from_arrays(
-                        [part.column(c) for c in kept] + [nodes.to_arrow()], names=kept + ["nodes"]
-                    )
+                    made = {"nodes": nodes.to_arrow()} if selectors is None else {
+                        "nodes": nodes.to_arrow(True), "nodes_postings": nodes.postings_to_arrow()}
+                    yield pa.RecordBatch.from_arrays([part.column(c) for c in kept] + list(made.values()), names=kept + list(made))
                     first, chars, nodes = i + 1, 0, _Nodes()
 
     return run
 
 
-def parse_pages(pages: DataFrame, html_col: str = "html") -> DataFrame:
+def parse_pages(pages: DataFrame, html_col: str = "html", selectors: dict[str | None, Iterable[str]] | None = None,
+                by: str | None = None) -> DataFrame:
     """B1. Add ``nodes`` to a page table.
 
     ``html`` is dropped: inner and outer HTML are written out from the nodes, so the markup is not
     carried twice.  The job is map-only.
+
+    ``selectors`` are those of expressions written inside ``select.marked``: their matches are found while parsing. The
+    column ``by`` tells which of them a page needs; without it they stand under None.
     """
     kept = [c for c in pages.columns if c != html_col]
-    schema = T.StructType([pages.schema[c] for c in kept] + [T.StructField("nodes", NODES_TYPE)])
-    return pages.mapInArrow(_parse_batches(html_col, kept), schema)
+    if selectors is None:
+        schema = T.StructType([pages.schema[c] for c in kept] + [T.StructField("nodes", NODES_TYPE)])
+        return pages.mapInArrow(_parse_batches(html_col, kept, None, None), schema)
+    known = {css: compiled(css) for own in selectors.values() for css in own}
+    needed = {
+        kind: ([(number(css), known[css]) for css in sorted(own)], set().union(*[names_of(known[css]) for css in own]))
+        for kind, own in selectors.items()
+    }
+    schema = T.StructType([pages.schema[c] for c in kept] + [T.StructField("nodes", MARKED_TYPE), T.StructField("nodes_postings", POSTINGS_TYPE)])
+    return pages.mapInArrow(_parse_batches(html_col, kept, needed, by), schema)
 
 
 def explode_nodes(parsed: DataFrame, *keys: str) -> DataFrame:

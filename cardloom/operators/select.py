@@ -3,12 +3,18 @@
 A selector string becomes a predicate on one node (SQL text), so selection is ``filter`` over the
 array.  Relations between elements use the preorder numbering: the subtree of an element is an
 array slice, its ancestors are listed in the node (up to a depth), its next sibling is a stored position.
+
+Where the selectors of a plan are known before pages are parsed (``marked``), the parser finds their matches by posting
+lists (``operators.postings``). A selector then is a number: nodes list the numbers they match, and the page lists the
+positions of each number's matches, so that finding them does not scan the page.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from functools import lru_cache
 
 from cardloom.functions.sql import case, concat, exists, filter_, lit, one_of, transform, true_only
@@ -24,7 +30,7 @@ _GAP = re.compile(r"\s*(>)\s*|\s+")
 
 
 @lru_cache(maxsize=None)
-def _selector(css: str) -> tuple:
+def selector(css: str) -> tuple:
     """Selector text -> alternatives, each a chain of (link to the left, conditions)."""
     chains, chain, conditions, link, at = [], [], [], " ", 0
     text = css.strip()
@@ -101,9 +107,32 @@ def _chain_holds(node: str, nodes: str, chain: tuple) -> str:
     return " AND ".join(tests)
 
 
+_numbers: dict[str, int] = {}  # of selectors that were written as numbers
+_used: ContextVar[set[str] | None] = ContextVar("used", default=None)
+
+
+@contextmanager
+def marked() -> Iterator[set[str]]:
+    """Inside, selectors are written as numbers, and gathered in the set given; pages must be parsed with them."""
+    used: set[str] = set()
+    token = _used.set(used)
+    try:
+        yield used
+    finally:
+        _used.reset(token)
+
+
+def number(css: str) -> int:
+    return _numbers.setdefault(css, len(_numbers))
+
+
 def matcher(css: str) -> Callable[[str, str], str]:
     """Predicate ``(node, nodes) -> boolean`` for a selector (list)."""
-    chains = _selector(css)
+    used = _used.get()
+    if used is not None:
+        used.add(css)
+        return lambda node, nodes: f"array_contains({node}.marks, {number(css)})"
+    chains = selector(css)
 
     def test(node: str, nodes: str) -> str:
         return "(" + " OR ".join(f"({_chain_holds(node, nodes, c)})" for c in chains) + ")"
@@ -127,6 +156,9 @@ def above(nodes: str, el: str) -> str:
 def find(nodes: str, el: str | None, css: str) -> str:
     """Matches below ``el`` (the whole page if None), in document order."""
     test = matcher(css)
+    if el is None and _used.get() is not None:
+        places = f"coalesce({nodes}_postings[{number(css)}], CAST(array() AS ARRAY<INT>))"
+        return transform(places, lambda pos: f"get({nodes}, {pos})")
     return filter_(nodes if el is None else subtree(nodes, el), lambda n: test(n, nodes))
 
 

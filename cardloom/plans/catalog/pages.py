@@ -6,7 +6,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from cardloom.functions import text as tx, urls
-from cardloom.functions.sql import struct, transform
+from cardloom.functions.sql import filter_, lit, struct, transform
 from cardloom.operators import merge, select as sel
 from cardloom.operators.custom import apply_extractor
 from cardloom.operators.fields import field_value
@@ -128,6 +128,27 @@ def footers_and_scripts(spark, sf):
     )
 
 
+_LISTED = ("nav li > a[href]", "article > p", "li", "h1:not(.none), footer")
+
+
+@query(
+    "selector_postings", "B2 B8 B10 B12",
+    r"""WITH a AS (SELECT page_id, html, regexp_extract(html, '(?s)<article>(.*?)</article>', 1) AS body FROM pages),
+        n AS (SELECT page_id, unnest(['nav li > a[href]', 'article > p', 'li', 'h1:not(.none), footer']) AS css,
+                     unnest([len(regexp_extract_all(html, '<li><a href="')), len(regexp_extract_all(body, '<p>')),
+                             len(regexp_extract_all(html, '<li>')),
+                             len(regexp_extract_all(html, '<h1[ >]')) + len(regexp_extract_all(html, '<footer[ >]'))]) AS matches FROM a)
+        SELECT page_id, css, CAST(matches AS INTEGER) AS matches, CAST(matches AS INTEGER) AS marked FROM n WHERE matches > 0""",
+)
+def selector_postings(spark, sf):
+    """Matches by the posting list of a selector, and by the marks of the nodes."""
+    with sel.marked() as used:
+        counts = [struct(css=lit(css), matches=f"size({sel.find('nodes', None, css)})",
+                         marked=f"size({filter_('nodes', lambda n: sel.matcher(css)(n, 'nodes'))})") for css in _LISTED]
+    parsed = parse_pages(stored_pages(spark, sf).select("page_id", "html"), selectors={None: used})
+    return parsed.select("page_id", F.expr(f"inline(array({', '.join(counts)}))")).filter("matches > 0")
+
+
 def _headings(pages: pd.DataFrame) -> pd.DataFrame:
     titles = pages["html"].str.extract(r"<h1>([^<]*)</h1>", expand=False).fillna("")
     return pd.DataFrame({"page_id": pages["page_id"], "raw_title": titles, "words": titles.str.split().str.len()})

@@ -20,6 +20,7 @@ from cardloom.operators.keyfilter import keep_wanted
 from cardloom.operators.lookup import join_details
 from cardloom.operators.markup import parse_pages
 from cardloom.operators.rules import RECORD_FIELDS, Profile
+from cardloom.operators.select import marked
 from cardloom.operators.shapes import detail_record, page_records
 from cardloom.plans.ledger import recorded
 from cardloom.plans.profiles import PROFILES
@@ -27,17 +28,19 @@ from cardloom.plans.profiles import PROFILES
 PAGE_KEYS = ("source_id", "profile_id", "page_no", "url")
 
 
-def _branches(profiles: Sequence[Profile], signature, value) -> str:
-    """One CASE branch per distinct rule set; only the branch of a page's profile is evaluated."""
+def _branches(profiles: Sequence[Profile], signature, value) -> tuple[str, dict[str, set[str]]]:
+    """One CASE branch per distinct rule set, of which only that of a page's profile is evaluated, and the selectors
+    the pages of each profile are to be parsed with."""
     groups: dict[tuple, list[Profile]] = {}
     for p in profiles:
         groups.setdefault(signature(p), []).append(p)
-    return case(
-        *[
-            (one_of("profile_id", [p.profile_id for p in same]), value(same[0]))
-            for same in groups.values()
-        ]
-    )
+    branches, selectors = [], {}
+    for same in groups.values():
+        ids = [p.profile_id for p in same]
+        with marked() as used:
+            branches.append((one_of("profile_id", ids), value(same[0])))
+        selectors |= dict.fromkeys(ids, used)
+    return case(*branches), selectors
 
 
 @dataclass(frozen=True)
@@ -50,13 +53,14 @@ class Stores:
 
 
 def _explode(pages: DataFrame, profiles: Sequence[Profile], signature, value, stores: Stores | None = None, part: str = "") -> DataFrame:
-    branches = _branches(profiles, signature, value)
+    branches, selectors = _branches(profiles, signature, value)
     if stores and stores.ledger:
-        records = recorded(pages, PAGE_KEYS, profiles, signature, branches, f"{stores.ledger}/{part}", f"{stores.folder}/{part}")
+        records = recorded(
+            pages, PAGE_KEYS, profiles, signature, branches, selectors, f"{stores.ledger}/{part}", f"{stores.folder}/{part}")
     else:
         ids = [p.profile_id for p in profiles]
         # the filter comes before parsing, where it still reaches the scan
-        parsed = parse_pages(pages.filter(F.col("profile_id").isin(ids)).select(*PAGE_KEYS, "html"))
+        parsed = parse_pages(pages.filter(F.col("profile_id").isin(ids)).select(*PAGE_KEYS, "html"), selectors=selectors, by="profile_id")
         records = parsed.select(*PAGE_KEYS, F.expr(branches).alias("records"))
     # the outer form: the plain one makes the optimizer test size(records) first, by computing it twice
     return records.select(*PAGE_KEYS, F.inline_outer("records")).filter(F.col("card_ord").isNotNull())
@@ -73,7 +77,7 @@ def wanted_details(pages: DataFrame, profiles: Sequence[Profile], listing: DataF
     """Stored detail pages that some listing row may ask for. Their key comes from their address, so the others
     are dropped at the scan, before their markup is moved or parsed."""
     own = pages.filter((F.col("role") == "detail") & F.col("profile_id").isin([p.profile_id for p in profiles]))
-    key = F.expr(_branches(profiles, lambda p: repr(p.lookup.key), lambda p: apply_steps("url", p.lookup.key)))
+    key = F.expr(_branches(profiles, lambda p: repr(p.lookup.key), lambda p: apply_steps("url", p.lookup.key))[0])
     asked = listing.select("source_id", "lookup_key").filter("lookup_key <> ''")
     return keep_wanted(own, (F.col("source_id"), key), asked, ("source_id", "lookup_key"))
 

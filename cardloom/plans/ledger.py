@@ -46,10 +46,10 @@ def read_ledger(spark: SparkSession, ledger: str) -> DataFrame | None:
 
 
 def recorded(pages: DataFrame, keys: tuple[str, ...], profiles: Sequence[Profile], signature: Callable[[Profile], object],
-             branches: str, ledger: str, folder: str) -> DataFrame:
+             branches: str, selectors: dict[str, set[str]], ledger: str, folder: str) -> DataFrame:
     """``keys`` and ``records`` of each page, parsing only pairs of content and rules the ledger does not know.
 
-    ``branches`` is the CASE over ``profile_id`` that makes records of ``nodes``. ``folder`` takes the names of the pages'
+    ``branches`` is the CASE over ``profile_id`` that makes records of ``nodes``, with ``selectors`` by profile. ``folder`` takes the names of the pages'
     content; both folders are shared by all executors. A null address or markup counts as ''.
     """
     spark = pages.sparkSession
@@ -69,7 +69,7 @@ def recorded(pages: DataFrame, keys: tuple[str, ...], profiles: Sequence[Profile
         # most pages are known: they are dropped at the scan, what passes by chance by the join
         todo = None if unseen.isEmpty() else keep_wanted(named, (F.col("digest"), F.col("rules")), unseen, tuple(_PAIR)).join(unseen, _PAIR, "left_semi")
     if todo is not None:
-        parsed = parse_pages(todo.select(*{**dict.fromkeys(keys), **dict.fromkeys(_PAIR)}, "html"))
+        parsed = parse_pages(todo.select(*{**dict.fromkeys(keys), **dict.fromkeys(_PAIR)}, "html"), selectors=selectors, by="profile_id")
         found = parsed.select(*_PAIR, "profile_id", F.lit(run).cast("long").alias("run"), F.expr(branches).alias("records"))
         found.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in _SCHEMA]).hint("rebalance").write.mode("append").parquet(ledger)
     rows = read_ledger(spark, ledger)
