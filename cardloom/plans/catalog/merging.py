@@ -7,13 +7,16 @@ from dataclasses import replace
 from pyspark.sql import functions as F
 
 from cardloom.operators import merge
+from cardloom.operators.custom import Limits
 from cardloom.plans.catalog.base import query
 from cardloom.plans.catalog.profiles import COLUMNS, MERGE_IDS, rendered_pages, rendered_records
 from cardloom.plans.extract import extract
 from cardloom.plans.ledger import ledger_report
 from cardloom.plans.profiles import BY_ID, MERGE_RUN
 from cardloom.plans.rendered import expected_sql
+from cardloom.operators.ordinal import with_place
 from cardloom.plans.run import merge_run as run_merge
+from cardloom.sources import sinks
 from cardloom.sources.layout import shared_folder
 from cardloom.sources.registry import source_table
 
@@ -186,6 +189,45 @@ def failing_source(spark, sf):
     return run.report.select("source_id", "pages", "failed_pages", "records", "status", "error")
 
 
+def _never_returns_on_page_2(page):
+    while page["page_no"] == 2:
+        pass
+    return [{"name": f"Page {page['page_no']}", "email": "a@b.example"}]
+
+
+def _ends_on_page_1(page):
+    import os
+
+    if page["page_no"] == 1:
+        os._exit(3)
+    return [{"name": f"Page {page['page_no']}"}]
+
+
+def _takes_all_memory(page):
+    return [{"name": str(len(bytearray(1 << 45)))}]
+
+
+_QUARANTINED = {"pioneer_north_dallas": _takes_all_memory, "clarke_schools_ny": _ends_on_page_1, "dallas_international": _never_returns_on_page_2}
+
+
+@query(
+    "quarantined_sources", "L1 L2 L4",
+    _sql(_FAILING_IDS, """paged AS (SELECT DISTINCT profile_id, page_no FROM cards),
+        told AS (SELECT *, CASE profile_id WHEN 'pioneer_north_dallas' THEN 'MemoryError: '
+            WHEN 'clarke_schools_ny' THEN CASE WHEN page_no = 1 THEN 'ChildProcessError: the function ended its process' END
+            ELSE CASE WHEN page_no = 2 THEN 'TimeoutError: no result within 3 seconds' END END AS error FROM paged)""",
+        """SELECT profile_id AS source_id, count(*) AS pages, count(error) AS failed_pages, count(*) - count(error) AS records,
+           CASE WHEN count(error) = count(*) THEN 'failed' ELSE 'ok' END AS status, coalesce(max(error), '') AS error
+           FROM told GROUP BY profile_id"""),
+)
+def quarantined_sources(spark, sf):
+    """Functions that never return, end their process or take all memory cost the pages they do it on."""
+    profiles = [BY_ID[i] for i in _FAILING_IDS]
+    run = run_merge(rendered_pages(spark, sf, _FAILING_IDS), source_table(spark, profiles), shared_folder(spark), profiles,
+                    _QUARANTINED, limits=Limits(seconds=3))
+    return run.report.select("source_id", "pages", "failed_pages", "records", "status", "error")
+
+
 @query(
     "merge_counts", "F3 F1 D17",
     _sql(RUN_IDS, _FOUND, "SELECT profile_id, count(*) AS records, CAST(count_if(email <> '') AS BIGINT) AS with_email, "
@@ -232,3 +274,52 @@ def ordered_positions(spark, sf):
     return records.select(
         "profile_id", "page_no", "name", F.row_number().over(by_page).cast("bigint").alias("place")
     )
+
+
+_ORDER = "(email <> '') DESC, source_ord, page_no, key"
+
+
+def _run_records(spark, sf):
+    """Records of a run, with what orders them."""
+    return rendered_records_of(spark, sf, RUN_IDS).withColumn("with_email", merge.has_email())
+
+
+def rendered_records_of(spark, sf, ids):
+    profiles = [BY_ID[i] for i in ids]
+    return extract(rendered_pages(spark, sf, ids), source_table(spark, profiles), profiles)
+
+
+@query(
+    "global_positions", "H4 I1 I2 I3",
+    expected_sql(RUN_IDS, f"""SELECT profile_id, page_no, name, row_number() OVER (ORDER BY {_ORDER}) AS place FROM expected"""),
+)
+def global_positions(spark, sf):
+    """The place of every record in the whole ordered result, not in its page."""
+    records = _run_records(spark, sf)
+    placed = with_place(records, [F.desc("with_email"), *merge.ORDER], shared_folder(spark))
+    return placed.select("profile_id", "page_no", "name", "place")
+
+
+@query(
+    "json_array_lines", "A5 A12 I1",
+    expected_sql(RUN_IDS, f""", placed AS (
+        SELECT *, row_number() OVER (ORDER BY {_ORDER}) AS place, count(*) OVER () AS total FROM expected)
+    SELECT place, CASE WHEN place = 1 THEN '[' ELSE '' END AS opens, CASE WHEN place = total THEN ']' ELSE ',' END AS closes,
+           name, job_title, email FROM placed"""),
+)
+def json_array_lines(spark, sf):
+    """The merged result written as one JSON array in many parts, and read back line by line."""
+    folder = shared_folder(spark)
+    records = _run_records(spark, sf)
+    core = [(c, c) for c in ("name", "job_title", "email")]
+    sinks.write_json_array(records, f"{folder}/array", [F.desc("with_email"), *merge.ORDER], f"{folder}/scratch", core)
+    # parts by name, and lines within a part, are in order; a line holds one object
+    lines = spark.read.text(f"{folder}/array").select("value", F.col("_metadata.file_name").alias("part"), F.col("_metadata.file_block_start").alias("block"),
+                                                      F.monotonically_increasing_id().alias("line"))
+    objects = lines.filter("value NOT IN ('[', ']')").withColumns({
+        "record": F.from_json(F.regexp_replace("value", ",$", ""), "name string, job_title string, email string")})
+    placed = with_place(objects, ["part", "block", "line"], f"{folder}/lines")
+    return placed.select(
+        "place", F.when(F.col("place") == 1, "[").otherwise("").alias("opens"),
+        F.when(F.col("value").endswith(","), ",").otherwise("]").alias("closes"), "record.name", "record.job_title", "record.email",
+    )
