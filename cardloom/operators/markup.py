@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from cardloom.operators.postings import Postings, compiled, names_of
 from cardloom.operators.select import number
+from cardloom.operators.visibility import hidden_nodes, may_hide
 
 NODE_TYPE = T.StructType(
     [
@@ -43,6 +44,7 @@ NODE_TYPE = T.StructType(
         T.StructField("text", T.StringType()),  # text and raw nodes only
         T.StructField("ancestors", T.ArrayType(T.IntegerType())),  # root first
         T.StructField("data", T.StringType()),  # what a comment says
+        T.StructField("hidden", T.IntegerType()),  # 0 shown, 1 not displayed, 2 invisible (``visibility``)
         # place in the markup, in characters
         T.StructField("outer_start", T.IntegerType()),
         T.StructField("inner_start", T.IntegerType()),
@@ -138,6 +140,7 @@ class _Nodes:
         self.inner_ends = array("i")
         self.outer_ends = array("i")
         self.page_offsets: list[int] = [0]
+        self.hidden: dict[int, int] = {}  # of the few nodes that are not shown
         self.marks: list[list[int]] = []
         self.postings: list[list[tuple[int, list[int]]]] = []
 
@@ -146,13 +149,25 @@ class _Nodes:
         first = len(self.rows)
         if html:
             self._walk(html)
+            if may_hide(html):
+                self._hide(first)
         self.page_offsets.append(len(self.rows))
         if selectors:
             self._mark(first, *selectors)
 
+    def _of_page(self, first: int) -> tuple[list[tuple], list[int]]:
+        return [(r[1], r[4], r[5] == "el", *r[6:10]) for r in self.rows[first:]], self.stops[first:].tolist()
+
+    def _hide(self, first: int) -> None:
+        rows = self.rows
+        sheets = [r[10] for r in rows[first:] if r[5] == "raw" and rows[first + r[1]][6] == "style"]
+        for at, state in enumerate(hidden_nodes(*self._of_page(first), sheets)):
+            if state:
+                self.hidden[first + at] = state
+
     def _mark(self, first: int, numbered: list, names: set) -> None:
-        rows = [(r[1], r[4], r[5] == "el", *r[6:10]) for r in self.rows[first:]]
-        page = Postings(rows, self.stops[first:].tolist(), names)
+        rows, stops = self._of_page(first)
+        page = Postings(rows, stops, names)
         marks: list[list[int]] = [[] for _ in rows]
         found = []
         for number, chains in numbered:
@@ -314,6 +329,12 @@ class _Nodes:
                 add("comment", None, None, (), (), None, stop, cursor, said)
         close_to(0, size, size)
 
+    def _hidden_to_arrow(self, n: int) -> pa.Array:
+        states = np.zeros(n, np.int32)
+        if self.hidden:
+            states[list(self.hidden)] = list(self.hidden.values())
+        return pa.array(states)
+
     def postings_to_arrow(self) -> pa.Array:
         sizes = lambda lists: pa.array(np.fromiter(chain((0,), accumulate(map(len, lists))), np.int32, len(lists) + 1))
         pairs = list(chain.from_iterable(self.postings))
@@ -355,6 +376,7 @@ class _Nodes:
                 mask=pa.array([a is None for a in ancestors], pa.bool_()),
             ),
             "data": pa.array(data, pa.string()),
+            "hidden": self._hidden_to_arrow(n),
             "outer_start": ints(outer_start),
             "inner_start": ints(inner_start),
             "inner_end": filled(self.inner_ends),

@@ -238,12 +238,12 @@ _LINE_BREAKS = (
 
 
 def visible_text(nodes: str, el: str) -> str:
-    """Text without scripts and styles; line-breaking elements count as a space."""
-    runs = filter_(
-        subtree(nodes, el), lambda n: f"{n}.kind = 'text' OR {one_of(f'{n}.tag', _LINE_BREAKS)}"
-    )
+    """Text without scripts, styles and what is not shown; line-breaking elements count as a space. An element
+    that is not displayed itself gives all its text, as there is no rendered one."""
+    runs = filter_(subtree(nodes, el), lambda n: (
+        f"({n}.kind = 'text' AND {n}.hidden = 0) OR ({one_of(f'{n}.tag', _LINE_BREAKS)} AND {n}.hidden <> 1)"))
     texts = transform(runs, lambda n: f"if({n}.kind = 'text', {n}.text, ' ')")
-    return f"array_join({texts}, '')"
+    return f"if({el}.hidden = 1, {element_text(nodes, el)}, array_join({texts}, ''))"
 
 
 def attribute(el: str, name: str) -> str:

@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cardloom.functions.sql import struct, transform
+from cardloom.functions import text as tx
+from cardloom.functions.sql import struct, transform, with_value
 from cardloom.operators import paging as pg, select as sel
 from cardloom.operators.fields import field_value, holds
 from cardloom.operators.markup import parse_pages
 from cardloom.operators.rules import Paging, Pick
 from cardloom.plans.catalog.base import query
 from cardloom.plans.directory import CARDS, SQL, base_url, directory_pages, parsed_directory
+from cardloom.plans.rendered import fill
+from cardloom.sources.tables import table
 
 N, C = "nodes", "c"
 
@@ -99,6 +102,30 @@ _card_query("card_conditions", "D8 D9 D11",
                    "3"))
 
 
+_PARTLY_HIDDEN = (
+    '<style>/* .name { display: none } */ .off, li.away { display: none } .off.on { display: block } @media print { b { display: none } }'
+    ' i { visibility: hidden } a:hover { display: none }</style>'
+    '<div class="card" id="c{key}"><b class="name">{name}</b><span hidden>h{key}</span><p style="color:red; display:none">s{key}<b>in</b></p>'
+    '<p class="off">o{key}</p><p class="off on">shown {key}</p><p class="off" style="display:inline">also {key}</p>'
+    '<ul><li class="away">w{key}</li><li>li {key}</li></ul><i>v{key}<u style="visibility:visible">seen {key}</u></i><em hidden style="display:inline">e{key}</em></div>')
+
+
+@query(
+    "visible_cards", "B29 J34",
+    """SELECT c_custkey AS key, c_name || ' shown ' || c_custkey || ' also ' || c_custkey || ' li ' || c_custkey
+              || 'seen ' || c_custkey || 'e' || c_custkey AS shown, 'h' || c_custkey AS not_displayed FROM customer""",
+)
+def visible_cards(spark, sf):
+    """Cards with parts that attributes, inline styles and style rules hide, and show again."""
+    pages = table(spark, sf, "customer").select(
+        F.col("c_custkey").alias("key"),
+        F.expr(fill(_PARTLY_HIDDEN, {"key": "CAST(c_custkey AS STRING)", "name": "c_name"})).alias("html"))
+    card = f"get({sel.find(N, None, '.card')}, 0)"
+    return parse_pages(pages).select("key", F.expr(with_value(card, lambda c: struct(
+        shown=tx.clean(sel.visible_text(N, c)),
+        not_displayed=with_value(f"get({sel.find(N, c, 'span')}, 0)", lambda e: sel.visible_text(N, e))))).alias("v")).select("key", "v.*")
+
+
 @query(
     "cards_without_mail", "E8 B11 B12",
     f"WITH {SQL} SELECT key FROM dir WHERE NOT has_email",
