@@ -12,7 +12,8 @@ from cardloom.plans.catalog.base import query
 from cardloom.plans.profiles import BY_ID, PROFILES
 from cardloom.sources.layout import shared_folder
 from cardloom.sources.tables import table
-from cardloom.plans.rendered import CARDS_PER_PAGE, assigned_people, listing_pages
+from cardloom.plans.early import FIRST_BLOCK, GROWTH, read_until_empty
+from cardloom.plans.rendered import CARDS_PER_PAGE, assigned_people, expected_sql, listing_pages
 
 PAGED = tuple(p for p in PROFILES if p.paging)
 IDS = tuple(p.profile_id for p in PAGED)
@@ -160,3 +161,42 @@ def link_chains(spark, sf):
 )
 def chain_reports(spark, sf):
     return chain_report(coverage.link_chains(_chained_pages(spark, sf), shared_folder(spark), [_CHAINED]))
+
+
+# profile -> its first page without cards
+_ENDS = {"pioneer_north_dallas": 6, "clarke_schools_ny": 20, "dallas_international": None, "keio_ny": 1}
+
+
+def _ending(spark, sf):
+    """Directories stored beyond their ends: one page has no cards, those behind it do."""
+    blank = " OR ".join(f"(profile_id = {lit(i)} AND page_no = {n})" for i, n in _ENDS.items() if n)
+    pages = listing_pages(spark, sf, tuple(_ENDS)).withColumn("html", F.expr(f"if({blank}, '<html><body>none</body></html>', html)"))
+    return read_until_empty(pages, [BY_ID[i] for i in _ENDS], shared_folder(spark))
+
+
+_ENDS_SQL = ", ".join(f"('{i}', {n or 'NULL'})" for i, n in _ENDS.items())
+
+
+@query(
+    "records_until_empty", "K10 L3",
+    expected_sql(tuple(_ENDS), f""", ends(profile_id, stop) AS (VALUES {_ENDS_SQL})
+    SELECT profile_id, page_no, name, job_title, email FROM expected JOIN ends USING (profile_id) WHERE stop IS NULL OR page_no < stop"""),
+)
+def records_until_empty(spark, sf):
+    return _ending(spark, sf)[0].select("profile_id", "page_no", "name", "job_title", "email")
+
+
+@query(
+    "pages_read_until_empty", "K10 F4",
+    expected_sql(tuple(_ENDS), f""", ends(profile_id, stop) AS (VALUES {_ENDS_SQL}),
+    stored AS (SELECT profile_id, page_no, count(*) AS people FROM cards GROUP BY ALL),
+    upto AS (SELECT profile_id, stop, CASE WHEN stop IS NULL THEN NULL
+                 ELSE CAST({FIRST_BLOCK} * pow({GROWTH}, greatest(ceil(ln(stop / {FIRST_BLOCK}.0) / ln({GROWTH}) - 1e-9), 0)) AS BIGINT) END AS last_read
+             FROM ends)
+    SELECT profile_id AS source_id, count(*) AS parsed, max(page_no) AS last FROM stored JOIN upto USING (profile_id)
+    WHERE last_read IS NULL OR page_no <= last_read GROUP BY profile_id"""),
+)
+def pages_read_until_empty(spark, sf):
+    """Only the block in which a directory ends is parsed behind its end."""
+    read = _ending(spark, sf)[1]
+    return read.groupBy("source_id").agg(F.count("*").alias("parsed"), F.max("page_no").alias("last"))

@@ -28,7 +28,7 @@ from cardloom.plans.profiles import PROFILES
 PAGE_KEYS = ("source_id", "profile_id", "page_no", "url")
 
 
-def _branches(profiles: Sequence[Profile], signature, value) -> tuple[str, dict[str, set[str]]]:
+def rule_branches(profiles: Sequence[Profile], signature, value) -> tuple[str, dict[str, set[str]]]:
     """One CASE branch per distinct rule set, of which only that of a page's profile is evaluated, and the selectors
     the pages of each profile are to be parsed with."""
     groups: dict[tuple, list[Profile]] = {}
@@ -53,7 +53,7 @@ class Stores:
 
 
 def _explode(pages: DataFrame, profiles: Sequence[Profile], signature, value, stores: Stores | None = None, part: str = "") -> DataFrame:
-    branches, selectors = _branches(profiles, signature, value)
+    branches, selectors = rule_branches(profiles, signature, value)
     if stores and stores.ledger:
         records = recorded(
             pages, PAGE_KEYS, profiles, signature, branches, selectors, f"{stores.ledger}/{part}", f"{stores.folder}/{part}")
@@ -77,7 +77,7 @@ def wanted_details(pages: DataFrame, profiles: Sequence[Profile], listing: DataF
     """Stored detail pages that some listing row may ask for. Their key comes from their address, so the others
     are dropped at the scan, before their markup is moved or parsed."""
     own = pages.filter((F.col("role") == "detail") & F.col("profile_id").isin([p.profile_id for p in profiles]))
-    key = F.expr(_branches(profiles, lambda p: repr(p.lookup.key), lambda p: apply_steps("url", p.lookup.key))[0])
+    key = F.expr(rule_branches(profiles, lambda p: repr(p.lookup.key), lambda p: apply_steps("url", p.lookup.key))[0])
     asked = listing.select("source_id", "lookup_key").filter("lookup_key <> ''")
     return keep_wanted(own, (F.col("source_id"), key), asked, ("source_id", "lookup_key"))
 
