@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from cardloom.operators.postings import Postings, compiled, names_of
 from cardloom.operators.select import number
+from cardloom.operators.treebuild import FORMATTING, IN_TABLE, SPECIAL, TABLE_CONTEXT, Node, TreeBuilder
 from cardloom.operators.visibility import hidden_nodes, may_hide
 
 NODE_TYPE = T.StructType(
@@ -101,6 +102,7 @@ _ATTR = re.compile(
 _RAW_END = {t: re.compile(rf"</{t}(?=[\s/>])[^>]*>", re.I) for t in _RAW_TEXT | _ESCAPABLE}
 _ROW_PARTS = frozenset(["tr", "td", "th"])
 _ROW_GROUPS = frozenset(["tbody", "thead", "tfoot"])
+_TABLE_WALL = frozenset(["table"])
 _MAY_CLOSE = _CLOSES_P | _HEADINGS | frozenset(_IMPLIED_END)
 
 # Nodes nested deeper than this do not list their ancestors, so hostile nesting cannot blow a page up;
@@ -126,6 +128,106 @@ def _text(value: str) -> str:
     return unescape(value)
 
 
+def _attributes(raw: str) -> dict[str, str]:
+    attrs: dict[str, str] = {}
+    for name, dq, sq, bare in _ATTR.findall(raw):
+        value = dq or sq or bare
+        attrs.setdefault(name.lower(), _attribute_text(value) if "&" in value else value)
+    return attrs
+
+
+class _Misnested(Exception):
+    """Nodes of this page have to move, so they cannot be numbered as they are met."""
+
+
+def _level(tree: TreeBuilder, wanted: frozenset, walls: frozenset) -> int | None:
+    """Place among the open elements of the innermost wanted one that is not behind a wall."""
+    stack = tree.stack
+    if not any(tree.open_count.get(tag) for tag in wanted):
+        return None
+    for i in range(len(stack) - 1, 0, -1):
+        if stack[i].tag in wanted:
+            return i - 1
+        if stack[i].tag in walls:
+            return None
+    return None
+
+
+_PARAGRAPH = frozenset(["p"])
+_CELLS = frozenset(["td", "th", "caption"])
+
+
+def _end_implied(tree: TreeBuilder, tag: str, at: int) -> None:
+    """Elements that a start tag ends, and table parts that may be left out."""
+    stack = tree.stack
+    if tag in _CLOSES_P and (level := _level(tree, _PARAGRAPH, _SCOPE_WALLS)) is not None:
+        tree.close_to(level, at, at)
+    if tag in _HEADINGS and stack[-1].tag in _HEADINGS:
+        tree.close_to(len(stack) - 2, at, at)
+    if tag in _IMPLIED_END and tag != "a" and (level := _level(tree, *_IMPLIED_END[tag])) is not None:
+        tree.close_to(level, at, at)
+    if tag in _TABLE_PARTS and tag != "table" and (level := _level(tree, TABLE_CONTEXT, _CELLS)) is not None:
+        tree.close_to(level + 1, at, at)  # what stands loose in the table ends
+    if tag in _ROW_PARTS:
+        if stack[-1].tag == "table":
+            tree.element("tbody", (), at, at, True)
+        if tag != "tr" and stack[-1].tag in _ROW_GROUPS:
+            tree.element("tr", (), at, at, True)
+
+
+def build_tree(html: str) -> Node:
+    """The tree of a page of any nesting."""
+    tree = TreeBuilder()
+    tags_end = html.rfind(">") + 1
+    unended = _UNENDED.search(html, tags_end)
+    cursor, size = 0, len(html)
+    last_text = unended.start() if unended else size
+    while cursor < size:
+        hit = _TOKEN.search(html, cursor, max(tags_end, cursor))
+        stop = hit.start() if hit else max(last_text, cursor)
+        if stop > cursor:
+            tree.run("text", _text(html[cursor:stop]), cursor, stop)
+        if not hit:
+            break
+        cursor = hit.end()
+        group = hit.lastgroup
+        if group == "attrs":
+            tag, raw = hit["open"].lower(), hit["attrs"]
+            attrs = tuple(_attributes(raw).items())
+            _end_implied(tree, tag, stop)
+            void = tag in _VOID or raw.endswith("/") and any(n.tag == "svg" for n in tree.stack)
+            in_place = tree.stack[-1].tag in TABLE_CONTEXT and (
+                tag == "form" or tag == "input" and dict(attrs).get("type", "").lower() == "hidden")
+            if in_place:  # a form in a table holds nothing
+                tree.stack[-1].add(Node("el", tag, attrs, None, stop, cursor))
+                continue
+            tree.element(tag, attrs, stop, cursor, not void)
+            ending = None if void else _RAW_END.get(tag)
+            if ending:
+                tail = ending.search(html, cursor)
+                inner_end, outer_end = (tail.start(), tail.end()) if tail else (size, size)
+                if inner_end > cursor:
+                    run = html[cursor:inner_end]
+                    tree.stack[-1].add(Node("raw" if tag in _RAW_TEXT else "text", None, (), run if tag in _RAW_TEXT else _text(run), cursor, inner_end))
+                tree.close_to(len(tree.stack) - 2, inner_end, outer_end)
+                cursor = outer_end
+        elif group == "close":
+            tag = hit["close"].lower()
+            if tag in FORMATTING and tree.end_formatting(tag, stop, cursor):
+                continue
+            walls = _TABLE_WALL if tag in _TABLE_PARTS else _SCOPE_WALLS
+            level = _level(tree, frozenset([tag]), walls)
+            if level is not None:
+                tree.close_to(level, stop, cursor)
+        elif group == "comment":
+            ended = html.endswith("-->", stop, cursor)
+            if not ended:
+                cursor = size
+            tree.run("comment", html[stop + 4:max(stop + 4, cursor - 3 if ended else cursor)], stop, cursor)
+    tree.close_to(0, size, size)
+    return tree.root
+
+
 class _Nodes:
     """Columns of the node arrays of one Arrow batch, filled page by page.
 
@@ -148,13 +250,62 @@ class _Nodes:
         """``selectors``: (number, compiled selector) pairs, and all names they look up."""
         first = len(self.rows)
         if html:
-            self._walk(html)
+            try:
+                self._walk(html)
+            except _Misnested:
+                for column in (self.rows, self.stops, self.next_els, self.inner_ends, self.outer_ends):
+                    del column[first:]
+                self._number(build_tree(html))
             if may_hide(html):
                 self._hide(first)
         self.page_offsets.append(len(self.rows))
         if selectors:
             self._mark(first, *selectors)
 
+    def _number(self, root: Node) -> None:
+        """Nodes of a finished tree in document order."""
+        base = len(self.rows)
+        # (node, ordinal, same-tag ordinal, position of the parent, depth, path), last one first; or a position that ends
+        left: list = []
+
+        def below(node, at, depth, path):
+            counts: dict[str, int] = {}
+            made = []
+            for n, child in enumerate(node.children):
+                of_type = 0
+                if child.kind == "el":
+                    of_type = counts[child.tag] = counts.get(child.tag, 0) + 1
+                made.append((child, n, of_type, at, depth, path))
+            left.extend(reversed(made))
+
+        below(root, -1, 0, ())
+        last_el: dict[int, int] = {}  # parent -> its last element so far
+        while left:
+            item = left.pop()
+            if isinstance(item, int):
+                self.stops[item] = len(self.rows) - base - 1
+                continue
+            node, n, of_type, parent, depth, path = item
+            pos = len(self.rows) - base
+            elem_id, classes, items = None, (), ()
+            if node.kind == "el":
+                if parent in last_el:
+                    self.next_els[base + last_el[parent]] = pos
+                last_el[parent] = pos
+                attrs = dict(node.attrs)
+                elem_id, classes, items = attrs.get("id"), attrs["class"].split() if "class" in attrs else (), attrs.items()
+            said = node.text if node.kind == "comment" else None
+            self.rows.append((pos, parent, depth, n, of_type, node.kind, node.tag, elem_id, classes, items,
+                              None if said is not None else node.text, path, said, node.start, node.inner))
+            self.stops.append(pos)
+            self.next_els.append(-1)
+            self.inner_ends.append(node.inner_end)
+            self.outer_ends.append(node.outer_end)
+            if node.children:
+                left.append(base + pos)
+                listed = path is not None and len(path) < LISTED_DEPTH
+                below(node, pos, depth + 1, path + (pos,) if listed else None)
+
     def _of_page(self, first: int) -> tuple[list[tuple], list[int]]:
         return [(r[1], r[4], r[5] == "el", *r[6:10]) for r in self.rows[first:]], self.stops[first:].tolist()
 
@@ -222,10 +373,14 @@ class _Nodes:
             top = [pos, 0, -1, {}, above + (pos,) if listed else None]
             frames.append(top)
 
-        def close_to(level, inner_end, outer_end):
+        def close_to(level, inner_end, outer_end, misnested=True):
             """End the open elements from ``level`` up; the lowest one owns the end tag."""
             nonlocal top
             last = len(rows) - base - 1
+            if misnested and len(open_tags) > level + 1:
+                inside = open_tags[level + 1:]
+                if not FORMATTING.isdisjoint(inside) or open_tags[level] in FORMATTING and not SPECIAL.isdisjoint(inside):
+                    raise _Misnested
             while len(open_tags) > level:
                 tag = open_tags.pop()
                 open_count[tag] -= 1
@@ -272,6 +427,8 @@ class _Nodes:
             stop = hit.start() if hit else max(last_text, cursor)
             if stop > cursor:
                 run = html[cursor:stop]
+                if open_tags and open_tags[-1] in TABLE_CONTEXT and not run.isspace():
+                    raise _Misnested
                 add("text", None, None, (), (), _text(run) if "&" in run else run, cursor, stop)
             if not hit:
                 break
@@ -282,16 +439,15 @@ class _Nodes:
                 tag = tag.lower()
                 elem_id, classes, items = None, (), ()
                 if raw_attrs and not raw_attrs.isspace():
-                    attrs: dict[str, str] = {}
-                    for name, dq, sq, bare in _ATTR.findall(raw_attrs):
-                        value = dq or sq or bare
-                        attrs.setdefault(name.lower(), _attribute_text(value) if "&" in value else value)
+                    attrs = _attributes(raw_attrs)
                     elem_id = attrs.get("id")
                     if "class" in attrs:
                         classes = attrs["class"].split()
                     items = attrs.items()
                 if tag in _MAY_CLOSE:
                     close_implied(tag, stop)
+                if open_tags and open_tags[-1] in TABLE_CONTEXT and tag not in IN_TABLE:
+                    raise _Misnested
                 pos = add("el", tag, elem_id, classes, items, None, stop, cursor)
                 if tag in _VOID or (raw_attrs.endswith("/") and "svg" in open_tags):
                     continue
@@ -327,7 +483,7 @@ class _Nodes:
                     cursor = size  # never ended
                 said = html[stop + 4:max(stop + 4, cursor - 3 if html.endswith("-->", stop, cursor) else cursor)]
                 add("comment", None, None, (), (), None, stop, cursor, said)
-        close_to(0, size, size)
+        close_to(0, size, size, False)
 
     def _hidden_to_arrow(self, n: int) -> pa.Array:
         states = np.zeros(n, np.int32)
@@ -396,7 +552,8 @@ class _Nodes:
 _FLUSH_CHARS = 2_000_000
 
 
-def _parse_batches(html_col: str, kept: list[str], selectors: dict[str | None, tuple] | None, by: str | None):
+def _parse_batches(html_col: str, kept: list[str], selectors: dict[str | None, tuple] | None = None,
+                   by: str | None = None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             pages = batch.column(html_col)

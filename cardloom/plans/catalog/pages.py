@@ -46,16 +46,19 @@ def page_titles(spark, sf):
     return titled.filter(F.expr(tx.not_blank("title")))
 
 
+#: Elements with a start tag of their own.
+_STATED = "filter(nodes, n -> n.kind = 'el' AND n.inner_start > n.outer_start)"
+
+
 @query(
     "nodes_by_tag", "B1 B2",
     "SELECT tag, count(*) AS n, count(DISTINCT page_id) AS pages FROM (SELECT page_id, "
     "unnest(regexp_extract_all(html, '<([a-zA-Z][a-zA-Z0-9]*)', 1)) AS tag FROM pages) GROUP BY tag",
 )
 def nodes_by_tag(spark, sf):
+    """Elements by tag, as they stand in the markup: those the parser opened again or implied are not counted."""
     # counted per page first: one small row per page and tag leaves the parse stage
-    tags = parse_pages(stored_pages(spark, sf)).select(
-        "page_id", F.explode(F.expr("filter(nodes.tag, t -> t IS NOT NULL)")).alias("tag")
-    )
+    tags = parse_pages(stored_pages(spark, sf)).select("page_id", F.explode(F.expr(f"{_STATED}.tag")).alias("tag"))
     per_page = tags.groupBy("page_id", "tag").count()
     return per_page.groupBy("tag").agg(
         F.sum("count").cast("bigint").alias("n"), F.count(F.lit(1)).alias("pages")
@@ -176,7 +179,7 @@ def nodes_written_once(spark, sf):
     write_nodes(parse_pages(stored_pages(spark, sf)), folder)
     nodes = spark.read.parquet(folder)
     return nodes.agg(
-        F.sum(F.expr("size(filter(nodes.kind, k -> k = 'el'))")).cast("bigint").alias("elements"),
+        F.sum(F.expr(f"size({_STATED})")).cast("bigint").alias("elements"),
         F.count(F.lit(1)).alias("pages"),
     )
 

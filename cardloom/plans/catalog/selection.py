@@ -82,7 +82,7 @@ _card_query("own_and_partial_text", "B18 B19 B20 B21",
 _card_query("element_source", "B23 B24",
             inner=(_pick(".office", "first", "inner_html", steps=()), "'Room ' || key || '<br>Floor&nbsp;2'"),
             note=(_pick(".note", "first", "outer_html", steps=()),
-                  "'<h5 class=\"note\" title=\"a&quot;b\">Caf\u00e9 \u2013 R&amp;D<br><b>x</b></h5>'"),
+                  "'<h5 class=\"note\" title=\"a&quot;b\">Caf\u00e9 \u2013 R&amp;D<br><span>x</span></h5>'"),
             outer=(_pick("ul", "first", "outer_html", steps=()),
                    "'<ul class=\"facts\"><li>fact a' || key || '</li><li class=\"hot\">fact b' || key || '</li></ul>'"))
 _card_query("relatives", "B25 B26",

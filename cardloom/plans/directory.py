@@ -21,7 +21,7 @@ CARD = (
     '<div class="staff-card card full" data-testid="staff-card" id="card-{key}" style="color:red;font-weight:bold">'
     '<h3 class="staff-name">{name}<span class="badge">{nation}</span></h3>'
     '<h4 class="office">Room {key}<br>Floor&nbsp;2</h4>'
-    '<h5 class="note" title="a&quot;b">Caf&eacute; &#8211; R&D<BR /><b>x</h5>'
+    '<h5 class="note" title="a&quot;b">Caf&eacute; &#8211; R&D<BR /><span>x</h5>'
     '<p class="line">{title}, <em>{nation}</em>, extra</p><p class="blank"> &nbsp; </p>'
     '<ul class="facts"><li>fact a{key}</li><li class="hot">fact b{key}</li></ul>'
     f"[[{LINK}]]"

@@ -35,7 +35,7 @@ def outline(html):
 
 @pytest.mark.parametrize("html, tree", [
     ("<p>a<p>b", "p('a') p('b')"),
-    ("<p>a<b>b<div>c</div>", "p('a' b('b')) div('c')"),
+    ("<p>a<b>b<div>c</div>", "p('a' b('b')) div(b('c'))"),
     ("<ul><li>a<li>b<ul><li>c</ul><li>d</ul>", "ul(li('a') li('b' ul(li('c'))) li('d'))"),
     ("<dl><dt>a<dd>b<dt>c</dl>", "dl(dt('a') dd('b') dt('c'))"),
     ("<table><tr><td>a<td>b<tr><td>c</table>", "table(tbody(tr(td('a') td('b')) tr(td('c'))))"),
