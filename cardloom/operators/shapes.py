@@ -3,6 +3,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
+
 from cardloom.functions import text as tx
 from cardloom.functions.sql import (
     aggregate, case, filter_, filter_at, struct, transform, transform_at, with_value,
@@ -131,37 +134,39 @@ def _state(out: str, **slots: str) -> str:
     return struct(**slots, out=out)
 
 
-def _fold(blocks: str, slots: tuple[str, ...], step, build) -> str:
-    """Read blocks in order with a few slots, each holding a block number or -1.
+def run(rows: str, slots: dict[str, str], step) -> str:
+    """The state behind all blocks of the array ``rows``, from the state ``slots`` before them, and what was emitted.
 
-    ``step(acc, b)`` gives the next state and may append an entry made by ``_entry`` to ``out``;
-    ``build(block_of)`` turns an entry back into a record, ``block_of(k)`` being its k-th block.
+    ``step(acc, b)`` gives the next state and may append an entry made by ``_entry`` to ``out``.
     """
 
-    def run(rows: str) -> str:
-        def chunk(acc: str, first: str) -> str:
-            inner = aggregate(
-                f"slice({rows}, {first} + 1, {_CHUNK})",
-                _state("''", **{s: f"{acc}.{s}" for s in slots}), step, lambda r: r,
-            )
-            return with_value(
-                inner,
-                lambda r: _state(f"concat({acc}.out, {r}.out)", **{s: f"{r}.{s}" for s in slots}),
-            )
-
-        firsts = (f"if(size({rows}) = 0, CAST(array() AS ARRAY<INT>),"
-                  f" sequence(0, size({rows}) - 1, {_CHUNK}))")
-        entries = aggregate(
-            firsts, _state("''", **{s: "-1" for s in slots}), chunk, lambda acc: f"split({acc}.out, ' ')"
+    def chunk(acc: str, first: str) -> str:
+        inner = aggregate(
+            f"slice({rows}, {first} + 1, {_CHUNK})",
+            _state("''", **{s: f"{acc}.{s}" for s in slots}), step, lambda r: r,
+        )
+        return with_value(
+            inner,
+            lambda r: _state(f"concat({acc}.out, {r}.out)", **{s: f"{r}.{s}" for s in slots}),
         )
 
-        def built(entry: str) -> str:
-            numbers = transform(f"split({entry}, ':')", lambda n: f"CAST({n} AS INT)")
-            return with_value(numbers, lambda ns: build(lambda k: f"get({rows}, get({ns}, {k}))"))
+    firsts = (f"if(size({rows}) = 0, CAST(array() AS ARRAY<INT>),"
+              f" sequence(0, size({rows}) - 1, {_CHUNK}))")
+    return aggregate(firsts, _state("''", **slots), chunk, lambda acc: acc)
+
+
+def entries(out: str) -> str:
+    """What was emitted: arrays of block numbers."""
+    return transform(filter_(f"split({out}, ' ')", lambda e: f"{e} <> ''"), lambda e: transform(
+        f"split({e}, ':')", lambda n: f"CAST({n} AS INT)"))
 
-        return transform(filter_(entries, lambda e: f"{e} <> ''"), built)
 
-    return with_value(blocks, run)
+def _fold(blocks: str, sequence: Sequence) -> str:
+    """Read blocks in order with a few slots, each holding a block number or -1, and build a record of each entry."""
+    empty = {s: "-1" for s in sequence.slots}
+    return with_value(blocks, lambda rows: transform(
+        entries(f"{run(rows, empty, sequence.step)}.out"),
+        lambda ns: sequence.build(lambda k: f"get({rows}, get({ns}, {k}))")))
 
 
 def _entry(acc: str, *numbers: str) -> str:
@@ -174,88 +179,98 @@ def _filled(text: str, b: str) -> str:
     return f"if({b}.{text} <> '', {b}.i, -1)"
 
 
-def heading_text(p: Profile, nodes: str) -> str:
-    """H1: a heading block sets the name, the first paragraph block behind it emits and clears."""
-    blocks = transform_at(
-        sel.find(nodes, None, p.card),
-        lambda b, i: struct(
-            i=i,
-            pos=f"{b}.pos",
-            heading=_first_text(nodes, b, p.blocks["heading"]),
-            text=_first_text(nodes, b, p.blocks["text"]),
-        ),
-    )
+@dataclass(frozen=True)
+class Sequence:
+    """A page read block by block: which elements are blocks, what is read from one, and how slots go on."""
+
+    css: Callable[[Profile], str]
+    block: Callable[[Profile, str, str], dict[str, str]]  # (profile, nodes, element) -> values
+    slots: tuple[str, ...]
+    step: Callable[[str, str], str]
+    build: Callable[[Callable[[int], str]], str]  # from a function that gives an entry's k-th block
 
-    def step(acc: str, b: str) -> str:
-        return case(
-            (f"{b}.heading IS NOT NULL", _state(f"{acc}.out", name=_filled("heading", b))),
-            (f"{acc}.name >= 0 AND {b}.text IS NOT NULL",
-             _state(_entry(acc, f"{acc}.name", f"{b}.i"), name="-1")),
-            otherwise=acc,
+    def blocks(self, p: Profile, nodes: str) -> str:
+        return transform_at(
+            sel.find(nodes, None, self.css(p)),
+            lambda b, i: struct(i=i, pos=f"{b}.pos", **self.block(p, nodes, b)),
         )
 
-    return _fold(blocks, ("name",), step, lambda block: record(
-        f"{block(1)}.pos", name=f"{block(0)}.heading", job_title=f"{block(1)}.text"))
-
-
-def heading_list(p: Profile, nodes: str) -> str:
-    """H2: first and second non-blank heading are name and title; a list block emits and resets."""
-    blocks = transform_at(
-        sel.find(nodes, None, f"{p.blocks['heading_block']}, {p.blocks['list_block']}"),
-        lambda b, i: struct(
-            i=i,
-            pos=f"{b}.pos",
-            is_heading=f"coalesce({sel.matcher(p.blocks['heading_block'])(b, nodes)}, false)",
-            is_list=f"coalesce({sel.matcher(p.blocks['list_block'])(b, nodes)}, false)",
-            heading=_first_text(nodes, b, p.blocks["heading"]),
-            email=_mail_address(nodes, b, tx.clean),
-        ),
+
+def _heading_text_block(p: Profile, nodes: str, b: str) -> dict[str, str]:
+    return dict(heading=_first_text(nodes, b, p.blocks["heading"]), text=_first_text(nodes, b, p.blocks["text"]))
+
+
+def _heading_text_step(acc: str, b: str) -> str:
+    return case(
+        (f"{b}.heading IS NOT NULL", _state(f"{acc}.out", name=_filled("heading", b))),
+        (f"{acc}.name >= 0 AND {b}.text IS NOT NULL",
+         _state(_entry(acc, f"{acc}.name", f"{b}.i"), name="-1")),
+        otherwise=acc,
     )
 
-    def step(acc: str, b: str) -> str:
-        complete = f"{b}.is_list AND {b}.email IS NOT NULL AND {acc}.name >= 0 AND {acc}.title >= 0"
-        return case(
-            (f"{b}.is_heading AND {b}.heading IS NULL", acc),
-            (f"{b}.is_heading AND {acc}.name < 0",
-             _state(f"{acc}.out", name=_filled("heading", b), title=f"{acc}.title")),
-            (f"{b}.is_heading AND {acc}.title < 0",
-             _state(f"{acc}.out", name=f"{acc}.name", title=_filled("heading", b))),
-            (complete, _state(_entry(acc, f"{acc}.name", f"{acc}.title", f"{b}.i"), name="-1", title="-1")),
-            (f"{b}.is_list", _state(f"{acc}.out", name="-1", title="-1")),
-            otherwise=acc,
-        )
 
-    return _fold(blocks, ("name", "title"), step, lambda block: record(
-        f"{block(2)}.pos", name=f"{block(0)}.heading", job_title=f"{block(1)}.heading",
-        email=f"{block(2)}.email"))
-
-
-def slots(p: Profile, nodes: str) -> str:
-    """H3: bold block -> name, mail block -> email, later job text -> title and emit; the slots
-    clear only when a record is emitted."""
-    blocks = transform_at(
-        sel.find(nodes, None, p.card),
-        lambda b, i: struct(
-            i=i,
-            pos=f"{b}.pos",
-            text=tx.clean(sel.element_text(nodes, b)),
-            is_bold=f"size({sel.find(nodes, b, p.blocks['bold'])}) > 0",
-            email=_mail_address(nodes, b, tx.trim),
-        ),
+def _heading_list_block(p: Profile, nodes: str, b: str) -> dict[str, str]:
+    return dict(
+        is_heading=f"coalesce({sel.matcher(p.blocks['heading_block'])(b, nodes)}, false)",
+        is_list=f"coalesce({sel.matcher(p.blocks['list_block'])(b, nodes)}, false)",
+        heading=_first_text(nodes, b, p.blocks["heading"]),
+        email=_mail_address(nodes, b, tx.clean),
     )
 
-    def step(acc: str, b: str) -> str:
-        ready = f"{acc}.name >= 0 AND {acc}.email >= 0 AND {tx.is_job_text(f'{b}.text')}"
-        return case(
-            (f"{b}.is_bold", _state(f"{acc}.out", name=_filled("text", b), email=f"{acc}.email")),
-            (f"{b}.email IS NOT NULL", _state(f"{acc}.out", name=f"{acc}.name", email=_filled("email", b))),
-            (ready, _state(_entry(acc, f"{acc}.name", f"{b}.i", f"{acc}.email"), name="-1", email="-1")),
-            otherwise=acc,
-        )
 
-    return _fold(blocks, ("name", "email"), step, lambda block: record(
-        f"{block(1)}.pos", name=f"{block(0)}.text", job_title=f"{block(1)}.text",
-        email=f"{block(2)}.email"))
+def _heading_list_step(acc: str, b: str) -> str:
+    complete = f"{b}.is_list AND {b}.email IS NOT NULL AND {acc}.name >= 0 AND {acc}.title >= 0"
+    return case(
+        (f"{b}.is_heading AND {b}.heading IS NULL", acc),
+        (f"{b}.is_heading AND {acc}.name < 0",
+         _state(f"{acc}.out", name=_filled("heading", b), title=f"{acc}.title")),
+        (f"{b}.is_heading AND {acc}.title < 0",
+         _state(f"{acc}.out", name=f"{acc}.name", title=_filled("heading", b))),
+        (complete, _state(_entry(acc, f"{acc}.name", f"{acc}.title", f"{b}.i"), name="-1", title="-1")),
+        (f"{b}.is_list", _state(f"{acc}.out", name="-1", title="-1")),
+        otherwise=acc,
+    )
+
+
+def _slots_block(p: Profile, nodes: str, b: str) -> dict[str, str]:
+    return dict(
+        text=tx.clean(sel.element_text(nodes, b)),
+        is_bold=f"size({sel.find(nodes, b, p.blocks['bold'])}) > 0",
+        email=_mail_address(nodes, b, tx.trim),
+    )
+
+
+def _slots_step(acc: str, b: str) -> str:
+    ready = f"{acc}.name >= 0 AND {acc}.email >= 0 AND {tx.is_job_text(f'{b}.text')}"
+    return case(
+        (f"{b}.is_bold", _state(f"{acc}.out", name=_filled("text", b), email=f"{acc}.email")),
+        (f"{b}.email IS NOT NULL", _state(f"{acc}.out", name=f"{acc}.name", email=_filled("email", b))),
+        (ready, _state(_entry(acc, f"{acc}.name", f"{b}.i", f"{acc}.email"), name="-1", email="-1")),
+        otherwise=acc,
+    )
+
+
+SEQUENCES = {
+    # H1: a heading block sets the name, the first paragraph block behind it emits and clears
+    "heading_text": Sequence(
+        lambda p: p.card, _heading_text_block, ("name",), _heading_text_step,
+        lambda block: record(f"{block(1)}.pos", name=f"{block(0)}.heading", job_title=f"{block(1)}.text")),
+    # H2: first and second non-blank heading are name and title; a list block emits and resets
+    "heading_list": Sequence(
+        lambda p: f"{p.blocks['heading_block']}, {p.blocks['list_block']}", _heading_list_block, ("name", "title"),
+        _heading_list_step, lambda block: record(
+            f"{block(2)}.pos", name=f"{block(0)}.heading", job_title=f"{block(1)}.heading", email=f"{block(2)}.email")),
+    # H3: bold block -> name, mail block -> email, later job text -> title and emit; the slots clear only when a
+    # record is emitted
+    "slots": Sequence(
+        lambda p: p.card, _slots_block, ("name", "email"), _slots_step,
+        lambda block: record(
+            f"{block(1)}.pos", name=f"{block(0)}.text", job_title=f"{block(1)}.text", email=f"{block(2)}.email")),
+}
+
+
+def _folded(shape: str) -> Callable[[Profile, str], str]:
+    return lambda p, nodes: _fold(SEQUENCES[shape].blocks(p, nodes), SEQUENCES[shape])
 
 
 def text_link(p: Profile, nodes: str) -> str:
@@ -286,9 +301,9 @@ def text_link(p: Profile, nodes: str) -> str:
 SHAPES = {
     "cards": cards,
     "zip": zipped,
-    "heading_text": heading_text,
-    "heading_list": heading_list,
-    "slots": slots,
+    "heading_text": _folded("heading_text"),
+    "heading_list": _folded("heading_list"),
+    "slots": _folded("slots"),
     "text_link": text_link,
 }
 

@@ -5,6 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from cardloom.operators import merge
+from cardloom.operators.markup import parse_pages
+from cardloom.operators.rules import RECORD_FIELDS
+from cardloom.operators.scans import block_rows, records_of_blocks
+from cardloom.operators.shapes import kept
 from cardloom.plans.catalog.base import query
 from cardloom.plans.extract import Stores, extract
 from cardloom.plans.profiles import BY_ID, MERGE_RUN
@@ -81,6 +85,25 @@ def asked_detail_pages(spark, sf):
     return extract(pages, source_table(spark, profiles), profiles, Stores(shared_folder(spark))).select(*_ASKED_COLUMNS)
 
 
+_SEQUENCE_IDS = ("association_house", "toddlertown", "harbor_school_ny")
+
+
+@query(
+    "sequences_over_rows", "H1 H2 H3",
+    expected_sql(_SEQUENCE_IDS, "SELECT profile_id, page_no, name, job_title, email FROM expected"),
+)
+def sequences_over_rows(spark, sf):
+    """Pages dealt over rows of a few blocks each, with state passed from row to row."""
+    parts = []
+    for i in _SEQUENCE_IDS:
+        profile = BY_ID[i]
+        parsed = parse_pages(listing_pages(spark, sf, _SEQUENCE_IDS).filter(F.col("profile_id") == i))
+        found = records_of_blocks(block_rows(parsed, profile, "profile_id", "page_no"), profile.shape, ("profile_id", "page_no"), 7)
+        parts.append(found.select("profile_id", "page_no", F.struct(*RECORD_FIELDS).alias("r")).filter(
+            F.expr(kept("r", profile.keep) if profile.keep else "true")).select("profile_id", "page_no", "r.*"))
+    return merge.union_all(*parts).select("profile_id", "page_no", "name", "job_title", "email")
+
+
 _SHARED_IDS = ("seattle_christian", "seattle_prep", "texans_can_dallas_north", "texans_can_pleasant_grove", "harrow_ny")
 
 
