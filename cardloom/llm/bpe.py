@@ -11,24 +11,28 @@ from __future__ import annotations
 import json
 import os
 import tempfile
-from array import array
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cardloom.llm.common import text_of
+from cardloom.llm.common import discard, shared_folder, stored, text_of
 
 #: Split pattern of the byte-level vocabularies (fixed value).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 _SHIFT, _NONE = 24, np.int32(2**31 - 1)
 _SHORT = 32  # bytes of a piece up to which pieces are merged together
-_RUN = regex.compile(r"\s | \s")
+#: A space beside white space. A space between two other characters always begins a piece, so a chunk, with the space
+#: before it, can be split into pieces by itself, and chunks repeat often.
+_WHITE = r"[\s\x0B\x1C-\x1F\x{85}\x{A0}\x{1680}\x{180E}\x{2000}-\x{200F}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}\x{FEFF}]"
+_ANY_RUN = f"{_WHITE} | {_WHITE}"
+#: Letters only, of the Latin blocks that have no other signs: one piece with the space before it.
+_LETTERS = r"^[A-Za-z\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{17F}]+$"
 LEXICON_WORDS = 1 << 17
-_MEMO = 400_000  # words a worker keeps; then it starts anew
 _COUNTED = 300_000  # words a task counts before it passes the counts on
 _CHUNK = 4 << 20  # characters of text in an output batch
 
@@ -43,19 +47,32 @@ class Splitter:
         self.split = regex.compile(PATTERN)
         self.tight = not any(" " in t for t in special)
 
-    def chunks(self, text: str) -> list[str] | None:
-        """The text cut at its spaces, or None if that could cut a piece.
-
-        A space between two characters that are not white space always begins a piece, so every chunk,
-        with the space before it, can be split into pieces by itself, and chunks repeat often.
-        """
-        return text.split(" ") if self.tight and not _RUN.search(text) else None
-
-    def behind_space(self, chunk: str) -> list[str]:
-        """Pieces of a space and the chunk that follows it."""
-        if chunk.isascii() and chunk.isalpha():
-            return [" " + chunk]
-        return self.words(" " + chunk)
+    def runs(self, texts: pa.Array) -> np.ndarray:
+        """Texts in which a cut at spaces could cut a piece."""
+        if not self.tight:
+            return np.ones(len(texts), bool)
+        return pc.match_substring_regex(texts, _ANY_RUN).to_numpy(zero_copy_only=False)
+
+    def cut_texts(self, texts: pa.Array) -> tuple[pa.ListArray, pa.Array, list[str]]:
+        """Lists of chunks of the texts that can be cut at spaces, the chunks laid end to end, and the other texts."""
+        slow = self.runs(texts)
+        lists = pc.split_pattern(texts.filter(pa.array(~slow)), " ")
+        return lists, lists.values, texts.filter(pa.array(slow)).to_pylist() if slow.any() else []
+
+    def pieces(self, chunks: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        """Pieces of different chunks, each with the space before it, laid end to end, and how many each chunk has."""
+        letters = pc.match_substring_regex(chunks, _LETTERS)
+        whole = letters.to_numpy(zero_copy_only=False)
+        cut = [self.words(" " + c) for c in chunks.filter(pc.invert(letters)).to_pylist()]
+        sizes = np.ones(len(chunks), np.int64)
+        sizes[~whole] = [len(c) for c in cut]
+        alone = pc.binary_join_element_wise("", chunks.filter(letters), " ")
+        others = pa.array([w for c in cut for w in c], pa.string())
+        # back into the order of the chunks
+        owner = np.repeat(whole, sizes)
+        place = np.empty(len(owner), np.int64)
+        place[owner], place[~owner] = np.arange(len(alone)), np.arange(len(others)) + len(alone)
+        return pa.concat_arrays([alone, others]).take(pa.array(place)), sizes
 
     def words(self, text: str) -> list[str]:
         """Pieces of a text; a special string is a piece of its own."""
@@ -90,17 +107,18 @@ class Vocabulary:
         at = np.minimum(np.searchsorted(self.pair_keys, key), len(self.pair_keys) - 1)
         return np.where((self.pair_keys[at] == key) & (a >= 0) & (b >= 0), self.pair_ranks[at], _NONE)
 
-    def merged_together(self, words: list[bytes]) -> list[bytes]:
-        """Ids, as int32, of many short pieces: every piece takes its next merge in the same step."""
-        out: list[bytes] = [b""] * len(words)
-        lengths = np.array([len(w) for w in words])
+    def merged_together(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Short pieces merged at once, every piece taking its next merge in the same step: the numbers of the pieces in
+        the order they were done, how many ids each has, and all ids."""
+        done: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32))]
+        lengths = np.array([len(w) for w in words], np.int64)
         for width in (8, 16, _SHORT):
             rows = np.flatnonzero((lengths > (width // 2 if width > 8 else 0)) & (lengths <= width))
             for some in np.array_split(rows, -(-len(rows) // 65536)) if len(rows) else ():
-                self._merge_block([words[i] for i in some], some, width, out)
-        return out
+                self._merge_block([words[i] for i in some.tolist()], some, width, done)
+        return tuple(np.concatenate(c) for c in zip(*done))
 
-    def _merge_block(self, words: list[bytes], names: np.ndarray, width: int, out: list[bytes]) -> None:
+    def _merge_block(self, words: list[bytes], names: np.ndarray, width: int, out: list) -> None:
         flat = np.frombuffer(b"".join([w.ljust(width, b"\0") for w in words]), np.uint8).reshape(-1, width)
         column = np.arange(width)
         ids = np.where(column < np.array([len(w) for w in words])[:, None], self.of_byte[flat], -1)
@@ -113,11 +131,7 @@ class Vocabulary:
             done = low == _NONE
             if done.any():
                 kept = ids[done]
-                ends = np.cumsum((kept >= 0).sum(axis=1)) * 4
-                data, begin = kept[kept >= 0].astype(np.int32).tobytes(), 0
-                for i, end in zip(names[done].tolist(), ends.tolist()):
-                    out[i] = data[begin:end]
-                    begin = end
+                out.append((names[done], (kept >= 0).sum(axis=1), kept[kept >= 0].astype(np.int32)))
                 ids, ranks, names, at, low = ids[~done], ranks[~done], names[~done], at[~done], low[~done]
                 row = np.arange(len(ids))
                 if not len(ids):
@@ -154,9 +168,6 @@ class Vocabulary:
                 order[at] = ranks.get((parts[at], parts[at + 1]), none)
         return [self.ids[p] for p in parts]
 
-    def decoded(self, ids: Iterable[int]) -> bytes:
-        return b"".join([self.bytes[i] for i in ids])
-
 
 def _shown_bytes() -> dict[str, int]:
     """Character -> byte: printable Latin-1 stands for itself, the other bytes follow from 256 on."""
@@ -235,8 +246,12 @@ class Lexicon:
             at += 8 * n
 
     def find(self, words: list[bytes]) -> list[np.ndarray | None]:
-        """Ids of each word, None for those the lexicon lacks; all words take each step together."""
-        found: list[np.ndarray | None] = [None] * len(words)
+        """Ids of each word, None for those the lexicon lacks."""
+        return [None if n < 0 else self.ids[self.starts[n]:self.starts[n + 1]] for n in self.numbers_of(words).tolist()]
+
+    def numbers_of(self, words: list[bytes]) -> np.ndarray:
+        """The place of each word in the list of ids, -1 for those the lexicon lacks; all words take each step together."""
+        found = np.full(len(words), -1, np.int64)
         if not words or not len(self.keys):
             return found
         lengths = np.array([len(w) for w in words])
@@ -247,8 +262,8 @@ class Lexicon:
         for step in range(int(lengths.max()) + 1):
             here = lengths[live] == step
             over = live[here]
-            for w in over[self.final[state[over]] == 1]:
-                found[w] = self.ids[self.starts[number[w]]:self.starts[number[w] + 1]]
+            over = over[self.final[state[over]] == 1]
+            found[over] = number[over]
             live = live[~here]
             if not len(live):
                 break
@@ -268,79 +283,159 @@ def word_counts(docs: DataFrame, vocabulary: str, text_col: str = "text") -> Dat
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Splitter(special)
-        pieces: Counter = Counter()
-        spaced: Counter = Counter()  # chunks that stand behind a space
-
-        def counted() -> pa.RecordBatch:
-            for chunk, n in spaced.items():
-                for word in own.behind_space(chunk):
-                    pieces[word] += n
-            out = pa.record_batch({"word": pa.array(list(pieces), pa.string()), "n": pa.array(list(pieces.values()), pa.int64())})
+        spaced: list[pa.Table] = []  # chunks that stand behind a space, and how often
+        pieces: Counter = Counter()  # of the other parts of texts
+        held = 0
+
+        def summed(tables: list[pa.Table]) -> pa.Table:
+            return pa.concat_tables(tables).group_by("values").aggregate([("counts", "sum")]).rename_columns(["values", "counts"])
+
+        def counted() -> Iterator[pa.RecordBatch]:
+            words = [pa.table({"values": pa.array(list(pieces), pa.string()), "counts": pa.array(list(pieces.values()), pa.int64())})]
+            if spaced:
+                chunks = summed(spaced).combine_chunks()
+                found, sizes = own.pieces(_flat(chunks["values"]))
+                words.append(pa.table({"values": found, "counts": np.repeat(chunks["counts"].to_numpy(), sizes)}))
             pieces.clear()
             spaced.clear()
-            return out
+            yield from summed(words).rename_columns(["word", "n"]).to_batches(1 << 16)
 
         for batch in batches:
-            for text in batch.column(0):
-                text = text.as_py()
-                chunks = own.chunks(text)
-                if chunks is None:
-                    pieces.update(own.words(text))
-                else:
-                    pieces.update(own.words(chunks[0]))
-                    spaced.update(chunks[1:])
-                if len(pieces) + len(spaced) > _COUNTED:
-                    yield counted()
-        yield counted()
+            for texts in _slices(batch.column(0)):
+                lists, chunks, rest = own.cut_texts(texts)
+                first = lists.offsets.to_numpy()[:-1]
+                pieces.update(w for t in rest for w in own.words(t))
+                pieces.update(w for head in chunks.take(pa.array(first)).to_pylist() for w in own.words(head))
+                behind = np.ones(len(chunks), bool)
+                behind[first] = False
+                spaced.append(pa.Table.from_struct_array(chunks.filter(pa.array(behind)).value_counts()))
+                held += len(spaced[-1])
+                if held > _COUNTED:
+                    spaced[:] = [summed(spaced)]
+                    held = len(spaced[0])
+                if held + len(pieces) > _COUNTED:
+                    yield from counted()
+                    held = 0
+        yield from counted()
 
     return docs.select(text_of(text_col).alias("text")).mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def build_lexicon(docs: DataFrame, vocabulary: str, words: int = LEXICON_WORDS, text_col: str = "text") -> bytes:
-    """The packed transducer of the ``words`` most frequent words; its size is bounded by that number."""
-    top = word_counts(docs, vocabulary, text_col).filter("n > 1").orderBy(F.desc("n"), "word").limit(words)
+    """The packed transducer of the most frequent words, as many as ``words`` at most: all that occur more often than some
+    number of times. That number comes from how many words occur once, twice and so on, so no task orders words."""
+    spark = docs.sparkSession
+    folder = shared_folder(spark)
+    counts = stored(word_counts(docs, vocabulary, text_col), folder, "words")
+    least, kept = None, 0
+    for n, alike in sorted(map(tuple, counts.filter("n > 1").groupBy("n").count().collect()), reverse=True):
+        if kept + alike > words:
+            break
+        least, kept = n, kept + alike
     own = Vocabulary(vocabulary)
-    entries = {row.word.encode(): own.merged(row.word) for row in top.select("word").toLocalIterator()}
-    return packed(compile_lexicon(entries))
+    top = counts.filter(F.col("n") >= least).select("word").toArrow()["word"].to_pylist() if least else []
+    discard(spark, folder, "words")
+    return packed(compile_lexicon({w.encode(): own.merged(w) for w in top}))
+
+
+def _slices(texts: pa.Array) -> Iterator[pa.Array]:
+    """Parts of about ``_CHUNK`` bytes of text."""
+    step = max(1, _CHUNK // (texts.nbytes // max(len(texts), 1) + 1))
+    for start in range(0, len(texts), step):
+        yield texts.slice(start, step)
+
+
+def _flat(column: pa.ChunkedArray | pa.Array) -> pa.Array:
+    return pa.concat_arrays(column.chunks) if isinstance(column, pa.ChunkedArray) else column
+
+
+def _spread(starts: np.ndarray, sizes: np.ndarray, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the members of lists ``index`` laid end to end, a list being ``sizes`` members from ``starts`` on, and where
+    each of them ends."""
+    lengths = sizes[index]
+    ends = np.cumsum(lengths)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts[index] - ends + lengths, lengths), ends
 
 
 class Encoder:
+    """Texts are lists of chunks, chunks of pieces, pieces of ids: each different one of a batch is looked up once, and
+    lists are put together by gathering numbers."""
+
     def __init__(self, vocabulary: str, lexicon: bytes):
         self.vocabulary = Vocabulary(vocabulary)
         self.splitter = Splitter(self.vocabulary.special)
         self.lexicon = Lexicon(lexicon)
-        self.words: dict[str, tuple[bytes, bytes]] = {}  # word -> its ids as int32, what they decode to
-        self.spaced: dict[str, tuple[bytes, bytes]] = {}  # chunk -> the same for it and the space before it
+        known = self.vocabulary.bytes
+        self.bytes = pa.array([known.get(i) for i in range(max(known, default=-1) + 1)], pa.binary())
+
+    def _coded(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Where the ids of each word begin, how many it has, and all ids."""
+        vocabulary, lexicon = self.vocabulary, self.lexicon
+        raw = [w.encode() for w in words]
+        number = lexicon.numbers_of(raw)
+        starts, sizes = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+        there = number >= 0
+        starts[there] = lexicon.starts[number[there]]
+        sizes[there] = lexicon.starts[number[there] + 1] - starts[there]
+        ids = [lexicon.ids.astype(np.int32)]
+        size = len(ids[0])
+        rest = np.flatnonzero(~there).tolist()
+        short = [i for i in rest if len(raw[i]) <= _SHORT and words[i] not in vocabulary.special]
+        names, lengths, merged = vocabulary.merged_together([raw[i] for i in short])
+        at = np.array(short, np.int64)[names]
+        sizes[at] = lengths
+        starts[at] = size + np.cumsum(lengths) - lengths
+        ids.append(merged)
+        size += len(merged)
+        for i in set(rest).difference(short):
+            ids.append(np.array(vocabulary.merged(words[i]), np.int32))
+            starts[i], sizes[i] = size, len(ids[-1])
+            size += len(ids[-1])
+        return starts, sizes, np.concatenate(ids)
+
+    def encode(self, texts: pa.Array) -> tuple[pa.Array, pa.Array]:
+        """Lists of ids and decoded texts."""
+        own = self.splitter
+        slow = own.runs(texts)
+        lists, chunks, rest = own.cut_texts(texts)
+        offsets = lists.offsets.to_numpy().astype(np.int64)
+        named, first = chunks.dictionary_encode(), chunks.take(pa.array(offsets[:-1])).dictionary_encode()
+        behind, behind_sizes = own.pieces(named.dictionary)
+        cut = [own.words(t) for t in (*first.dictionary.to_pylist(), *rest)]
+        pieces = pa.concat_arrays([behind, pa.array([w for some in cut for w in some], pa.string())]).dictionary_encode()
+        piece_sizes = np.concatenate([behind_sizes, np.array([len(some) for some in cut], np.int64)])
+        piece_starts = np.cumsum(piece_sizes) - piece_sizes
+        # texts as numbers of chunks: those behind a space, then first ones, then whole texts
+        index = named.indices.to_numpy().astype(np.int64)
+        index[offsets[:-1]] = first.indices.to_numpy() + len(behind_sizes)
+        ends = np.empty(len(texts) + 1, np.int64)
+        ends[0] = 0
+        counts = np.ones(len(texts), np.int64)
+        counts[~slow] = np.diff(offsets)
+        np.cumsum(counts, out=ends[1:])
+        whole = np.empty(ends[-1], np.int64)
+        of_slow = np.repeat(slow, counts)
+        whole[~of_slow] = index
+        whole[of_slow] = np.arange(len(rest)) + len(piece_sizes) - len(rest)
+        at, chunk_ends = _spread(piece_starts, piece_sizes, whole)
+        text_pieces = pieces.indices.to_numpy().astype(np.int64)[at]
+        starts, sizes, ids = self._coded(pieces.dictionary.to_pylist())
+        at, piece_ends = _spread(starts, sizes, text_pieces)
+        flat = pa.array(ids[at])
+        # where texts end, in chunks, then in pieces, then in ids
+        bounds = np.concatenate([[0], chunk_ends])[ends]
+        bounds = pa.array(np.concatenate([[0], piece_ends])[bounds].astype(np.int32))
+        decoded = pc.binary_join(pa.ListArray.from_arrays(bounds, self.bytes.take(flat)), pa.scalar(b""))
+        try:
+            decoded = decoded.cast(pa.string())
+        except pa.ArrowInvalid:  # ids whose bytes are no text
+            decoded = pa.array([d.decode("utf-8", "replace") for d in decoded.to_pylist()], pa.string())
+        return pa.ListArray.from_arrays(bounds, flat), decoded
 
     def __call__(self, texts: list[str]) -> list[tuple[bytes, str]]:
         """(ids as int32, decoded text) of each text."""
-        own, vocabulary = self.splitter, self.vocabulary
-        if len(self.words) + len(self.spaced) > _MEMO:
-            self.words.clear()
-            self.spaced.clear()
-        words, spaced = self.words, self.spaced
-        split = [own.chunks(t) for t in texts]
-        heads = [own.words(t if c is None else c[0]) for t, c in zip(texts, split)]
-        tails = [c[1:] if c else [] for c in split]
-        new = {c: own.behind_space(c) for c in {c for tail in tails for c in tail} if c not in spaced}
-        unseen = [w for w in {w for some in (*heads, *new.values()) for w in some} if w not in words]
-        raw = [w.encode() for w in unseen]
-        coded = [None if ids is None else ids.astype(np.int32).tobytes() for ids in self.lexicon.find(raw)]
-        rest = [i for i, ids in enumerate(coded) if ids is None and len(raw[i]) <= _SHORT and unseen[i] not in own.special]
-        for i, ids in zip(rest, vocabulary.merged_together([raw[i] for i in rest])):
-            coded[i] = ids
-        for word, ids in zip(unseen, coded):
-            if ids is None:
-                ids = np.array(vocabulary.merged(word), np.int32).tobytes()
-            words[word] = ids, vocabulary.decoded(array("i", ids))
-        for chunk, some in new.items():
-            pairs = [words[w] for w in some]
-            spaced[chunk] = b"".join([a for a, _ in pairs]), b"".join([b for _, b in pairs])
-        out = []
-        for head, tail in zip(heads, tails):
-            pairs = [words[w] for w in head] + [spaced[c] for c in tail]
-            out.append((b"".join([a for a, _ in pairs]), b"".join([b for _, b in pairs]).decode("utf-8", "replace")))
-        return out
+        ids, decoded = self.encode(pa.array(texts, pa.string()))
+        return [(np.array(i, np.int32).tobytes(), d) for i, d in zip(ids.to_pylist(), decoded.to_pylist())]
 
 
 def encode_decode(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_id", text_col: str = "text",
@@ -360,18 +455,11 @@ def encode_decode(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_id",
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(*shared.value)
         for batch in batches:
-            start = 0
-            sizes = batch.column(1).nbytes // max(batch.num_rows, 1) + 1
-            step = max(1, _CHUNK // sizes)
-            while start < batch.num_rows:
-                part = batch.slice(start, step)
-                start += step
-                made = encoder(part.column(1).to_pylist())
-                ends = np.cumsum([0, *[len(a) // 4 for a, _ in made]]).astype(np.int32)
-                flat = pa.array(np.frombuffer(b"".join([a for a, _ in made]), np.int32))
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.ListArray.from_arrays(pa.array(ends), flat), pa.array([b for _, b in made], pa.string())],
-                    ["id", "ids", "decoded"])
+            at = 0
+            for texts in _slices(batch.column(1)):
+                ids, decoded = encoder.encode(texts)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(texts)), ids, decoded], ["id", "ids", "decoded"])
+                at += len(texts)
 
     kind = rows.schema["id"].dataType.simpleString()
     return rows.mapInArrow(encode, f"id {kind}, ids array<int>, decoded string")
