@@ -50,6 +50,16 @@ def _window(start: Column, span: int) -> Column:
     return F.array_join(F.slice("words", start + 1, F.lit(span)), " ")
 
 
+def _dealt(codes: Column) -> Column:
+    """Codes dealt by remainder over as many lists as each then has members, about, so that one is found in a short list."""
+    lists = F.ceil(F.sqrt(F.size(codes))).cast("bigint")
+    return F.transform(F.sequence(F.lit(0).cast("bigint"), lists - 1), lambda b: F.filter(codes, lambda c: F.pmod(c, lists) == b))
+
+
+def _dealt_has(dealt: Column, code: Column) -> Column:
+    return F.array_contains(F.get(dealt, F.pmod(code, F.size(dealt).cast("bigint")).cast("int")), code)
+
+
 def _occurrences(docs: DataFrame, items: DataFrame, prints: DataFrame, span: int, folder: str) -> DataFrame:
     """(id, key, start, span, window) of every item window of ``span`` words in the documents."""
     k, w = _shape(span)
@@ -59,24 +69,26 @@ def _occurrences(docs: DataFrame, items: DataFrame, prints: DataFrame, span: int
     hits = (
         prints.select(F.col("id").alias("of_id"), F.col("key").alias("of_key"), F.explode(f"low{span}").alias("low"))
         .join(item_prints, "low").groupBy("of_id", "of_key").agg(F.collect_set("low").alias("lows"))
+        .select("of_id", "of_key", _dealt(F.col("lows")).alias("lows"))
     )
     # a hit's windows: those that start at most span - k words before it and lie inside the document
     first = F.when(F.size("words") >= k, F.sequence(F.lit(0), F.greatest(F.size("words") - k, F.lit(0))))
-    places = F.filter(first, lambda i: F.array_contains("lows", F.xxhash64(*[F.get("words", i + j) for j in range(k)])))
+    places = F.filter(first, lambda i: _dealt_has(F.col("lows"), F.xxhash64(*[F.get("words", i + j) for j in range(k)])))
     starts = F.array_distinct(F.flatten(F.transform(places, lambda i: F.sequence(
         F.greatest(i - (span - k), F.lit(0)), F.least(i, F.size("words") - span)))))
     near = (
         docs.join(hits, (F.col("key") == F.col("of_key")) & F.col("id").eqNullSafe(F.col("of_id")))
         .select("id", "key", words(F.col("text")).alias("words"), "lows")
-        .select("id", "key", "words", F.explode(starts).alias("start"))
-        .select("id", "key", "start", F.lit(span).alias("span"), _window(F.col("start"), span).alias("window"))
+        # windows leave the row, not the words with each of them
+        .select("id", "key", F.explode(F.transform(starts, lambda s: F.struct(s.alias("start"), _window(s, span).alias("window")))).alias("w"))
+        .select("id", "key", "w.start", F.lit(span).alias("span"), "w.window")
     )
     return near.join(small(windows, 16 + 16 * span), "window", "left_semi").distinct()
 
 
 def _item_windows(items: DataFrame, span: int) -> DataFrame:
     at = F.sequence(F.lit(0), F.size("words") - span)
-    return items.select("item", "words", F.explode(at).alias("start")).select("item", _window(F.col("start"), span).alias("window"))
+    return items.select("item", F.explode(F.transform(at, lambda s: _window(s, span))).alias("window"))
 
 
 def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",

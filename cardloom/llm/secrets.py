@@ -43,6 +43,7 @@ RULES = (
     Rule("hex", 1, r"(?<![0-9a-f])[0-9a-f]{32,}"),
 )
 _FOUND = "array<struct<start:int,rank:int,label:string,end:int>>"
+_FOLDED = 256
 _LEDGER = f"blob binary, tried array<string>, found {_FOUND}"
 
 
@@ -64,9 +65,19 @@ def _spans(text: Column, rule: Rule, rank: int) -> Column:
         kept = F.length(x["part"]) >= rule.chars
         return F.struct(end.alias("at"), F.when(kept, F.concat(state["spans"], F.array(span))).otherwise(state["spans"]).alias("spans"))
 
-    # the piece behind the last match has none and is left out
-    found = F.aggregate(F.slice(parts, F.lit(1), F.size(between) - 1), start, step)["spans"]
-    return F.when(text.rlike(rule.pattern), found).otherwise(start["spans"])
+    def found(matches: Column) -> Column:
+        """A fold copies what it has at every step, so inner folds begin anew every ``_FOLDED`` matches."""
+        firsts = F.sequence(F.lit(1), F.greatest(F.size(matches), F.lit(1)), F.lit(_FOLDED))
+
+        def inner(state: Column, first: Column) -> Column:
+            some = F.aggregate(F.slice(matches, first, F.lit(_FOLDED)), F.struct(state["at"].alias("at"), start["spans"].alias("spans")), step)
+            return F.transform(F.array(some), lambda s: F.struct(s["at"].alias("at"), F.concat(state["spans"], s["spans"]).alias("spans")))[0]
+
+        return F.aggregate(firsts, start, inner)["spans"]
+
+    # the piece behind the last match has none and is left out; the matches are found once, not once a fold
+    matches = F.slice(parts, F.lit(1), F.size(between) - 1)
+    return F.when(text.rlike(rule.pattern), F.transform(F.array(matches), found)[0]).otherwise(start["spans"])
 
 
 def scan(versions: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULES, path_col: str = "doc_id",

@@ -134,6 +134,22 @@ def test_bpe_query(run, documents):
     assert run("op7_bpe", "doc_id", "n_tokens", "ids_sha256", "decoded_sha256") == want
 
 
+def test_bpe_random_texts():
+    """Any mixture of white space, letters, marks, digits and special strings, in batches of several texts."""
+    rng = random.Random(11)
+    bits = [" ", "  ", "\t", "\n", "\r\n", "\u00a0", "\u2003", "\u200b", "\x1c", "\x85", "the", "The", "'s", "don't", "12", "3.5", "é", "e\u0301", "日本", "😀", "👩\u200d👧",
+            "<|endoftext|>", "<|", "Ġ", "_", "-", "\x00", "ß", "\ufeff", "a" * 40, "qzx"]
+    texts = ["".join(rng.choice(bits) for _ in range(rng.randrange(30))) for _ in range(600)] + ["", " ", "x"]
+    own = library()
+    with open(VOCABULARY, encoding="utf-8") as file:
+        encoder = bpe.Encoder(file.read(), bpe.packed(bpe.compile_lexicon({b" the": [262], b"x": [87]})))
+    for size in (1, 7, 603):
+        got = [x for i in range(0, len(texts), size) for x in encoder(texts[i:i + size])]
+        want = [own.encode(t, add_special_tokens=False).ids for t in texts]
+        assert [np.frombuffer(ids, np.int32).tolist() for ids, _ in got] == want
+        assert [d for _, d in got] == [own.decode(ids, skip_special_tokens=False) for ids in want]
+
+
 @pytest.mark.parametrize("lexicon", [0, 5, 1 << 17])
 def test_bpe_hard_texts(make, lexicon):
     t, rows = library(), [*enumerate(HARD), (None, "no id"), (3, "again"), (3, "again")]
@@ -258,3 +274,36 @@ def test_state_is_carried_across_windows():
             total += net.likelihood(h, np.array([word]))[0]
             before = word
         assert abs(total - value) < 1e-3 * max(1, abs(total))
+
+
+def test_many_findings_in_one_text(spark, tmp_path):
+    """Time grows about as the findings, and offsets stay right behind the first fold."""
+    import time
+
+    def seconds(n, name):
+        one = "token=abcdefgh12 é "
+        frame = spark.createDataFrame([(1, one * n)], "doc_id long, text string")
+        start = time.perf_counter()
+        spans = secrets.scan(frame, f"{tmp_path}/{name}").collect()[0].spans
+        assert len(spans) == n and all((s.start, s.end) == (i * len(one), i * len(one) + 16) for i, s in enumerate(spans))
+        return time.perf_counter() - start
+
+    seconds(100, "warm")
+    few, many = seconds(4000, "few"), seconds(32000, "many")
+    assert many < 8 * max(few, 2)
+
+
+def test_item_inside_a_long_document(spark):
+    import time
+
+    def seconds(n):
+        frame = spark.createDataFrame([(1, " ".join(f"w{i}" for i in range(n)))], "doc_id long, text string")
+        items = spark.createDataFrame([(9, " ".join(f"w{i}" for i in range(n)))], "item_id long, text string")
+        start = time.perf_counter()
+        r = decontaminate.contamination(frame, items).collect()[0]
+        assert (r.n_hit, r["items"]) == (n, ["9"])
+        return time.perf_counter() - start
+
+    seconds(100)
+    few, many = seconds(4000), seconds(32000)
+    assert many < 8 * max(few, 3)
