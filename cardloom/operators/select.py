@@ -29,7 +29,6 @@ _SIMPLE = re.compile(
 _GAP = re.compile(r"\s*(>)\s*|\s+")
 
 
-@lru_cache(maxsize=None)
 def selector(css: str) -> tuple:
     """Selector text -> alternatives, each a chain of (link to the left, conditions)."""
     chains, chain, conditions, link, at = [], [], [], " ", 0
@@ -59,6 +58,10 @@ def selector(css: str) -> tuple:
     return tuple(chains)
 
 
+#: For expressions, which name a selector many times. Workers use the function itself: a cache does not travel.
+_selector = lru_cache(maxsize=None)(selector)
+
+
 def _condition(m: re.Match) -> tuple:
     plain = lambda s: re.sub(r"\\(.)", r"\1", s)
     if m["tag"]:
@@ -132,7 +135,7 @@ def matcher(css: str) -> Callable[[str, str], str]:
     if used is not None:
         used.add(css)
         return lambda node, nodes: f"array_contains({node}.marks, {number(css)})"
-    chains = selector(css)
+    chains = _selector(css)
 
     def test(node: str, nodes: str) -> str:
         return "(" + " OR ".join(f"({_chain_holds(node, nodes, c)})" for c in chains) + ")"
