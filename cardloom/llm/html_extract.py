@@ -57,10 +57,17 @@ _SKIPPED_ROLES = frozenset("navigation banner contentinfo complementary search f
 _SKIPPED_NAMES = frozenset(
     "ad ads adv advert adverts advertisement advertisements advertising sponsor sponsored promo promotion banner nav navbar "
     "navigation menu menus topbar masthead footer sidebar aside widget widgets cookie cookies consent gdpr notice notices alert "
-    "alerts popup modal overlay comment comments reply replies respond disqus discussion share sharing social related "
+    "alerts popup modal overlay comment comments reply replies respond disqus share social related "
     "recommended breadcrumb breadcrumbs pagination pager subscribe subscription newsletter signup login search toolbar skip "
     "hidden".split())
+#: Words that stand beside those and say nothing themselves.
+_BOXES = frozenset(
+    "site page main global header head body content contents area bar box block button buttons card cards column container entry "
+    "form frame group holder home icon icons inner item items left link links list main media module outer panel post posts articles "
+    "stories region right row section slot space stack strip tab tabs tag tags text thread title tools top bottom unit view wrap "
+    "wrapper primary secondary sub mobile desktop sticky fixed dismissible message js wp id div el x s m l xl sm md lg".split())
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+_TEXT_BLOCKS = _HEADINGS | frozenset("p blockquote pre li dt dd td th caption figure table".split())
 _NO_MENU = _INLINE | _HEADINGS | frozenset("table thead tbody tfoot tr td th figure blockquote".split())  # links in these are content
 _SKIPPED_ARTICLES = frozenset("ad advert comment promo related reply sponsored teaser".split())
 _KEPT = frozenset("html body main article".split())  # names on these say nothing about what they hold
@@ -172,12 +179,21 @@ def _named(tag: str, written: str) -> tuple[str, bool]:
         return f"{tag}.{kind}", True
     if tag in _KEPT or role == "main":
         return "main" if role == "main" else tag, hidden
-    words = {w.lower() for c in classes for w in _WORD.findall(c)}
-    skipped = hidden or tag in _SKIPPED or role in _SKIPPED_ROLES or bool(words & _SKIPPED_NAMES)
+    telling = classes
+    if tag in _TEXT_BLOCKS:  # ids of these are made from what they say
+        telling = [] if tag in _HEADINGS else attributes.get("class", "").split()
+    skipped = hidden or tag in _SKIPPED or role in _SKIPPED_ROLES or any(map(_tells, telling))
     stable = next((c for c in classes if _STABLE.fullmatch(c)), "")
     return (f"{tag}.{stable}" if stable and tag not in _INLINE else tag), skipped
 
 
+def _tells(name: str) -> bool:
+    """Whether a class or id names a kind that is never main text: by such a word, and beside it only words for boxes
+    and places. ``cookie-banner`` and ``related-posts`` do, ``notice-period`` and ``related-work`` do not."""
+    words = [w.lower() for w in _WORD.findall(name)]
+    return any(w in _SKIPPED_NAMES for w in words) and all(w in _SKIPPED_NAMES or w in _BOXES for w in words)
+
+
 # -- wrappers -----------------------------------------------------------------------------------------------
 # A node is [name, optional, repeated, skipped, children]; a text slot is named "#", a group of neighbours "(".
 
@@ -368,10 +384,13 @@ def _template(flat: list[tuple], main: set[str], stats: dict[str, tuple]) -> dic
     up: dict[str, str] = {}  # places inside the regions, parents first
     name: dict[str, str] = {}
     menus: set[str] = set()
+    beside: dict[str, list[str]] = {}  # place -> what stands in it, in order
     for node, path, above, skipped in flat:
         parent = flat[above][1] if above >= 0 else ""
         if skipped or path not in main and parent not in up:
             continue
+        if node[0] != "(":
+            beside.setdefault(parent, []).append(path)
         if node[0] == "(":
             menus |= {_path(path, n[0]) for n in node[4]}
             continue
@@ -393,7 +412,7 @@ def _template(flat: list[tuple], main: set[str], stats: dict[str, tuple]) -> dic
             continue
         if p in menus and name[p] not in _NO_MENU and total[p] and linked[p] >= _LINKED * total[p]:
             skip.add(p)
-        elif flow[p] and not moving[p]:
+        elif flow[p] and not moving[p] and not (name[p] in _HEADINGS and _heads(p, beside.get(up[p], []), name, varied)):
             (mute if varied[p] else skip).add(p)
     gone: set[str] = set()
     for p in up:
@@ -406,6 +425,17 @@ def _template(flat: list[tuple], main: set[str], stats: dict[str, tuple]) -> dic
     return {"skip": sorted(skip), "mute": sorted(mute)}
 
 
+def _heads(heading: str, siblings: list[str], name: dict[str, str], varied: dict[str, int]) -> bool:
+    """Whether varying text follows a heading before the next one: then it is no template, however often it repeats."""
+    open_now = False
+    for p in siblings:
+        if name.get(p) in _HEADINGS:
+            open_now = p == heading
+        elif open_now and varied.get(p):
+            return True
+    return False
+
+
 def _ancestors(flat: list[tuple], i: int) -> Iterator[int]:
     while (i := flat[i][2]) >= 0:
         yield i

@@ -140,3 +140,31 @@ def test_nothing_else_imports_the_subpackage():
 
     root = Path(h.__file__).resolve().parents[1]
     assert not [f for f in root.rglob("*.py") if root / "llm" not in f.parents and "cardloom.llm" in f.read_text()]
+
+
+@pytest.mark.parametrize("kept", [
+    '<h2 id="related-work">Related work</h2>', '<h2 id="discussion">Discussion</h2>', '<section class="discussion"><p>We discuss.</p></section>',
+    '<h2 id="search-results">Search results</h2>', '<p class="notice-period">Two months.</p>', '<p id="share-of-votes">A third.</p>',
+    '<p class="ad-hoc">Made for it.</p>', '<p class="sharing">Sharing is good.</p>', '<div class="alert-levels">Level one.</div>',
+    '<table class="menu-of-the-day"><tr><td>Soup</td></tr></table>', '<h3 class="comments">Comments of the author</h3>'])
+def test_names_inside_words_do_not_drop_text(spark, kept):
+    body = "<article><h1>T {i}</h1><p>Text number {i} of this page.</p>" + kept.replace("</", " {i}</", 1) + "</article>"
+    frame = spark.createDataFrame([(i, f"http://h.example/{i}", body.format(i=i)) for i in range(5)], "page_id long, url string, html string")
+    wanted = re.sub("<[^>]+>", " ", kept).split()
+    for r in h.main_texts(frame).collect():
+        assert set(wanted) <= set(r.text.split())
+
+
+@pytest.mark.parametrize("name", ["ad", "ads-container", "cookie-banner", "related-posts", "share-buttons", "comments-area", "site-footer", "navBar", "newsletter_box"])
+def test_compound_names_still_drop_blocks(spark, name):
+    body = f'<article><h1>T</h1><p>Text.</p><div class="{name}">away away</div><div id="{name}">away too</div></article>'
+    frame = spark.createDataFrame([(1, "http://h.example/1", body)], "page_id long, url string, html string")
+    assert "away" not in h.main_texts(frame).first().text
+
+
+def test_headings_that_repeat_stay_with_their_text(spark):
+    body = ("<article><h1>T {i}</h1><h2>Summary</h2><p>Sum of {i}.</p><p>More {i}.</p><h2>Details</h2><p>Detail {i}.</p><p>Same on all pages.</p>"
+            "<h2>Follow us</h2><p>Same again.</p></article>")
+    frame = spark.createDataFrame([(i, f"http://h.example/{i}", body.format(i=i)) for i in range(5)], "page_id long, url string, html string")
+    for r in h.main_texts(frame).collect():
+        assert "Summary" in r.text and "Details" in r.text
