@@ -57,7 +57,7 @@ def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
 class WordCodes:
     """64-bit codes of words; each worker remembers those of the words it met last."""
 
-    KNOWN = 1 << 20
+    KNOWN = 1 << 18
 
     def __init__(self):
         self.words: dict[bytes, int] = {}

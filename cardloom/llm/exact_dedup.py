@@ -13,7 +13,7 @@ two texts ever share a digest, the rows are joined by digest and full text inste
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from cardloom.llm.common import ascii_lower, shared_folder, stored, text_of
 
@@ -47,7 +47,23 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns; of rows that repeat an id and a text, all."""
-    gone = exact_groups(docs, id_col, text_col).filter("not kept").select("id", F.col("text_sha256").alias("sha")).distinct()
+    """The rows of ``docs`` that stay, with all their columns; of rows that repeat an id and a text, one."""
+    folder = shared_folder(docs.sparkSession)
+    judged = stored(exact_groups(docs, id_col, text_col).select("id", "kept", F.col("text_sha256").alias("sha")), folder, "judged")
+    gone = judged.filter("not kept").distinct()
     sha = F.sha2(ascii_lower(text_of(text_col)), 256)
-    return docs.join(gone, F.col(f"`{id_col}`").eqNullSafe(gone["id"]) & (sha == gone["sha"]), "left_anti")
+    left = docs.join(gone, F.col(f"`{id_col}`").eqNullSafe(gone["id"]) & (sha == gone["sha"]), "left_anti")
+    return one_of_repeated(left, judged.filter("kept"), F.col(f"`{id_col}`"), sha, id_col)
+
+
+def one_of_repeated(rows: DataFrame, judged: DataFrame, id_of: Column, name_of: Column, id_col: str) -> DataFrame:
+    """``rows`` with one of those that share an id and the name of their text. ``judged`` has (id, sha) of all of them, so that
+    only repeated rows, if there are any, are moved."""
+    repeated = judged.groupBy(F.col("id").alias("_id"), F.col("sha").alias("_sha")).count().filter("count > 1").drop("count")
+    if repeated.isEmpty():
+        return rows
+    on = id_of.eqNullSafe(F.col("_id")) & (name_of == F.col("_sha"))
+    own = [c for c in rows.columns if c != id_col]
+    again = rows.join(repeated, on).groupBy("_id", "_sha").agg(F.first(F.struct(*[F.col(f"`{c}`") for c in own])).alias("_row"))
+    again = again.select(*[F.col("_id").alias(c) if c == id_col else F.col("_row")[c].alias(c) for c in rows.columns])
+    return rows.join(repeated, on, "left_anti").unionByName(again)

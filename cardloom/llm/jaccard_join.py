@@ -20,7 +20,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from cardloom.llm.common import WordCodes, ascii_lower, discard, join_rows, keyed, mixed, shared_folder, small, stored
+from cardloom.llm.common import WordCodes, ascii_lower, discard, join_rows, keyed, mixed, shared_folder, small, stored, text_of
+from cardloom.llm.exact_dedup import one_of_repeated
 
 SHINGLE = 3
 PERCENT = 90
@@ -255,8 +256,11 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def drop_near_copies(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
     """One document of each component stays, that of the smallest id, with all its columns; rows without an id stay,
-    and rows that repeat the smallest id stay together."""
-    found = near_components(docs, shingle=shingle, percent=percent).filter("id <> component_id").select(
-        F.col("id").alias("of_id"), F.col("key").alias("of_key")).distinct()
-    key = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
-    return docs.join(found, (key == found["of_key"]) & (F.col("doc_id") == found["of_id"]), "left_anti")
+    and of rows that repeat an id and a text one."""
+    folder = shared_folder(docs.sparkSession)
+    judged = stored(near_components(docs, shingle=shingle, percent=percent).select("id", F.col("key").alias("sha"), "component_id"), folder, "judged")
+    gone = judged.filter("id <> component_id").select("id", "sha").distinct()
+    key = F.xxhash64(text_of("text"))
+    left = docs.join(gone, (key == gone["sha"]) & (F.col("doc_id") == gone["id"]), "left_anti")
+    kept = judged.filter("component_id IS NULL OR id IS NULL OR id = component_id")
+    return one_of_repeated(left, kept, F.col("doc_id"), key, "doc_id")

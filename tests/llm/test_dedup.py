@@ -117,3 +117,17 @@ def test_jaccard_odd_rows(make, odd):
     stay = jaccard_join.drop_near_copies(make([*odd, (None, "one"), (None, None), (4, "Same text Here")]))
     left = {d for d, x in plain.linked(odd, 5, 80).items() if x[1] == d}
     assert sorted((r.doc_id or 0 for r in stay.collect())) == sorted([*left, 0, 0, 4])
+
+
+def test_stages_keep_one_of_repeated_rows(make):
+    """Rows that repeat id and text, and rows without an id, in both stages of the pipeline."""
+    text = "a b c d e f g h i j k l m n o p q r s t"
+    rows = [(1, text), (1, text), (2, text), (2, text), (2, text), (3, "other"), (3, "other"), (3, "third"), (None, "x"), (None, "x"), (None, "y"), (5, None), (5, "")]
+    ids = lambda frame: sorted(((r.doc_id, r.text or "") for r in frame.collect()), key=str)
+    want = sorted([(2, text), (3, "other"), (3, "third"), (None, "x"), (None, "y"), (5, "")], key=str)
+    exact = exact_dedup.drop_copies(make(rows))
+    assert ids(exact) == want and exact.columns == make(rows).columns
+    near = jaccard_join.drop_near_copies(make(rows))
+    assert ids(near) == sorted([(1, text), *[w for w in want if w[1] != text]], key=str)
+    assert near.columns == make(rows).columns
+    assert exact_dedup.drop_copies(make([(7, "z"), (8, "w")])).count() == jaccard_join.drop_near_copies(make([(7, "z"), (8, "w")])).count() == 2
