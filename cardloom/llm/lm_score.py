@@ -19,6 +19,7 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from cardloom.llm.common import ascii_lower, shared_folder, stored, text_of
@@ -32,10 +33,11 @@ LANES = 512
 STRETCH = 1024
 ROUNDS = 2
 RATE = 0.01
-#: Words whose counts workers hold; counts of the others come from a join.
+#: Words, at most, whose counts workers hold; counts of the others come from a join.
 HEAD = 1 << 18
 _TOKENS = 3_000_000  # tokens packed into lanes at a time
-_BREAKS = r"[\x20\x09-\x0D]+"
+_CUT_BYTES = 4 << 20  # text cut into words at a time
+_COUNTED = 600_000  # words a task counts before it passes the counts on
 
 
 class Network:
@@ -97,40 +99,44 @@ class Network:
     def likelihood(self, hidden: np.ndarray, y: np.ndarray, back: Network | None = None):
         """Natural log-probabilities of ``y`` given rows of states; with ``back``, also the gradient of minus their sum
         by the states, while the gradients by the output parameters are added to ``back``."""
-        logits = hidden @ self.cls + self.cls_b
-        logits -= logits.max(axis=1, keepdims=True)
-        odds = np.exp(logits)
-        total = odds.sum(axis=1, keepdims=True)
+        # one column a token: sums over classes and words then run along whole rows
+        across = np.ascontiguousarray(hidden.T)
+        odds = self.cls.T @ across + self.cls_b[:, None]
+        odds -= odds.max(axis=0)
         c = self.class_of(y)
         rows = np.arange(len(y))
-        logp = logits[rows, c] - np.log(total[:, 0])
+        logp = odds[c, rows]
+        np.exp(odds, out=odds)
+        total = odds.sum(axis=0)
+        logp -= np.log(total)
         if back is not None:
             odds /= total
-            odds[rows, c] -= 1
-            grad = odds @ self.cls.T
-            back.cls += hidden.T @ odds
-            back.cls_b += odds.sum(axis=0)
-        order = np.argsort(c, kind="stable")
-        edges = np.searchsorted(c[order], np.arange(self.classes - 1))
+            odds[c, rows] -= 1
+            grad = self.cls @ odds
+            back.cls += across @ odds.T
+            back.cls_b += odds.sum(axis=1)
+        order = np.argsort(c.astype(np.min_scalar_type(self.classes)), kind="stable")  # narrow numbers are sorted by digits
+        edges = np.concatenate([[0], np.cumsum(np.bincount(c, minlength=self.classes))])
         for k in range(self.classes - 2):
             some = order[edges[k]:edges[k + 1]]
             if not len(some):
                 continue
-            own = hidden[some]
-            inner = own @ self.out[k] + self.out_b[k]
-            inner -= inner.max(axis=1, keepdims=True)
-            p = np.exp(inner)
-            sums = p.sum(axis=1, keepdims=True)
+            own = across[:, some]
+            p = self.out[k].T @ own + self.out_b[k][:, None]
+            p -= p.max(axis=0)
             place = y[some] - k * CLASS_WORDS
             here = np.arange(len(some))
-            logp[some] += inner[here, place] - np.log(sums[:, 0])
+            said = p[place, here]
+            np.exp(p, out=p)
+            sums = p.sum(axis=0)
+            logp[some] += said - np.log(sums)
             if back is not None:
                 p /= sums
-                p[here, place] -= 1
-                grad[some] += p @ self.out[k].T
-                back.out[k] += own.T @ p
-                back.out_b[k] += p.sum(axis=0)
-        return logp if back is None else (logp, grad)
+                p[place, here] -= 1
+                grad[:, some] += self.out[k] @ p
+                back.out[k] += own @ p.T
+                back.out_b[k] += p.sum(axis=1)
+        return logp if back is None else (logp, grad.T)
 
     def backpropagate(self, x: np.ndarray, kept: list, grad: np.ndarray, back: Network) -> None:
         """Gradients by inputs and recurrent weights; ``grad`` is (steps, lanes, hidden). Ends at the window's edge."""
@@ -153,8 +159,10 @@ class Network:
             if fresh.any():
                 dh[fresh] = 0
         flat = x.ravel()
-        order = np.argsort(flat, kind="stable")
-        ids, first = np.unique(flat[order], return_index=True)
+        order = np.argsort(flat.astype(np.min_scalar_type(self.words + 4)), kind="stable")
+        given = flat[order]
+        first = np.flatnonzero(np.r_[True, given[1:] != given[:-1]])
+        ids = given[first]
         back.inp[ids] += np.add.reduceat(by_gate.reshape(-1, 3 * size)[order], first, axis=0)
 
 
@@ -255,18 +263,76 @@ def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).alias("id"), ascii_lower(text_of(text_col)).alias("text"), F.col("trains").alias("trains"))
 
 
-def _batched(batches: Iterator[pa.RecordBatch], at: int, place: dict[bytes, int], net: Network, note=None) -> Iterator[tuple]:
-    """(columns before the text, notes on the words, encoded texts) of a bounded number of tokens at a time; the
-    words themselves, many times as large, are not kept."""
+def _cut(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, pa.Array]]:
+    """(texts, where the words of each begin and end, all words) of a bounded amount of text at a time."""
+    step = max(1, _CUT_BYTES // (texts.nbytes // max(len(texts), 1) + 1))
+    for start in range(0, len(texts), step):
+        lists = pc.ascii_split_whitespace(texts.slice(start, step))
+        words, ends = lists.values, lists.offsets.to_numpy().astype(np.int64)
+        filled = pc.not_equal(words, "").to_numpy(zero_copy_only=False)  # beside white space at the ends of a text
+        yield len(lists), np.concatenate([[0], np.cumsum(filled)])[ends], words.filter(pa.array(filled))
+
+
+def _counted(learned: DataFrame) -> DataFrame:
+    """(word, c) over all texts; each task sums its words before the shuffle."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.Table] = []
+
+        def summed() -> pa.Table:
+            return pa.concat_tables(held).group_by("values").aggregate([("counts", "sum")]).rename_columns(["values", "counts"])
+
+        for batch in batches:
+            for _, _, words in _cut(batch.column(0)):
+                held.append(pa.Table.from_struct_array(words.value_counts()))
+                if sum(map(len, held)) > _COUNTED:
+                    held[:] = [summed()]
+                    if len(held[0]) > _COUNTED // 2:
+                        yield from held.pop().rename_columns(["word", "c"]).to_batches(1 << 16)
+        if held:
+            yield from summed().rename_columns(["word", "c"]).to_batches(1 << 16)
+
+    return learned.select("text").mapInArrow(count, "word string, c long").groupBy("word").agg(F.sum("c").alias("c"))
+
+
+def _most_frequent(counts: DataFrame, most: int) -> list[tuple[str, int]]:
+    """Words that occur more often than some number of times, ``most`` at most, the most frequent first. The number comes
+    from how many words occur once, twice and so on, so no task orders all words."""
+    least, kept = None, 0
+    for c, alike in sorted(map(tuple, counts.groupBy("c").count().collect()), reverse=True):
+        if kept + alike > most:
+            break
+        least, kept = c, kept + alike
+    if least is None:
+        return []
+    top = counts.filter(F.col("c") >= least).toArrow()
+    return sorted(zip(top["word"].to_pylist(), top["c"].to_pylist()), key=lambda r: (-r[1], r[0]))
+
+
+def _batched(batches: Iterator[pa.RecordBatch], at: int, place: dict[str, int], net: Network,
+             logs: dict[str, float] | None = None) -> Iterator[tuple]:
+    """(columns before the text, notes, encoded texts) of a bounded number of tokens at a time. With ``logs``, a note has
+    the log of each word, NaN for words that are not there, and those words. Each different word is looked up once."""
     head, notes, coded, size = [], [], [], 0
     for batch in batches:
         others = [c.to_pylist() for i, c in enumerate(batch.columns) if i != at]
-        for i, text in enumerate(batch.column(at)):
-            words = text.as_py().encode().split()
-            head.append([c[i] for c in others])
-            notes.append(note(words) if note else None)
-            coded.append(np.array([place.get(w, net.other) for w in words] + [net.end], np.int32))
-            size += len(words) + 1
+        row = 0
+        for n, ends, words in _cut(batch.column(at)):
+            named = words.dictionary_encode()
+            kinds, index = named.dictionary.to_pylist(), named.indices.to_numpy()
+            codes = np.fromiter(map(place.get, kinds, repeat(net.other)), np.int32, len(kinds))[index]
+            known = None if logs is None else np.fromiter(map(logs.get, kinds, repeat(np.nan)), np.float64, len(kinds))[index]
+            for i in range(n):
+                inside = slice(ends[i], ends[i + 1])
+                head.append([c[row + i] for c in others])
+                if logs is not None:
+                    log = known[inside]
+                    notes.append((log, [kinds[index[j]] for j in inside.start + np.flatnonzero(np.isnan(log))]))
+                else:
+                    notes.append(None)
+                coded.append(np.append(codes[inside], np.int32(net.end)))
+                size += inside.stop - inside.start + 1
+            row += n
             if size >= _TOKENS:
                 yield head, notes, coded
                 head, notes, coded, size = [], [], [], 0
@@ -308,12 +374,11 @@ def scores(docs: DataFrame, trains, id_col: str = "doc_id", text_col: str = "tex
     folder = shared_folder(spark)
     rows = _rows(docs.withColumn("trains", F.coalesce(trains, F.lit(False))), id_col, text_col)
     learned = rows.filter("trains")
-    tokens = learned.select(F.explode(F.split("text", _BREAKS)).alias("word")).filter("word <> ''")
-    counts = stored(tokens.groupBy("word").agg(F.count("*").alias("c")), folder, "counts")
+    counts = stored(_counted(learned), folder, "counts")
     ends = learned.count()
     n_words, kinds = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     n, v = n_words + ends, kinds + (ends > 0)
-    head = [(r.word.encode(), r.c) for r in counts.orderBy(F.desc("c"), "word").limit(HEAD).toLocalIterator()]
+    head = _most_frequent(counts, HEAD)
     short = head[:SHORTLIST]
     rest_n, rest_v = n_words - sum(c for _, c in short), kinds - len(short)
     net = Network(len(short))
@@ -337,11 +402,7 @@ def scores(docs: DataFrame, trains, id_col: str = "doc_id", text_col: str = "tex
         own = Network(words, flat)
         logs = {w: float(np.log10(c + 0.5)) for w, c in held.items()}
 
-        def looked_up(words: list[bytes]) -> tuple[np.ndarray, list[str]]:
-            log = np.fromiter(map(logs.get, words, repeat(np.nan)), np.float64, len(words))
-            return log, [words[i].decode() for i in np.flatnonzero(np.isnan(log))]
-
-        for heads, notes, coded in _batched(batches, 1, place, own, looked_up):
+        for heads, notes, coded in _batched(batches, 1, place, own, logs):
             like = log_likelihoods(own, coded) / np.log(10)
             out = []
             for (id_, trains), (log, tail), code, value in zip(heads, notes, coded, like):
