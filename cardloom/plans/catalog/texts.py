@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from cardloom.functions import text as tx, urls
 from cardloom.plans.catalog.base import SQL_SPACE, query, sql_clean
 from cardloom.plans.rendered import PEOPLE_SQL, people
-from cardloom.sources.tables import spread, table
+from cardloom.sources.tables import PAGES_PER_TASK, spread, table
 
 # documents with no-break spaces and byte order marks mixed in
 _NOISY = "concat(' \\u00a0', replace(text, 'e ', 'e\\u00a0\\ufeff '), '\\n\\ufeff')"
@@ -19,7 +19,7 @@ def _documents(name, covers, spark_values: dict[str, str], sql_values: dict[str,
 
     @query(name, covers, sql)
     def run(spark, sf):
-        return spread(table(spark, sf, "documents"), "doc_id").select(
+        return spread(table(spark, sf, "documents"), PAGES_PER_TASK).select(
             "doc_id", *[F.expr(v).alias(k) for k, v in spark_values.items()]
         )
 
