@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from cardloom.functions.sql import case, concat, lit
 from cardloom.plans.profiles import BY_ID, PROFILES
-from cardloom.sources.tables import parse_parts, table
+from cardloom.sources.tables import parse_parts, spread, table
 
 CARDS_PER_PAGE = 10
 LINK = '<a href="mailto:{email}">{email}</a>'
@@ -411,7 +411,7 @@ def title_mode(profile_id: str) -> str:
 # --- people ----------------------------------------------------------------------------------
 def people(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One person per customer; every 11th has no name, every 7th no address."""
-    customer = table(spark, sf_dir, "customer")
+    customer = spread(table(spark, sf_dir, "customer"))
     nation = table(spark, sf_dir, "nation")
     key = F.col("c_custkey")
     named = key % 11 != 5
@@ -508,8 +508,8 @@ def listing_pages(spark: SparkSession, sf_dir: str, ids: tuple[str, ...]) -> Dat
         "key",
         _by_profile(lambda i: fill(MARKUP[i].card, values), ids).alias("card"),
     )
-    spread = cards.repartition(parse_parts(spark), "profile_id", "page_no")
-    pages = spread.groupBy("profile_id", "page_no").agg(
+    dealt = cards.repartition(parse_parts(spark), "profile_id", "page_no")
+    pages = dealt.groupBy("profile_id", "page_no").agg(
         F.array_join(
             F.transform(F.array_sort(F.collect_list(F.struct("key", "card"))), lambda c: c["card"]), "\n"
         ).alias("cards")
