@@ -13,7 +13,7 @@ from cardloom.operators.rules import Paging, Pick
 from cardloom.plans.catalog.base import query
 from cardloom.plans.directory import CARDS, SQL, base_url, directory_pages, parsed_directory
 from cardloom.plans.rendered import fill
-from cardloom.sources.tables import table
+from cardloom.sources.tables import spread, table
 
 N, C = "nodes", "c"
 
@@ -117,7 +117,7 @@ _PARTLY_HIDDEN = (
 )
 def visible_cards(spark, sf):
     """Cards with parts that attributes, inline styles and style rules hide, and show again."""
-    pages = table(spark, sf, "customer").select(
+    pages = spread(table(spark, sf, "customer")).select(
         F.col("c_custkey").alias("key"),
         F.expr(fill(_PARTLY_HIDDEN, {"key": "CAST(c_custkey AS STRING)", "name": "c_name"})).alias("html"))
     card = f"get({sel.find(N, None, '.card')}, 0)"
