@@ -2,7 +2,8 @@
 
 Every page links to one next page at most. Following links one by one would take a job per page of the longest directory, so
 jumps are doubled: from where ``span`` links lead, ``2 * span`` links lead by one join of the jumps with themselves.
-The joins are on (directory, page), so a directory that holds most pages is spread like any other. Each round is
+The joins are on (directory, page), so a directory that holds most pages is spread like any other, and sorted on both
+sides: written rows look small enough to be broadcast in every round, which would pass them through the driver. Each round is
 written to the shared folder and read back: a lost executor costs a re-read, and plans do not grow.
 """
 
@@ -13,7 +14,7 @@ from pyspark.sql import DataFrame, functions as F
 
 def _written(frame: DataFrame, folder: str, name: str) -> DataFrame:
     frame.write.mode("overwrite").parquet(f"{folder}/{name}")
-    return frame.sparkSession.read.schema(frame.schema).parquet(f"{folder}/{name}")
+    return frame.sparkSession.read.schema(frame.schema).parquet(f"{folder}/{name}").hint("merge")
 
 
 def follow_links(links: DataFrame, folder: str, keys: tuple[str, ...] = ("source_id",), page: str = "page_no",
@@ -48,7 +49,7 @@ def follow_links(links: DataFrame, folder: str, keys: tuple[str, ...] = ("source
         span *= 2
     # after that many links everyone is on a circle, and everyone on a circle is somebody's target
     on_circle = jumps.select(*keys, F.col("to").alias("page")).distinct()
-    circles = jumps.join(on_circle, on, "left_semi").select(*on, F.col("low").alias("cycle"))
+    circles = jumps.join(on_circle, on, "left_semi").select(*on, F.col("low").alias("cycle")).hint("merge")
     found = pages.join(there, [*keys, "next"], "left").join(reached, on, "left").join(circles, on, "left")
     return found.select(
         *keys, F.col("page").alias(page), F.col("next").alias(following),

@@ -11,7 +11,7 @@ from cardloom.plans import coverage
 from cardloom.plans.catalog.base import query
 from cardloom.plans.profiles import BY_ID, PROFILES
 from cardloom.sources.layout import shared_folder
-from cardloom.sources.tables import table
+from cardloom.sources.tables import spread, table
 from cardloom.plans.early import FIRST_BLOCK, GROWTH, read_until_empty
 from cardloom.plans.rendered import CARDS_PER_PAGE, assigned_people, expected_sql, listing_pages
 
@@ -123,7 +123,7 @@ _CHAIN_SQL = f"""WITH RECURSIVE places AS (
 def _chained_pages(spark, sf):
     """Sources by how their links go: 0 to the end, 1 and 2 back (2 leaves pages behind), 3 skips pages, 4 stops early
     and turns at the end, 5 has gaps, 6 lacks its first page."""
-    people = table(spark, sf, "customer").selectExpr(
+    people = spread(table(spark, sf, "customer")).selectExpr(
         f"c_custkey % {_CHAIN_SOURCES} AS s", f"c_custkey DIV {_CHAIN_SOURCES} + 1 AS p")
     last = people.groupBy("s").agg(F.max("p").alias("last"))
     link = ("CASE WHEN s = 1 AND p = last THEN 1 WHEN s = 2 AND p = last DIV 2 THEN last DIV 3 WHEN s = 3 AND p % 5 = 0 THEN p + 2 "
