@@ -35,7 +35,7 @@ ROUNDS = 2
 RATE = 0.01
 #: Words, at most, whose counts workers hold; counts of the others come from a join.
 HEAD = 1 << 18
-_TOKENS = 3_000_000  # tokens packed into lanes at a time
+_TOKENS = 1_000_000  # tokens packed into lanes at a time
 _CUT_BYTES = 4 << 20  # text cut into words at a time
 _COUNTED = 600_000  # words a task counts before it passes the counts on
 
@@ -205,8 +205,8 @@ def pairs(texts: list[np.ndarray], net: Network, stretch: int | None = None) ->
 
 
 def lanes(parts: list[tuple[int, np.ndarray, np.ndarray]], net: Network, width: int) -> tuple[np.ndarray, ...]:
-    """Texts, each with its end, one after another in lanes of like length: inputs, targets, number of the text, and
-    the lanes' lengths, the longest first."""
+    """Texts, each with its end, one after another in lanes of like length: inputs, targets and number of the text, lane
+    after lane, and the lanes' lengths, the longest first. Nothing is filled up to the longest lane."""
     width = max(1, min(width, len(parts), sum(len(p[2]) for p in parts) // 256))
     heap = [(0, i) for i in range(width)]
     members: list[list[int]] = [[] for _ in range(width)]
@@ -216,44 +216,50 @@ def lanes(parts: list[tuple[int, np.ndarray, np.ndarray]], net: Network, width:
         heapq.heappush(heap, (size + len(parts[i][2]), lane))
     lengths = np.array([sum(len(parts[i][2]) for i in m) for m in members])
     order = np.argsort(-lengths, kind="stable")
-    x = np.full((int(lengths.max()), width), net.end, np.int32)
-    y = np.full_like(x, -1)
-    which = np.zeros_like(x)
-    for lane, m in enumerate(order):
-        at = 0
+    x, y, which = (np.empty(int(lengths.sum()), np.int32) for _ in range(3))
+    at = 0
+    for m in order:
         for i in members[m]:
             number, given, wanted = parts[i]
             here = slice(at, at + len(wanted))
-            x[here, lane], y[here, lane], which[here, lane] = given, wanted, number
+            x[here], y[here], which[here] = given, wanted, number
             at = here.stop
     return x, y, which, lengths[order]
 
 
-def windows(x: np.ndarray, lengths: np.ndarray) -> Iterator[tuple[slice, int]]:
-    """(steps, lanes still running) of each window."""
-    for at in range(0, len(x), STEPS):
-        yield slice(at, at + STEPS), int((lengths > at).sum())
+def windows(x: np.ndarray, y: np.ndarray, lengths: np.ndarray, net: Network) -> Iterator[tuple[np.ndarray, ...]]:
+    """Inputs and targets (steps, lanes still running) of each window, and where they stand; behind a lane's last token
+    inputs are the end and targets -1."""
+    starts = np.cumsum(lengths) - lengths
+    longest = int(lengths.max())
+    for at in range(0, longest, STEPS):
+        running = int((lengths > at).sum())
+        step = np.arange(at, min(at + STEPS, longest))[:, None]
+        inside = step < lengths[:running]
+        place = np.where(inside, starts[:running] + step, 0)
+        yield np.where(inside, x[place], np.int32(net.end)), np.where(inside, y[place], np.int32(-1)), place
 
 
 def _continue(trainer: Trainer, texts: list[np.ndarray]) -> None:
     x, y, _, lengths = lanes(pairs(texts, trainer.net, STRETCH), trainer.net, LANES)
-    h = np.zeros((x.shape[1], HIDDEN), np.float32)
-    for steps, running in windows(x, lengths):
-        h = trainer.window(x[steps, :running], y[steps, :running], h[:running], running / x.shape[1])
+    h = np.zeros((len(lengths), HIDDEN), np.float32)
+    for given, wanted, _ in windows(x, y, lengths, trainer.net):
+        running = given.shape[1]
+        h = trainer.window(given, wanted, h[:running], running / len(lengths))
 
 
 def log_likelihoods(net: Network, texts: list[np.ndarray]) -> np.ndarray:
     """Natural log-likelihood of each text, its end included."""
     x, y, which, lengths = lanes(pairs(texts, net), net, LANES)
-    h = np.zeros((x.shape[1], HIDDEN), np.float32)
+    h = np.zeros((len(lengths), HIDDEN), np.float32)
     total = np.zeros(len(texts))
-    for steps, running in windows(x, lengths):
-        hidden = net.states(x[steps, :running], h[:running])
+    for given, wanted, place in windows(x, y, lengths, net):
+        hidden = net.states(given, h[:given.shape[1]])
         h = hidden[-1]
-        target = y[steps, :running].ravel()
+        target = wanted.ravel()
         real = target >= 0
         logp = net.likelihood(hidden.reshape(-1, HIDDEN)[real], target[real])
-        total += np.bincount(which[steps, :running].ravel()[real], logp, len(texts))
+        total += np.bincount(which[place.ravel()[real]], logp, len(texts))
     return total
 
 
@@ -312,7 +318,8 @@ def _most_frequent(counts: DataFrame, most: int) -> list[tuple[str, int]]:
 def _batched(batches: Iterator[pa.RecordBatch], at: int, place: dict[str, int], net: Network,
              logs: dict[str, float] | None = None) -> Iterator[tuple]:
     """(columns before the text, notes, encoded texts) of a bounded number of tokens at a time. With ``logs``, a note has
-    the log of each word, NaN for words that are not there, and those words. Each different word is looked up once."""
+    how many words are there, the sum of their logs, the part of it that is not on the shortlist, and the words that are
+    not there. Each different word is looked up once."""
     head, notes, coded, size = [], [], [], 0
     for batch in batches:
         others = [c.to_pylist() for i, c in enumerate(batch.columns) if i != at]
@@ -327,7 +334,9 @@ def _batched(batches: Iterator[pa.RecordBatch], at: int, place: dict[str, int],
                 head.append([c[row + i] for c in others])
                 if logs is not None:
                     log = known[inside]
-                    notes.append((log, [kinds[index[j]] for j in inside.start + np.flatnonzero(np.isnan(log))]))
+                    held = ~np.isnan(log)
+                    notes.append((int(held.sum()), float(log[held].sum()), float(log[held & (codes[inside] == net.other)].sum()),
+                                  [kinds[j] for j in index[inside][~held]]))
                 else:
                     notes.append(None)
                 coded.append(np.append(codes[inside], np.int32(net.end)))
@@ -393,22 +402,19 @@ def scores(docs: DataFrame, trains, id_col: str = "doc_id", text_col: str = "tex
             flat = flat if trained is None else trained
         net = Network(len(short), flat)
     whole, rest = np.log10(n + 0.5 * (v + 1)), np.log10(rest_n + 0.5 * (rest_v + 1))
-    known = spark.sparkContext.broadcast((place, net.flat, dict(head)))
+    known = spark.sparkContext.broadcast((place, net.flat, {w: float(np.log10(c + 0.5)) for w, c in head}))
     words, end_log = len(short), float(np.log10(ends + 0.5))
     kind = rows.schema["id"].dataType.simpleString()
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        place, flat, held = known.value
+        place, flat, logs = known.value
         own = Network(words, flat)
-        logs = {w: float(np.log10(c + 0.5)) for w, c in held.items()}
-
         for heads, notes, coded in _batched(batches, 1, place, own, logs):
             like = log_likelihoods(own, coded) / np.log(10)
             out = []
-            for (id_, trains), (log, tail), code, value in zip(heads, notes, coded, like):
-                held, other = ~np.isnan(log), code[:-1] == own.other
-                out.append((id_, trains, len(code), int(held.sum()) + (ends > 0), float(log[held].sum()) + end_log,
-                            float(value + log[held & other].sum()), int(other.sum()), tail))
+            for (id_, trains), (held, log, other_log, tail), code, value in zip(heads, notes, coded, like):
+                out.append((id_, trains, len(code), held + (ends > 0), log + end_log, float(value + other_log),
+                            int((code[:-1] == own.other).sum()), tail))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([o[j] for o in out], t) for j, t in enumerate(
                     (batch_kind, pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64(), pa.list_(pa.string())))],

@@ -276,6 +276,21 @@ def test_state_is_carried_across_windows():
         assert abs(total - value) < 1e-3 * max(1, abs(total))
 
 
+def test_a_long_text_does_not_widen_all_lanes():
+    """Memory follows the tokens, not the longest text times the number of lanes."""
+    import tracemalloc
+
+    net = lm_score.Network(30)
+    texts = [np.append(np.full(n, 3), net.end).astype(np.int32) for n in (20_000, *[300] * 600)]
+    tracemalloc.start()
+    try:
+        got = lm_score.log_likelihoods(net, texts)
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert most < 60e6 and len(set(got[1:].round(2))) == 1 and got[0] < got[1]
+
+
 def test_many_findings_in_one_text(spark, tmp_path):
     """Time grows about as the findings, and offsets stay right behind the first fold."""
     import time
