@@ -111,6 +111,31 @@ def test_jaccard_chain(make):
     assert {c for _, c in got.values()} == {0}
 
 
+def test_jaccard_pairs_do_not_grow_with_the_square_of_a_group(make, monkeypatch):
+    """Short rows that are the centres of all blocks do not leave every pair of near copies to be compared."""
+    rng = random.Random(5)
+    base = [f"w{i}" for i in range(120)]
+    docs = [(1000 + i, " ".join(base[i:i + 5])) for i in range(116)]
+    for i in range(300):
+        words = list(base)
+        words[rng.randrange(120)] = f"e{i}"
+        docs.append((i, " ".join(words)))
+    made, first = {}, jaccard_join.stored
+
+    def stored(frame, folder, name):
+        if name == "wide":
+            frame = frame.withColumn("cid", F.when(F.col("low_id") >= 1000, -F.col("low_id")).otherwise(F.col("cid")))
+        out = first(frame, folder, name)
+        if name.endswith("-pairs"):
+            made[name] = out.count()
+        return out
+
+    monkeypatch.setattr(jaccard_join, "stored", stored)
+    got = by_id(jaccard_join.near_components(make(docs), shingle=5, percent=80), "n_shingles", "component_id")
+    assert all(x[1] == (d if d >= 1000 else 0) for d, x in got.items())
+    assert sum(made.values()) < 25 * len(docs)
+
+
 def test_jaccard_odd_rows(make, odd):
     assert by_id(jaccard_join.near_components(make(odd)), "n_shingles", "component_id") == plain.linked(odd)
     assert jaccard_join.near_components(make([])).count() == 0
