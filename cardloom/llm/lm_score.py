@@ -22,7 +22,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from cardloom.llm.common import ascii_lower, shared_folder, stored, text_of
+from cardloom.llm.common import cut, kinds_of, shared_folder, stored, text_of
 
 SHORTLIST = 1024
 CLASS_WORDS = 32
@@ -36,7 +36,6 @@ RATE = 0.01
 #: Words, at most, whose counts workers hold; counts of the others come from a join.
 HEAD = 1 << 18
 _TOKENS = 1_000_000  # tokens packed into lanes at a time
-_CUT_BYTES = 4 << 20  # text cut into words at a time
 _COUNTED = 600_000  # words a task counts before it passes the counts on
 
 
@@ -266,17 +265,7 @@ def log_likelihoods(net: Network, texts: list[np.ndarray]) -> np.ndarray:
 # -- the jobs -----------------------------------------------------------------------------------------------
 
 def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return docs.select(F.col(id_col).alias("id"), ascii_lower(text_of(text_col)).alias("text"), F.col("trains").alias("trains"))
-
-
-def _cut(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, pa.Array]]:
-    """(texts, where the words of each begin and end, all words) of a bounded amount of text at a time."""
-    step = max(1, _CUT_BYTES // (texts.nbytes // max(len(texts), 1) + 1))
-    for start in range(0, len(texts), step):
-        lists = pc.ascii_split_whitespace(texts.slice(start, step))
-        words, ends = lists.values, lists.offsets.to_numpy().astype(np.int64)
-        filled = pc.not_equal(words, "").to_numpy(zero_copy_only=False)  # beside white space at the ends of a text
-        yield len(lists), np.concatenate([[0], np.cumsum(filled)])[ends], words.filter(pa.array(filled))
+    return docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"), F.col("trains").alias("trains"))
 
 
 def _counted(learned: DataFrame) -> DataFrame:
@@ -289,7 +278,7 @@ def _counted(learned: DataFrame) -> DataFrame:
             return pa.concat_tables(held).group_by("values").aggregate([("counts", "sum")]).rename_columns(["values", "counts"])
 
         for batch in batches:
-            for _, _, words in _cut(batch.column(0)):
+            for _, _, words in cut(batch.column(0)):
                 held.append(pa.Table.from_struct_array(words.value_counts()))
                 if sum(map(len, held)) > _COUNTED:
                     held[:] = [summed()]
@@ -324,9 +313,8 @@ def _batched(batches: Iterator[pa.RecordBatch], at: int, place: dict[str, int],
     for batch in batches:
         others = [c.to_pylist() for i, c in enumerate(batch.columns) if i != at]
         row = 0
-        for n, ends, words in _cut(batch.column(at)):
-            named = words.dictionary_encode()
-            kinds, index = named.dictionary.to_pylist(), named.indices.to_numpy()
+        for n, ends, words in cut(batch.column(at)):
+            kinds, index = kinds_of(words)
             codes = np.fromiter(map(place.get, kinds, repeat(net.other)), np.int32, len(kinds))[index]
             known = None if logs is None else np.fromiter(map(logs.get, kinds, repeat(np.nan)), np.float64, len(kinds))[index]
             for i in range(n):
@@ -349,13 +337,21 @@ def _batched(batches: Iterator[pa.RecordBatch], at: int, place: dict[str, int],
         yield head, notes, coded
 
 
-def _round(texts: DataFrame, shared, words: int) -> np.ndarray | None:
-    """The average of the copies that the tasks trained, weighted by their tokens."""
+def _turn(batch: pa.RecordBatch, r: int) -> pa.RecordBatch:
+    """The texts of round ``r``: which, a hash says, that Spark's ``xxhash64`` of the text in lower case gives as well."""
+    from xxhash import xxh64_intdigest
+
+    hashes = [xxh64_intdigest(t.as_buffer(), 42) for t in pc.ascii_lower(batch.column(0))]
+    return batch.filter(pa.array(np.array(hashes, np.uint64).view(np.int64) % ROUNDS == r))
+
+
+def _round(texts: DataFrame, shared, words: int, r: int) -> np.ndarray | None:
+    """The average of the copies that the tasks trained on the texts of round ``r``, weighted by their tokens."""
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place, flat = shared.value
         trainer, seen = Trainer(Network(words, flat.copy())), 0
-        for _, _, coded in _batched(batches, 0, place, trainer.net):
+        for _, _, coded in _batched((_turn(b, r) for b in batches), 0, place, trainer.net):
             _continue(trainer, coded)
             seen += sum(map(len, coded))
         if seen:
@@ -397,8 +393,7 @@ def scores(docs: DataFrame, trains, id_col: str = "doc_id", text_col: str = "tex
         flat = net.flat
         for r in range(ROUNDS):
             shared = spark.sparkContext.broadcast((place, flat))
-            turn = learned.filter(F.pmod(F.xxhash64("text"), F.lit(ROUNDS)) == r).select("text")
-            trained = _round(turn, shared, len(short))
+            trained = _round(learned.select("text"), shared, len(short), r)
             flat = flat if trained is None else trained
         net = Network(len(short), flat)
     whole, rest = np.log10(n + 0.5 * (v + 1)), np.log10(rest_n + 0.5 * (rest_v + 1))

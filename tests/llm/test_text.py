@@ -8,10 +8,12 @@ import zlib
 import numpy as np
 import plain
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
 from cardloom.llm import bpe, chat, decontaminate, langid, lm_score, secrets
+from cardloom.llm.common import ascii_lower
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -232,6 +234,24 @@ def test_scores_odd_rows(make, odd):
     assert lm_score.scores(make([]), lm_score.F.lit(True)).count() == 0
 
 
+def test_scores_lower_texts_in_workers(make, odd, monkeypatch):
+    """In the plan each letter of a text with others than ASCII ones is looked up by itself, once for every reading."""
+    plans, first = [], lm_score.stored
+    monkeypatch.setattr(lm_score, "stored", lambda frame, folder, name: plans.append(frame._jdf.queryExecution().analyzed().toString()) or first(frame, folder, name))
+    lm_score.scores(make(odd), lm_score.F.col("doc_id") != 5).collect()
+    assert plans and not any("translate" in p for p in plans)
+
+
+def test_rounds_are_those_of_the_hash_in_spark(make):
+    rows = make([(i, f"Text {i} É ÀZ") for i in range(60)] + [(99, "")])
+    low = ascii_lower(lm_score.text_of("text"))
+    want = {i: r for i, r in rows.select("doc_id", lm_score.F.pmod(lm_score.F.xxhash64(low), lm_score.F.lit(lm_score.ROUNDS))).collect()}
+    batch = pa.RecordBatch.from_pydict({"text": [r.text for r in rows.collect()], "id": [r.doc_id for r in rows.collect()]})
+    for r in range(lm_score.ROUNDS):
+        assert sorted(lm_score._turn(batch, r).column("id").to_pylist()) == sorted(i for i in want if want[i] == r)
+    assert lm_score._turn(batch.slice(0, 0), 0).num_rows == 0
+
+
 def test_network_gradient_and_normalisation():
     rng = np.random.default_rng(0)
     net = lm_score.Network(40)
