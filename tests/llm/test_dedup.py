@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 
 import plain
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -136,6 +137,58 @@ def test_jaccard_pairs_do_not_grow_with_the_square_of_a_group(make, monkeypatch)
     assert sum(made.values()) < 25 * len(docs)
 
 
+def test_rows_of_two_components_meet_once(make, monkeypatch):
+    """Rows that are near, yet not near enough, share many blocks and are a pair in one of them."""
+    places = random.Random(5).sample(range(2, 300, 5), 60)
+    docs = []
+    for i in range(15):
+        own = [f"w{j}" for j in range(300)]
+        for j in places[4 * i:4 * i + 4]:
+            own[j] = f"e{i}.{j}"
+        docs.append((i, " ".join(own)))
+    made, first = [], jaccard_join._met_once
+
+    def met(open_blocks, percent):
+        pairs = first(open_blocks, percent)
+        made.append((pairs.count(), pairs.distinct().count()))
+        return pairs
+
+    monkeypatch.setattr(jaccard_join, "_met_once", met)
+    got = by_id(jaccard_join.near_components(make(docs), shingle=5, percent=80), "n_shingles", "component_id")
+    assert got == plain.linked(docs, 5, 80)
+    (rows, different), = made
+    assert 50 < different <= rows <= 1.2 * different
+
+
+def test_stars_need_one_step(spark, tmp_path, monkeypatch):
+    """What one step has made stars of is not stepped through again."""
+    steps, first = [], jaccard_join.stored
+    monkeypatch.setattr(jaccard_join, "stored", lambda frame, folder, name: steps.append(name) or first(frame, folder, name))
+    ends = lambda links: {tuple(r) for r in jaccard_join.components(spark.createDataFrame(links, "u long, v long"), str(tmp_path / "s")).collect()}
+    assert ends([(i, 0) for i in range(1, 9)]) == {(i, 0) for i in range(1, 9)} and steps == ["star0"]
+    assert ends([]) == set() and steps == ["star0"] * 2
+    assert ends([(i, i + 1) for i in range(40)] + [(50, 60), (60, 55)]) == {(i, 0) for i in range(1, 41)} | {(55, 50), (60, 50)}
+
+
+def test_grams_of_a_batch_are_those_of_each_text():
+    rng = random.Random(3)
+    texts = [" ".join(rng.choice(["A", "b", "É", "cc", "\t", "\x0b", "\u2003"]) for _ in range(rng.randrange(9))) for _ in range(300)] + ["", " ", "one"]
+    low = [t.translate({c: c + 32 for c in range(65, 91)}) for t in texts]
+    for size in (1, 2, 3, 9):
+        alone = jaccard_join.Shingles(size)
+        found = [sorted(set(codes[a:b].tolist())) for places, codes in jaccard_join._grams(pa.array(texts), size) for a, b in zip(places, places[1:])]
+        assert found == [alone(t).tolist() for t in low]
+
+
+def test_jaccard_lowers_texts_in_workers(make, odd, monkeypatch):
+    """In the plan each letter of a text with others than ASCII ones is looked up by itself: only compared texts bear that."""
+    plans, first = {}, jaccard_join.stored
+    monkeypatch.setattr(jaccard_join, "stored", lambda frame, folder, name: plans.update({name: frame._jdf.queryExecution().analyzed().toString()}) or first(frame, folder, name))
+    jaccard_join.near_components(make(odd)).count()
+    assert "translate" not in plans["heads"]
+    assert "Join" not in plans["star-texts"].split("translate")[0] and "Join" in plans["star-texts"]
+
+
 def test_jaccard_odd_rows(make, odd):
     assert by_id(jaccard_join.near_components(make(odd)), "n_shingles", "component_id") == plain.linked(odd)
     assert jaccard_join.near_components(make([])).count() == 0
