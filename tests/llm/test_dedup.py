@@ -137,6 +137,29 @@ def test_jaccard_pairs_do_not_grow_with_the_square_of_a_group(make, monkeypatch)
     assert sum(made.values()) < 25 * len(docs)
 
 
+def test_near_copies_of_which_not_all_link_cost_few_pairs(make, monkeypatch):
+    """One centre or two link too few of the rows to leave only a few for the comparison across components."""
+    rng = random.Random(5)
+    docs = []
+    for i in range(400):
+        own = [f"w{j}" for j in range(400)]
+        for j in rng.sample(range(400), rng.randint(3, 6)):
+            own[j] = f"e{i}.{j}"
+        docs.append((i, " ".join(own)))
+    made, first = {}, jaccard_join.stored
+
+    def stored(frame, folder, name):
+        out = first(frame, folder, name)
+        if name.endswith(("-pairs", "-links")):
+            made[name] = out.count()
+        return out
+
+    monkeypatch.setattr(jaccard_join, "stored", stored)
+    got = by_id(jaccard_join.near_components(make(docs), shingle=5, percent=80), "n_shingles", "component_id")
+    assert got == plain.linked(docs, 5, 80) == {i: (396, 0) for i, _ in docs}
+    assert sum(made.values()) < 25 * len(docs)
+
+
 def test_rows_of_two_components_meet_once(make, monkeypatch):
     """Rows that are near, yet not near enough, share many blocks and are a pair in one of them."""
     places = random.Random(5).sample(range(2, 300, 5), 60)
